@@ -32,6 +32,8 @@ class Located:
 
 @dataclass
 class _Interval:
+    """The part of a series known to hold some ranks."""
+
     series: int
     low: float
     high: float
@@ -44,52 +46,44 @@ class _Interval:
 class OrderStatistics:
     """Finds values by 0-based rank in several numeric series of one frame.
 
-    Nulls and NaN are left out. A whole-number series must span less than 2**63. With
-    ``weight`` a row counts as that many equal rows.
+    Nulls and NaN are left out. Whole-number series are kept exact and must each span less
+    than 2**63; mixed with others they are read as doubles. With ``weight`` a row counts as
+    that many equal rows.
     """
 
     def __init__(self, df: DataFrame, series: Mapping[str, Column], weight: Column | None = None):
         self.names = list(series)
-        picked = df.select(
-            *[c.alias(f"s{i}") for i, c in enumerate(series.values())],
-            (F.lit(1) if weight is None else weight).cast("long").alias("w"),
-        )
-        self.whole = [isinstance(f.dataType, T.IntegralType) for f in picked.schema.fields[:-1]]
-        self.base = picked.select(
-            *[
-                F.col(f"s{i}").cast("long") if whole else self._bounded(F.col(f"s{i}").cast("double")).alias(f"s{i}")
-                for i, whole in enumerate(self.whole)
-            ],
-            "w",
+        types = df.select(*[c.alias(f"s{i}") for i, c in enumerate(series.values())]).schema
+        self.whole = all(isinstance(f.dataType, T.IntegralType) for f in types)
+        self.kind = "long" if self.whole else "double"
+        w = (F.lit(1) if weight is None else weight).cast("long").alias("w")
+        values = F.array(*[c.cast(self.kind) for c in series.values()])
+        rows = df.select(w, F.posexplode(values).alias("i", "v")).where(F.col("v").isNotNull())
+        if not self.whole:
+            inside = F.greatest(F.least("v", F.lit(_HUGE)), F.lit(-_HUGE))
+            rows = rows.where(~F.isnan("v")).withColumn("v", inside)
+        self.rows = rows
+        ends = rows.groupBy("i").agg(
+            F.sum("w").alias("w"), F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")
         )
-        outs = []
-        for i in range(len(self.names)):
-            s = F.col(f"s{i}")
-            outs += [F.sum(F.when(s.isNotNull(), F.col("w"))), F.count(s), F.min(s), F.max(s)]
-        head = self.base.agg(*[o.alias(f"h{i}") for i, o in enumerate(outs)]).first()
-        self.head = {
-            name: (head[4 * i] or 0, head[4 * i + 1], head[4 * i + 2], head[4 * i + 3])
-            for i, name in enumerate(self.names)
-        }
-
-    @staticmethod
-    def _bounded(s: Column) -> Column:
-        return F.when(s.isNotNull() & ~F.isnan(s), F.greatest(F.least(s, F.lit(_HUGE)), F.lit(-_HUGE)))
+        self.head = {self.names[r["i"]]: r for r in ends.collect()}
 
     def count(self, name: str) -> int:
-        return self.head[name][0]
+        return self.head[name]["w"] if name in self.head else 0
 
     def locate(self, ranks: Mapping[str, Iterable[int]]) -> dict[tuple[str, int], Located]:
         found: dict[tuple[str, int], Located] = {}
         small: list[_Interval] = []
         wide: list[_Interval] = []
         for name, wanted in ranks.items():
-            total, rows, low, high = self.head[name]
             wanted = sorted(set(wanted))
-            if wanted and not 0 <= wanted[0] <= wanted[-1] < total:
+            if not wanted:
+                continue
+            total = self.count(name)
+            if wanted[0] < 0 or wanted[-1] >= total:
                 raise ValueError(f"rank outside 0..{total - 1} for {name}")
-            if wanted:
-                wide.append(_Interval(self.names.index(name), low, high, 0, rows, total, wanted))
+            h = self.head[name]
+            wide.append(_Interval(self.names.index(name), h["lo"], h["hi"], 0, h["c"], total, wanted))
         while wide:
             still = []
             for it in wide:
@@ -108,71 +102,44 @@ class OrderStatistics:
     def _value(self, v):
         return inf if v == _HUGE else -inf if v == -_HUGE else v
 
-    def _inside(self, it: _Interval) -> Column:
-        s = F.col(f"s{it.series}")
-        return s.between(F.lit(it.low), F.lit(it.high))
-
-    def _bucket(self, it: _Interval) -> Column:
-        s = F.col(f"s{it.series}")
-        if self.whole[it.series]:
-            width = (it.high - it.low) // BUCKETS + 1
-            return F.expr(f"cast((s{it.series} - {it.low}L) div {width}L as int)")
-        half = it.high / 2 - it.low / 2
-        part = F.floor((s / 2 - F.lit(it.low / 2)) / F.lit(half) * BUCKETS)
+    def _inside(self, intervals: Sequence[_Interval]) -> DataFrame:
+        """The rows of each interval; the joined table has one line per interval."""
+        spark = self.rows.sparkSession
+        lines = [(it.series, n, it.low, it.high) for n, it in enumerate(intervals)]
+        table = spark.createDataFrame(lines, f"i int, n int, low {self.kind}, high {self.kind}")
+        return self.rows.join(F.broadcast(table), "i").where("v between low and high")
+
+    def _bucket(self) -> Column:
+        if self.whole:
+            return F.expr(f"cast((v - low) div ((high - low) div {BUCKETS}L + 1L) as int)")
+        part = F.expr(f"floor((v / 2 - low / 2) / (high / 2 - low / 2) * {BUCKETS})")
         return F.least(part, F.lit(BUCKETS - 1)).cast("int")
 
-    def _tagged(self, intervals: Sequence[_Interval], extra) -> DataFrame:
-        """One row per (row, interval that holds its value)."""
-        tags = [
-            F.when(
-                self._inside(it),
-                F.struct(
-                    F.lit(n).alias("n"),
-                    F.col(f"s{it.series}").cast("double").alias("d"),
-                    F.col(f"s{it.series}").cast("long").alias("i")
-                    if self.whole[it.series]
-                    else F.lit(None).cast("long").alias("i"),
-                    *extra(it),
-                ),
-            )
-            for n, it in enumerate(intervals)
-        ]
-        tagged = self.base.select("w", F.explode(F.array(*tags)).alias("t")).where("t is not null")
-        return tagged.select("w", "t.*")
-
-    def _exact(self, it: _Interval, row, d: str, i: str):
-        return row[i] if self.whole[it.series] else row[d]
-
     def _narrow(self, intervals: list[_Interval]) -> list[_Interval]:
-        parts = (
-            self._tagged(intervals, lambda it: [self._bucket(it).alias("b")])
-            .groupBy("n", "b")
-            .agg(
-                F.sum("w").alias("w"), F.count("*").alias("c"),
-                F.min("d").alias("dlo"), F.max("d").alias("dhi"),
-                F.min("i").alias("ilo"), F.max("i").alias("ihi"),
-            )
-            .collect()
-        )
+        parts: dict[int, list] = {}
+        for p in (
+            self._inside(intervals).groupBy("n", self._bucket().alias("b"))
+            .agg(F.sum("w").alias("w"), F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .orderBy("n", "b").collect()
+        ):
+            parts.setdefault(p["n"], []).append(p)
         out = []
         for n, it in enumerate(intervals):
-            below, todo = it.below, list(it.ranks)
-            for p in sorted((p for p in parts if p["n"] == n), key=lambda p: p["b"]):
-                mine = [r for r in todo if below <= r < below + p["w"]]
+            below = it.below
+            for p in parts[n]:
+                mine = [r for r in it.ranks if below <= r < below + p["w"]]
                 if mine:
-                    low, high = self._exact(it, p, "dlo", "ilo"), self._exact(it, p, "dhi", "ihi")
-                    out.append(_Interval(it.series, low, high, below, p["c"], p["w"], mine))
+                    out.append(_Interval(it.series, p["lo"], p["hi"], below, p["c"], p["w"], mine))
                 below += p["w"]
         return out
 
     def _count_out(self, intervals: list[_Interval], found: dict) -> None:
-        values = (
-            self._tagged(intervals, lambda it: []).groupBy("n", "d", "i").agg(F.sum("w").alias("w")).collect()
-        )
+        values: dict[int, list] = {}
+        for v in self._inside(intervals).groupBy("n", "v").agg(F.sum("w").alias("w")).collect():
+            values.setdefault(v["n"], []).append((v["v"], v["w"]))
         for n, it in enumerate(intervals):
             below = it.below
-            rows = [(self._exact(it, v, "d", "i"), v["w"]) for v in values if v["n"] == n]
-            for value, weight in sorted(rows):
+            for value, weight in sorted(values[n]):
                 for r in it.ranks:
                     if below <= r < below + weight:
                         found[self.names[it.series], r] = Located(self._value(value), below, weight)

@@ -26,6 +26,7 @@ from ledgerwatch.session import shared_folder
 from ledgerwatch.sources.raw import path_exists, read_cleaned, write_report
 
 KEY = "row_key"
+ROWS_PER_PART = 50_000
 LOGISTIC, TREE, FOREST, BOOSTED = (
     "Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosted Trees",
 )
@@ -113,6 +114,14 @@ def class_probability(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("p", vector_to_array("probability")[1])
 
 
+def _even_parts(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer, fuller partitions for a small training set: fits run many short jobs over it."""
+    parts = -(-rows // ROWS_PER_PART)
+    if parts >= df.rdd.getNumPartitions():
+        return df
+    return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @dataclass
 class Comparison:
     table: DataFrame
@@ -132,9 +141,14 @@ def train_and_compare(
     shared_folder(spark)  # boosting checkpoints its running predictions there
     weights = balanced_weights(train)
     weighted = train.withColumn("weight", weight_column(weights)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = weighted.count()
+    weighted, wide = _even_parts(weighted, rows), weighted
+    weighted.count()
+    if weighted is not wide:
+        wide.unpersist()
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     models, seconds, scored = {}, {}, None
-    for name, estimator in estimators(weighted.count(), seed).items():
+    for name, estimator in estimators(rows, seed).items():
         if names is not None and name not in names:
             continue
         start = time.perf_counter()

@@ -46,10 +46,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_rows(table(spark, sf_dir, "events"))
 
 
-def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_rows(embeddings: DataFrame) -> DataFrame:
     """31 raw columns plus ``row_id`` and the group ``label`` they came from."""
     vec_id = F.col("vec_id")
-    return table(spark, sf_dir, "embeddings").select(
+    return embeddings.select(
         vec_id.alias("row_id"),
         F.pmod(vec_id * 347, F.lit(172800)).cast("double").alias("Time"),
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(V_COLUMNS)],
@@ -59,6 +59,10 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_rows(table(spark, sf_dir, "embeddings"))
+
+
 def transactions_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table with nulls, NaN, infinities and repeated rows in whole label groups."""
     raw = transactions_raw(spark, sf_dir)
