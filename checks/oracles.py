@@ -409,9 +409,9 @@ FROM b GROUP BY "Class", bin, lo, w"""
 SQL["a03_class_densities"] = f"""{WITH_RAW},
 l AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature, Class AS c, {f} AS x FROM raw0" for f in ('V14', 'V17', 'V12', 'V4'))}),
 s AS (SELECT feature, c, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2) AS h, min(x) AS lo, max(x) AS hi FROM l GROUP BY 1, 2),
-g AS (SELECT feature, c, n, h, CAST(i AS INTEGER) AS point, lo - 3*h + i * ((hi + 3*h) - (lo - 3*h)) / 199 AS at FROM s, range(200) AS r(i))
-SELECT feature, c AS "Class", point, {fx('at', 6)} AS x, {fx('sum(exp(-0.5*((at - x)/h)*((at - x)/h))) / (n * h * sqrt(2*pi()))', 6)} AS density
-FROM g JOIN l USING (feature, c) GROUP BY feature, c, point, at, n, h"""
+g AS (SELECT feature, c, n, h, CAST(i AS INTEGER) AS point, lo - 3*h + i * ((hi + 3*h) - (lo - 3*h)) / 199 AS gx FROM s, range(200) AS r(i))
+SELECT feature, c AS "Class", point, {fx('gx', 6)} AS x, {fx('sum(exp(-0.5*((gx - x)/h)*((gx - x)/h))) / (n * h * sqrt(2*pi()))', 6)} AS density
+FROM g JOIN l USING (feature, c) GROUP BY feature, c, point, gx, n, h"""
 SQL["a04_amount_facts"] = f"""{WITH_RAW} SELECT "Class", count(*) AS transactions, {fx('quantile_cont("Amount", 0.5)', 6)} AS median_amount,
   {fx('100.0E0 * count(*) FILTER (WHERE "Amount" < 2) / count(*)', 6)} AS pct_under_2,
   {fx('100.0E0 * count(*) FILTER (WHERE "Amount" > 1000) / count(*)', 6)} AS pct_over_1000 FROM raw0 GROUP BY 1"""
@@ -425,7 +425,7 @@ SQL["t02_ingest_first_wins"] = f"{TX} SELECT id, transaction_id, amount, risk_le
 SQL["t03_daily_summary"] = f"{TX} {summary('CAST(created_at AS DATE) AS window_start,', 'GROUP BY 1')}"
 SQL["t04_high_risk_alerts"] = f"{TX} SELECT {RECORD} FROM tx WHERE risk_level = 'HIGH'"
 _psi = " UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, old, len(list_filter(edges, e -> x > e)) AS bin FROM
+    f"""SELECT '{f}' AS feature, old, len(list_filter(edges, lambda e: x > e)) AS bin FROM
   (SELECT "Time" < 86400 AS old, {f} AS x FROM raw0),
   (SELECT [{', '.join(f'quantile_cont({f}, {i / 10})' for i in range(1, 10))}] AS edges FROM raw0 WHERE "Time" < 86400)"""
     for f in FEATURES29

@@ -5,7 +5,8 @@ aggregate for all columns together, how many rows fall into each of ``BUCKETS``
 of the interval known to hold the rank, and keeps the one part that holds it. Once an
 interval has few rows its distinct values are fetched and counted out. What reaches the
 driver is bounded by intervals x BUCKETS and by intervals x FETCH_ROWS, whatever the table
-size, and no task ever holds a whole column.
+size, and no task ever holds a whole column. Where equal parts do not spread the rows,
+because values differ by orders of magnitude, the next pass cuts on a logarithmic scale.
 """
 
 from collections.abc import Iterable, Mapping, Sequence
@@ -41,6 +42,7 @@ class _Interval:
     rows: int
     total: int
     ranks: list[int] = field(default_factory=list)
+    log: bool = False
 
 
 class OrderStatistics:
@@ -105,14 +107,16 @@ class OrderStatistics:
     def _inside(self, intervals: Sequence[_Interval]) -> DataFrame:
         """The rows of each interval; the joined table has one line per interval."""
         spark = self.rows.sparkSession
-        lines = [(it.series, n, it.low, it.high) for n, it in enumerate(intervals)]
-        table = spark.createDataFrame(lines, f"i int, n int, low {self.kind}, high {self.kind}")
+        lines = [(it.series, n, it.low, it.high, it.log) for n, it in enumerate(intervals)]
+        table = spark.createDataFrame(lines, f"i int, n int, low {self.kind}, high {self.kind}, log boolean")
         return self.rows.join(F.broadcast(table), "i").where("v between low and high")
 
     def _bucket(self) -> Column:
         if self.whole:
             return F.expr(f"cast((v - low) div ((high - low) div {BUCKETS}L + 1L) as int)")
-        part = F.expr(f"floor((v / 2 - low / 2) / (high / 2 - low / 2) * {BUCKETS})")
+        even = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        v, low, high = (_signed_log(F.col(c)) for c in ("v", "low", "high"))
+        part = F.floor(F.when(F.col("log"), (v - low) / (high - low)).otherwise(even) * BUCKETS)
         return F.least(part, F.lit(BUCKETS - 1)).cast("int")
 
     def _narrow(self, intervals: list[_Interval]) -> list[_Interval]:
@@ -129,7 +133,8 @@ class OrderStatistics:
             for p in parts[n]:
                 mine = [r for r in it.ranks if below <= r < below + p["w"]]
                 if mine:
-                    out.append(_Interval(it.series, p["lo"], p["hi"], below, p["c"], p["w"], mine))
+                    log = not self.whole and 4 * p["c"] > it.rows and _differs_widely(p["lo"], p["hi"])
+                    out.append(_Interval(it.series, p["lo"], p["hi"], below, p["c"], p["w"], mine, log))
                 below += p["w"]
         return out
 
@@ -146,6 +151,15 @@ class OrderStatistics:
                 below += weight
 
 
+def _signed_log(x: Column) -> Column:
+    """Rises with x through zero: 746 exceeds -ln of the smallest positive double."""
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.ln(F.abs(x)) + 746))
+
+
+def _differs_widely(low: float, high: float) -> bool:
+    return low <= 0 <= high or not 1 / 16 < low / high < 16
+
+
 def exact_quantiles(
     df: DataFrame, series: Sequence[str] | Mapping[str, Column], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
@@ -167,7 +181,8 @@ def exact_quantiles(
         for j, x in enumerate(xs):
             low = found[name, floor(x)].value
             high = found[name, min(floor(x) + 1, top[name])].value
-            out[name][j] = low if low == high else low + (high - low) * (x - floor(x))
+            part = x - floor(x)
+            out[name][j] = low if low == high or not part else low + (high - low) * part
     return out
 
 

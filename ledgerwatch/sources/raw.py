@@ -25,7 +25,10 @@ def load_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
             schema = _csv_schema(spark, path)
             if not schema.fields:
                 raise ValueError(f"raw data set is empty: {path}")
-            df = spark.read.csv(path, schema=schema, header=True, mode="FAILFAST")
+            df = spark.read.csv(
+                path, schema=schema, header=True, mode="FAILFAST",
+                nanValue="nan", positiveInf="inf", negativeInf="-inf",
+            )
         else:
             df = spark.read.format(fmt).load(path)
         empty = df.isEmpty()

@@ -18,8 +18,13 @@ from ledgerwatch.sources.audit import upsert
 def file_stream(
     spark: SparkSession, path: str, schema: StructType | str, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Parquet files at ``path`` as a stream with an explicit schema."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """Parquet files at ``path`` as a stream with an explicit schema.
+
+    The path is given as a pattern that matches only itself: a plain path must be a folder,
+    while a pattern may also name one file.
+    """
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
 
 
 def utc_instant(ts: Column) -> Column:
