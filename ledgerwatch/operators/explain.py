@@ -4,11 +4,13 @@ Linear models are explained in column expressions. Tree models need their node t
 are bounded by trees x nodes and broadcast; a vectorised helper evaluates batches of rows.
 """
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel, GBTClassificationModel, LogisticRegressionModel,
     RandomForestClassificationModel,
@@ -19,6 +21,9 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions import fixed
 from ledgerwatch.session import scratch_path
 
+# Executors get these functions with the task and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Wording of the direction of a factor.
 INCREASES = "Increases Fraud Risk"
 REDUCES = "Reduces Fraud Risk"
@@ -67,8 +72,7 @@ def importance_factors(importances: Mapping[str, float], n: int = 4) -> Column:
     )
 
 
-@dataclass(frozen=True)
-class LeafBoxes:
+class LeafBoxes(NamedTuple):
     """Leaves of a tree ensemble as boxes: one line per leaf, one slot per split feature.
 
     A row is inside slot j of a leaf when low < x[feature] <= high; ``cover`` is the share of
@@ -145,7 +149,7 @@ def leaf_boxes(spark: SparkSession, model, path: str | None = None) -> LeafBoxes
     return LeafBoxes(feature, low, high, cover, np.array([v for _, v in leaves]), model.numFeatures)
 
 
-def leaf_shapley(x: np.ndarray, boxes: LeafBoxes, cells: int = 4_000_000) -> np.ndarray:
+def leaf_shapley(x: np.ndarray, boxes: tuple, cells: int = 4_000_000) -> np.ndarray:
     """Path-dependent Shapley values of the rows of ``x``.
 
     In a leaf a feature subset pays the product of indicators (known features) and covers
@@ -153,23 +157,24 @@ def leaf_shapley(x: np.ndarray, boxes: LeafBoxes, cells: int = 4_000_000) -> np.
     so feature j receives (inside_j - cover_j) * integral of the other features'
     cover * (1 - t) + inside * t, a polynomial that Gauss-Legendre nodes integrate exactly.
     """
-    depth = boxes.feature.shape[1]
+    feature, low, high, covers, value, width = boxes
+    depth = feature.shape[1]
     t, w = np.polynomial.legendre.leggauss((depth + 1) // 2)
     t, w = (t + 1) / 2, w / 2
-    out = np.zeros((len(x), boxes.width))
+    out = np.zeros((len(x), width))
     step = max(1, cells // (max(1, len(x)) * depth))
-    for a in range(0, len(boxes.value), step):
+    for a in range(0, len(value), step):
         s = slice(a, a + step)
-        seen = x[:, boxes.feature[s]]
-        inside = ((seen > boxes.low[s]) & (seen <= boxes.high[s])).astype(float)
-        cover = boxes.cover[s][None]
+        seen = x[:, feature[s]]
+        inside = ((seen > low[s]) & (seen <= high[s])).astype(float)
+        cover = covers[s][None]
         total = np.zeros_like(inside)
         for tq, wq in zip(t, w):
             term = cover * (1 - tq) + inside * tq
             total += wq * term.prod(axis=2, keepdims=True) / term
-        gain = (inside - cover) * total * boxes.value[s][None, :, None]
-        flat = boxes.feature[s].ravel()
-        place = np.zeros((len(flat), boxes.width))
+        gain = (inside - cover) * total * value[s][None, :, None]
+        flat = feature[s].ravel()
+        place = np.zeros((len(flat), width))
         place[np.arange(len(flat)), flat] = 1.0
         out += gain.reshape(len(x), -1) @ place
     return out
@@ -177,7 +182,7 @@ def leaf_shapley(x: np.ndarray, boxes: LeafBoxes, cells: int = 4_000_000) -> np.
 
 def tree_contributions(spark: SparkSession, boxes: LeafBoxes, features: Column, batch: int = 512) -> Column:
     """Shapley value per feature of an ``array<double>`` column."""
-    shared = spark.sparkContext.broadcast(boxes)
+    shared = spark.sparkContext.broadcast(tuple(boxes))
 
     @F.pandas_udf("array<double>")
     def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -7,14 +7,18 @@ be, and then visits only those blocks whose bounding box lies within that distan
 sides of a visit are of bounded size, and only k candidates per point leave it.
 """
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Executors get these functions with the task and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 4096
 MAX_CELLS = 16384
 SAMPLE_PER_CELL = 16
