@@ -3,9 +3,8 @@
 A value of a given rank is found by narrowing: every pass counts, in one map-side-combined
 aggregate for all columns together, how many rows fall into each of ``BUCKETS`` equal parts
 of the interval known to hold the rank, and keeps the one part that holds it. Once an
-interval has few rows its distinct values are fetched and counted out. What reaches the
-driver is bounded by intervals x BUCKETS and by intervals x FETCH_ROWS, whatever the table
-size, and no task ever holds a whole column. Where equal parts do not spread the rows,
+interval has few rows its distinct values are counted out. One line per wanted rank reaches
+the driver, and no task ever holds more of a column than BUCKETS or FETCH_ROWS lines. Where equal parts do not spread the rows,
 because values differ by orders of magnitude, the next pass cuts on a logarithmic scale.
 """
 
@@ -13,11 +12,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from math import floor, inf
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 1024
+BUCKETS = 256
 FETCH_ROWS = 2048
 _HUGE = 1.7976931348623157e308  # largest finite double: stands in for infinity
 
@@ -119,36 +118,48 @@ class OrderStatistics:
         part = F.floor(F.when(F.col("log"), (v - low) / (high - low)).otherwise(even) * BUCKETS)
         return F.least(part, F.lit(BUCKETS - 1)).cast("int")
 
+    def _holding(self, parts: DataFrame, order: str, intervals: Sequence[_Interval]) -> dict[int, list]:
+        """The parts that hold a wanted rank, with the weight before them: n -> (rank, part).
+
+        Running sums go over the parts of one interval, at most BUCKETS or FETCH_ROWS lines.
+        """
+        spark = self.rows.sparkSession
+        wanted = [(n, r - it.below) for n, it in enumerate(intervals) for r in it.ranks]
+        ranks = spark.createDataFrame(wanted, "n int, rank long")
+        run = Window.partitionBy("n").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        before = parts.withColumn("before", F.coalesce(F.sum("w").over(run), F.lit(0)))
+        held = before.join(F.broadcast(ranks), "n").where("rank >= before and rank < before + w")
+        out: dict[int, list] = {}
+        for p in held.collect():
+            out.setdefault(p["n"], []).append((p["rank"] + intervals[p["n"]].below, p))
+        return out
+
     def _narrow(self, intervals: list[_Interval]) -> list[_Interval]:
-        parts: dict[int, list] = {}
-        for p in (
+        parts = (
             self._inside(intervals).groupBy("n", self._bucket().alias("b"))
             .agg(F.sum("w").alias("w"), F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .orderBy("n", "b").collect()
-        ):
-            parts.setdefault(p["n"], []).append(p)
+        )
         out = []
-        for n, it in enumerate(intervals):
-            below = it.below
-            for p in parts[n]:
-                mine = [r for r in it.ranks if below <= r < below + p["w"]]
-                if mine:
+        for n, held in self._holding(parts, "b", intervals).items():
+            it, kept = intervals[n], {}
+            for rank, p in held:
+                if p["b"] not in kept:
                     log = not self.whole and 4 * p["c"] > it.rows and _differs_widely(p["lo"], p["hi"])
-                    out.append(_Interval(it.series, p["lo"], p["hi"], below, p["c"], p["w"], mine, log))
-                below += p["w"]
+                    kept[p["b"]] = _Interval(
+                        it.series, p["lo"], p["hi"], it.below + p["before"], p["c"], p["w"], [], log
+                    )
+                kept[p["b"]].ranks.append(rank)
+            out += kept.values()
         return out
 
     def _count_out(self, intervals: list[_Interval], found: dict) -> None:
-        values: dict[int, list] = {}
-        for v in self._inside(intervals).groupBy("n", "v").agg(F.sum("w").alias("w")).collect():
-            values.setdefault(v["n"], []).append((v["v"], v["w"]))
-        for n, it in enumerate(intervals):
-            below = it.below
-            for value, weight in sorted(values[n]):
-                for r in it.ranks:
-                    if below <= r < below + weight:
-                        found[self.names[it.series], r] = Located(self._value(value), below, weight)
-                below += weight
+        values = self._inside(intervals).groupBy("n", "v").agg(F.sum("w").alias("w"))
+        for n, held in self._holding(values, "v", intervals).items():
+            it = intervals[n]
+            for rank, p in held:
+                found[self.names[it.series], rank] = Located(
+                    self._value(p["v"]), it.below + p["before"], p["w"]
+                )
 
 
 def _signed_log(x: Column) -> Column:

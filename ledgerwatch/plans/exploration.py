@@ -121,23 +121,18 @@ def drift_index(
     """Population stability index per feature, binned at the baseline's quantiles."""
     edges = exact_quantiles(baseline, features, [i / bins for i in range(1, bins)])
     known = [f for f in features if edges[f][0] is not None]
+    cuts = [f"e{j}" for j in range(bins - 1)]
+    table = baseline.sparkSession.createDataFrame(
+        [(i, f, *edges[f]) for i, f in enumerate(known)],
+        "i int, feature string, " + ", ".join(f"{c} double" for c in cuts),
+    )
 
     def counted(df: DataFrame, name: str) -> DataFrame:
-        tagged = F.array(
-            *[
-                F.when(
-                    F.col(f).isNotNull() & ~F.isnan(f),
-                    F.struct(
-                        F.lit(f).alias("feature"),
-                        sum(((F.col(f) > F.lit(e)).cast("int") for e in edges[f]), F.lit(0)).alias("bin"),
-                    ),
-                )
-                for f in known
-            ]
-        )
+        values = df.select(F.posexplode(F.array(*[F.col(f).cast("double") for f in known])).alias("i", "v"))
+        at = sum(((F.col("v") > F.col(c)).cast("int") for c in cuts), F.lit(0))
         return (
-            df.select(F.explode(F.array_compact(tagged)).alias("t")).groupBy("t.feature", "t.bin")
-            .agg(F.count("*").alias(name))
+            values.where(F.col("v").isNotNull() & ~F.isnan("v")).join(F.broadcast(table), "i")
+            .groupBy("feature", at.alias("bin")).agg(F.count("*").alias(name))
         )
 
     both = counted(baseline, "e").join(counted(recent, "a"), ["feature", "bin"], "full").fillna(0, ["e", "a"])
