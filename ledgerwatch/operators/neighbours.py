@@ -107,18 +107,17 @@ def nearest_neighbours(
         placed = base.withColumn("cell", cell("vector")).persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(placed)
         sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
-        extra = {c: -(-m // (2 * BLOCK_ROWS)) for c, m in sizes.items() if m > 2 * BLOCK_ROWS}
     else:
-        placed, extra = base.withColumn("cell", F.lit(1).cast("long")), {}
-    parts = F.lit(1)
-    if extra:
-        table = F.create_map(*[F.lit(x) for pair in extra.items() for x in pair])
-        parts = F.coalesce(table[F.col("cell")], F.lit(1))
-    blocked = placed.withColumn("part", F.pmod(F.xxhash64("key"), parts.cast("long"))).withColumn(
-        "block", F.concat_ws("-", "cell", "part")
+        placed, sizes = base.withColumn("cell", F.lit(1).cast("long")), {1: n}
+    # One line per cell, so at most MAX_CELLS lines.
+    shares = spark.createDataFrame(
+        [(c, -(-m // (2 * BLOCK_ROWS))) for c, m in sizes.items()], "cell long, parts long"
+    )
+    blocked = placed.join(F.broadcast(shares), "cell").select(
+        F.concat_ws("-", "cell", F.pmod(F.xxhash64("key"), "parts")).alias("block"), "cell", "key", "vector"
     )
     # Shuffled once by block; the local search, the boxes and the visits all reuse it.
-    blocked = blocked.select("block", "key", "vector").repartition("block").persist(StorageLevel.MEMORY_AND_DISK)
+    blocked = blocked.repartition("block").persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(blocked)
 
     def local(rows: pd.DataFrame) -> pd.DataFrame:
@@ -126,13 +125,12 @@ def nearest_neighbours(
         return found.merge(rows[["key", "block"]], on="key")
 
     own = blocked.groupBy("block").applyInPandas(local, f"key {key_type}, best {best_type}, block string")
-    boxes = _boxes(blocked)
-    if len(boxes[0]) <= 1:
+    if n <= BLOCK_ROWS:
         return own.select("key", _distances(F.col("best")))
-    shared = spark.sparkContext.broadcast(boxes)
+    shared = spark.sparkContext.broadcast(_boxes(blocked))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, low, high = shared.value
+        cells, low, high = shared.value
         for rows in batches:
             if not len(rows):
                 continue
@@ -140,32 +138,38 @@ def nearest_neighbours(
             reach = rows["reach"].fillna(np.inf).to_numpy()
             for start in range(0, len(rows), 256):
                 s = slice(start, start + 256)
-                gap = np.zeros((len(at[s]), len(names)))
+                gap = np.zeros((len(at[s]), len(cells)))
                 for j in range(at.shape[1]):
                     x = at[s, j, None]
                     gap += np.maximum(0.0, np.maximum(low[None, :, j] - x, x - high[None, :, j])) ** 2
                 # A relative allowance keeps rounding from hiding a box that ties.
                 hit = gap * (1 - 1e-9) <= reach[s, None]
-                hit &= rows["block"].to_numpy()[s, None] != names[None, :]
-                i, b = np.nonzero(hit)
+                i, c = np.nonzero(hit)
                 yield pd.DataFrame(
-                    {"key": rows["key"].to_numpy()[s][i], "vector": list(at[s][i]), "block": names[b]}
+                    {
+                        "key": rows["key"].to_numpy()[s][i], "vector": list(at[s][i]),
+                        "home": rows["block"].to_numpy()[s][i], "cell": cells[c],
+                    }
                 )
 
     reach = F.when(F.size("best") >= k, F.element_at("best", k)["squared"])
     visits = (
         own.select("key", "block", reach.alias("reach")).join(blocked, ["block", "key"])
         .select("key", "vector", "block", "reach")
-        .mapInPandas(route, f"key {key_type}, vector array<double>, block string")
+        .mapInPandas(route, f"key {key_type}, vector array<double>, home string, cell long")
+        .join(F.broadcast(shares), "cell")
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .select("key", "vector", "home", F.concat_ws("-", "cell", "part").alias("block"))
+        .where("block <> home")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     cached.append(visits)
     loads = visits.groupBy("block").agg((F.floor(F.count("*") / QUERY_ROWS) + 1).cast("long").alias("turns"))
     # Queries of a busy block are dealt over turns; its points are repeated once per turn.
-    queries = visits.join(F.broadcast(loads), "block").withColumn(
+    queries = visits.join(loads, "block").withColumn(
         "turn", F.pmod(F.xxhash64("key"), F.col("turns"))
     )
-    served = blocked.join(F.broadcast(loads), "block").withColumn(
+    served = blocked.join(loads, "block").withColumn(
         "turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))
     )
 
@@ -192,13 +196,13 @@ def _distances(best: Column) -> Column:
 
 
 def _boxes(blocked: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(block names, lower corners, upper corners), one line per block."""
+    """(cells, lower corners, upper corners), at most MAX_CELLS lines."""
     ends = (
-        blocked.select("block", F.posexplode("vector").alias("d", "x"))
-        .groupBy("block", "d").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-        .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("d", "lo", "hi"))).alias("e"))
-        .select("block", F.col("e.lo").alias("lo"), F.col("e.hi").alias("hi"))
+        blocked.select("cell", F.posexplode("vector").alias("d", "x"))
+        .groupBy("cell", "d").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("d", "lo", "hi"))).alias("e"))
+        .select("cell", F.col("e.lo").alias("lo"), F.col("e.hi").alias("hi"))
         .collect()
     )
-    names = np.array([r["block"] for r in ends], dtype=object)
-    return names, np.array([r["lo"] for r in ends]), np.array([r["hi"] for r in ends])
+    cells = np.array([r["cell"] for r in ends], dtype=np.int64)
+    return cells, np.array([r["lo"] for r in ends]), np.array([r["hi"] for r in ends])
