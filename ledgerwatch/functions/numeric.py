@@ -1,5 +1,7 @@
 """Rounding, exact sums and safe ratios."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,8 +17,15 @@ def half_up(col: Column, digits: int) -> Column:
 
 
 def dec_sum(col: Column) -> Column:
-    """Sum that does not depend on the order in which partitions are merged."""
-    return F.sum(col.cast("decimal(20,6)"))
+    """Decimal sum, to the millionth, that does not depend on the order of merging.
+
+    Whole units and millionths add up as two whole-number sums, which stay in generated code;
+    decimals appear once per group.
+    """
+    whole = F.floor(col)
+    millionths = F.rint((col - whole) * 1_000_000).cast("long")
+    part = F.sum(millionths).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    return F.sum(whole).cast("decimal(20,0)") + part
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

@@ -31,7 +31,8 @@ def with_model_probability(events: DataFrame) -> DataFrame:
 def audit_rows(events: DataFrame) -> DataFrame:
     """Events as rows of the scored audit table, event by event."""
     confirmed = ((F.col("u") > 0.95) & (F.col("event_id") % 5 != 0)) | (F.col("event_id") % 211 == 0)
-    return with_model_probability(events).select(
+    scored = with_model_probability(events).withColumn("risk_score", risk_score(F.col("p")))
+    return scored.select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("TX_"), F.col("event_id").cast("string")).alias("transaction_id"),
         F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)")
@@ -41,8 +42,8 @@ def audit_rows(events: DataFrame) -> DataFrame:
         .when(confirmed, 1).otherwise(0).cast("int").alias("actual_class"),
         predicted_label(F.col("p")).alias("predicted_class"),
         stored_probability(F.col("p")).alias("fraud_probability"),
-        risk_score(F.col("p")).alias("risk_score"),
-        risk_level(risk_score(F.col("p"))).alias("risk_level"),
+        "risk_score",
+        risk_level(F.col("risk_score")).alias("risk_level"),
         F.col("ts").alias("created_at"),
     )
 
