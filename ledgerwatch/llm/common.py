@@ -133,33 +133,26 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
 
     ``edges`` has two long columns. Each round links every node's neighbours to the smallest
     node near it (large star, then small star), so a component becomes a star in few rounds.
-    Every round is written to the shared folder. A hub's neighbours are reduced by a
-    map-side-combined minimum before they meet; no component is ever gathered.
+    Every round is written to the shared folder; both sides of its joins are plain tables, so
+    Spark may split a hub's rows. No component is ever gathered in one place.
     """
     a, b = edges.columns
-    pairs = staged(
-        edges.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .distinct(),
-        name,
-    )
+    ordered = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    pairs = staged(ordered.distinct(), name)
+    seen = None
     for _ in range(most_rounds):
+        mark = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
+        if mark == seen:
+            break
+        seen = mark
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low, "u")
-            .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-            .where("u != v")
-            .distinct()
-        )
-        new = staged(small, name)
-        same = new.count() == pairs.count() and not new.exceptAll(pairs).head(1)
-        pairs = new
-        if same:
-            break
+        large = staged(large.where("u != v").distinct(), name)
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), name)
+        follows = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+        small = large.join(low, "u").select(follows.alias("u"), F.col("m").alias("v"))
+        pairs = staged(small.where("u != v").distinct(), name)
     else:
         raise RuntimeError(f"components of {name} did not settle in {most_rounds} rounds")
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -8,7 +8,26 @@ def _words(text: str) -> str:
     return f"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{lower}'), '{_WORDS}')"
 
 
+_PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL: dict[str, str] = {
+    "op4_ngram_jaccard_join": f"""
+with recursive d as (select doc_id, regexp_extract_all({_PLAIN}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+sh as (
+  select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) as i from d where len(w) > 0)
+),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b using (s) where a.doc_id < b.doc_id group by all),
+link as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+both_ways as (select a, b from link union all select b, a from link),
+reach(doc_id, r) as (
+  select a, b from both_ways
+  union select reach.doc_id, both_ways.b from reach join both_ways on reach.r = both_ways.a
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(min(r), d.doc_id)) as component_id
+from d left join n using (doc_id) left join reach using (doc_id) group by d.doc_id, n
+""",
     "op6_benchmark_decontamination": f"""
 with d as (select doc_id, {_words("text")} as w from documents),
 b as (select item_id, {_words("text")} as w from benchmark),

@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerwatch.llm.common import scratch, table
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.jaccard import jaccard_classes
+
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.decontaminate import contaminated_words
 
@@ -24,5 +30,5 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_benchmark_decontamination, op9_warc_revisits)
+    f.__name__: f for f in (op4_ngram_jaccard_join, op6_benchmark_decontamination, op9_warc_revisits)
 }
