@@ -5,9 +5,10 @@ joined back to the headers, and each record is written once: the page with the s
 a payload as a response, others as revisits that name it and carry no payload. Payloads move
 once, by page id, never by digest, so a payload that a third of all pages share stays spread.
 
-Archives are plain WARC/1.1 text. Each record's first extension header holds a mark that is
-unique to the archive, which lets Spark split archives at record starts; sizes come from
-``Content-Length`` and digests are checked on the payloads as read.
+Archives are gzipped WARC/1.1. Each record's first extension header holds a mark that is unique
+to the archive, which lets Spark cut its text at record starts; sizes come from
+``Content-Length`` and digests are checked on the payloads as read. A gzipped file is read by one
+task, so ``records_per_file`` bounds its length.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def resolve(heads: DataFrame, least: int = 0) -> DataFrame:
     return revisits
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 0) -> str:
+def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file: int = 20_000) -> str:
     """Write one record per page below ``path``; returns the archives' mark.
 
     ``pages`` needs page_id, url and html. Extra columns are ignored. Null urls are written as an
@@ -97,7 +98,8 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> str:
         payload,
     )
     joined = pages.join(revisits, "page_id", "left")
-    joined.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).text(path)
+    writer = joined.select(record.alias("value")).write.option("lineSep", CRLF + CRLF)
+    writer.option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
     return mark
 
 
