@@ -9,12 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerwatch.llm.common import scratch, table
 
 
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.packing import pack
+    from ledgerwatch.llm.tokens import vocabulary_path
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.jaccard import jaccard_classes
 
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.token_files import read_tokens, write_tokens
+    from ledgerwatch.llm.tokens import vocabulary_path
+
+    path, size = scratch(spark, "token-files"), 49408
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path("word_bpe_49k.json"), size, end=1)
+    return read_tokens(spark, path, size)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.decontaminate import contaminated_words
 
@@ -30,5 +46,5 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_ngram_jaccard_join, op6_benchmark_decontamination, op9_warc_revisits)
+    f.__name__: f for f in (op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op9_warc_revisits)
 }
