@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerwatch.llm.common import scratch, table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.language import learn, predict, remainder
+
+    documents = table(spark, sf_dir, "documents")
+    model = learn(documents.where(remainder("doc_id", 4) != 2))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.packing import pack
     from ledgerwatch.llm.tokens import vocabulary_path
@@ -46,5 +56,5 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op9_warc_revisits)
+    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op9_warc_revisits)
 }
