@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.session import scratch_path, shared_folder
 
 #: Bytes hashed at once; longer texts are cut at word ends, so memory does not follow the text.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,7 +104,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> tup
     after[-1] = False
     after[:-1] = inside[1:] & before[1:]
     ends = np.flatnonzero(inside & ~after)
-    up, down = _powers(1 << max(SEGMENT.bit_length() + 1, n.bit_length()))
+    up, down = _powers(1 << max(SEGMENT.bit_length(), n.bit_length()))
     sums = np.cumsum(_letters()[data] * up[:n], dtype=np.uint64)
     low = np.where(starts > 0, sums[starts - 1], np.uint64(0))
     hashes = mix((sums[ends] - low) * down[starts] + (ends - starts + 1).astype(np.uint64))

@@ -10,8 +10,8 @@ one class first, so exact copies are never compared. Then:
 3. *Candidates.* Postings are sorted by shingle and streamed. A group of at most ``HEADS`` sets gives
    all its pairs that pass the length and positional filters. In a larger one the first ``PIVOTS``,
    which have the commonest shingles, are paired with all others: a row per member, not per pair.
-4. *Verification.* Each distinct pair once, by exact intersection; a suffix filter (sizes of fixed
-   hash ranges bound the overlap) spares hopeless pairs the merge.
+4. *Verification.* Each distinct pair once, by exact intersection; a suffix filter (counts per fixed
+   hash range bound the overlap) spares hopeless pairs that.
 5. *The rest of large groups.* Groups whose members are not all connected by then are joined with
    themselves for pairs across components that pass the filters, and those not seen yet are
    verified too. Pairs inside a component can no longer change the result; no other pair is left out.
@@ -35,7 +35,7 @@ BUCKETS = 1 << 18
 _CHUNK = 1 << 12
 _APART = separators((0x20, 0x20), (0x09, 0x0D))
 _PLACE = np.random.default_rng(5).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TALLY = "doc_id long, n int, cls long, part int, counts binary"
+_TALLY = "doc_id long, n int, cls long, copy long, part int, counts binary"
 _POST = "token long, cls long, span long, typ int"
 _FOUND = "token long, a long, b long, span long, typ int"
 _SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
@@ -81,14 +81,14 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
         n = len(sizes)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-            names=["doc_id", "n", "cls", "part", "counts"],
+            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), batch.column(2), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+            names=["doc_id", "n", "cls", "copy", "part", "counts"],
         )
     parts = [k for k in range(BUCKETS // _CHUNK) if counts[k * _CHUNK : (k + 1) * _CHUNK].any()]
     m = len(parts)
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.array(parts, pa.int32()), pa.array([counts[k * _CHUNK : (k + 1) * _CHUNK].tobytes() for k in parts], pa.binary())],
-        names=["doc_id", "n", "cls", "part", "counts"],
+        [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(parts, pa.int32()), pa.array([counts[k * _CHUNK : (k + 1) * _CHUNK].tobytes() for k in parts], pa.binary())],
+        names=["doc_id", "n", "cls", "copy", "part", "counts"],
     )
 
 
@@ -215,58 +215,56 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, out, held = batch.column(0).to_pylist(), [], 0
-        for k, shingles in enumerate(shingle_sets(batch.column(1))):
-            out.append((ids[k], shingles.tobytes()))
-            held += len(out[-1][1])
-            if held > 1 << 25:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["cls", "shingles"])
-                out, held = [], 0
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["cls", "shingles"])
-
-
-_RANGES = np.arange(1, 8, dtype=np.uint64) << np.uint64(61)
-
-
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
-    """Jaccard index of two sorted sets is 0.75 or more; the sizes of eight hash ranges bound it first."""
-    need = 3 * (len(x) + len(y))
-    at_x = np.diff(np.searchsorted(x, _RANGES), prepend=0, append=len(x))
-    at_y = np.diff(np.searchsorted(y, _RANGES), prepend=0, append=len(y))
-    if 7 * int(np.minimum(at_x, at_y).sum()) < need:
-        return False
-    both = np.concatenate([x, y])
-    both.sort()
-    return 7 * int((both[1:] == both[:-1]).sum()) >= need
+    """The shingles of each wanted class, and how many lie in each of eight hash ranges."""
 
+    def packed(rows) -> pa.RecordBatch:
+        offsets = np.concatenate([[0], np.cumsum([len(x) for _, x in rows])]).astype(np.int32)
+        flat = np.concatenate([x for _, x in rows]) if rows else np.zeros(0, np.uint64)
+        ranges = [np.bincount((x >> np.uint64(61)).astype(np.int64), minlength=8).tolist() for _, x in rows]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([c for c, _ in rows], pa.int64()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
+                pa.array(ranges, pa.list_(pa.int32())),
+            ],
+            names=["cls", "shingles", "ranges"],
+        )
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b, x, y = (batch.column(k) for k in range(4))
-        keep = [similar(np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64)) for k in range(len(a))]
-        yield pa.RecordBatch.from_arrays([a, b, pa.array(keep, pa.bool_())], names=["a", "b", "ok"])
+        wanted, out, held = batch.column(0).to_pylist(), [], 0
+        for cls, shingles in zip(wanted, shingle_sets(batch.column(1)), strict=True):
+            out.append((cls, shingles))
+            held += len(shingles)
+            if held > 1 << 20:
+                yield packed(out)
+                out, held = [], 0
+        yield packed(out)
 
 
 def _verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """a, b, ok for each pair; only texts of the pairs' classes are read into sets."""
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    chosen = staged(classes.join(named, "cls").select("cls", F.col("node").alias("doc_id")), name)
-    texts = documents.join(chosen, "doc_id").select("cls", "text", "doc_id")
-    sets = texts.select("cls", "text").mapInArrow(_sets, "cls long, shingles binary")
-    # A doc_id with several texts brings sets of other classes; those are told apart by content.
-    sets = staged(sets.where(_class_expr("shingles") == F.col("cls")).dropDuplicates(["cls"]), name)
-    with_b = pairs.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
-    both = with_b.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
-    return staged(both.select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long, ok boolean"), name)
+    """The pairs (a, b) whose sets are similar; only texts of the pairs' classes become sets.
 
+    The suffix filter comes first and needs sizes only: sets share at most the smaller count of
+    each hash range. The others' sets meet and are intersected whole.
+    """
+    named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    chosen = staged(classes.join(named, "cls").select("cls", F.col("node").alias("doc_id"), "copy"), name)
+    texts = documents.withColumn("copy", _copy()).join(chosen, ["doc_id", "copy"]).select("cls", "text")
+    texts = texts.dropDuplicates(["cls"])
+    sets = staged(texts.mapInArrow(_sets, "cls long, shingles array<long>, ranges array<int>"), name)
+    side = lambda c, column, to: sets.select(F.col("cls").alias(c), F.col(column).alias(to))
+    total = lambda counts: F.aggregate(counts, F.lit(0), lambda s, x: s + x)
+    shared = total(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)))
+    hopeful = pairs.join(side("a", "ranges", "ra"), "a").join(side("b", "ranges", "rb"), "b")
+    hopeful = staged(hopeful.where(7 * shared >= 3 * (total(F.col("ra")) + total(F.col("rb")))).select("a", "b"), name)
+    both = hopeful.join(side("b", "shingles", "y"), "b").join(side("a", "shingles", "x"), "a")
+    ok = 7 * F.size(F.array_intersect("x", "y")) >= 3 * (F.size("x") + F.size("y"))
+    return staged(both.where(ok).select("a", "b"), name)
 
-def _class_expr(column: str):
-    @F.pandas_udf("long")
-    def of(values):
-        return values.map(lambda v: _class_of(np.frombuffer(v, np.uint64)))
 
-    return of(F.col(column))
+def _copy():
+    """Tells texts under one doc_id apart."""
+    return F.xxhash64("text")
 
 
 def jaccard_classes(documents: DataFrame) -> DataFrame:
@@ -278,18 +276,17 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
     are ignored. Hashes have 64 bits.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tally = staged(documents.mapInArrow(_tally, _TALLY), "tally")
-    members = tally.where("part is null").select("doc_id", "n", "cls")
+    tally = staged(documents.withColumn("copy", _copy()).mapInArrow(_tally, _TALLY), "tally")
+    members = tally.where("part is null").select("doc_id", "n", "cls", "copy")
     known = members.where("cls is not null and doc_id is not null")
-    classes = staged(known.groupBy("cls").agg(F.min("doc_id").alias("node"), F.max("n").alias("n")), "classes")
+    classes = staged(known.groupBy("cls").agg(F.min(F.struct("doc_id", "copy")).alias("first")).select("cls", F.col("first.doc_id").alias("node"), "first.copy"), "classes")
     rarity = _rarity(tally)
     counts = documents.sparkSession.sparkContext.broadcast(rarity)
     posts = documents.where("doc_id is not null").select("text").mapInArrow(_postings(counts), _POST)
     ordered = posts.repartition("token").sortWithinPartitions("token", F.desc("typ"), "cls")
     found = staged(ordered.mapInArrow(_pairs, _FOUND), "found")
     pairs = staged(found.where("token is null").select("a", "b").distinct(), "pairs")
-    judged = _verify(documents, classes, pairs, "judged")
-    links = judged.where("ok").select("a", "b")
+    links = _verify(documents, classes, pairs, "judged")
 
     node = lambda c, n: classes.select(F.col("cls").alias(c), F.col("node").alias(n))
     as_nodes = lambda e: e.join(node("a", "u"), "a").join(node("b", "v"), "b").select("u", "v")
@@ -315,8 +312,7 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
         cross = cross.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
         cross = staged(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
         if cross.head(1):
-            more = _verify(documents, classes, cross, "judged-rest").where("ok").select("a", "b")
-            more = staged(as_nodes(more), "more")
+            more = staged(as_nodes(_verify(documents, classes, cross, "judged-rest")), "more")
             if more.head(1):
                 comp = staged(components(edges.union(more), "stars-rest"), "components-rest")
 
