@@ -47,6 +47,17 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.language import remainder
+    from ledgerwatch.llm.quality import fit, measure, score
+
+    measured = measure(table(spark, sf_dir, "documents"))
+    model = fit(measured, table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    predicted = (F.col("score") >= 0.3).cast("int")
+    return score(measured, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.warc import read_archives, write_archives
 
@@ -56,5 +67,5 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op9_warc_revisits)
+    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op9_warc_revisits)
 }
