@@ -66,6 +66,12 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, path, mark).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_information_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.privacy import find, summary
+
+    return summary(find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op9_warc_revisits)
+    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op9_warc_revisits, op10_information_privacy)
 }
