@@ -58,6 +58,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(measured, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.warc import read_archives, write_archives
 
@@ -73,5 +79,5 @@ def op10_information_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op9_warc_revisits, op10_information_privacy)
+    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op8_html_extraction, op9_warc_revisits, op10_information_privacy)
 }
