@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm.common import scratch, table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.language import learn, predict, remainder
 
@@ -79,5 +85,5 @@ def op10_information_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op8_html_extraction, op9_warc_revisits, op10_information_privacy)
+    f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op8_html_extraction, op9_warc_revisits, op10_information_privacy)
 }
