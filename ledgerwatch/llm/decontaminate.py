@@ -49,6 +49,11 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, size: int = W
     or have none, are judged each on its own text. Items without an id count no item but their
     windows hit. Empty tables give no rows, or rows without hits.
     """
+    return judge(documents, benchmark, size).drop("copy")
+
+
+def judge(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """As ``contaminated_words``, with ``copy``, a hash of the text."""
     documents = documents.select("doc_id", "text")
     named = staged(
         item_windows(benchmark, size).select("item_id", "window", F.xxhash64("window").alias("wid")), "windows"
@@ -81,15 +86,16 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, size: int = W
         .agg(F.collect_set(F.struct("start", "wid", "window")).alias("found")),
         "candidates",
     )
-    here = documents.alias("d").join(candidates.alias("c"), F.expr("d.doc_id <=> c.doc_id"), "left")
-    here = here.select("d.doc_id", words(F.col("text")).alias("w"), F.coalesce("found", F.expr("cast(array() as array<struct<start:int,wid:bigint,window:array<string>>>)")).alias("found"))
+    here = documents.withColumn("copy", F.xxhash64("text")).alias("d").join(candidates.alias("c"), F.expr("d.doc_id <=> c.doc_id"), "left")
+    here = here.select("d.doc_id", "copy", words(F.col("text")).alias("w"), F.coalesce("found", F.expr("cast(array() as array<struct<start:int,wid:bigint,window:array<string>>>)")).alias("found"))
     hits = F.filter("found", lambda c: F.slice("w", c["start"] + 1, F.size(c["window"])) == c["window"])
-    here = here.select("doc_id", F.size("w").cast("long").alias("n_words"), hits.alias("hits"))
+    here = here.select("doc_id", "copy", F.size("w").cast("long").alias("n_words"), hits.alias("hits"))
     covered = F.flatten(F.transform("hits", lambda c: F.sequence(c["start"], c["start"] + F.size(c["window"]) - 1)))
     judged = staged(
         here.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
+            "copy",
             "n_words",
             F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
             F.array_distinct(F.transform("hits", lambda c: c["wid"])).alias("wids"),
@@ -110,4 +116,5 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, size: int = W
         F.size(none).cast("long").alias("n_items"),
         F.sha2(F.array_join(none, ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "copy",
     )

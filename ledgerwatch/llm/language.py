@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerwatch.llm.common import mix
 
@@ -237,7 +238,7 @@ def _predicted(shared):
             score = np.where(known, scaled.max(1) / scaled.sum(1), 0.0)
             pred = [model.langs[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
             kept = [batch.column(k) for k in range(batch.num_columns - 1)]
-            names = batch.schema.names[:-1] + ["lang_pred", "score"]
+            names = [*batch.schema.names[:-1], "_pred", "_score"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score)], names=names)
 
     return run
@@ -250,9 +251,23 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     nothing was learned. Ties go to the language first in order. Other columns are ignored; repeated
     rows are judged alike; an empty table gives no rows.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    kind = dict(documents.dtypes)["doc_id"]
-    return documents.select("doc_id", "text").mapInArrow(_predicted(shared), f"doc_id {kind}, lang_pred string, score double")
+    return _judged(documents.select("doc_id", "text"), model, "lang_pred", "score")
+
+
+def written_in_known(documents: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``documents``, with all their columns, whose language is known with score ``least`` or more."""
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    pred, score = "_language_found", "_language_score"
+    rows = documents.select(*columns, F.col("text").alias("_text_judged"))
+    rows = _judged(rows, model, pred, score).where((F.col(pred) != UNKNOWN) & (F.col(score) >= least))
+    return rows.select(*columns)
+
+
+def _judged(rows: DataFrame, model: Model, pred: str, score: str) -> DataFrame:
+    """The last column, a text, gives way to its language and score."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    schema = StructType([*rows.schema.fields[:-1], StructField(pred, StringType()), StructField(score, DoubleType())])
+    return rows.mapInArrow(_predicted(shared), schema)
 
 
 def remainder(doc_id: str, of: int) -> Column:
