@@ -230,36 +230,41 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["cls", "shingles", "ranges"],
         )
 
+    last = None
     for batch in batches:
         wanted, out, held = batch.column(0).to_pylist(), [], 0
         for cls, shingles in zip(wanted, shingle_sets(batch.column(1)), strict=True):
-            out.append((cls, shingles))
-            held += len(shingles)
+            if cls != last:  # repeated rows come sorted from the join
+                out.append((cls, shingles))
+                held += len(shingles)
+            last = cls
             if held > 1 << 20:
                 yield packed(out)
                 out, held = [], 0
         yield packed(out)
 
 
-def _verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar; only texts of the pairs' classes become sets.
+def _wanted_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Sets of the wanted classes, from one text each. Texts are shuffled at every size alike."""
+    chosen = staged(classes.join(wanted, "cls").select("cls", F.col("node").alias("doc_id"), "copy"), "chosen")
+    texts = documents.withColumn("copy", _copy()).join(chosen.hint("merge"), ["doc_id", "copy"]).select("cls", "text")
+    return staged(texts.mapInArrow(_sets, "cls long, shingles array<long>, ranges array<int>"), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """The pairs (a, b) whose sets are similar.
 
     The suffix filter comes first and needs sizes only: sets share at most the smaller count of
     each hash range. The others' sets meet and are intersected whole.
     """
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    chosen = staged(classes.join(named, "cls").select("cls", F.col("node").alias("doc_id"), "copy"), name)
-    texts = documents.withColumn("copy", _copy()).join(chosen, ["doc_id", "copy"]).select("cls", "text")
-    texts = texts.dropDuplicates(["cls"])
-    sets = staged(texts.mapInArrow(_sets, "cls long, shingles array<long>, ranges array<int>"), name)
-    side = lambda c, column, to: sets.select(F.col("cls").alias(c), F.col(column).alias(to))
+    side = lambda c, column, to: sets.select(F.col("cls").alias(c), F.col(column).alias(to)).hint("merge")
     total = lambda counts: F.aggregate(counts, F.lit(0), lambda s, x: s + x)
     shared = total(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)))
     hopeful = pairs.join(side("a", "ranges", "ra"), "a").join(side("b", "ranges", "rb"), "b")
     hopeful = staged(hopeful.where(7 * shared >= 3 * (total(F.col("ra")) + total(F.col("rb")))).select("a", "b"), name)
     both = hopeful.join(side("b", "shingles", "y"), "b").join(side("a", "shingles", "x"), "a")
     ok = 7 * F.size(F.array_intersect("x", "y")) >= 3 * (F.size("x") + F.size("y"))
-    return staged(both.where(ok).select("a", "b"), name)
+    return staged(both.where(ok).select("a", "b").distinct(), name)
 
 
 def _copy():
@@ -286,7 +291,10 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
     ordered = posts.repartition("token").sortWithinPartitions("token", F.desc("typ"), "cls")
     found = staged(ordered.mapInArrow(_pairs, _FOUND), "found")
     pairs = staged(found.where("token is null").select("a", "b").distinct(), "pairs")
-    links = _verify(documents, classes, pairs, "judged")
+    members_of = found.where("token is not null").select("token", F.col("a").alias("cls"), "span")
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(members_of.select("cls")).distinct()
+    sets = _wanted_sets(documents, classes, wanted)
+    links = _verified(pairs, sets, "links")
 
     node = lambda c, n: classes.select(F.col("cls").alias(c), F.col("node").alias(n))
     as_nodes = lambda e: e.join(node("a", "u"), "a").join(node("b", "v"), "b").select("u", "v")
@@ -296,7 +304,6 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
     edges = staged(as_nodes(links).union(shared).distinct(), "edges")
     comp = staged(components(edges, "stars"), "components")
 
-    members_of = found.where("token is not null").select("token", F.col("a").alias("cls"), "span")
     label = classes.join(comp, classes["node"] == comp["node"], "left").select(
         "cls", F.coalesce("component", classes["node"]).alias("label")
     )
@@ -312,7 +319,7 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
         cross = cross.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
         cross = staged(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
         if cross.head(1):
-            more = staged(as_nodes(_verify(documents, classes, cross, "judged-rest")), "more")
+            more = staged(as_nodes(_verified(cross, sets, "links-rest")), "more")
             if more.head(1):
                 comp = staged(components(edges.union(more), "stars-rest"), "components-rest")
 
@@ -320,6 +327,7 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
         "cls", F.coalesce("component", classes["node"]).alias("component_id")
     )
     final = staged(final, "labels")
+    members = members.withColumn("cls", F.when(F.col("doc_id").isNotNull(), F.col("cls")))
     return members.join(final, "cls", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
