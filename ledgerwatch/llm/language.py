@@ -254,12 +254,12 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     return _judged(documents.select("doc_id", "text"), model, "lang_pred", "score")
 
 
-def written_in_known(documents: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of ``documents``, with all their columns, whose language is known with score ``least`` or more."""
+def written_in_known(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that are written in a learned language."""
     columns = [F.col(f"`{c}`") for c in documents.columns]
     pred, score = "_language_found", "_language_score"
     rows = documents.select(*columns, F.col("text").alias("_text_judged"))
-    rows = _judged(rows, model, pred, score).where((F.col(pred) != UNKNOWN) & (F.col(score) >= least))
+    rows = _judged(rows, model, pred, score).where(F.col(pred) != UNKNOWN)
     return rows.select(*columns)
 
 
