@@ -3,27 +3,28 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerwatch.functions.numeric import fixed
 from ledgerwatch.schemas import DECISION_THRESHOLD, LOW_MAX, MEDIUM_MAX
 
 
 def risk_score(p: Column) -> Column:
-    return F.round(p * 100, 2)
+    return fixed(p * 100, 2)
 
 
 def stored_probability(p: Column) -> Column:
-    return F.round(p, 4)
+    return fixed(p, 4)
 
 
 def risk_level(score: Column, low_max: float = LOW_MAX, medium_max: float = MEDIUM_MAX) -> Column:
-    """Band of the *rounded* score; both bounds belong to the lower band."""
+    """Band of the *rounded* score; both bounds belong to the lower band. NaN has none."""
     return (
-        F.when(score <= low_max, "LOW").when(score <= medium_max, "MEDIUM").otherwise("HIGH")
+        F.when(F.isnan(score), None).when(score <= low_max, "LOW").when(score <= medium_max, "MEDIUM").otherwise("HIGH")
     )
 
 
 def predicted_label(p: Column, threshold: float = DECISION_THRESHOLD) -> Column:
-    """Label of the *unrounded* probability."""
-    return F.when(p >= threshold, "FRAUD").otherwise("LEGITIMATE")
+    """Label of the *unrounded* probability; NaN has none."""
+    return F.when(F.isnan(p), None).when(p >= threshold, "FRAUD").otherwise("LEGITIMATE")
 
 
 def actual_label(actual_class: Column) -> Column:

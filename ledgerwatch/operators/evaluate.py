@@ -1,66 +1,39 @@
 """Classifier quality from a label column (0/1) and a score column, exact at any size.
 
 Every function takes ``by``: the columns (such as a model name) that separate independent
-evaluations. Rows without a label or a score are left out.
+evaluations. Rows without a label or a score, NaN included, are left out.
 """
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions import fixed, ratio_or_zero
 from ledgerwatch.schemas import TRADEOFF_THRESHOLDS
-
-ROWS_PER_RANGE = 100_000
+from ledgerwatch.session import scratch_path
 
 
 def _known(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-
+    return df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
 
-def score_ranges(df: DataFrame, score: str) -> list[float]:
-    """Cut points that spread the distinct scores over ranges of bounded size.
-
-    They only balance the work; results do not depend on them. A few distinct scores, such
-    as stored four-digit probabilities, need none.
-    """
-    distinct = df.agg(F.approx_count_distinct(score).alias("n")).first()["n"]
-    parts = distinct // ROWS_PER_RANGE + 1
-    if parts == 1:
-        return []
-    probs = [i / parts for i in range(1, parts)]
-    return sorted(set(df.select(score).distinct().approxQuantile(score, probs, 0.25 / parts)))
 
-
-def cumulative_counts(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), cuts: Sequence[float] | None = None
-) -> DataFrame:
+def cumulative_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: its positives and negatives, those at or above it, and the totals.
 
-    Rows are first collapsed to one per score. Running sums go two levels deep: totals per
-    score range, then rows inside a range, so no task holds the whole curve. Pass ``cuts=[]``
-    where the scores are known to have few distinct values.
+    Rows are first collapsed to one per score and dealt out by score range, a range per task, which
+    is written once. Running sums go two levels deep: totals per range (as many as tasks), then
+    rows inside a range, so no task holds the whole curve.
     """
-    known = _known(df, label, score)
-    if cuts is None:
-        cuts = score_ranges(known, score)
-    scores = known.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
+    spark = df.sparkSession
+    scores = _known(df, label, score).groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    if not cuts:
-        run = Window.partitionBy(*by).orderBy(F.desc("threshold"))
-        run = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = Window.partitionBy(*by)
-        return scores.select(
-            *by, "threshold", "pos", "neg",
-            F.sum("pos").over(run).alias("tp"), F.sum("neg").over(run).alias("fp"),
-            F.sum("pos").over(whole).alias("all_pos"), F.sum("neg").over(whole).alias("all_neg"),
-        )
-    splits = [float("-inf"), *cuts, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="threshold", outputCol="range").transform(scores)
-    above = Window.partitionBy(*by).orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    dealt = scores.repartitionByRange(F.desc("threshold")).withColumn("range", F.spark_partition_id())
+    folder = scratch_path(spark, "score-ranges")
+    dealt.write.parquet(folder)
+    ranged = spark.read.schema(dealt.schema).parquet(folder)
+    above = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     offsets = (
         ranged.groupBy(*by, "range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
@@ -81,27 +54,27 @@ def cumulative_counts(
     )
 
 
-def roc_auc(df, label, score, by=(), cuts=None) -> DataFrame:
+def roc_auc(df, label, score, by=()) -> DataFrame:
     """Area under the ROC curve; a tie counts half."""
-    curve = cumulative_counts(df, label, score, by, cuts)
+    curve = cumulative_counts(df, label, score, by)
     area = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
     return curve.groupBy(*by).agg(
         F.try_divide(F.sum(area), F.max(F.col("all_pos").cast("double") * F.col("all_neg"))).alias("roc_auc")
     )
 
 
-def average_precision(df, label, score, by=(), cuts=None) -> DataFrame:
+def average_precision(df, label, score, by=()) -> DataFrame:
     """Step-wise sum of precision over recall gains."""
-    curve = cumulative_counts(df, label, score, by, cuts)
+    curve = cumulative_counts(df, label, score, by)
     step = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
     return curve.groupBy(*by).agg(
         F.try_divide(F.sum(step), F.max("all_pos").cast("double")).alias("pr_auc")
     )
 
 
-def roc_points(df, label, score, by=(), cuts=None) -> DataFrame:
+def roc_points(df, label, score, by=()) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, and the origin at an infinite threshold."""
-    curve = cumulative_counts(df, label, score, by, cuts)
+    curve = cumulative_counts(df, label, score, by)
     points = curve.select(
         *by, "threshold",
         F.try_divide(F.col("fp").cast("double"), F.col("all_neg")).alias("fpr"),
@@ -111,9 +84,9 @@ def roc_points(df, label, score, by=(), cuts=None) -> DataFrame:
     return points.unionByName(origin.select(*by, "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")))
 
 
-def pr_points(df, label, score, by=(), cuts=None) -> DataFrame:
+def pr_points(df, label, score, by=()) -> DataFrame:
     """(threshold, precision, recall, baseline) per distinct score, and the end at recall 0."""
-    curve = cumulative_counts(df, label, score, by, cuts)
+    curve = cumulative_counts(df, label, score, by)
     baseline = F.col("all_pos") / (F.col("all_pos") + F.col("all_neg"))
     points = curve.select(
         *by, "threshold",
@@ -158,9 +131,9 @@ def classification_metrics(df, label, score, threshold=0.5, by=()) -> DataFrame:
     )
 
 
-def full_metrics(df, label, score, threshold=0.5, by=(), cuts=None) -> DataFrame:
+def full_metrics(df, label, score, threshold=0.5, by=()) -> DataFrame:
     """The comparison line: classification metrics with both areas, four digits."""
-    curve = cumulative_counts(df, label, score, by, cuts)
+    curve = cumulative_counts(df, label, score, by)
     flagged = F.col("threshold") >= threshold
     pos, neg = F.col("pos"), F.col("neg")
     none = F.lit(0)

@@ -43,35 +43,40 @@ def list_transactions(
 ) -> DataFrame:
     """A page of the newest rows, optionally of one band; the id breaks ties.
 
+    Rows without an insert time or an id have no place in the order and are on no page.
     Shallow pages are a top-k. A deep page is first located by exact selection on time, then
     on id among equal times, so it sorts the rows of the page and not those before it.
     """
     _in_range("skip", skip, 0, None)
     _in_range("limit", limit, 1, 500)
-    rows = tx.where(F.col("risk_level") == risk_level.upper()) if risk_level else tx
+    rows = tx.where("created_at is not null and id is not null")
+    rows = rows.where(F.col("risk_level") == risk_level.upper()) if risk_level else rows
     if skip + limit > SORTED_PAGE_ROWS:
         rows, skip = _seek(rows, skip, limit)
     return rows.orderBy(F.desc("created_at"), "id").offset(skip).limit(limit)
 
 
-def _micros() -> Column:
-    return F.unix_micros(F.col("created_at").cast("timestamp"))
+def _micros(rows: DataFrame) -> Column:
+    if dict(rows.dtypes)["created_at"] == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("created_at"))
+    return F.unix_micros("created_at")
 
 
 def _seek(rows: DataFrame, skip: int, limit: int) -> tuple[DataFrame, int]:
     """(rows that include the page, how many of them come before it)."""
-    newest_first = OrderStatistics(rows, {"t": -_micros()})
+    micros = _micros(rows)
+    newest_first = OrderStatistics(rows, {"t": -micros})
     total = newest_first.count("t")
     if skip >= total:
         return rows.limit(0), 0
     last = min(skip + limit, total) - 1
     found = newest_first.locate({"t": [skip, last]})
     first_t, last_t = found["t", skip], found["t", last]
-    kept, before = (-_micros()).between(first_t.value, last_t.value), skip - first_t.below
+    kept, before = (-micros).between(first_t.value, last_t.value), skip - first_t.below
     if before:
-        tied = rows.where(-_micros() == first_t.value)
+        tied = rows.where(-micros == first_t.value)
         cut = OrderStatistics(tied, {"id": F.col("id")}).locate({"id": [before]})["id", before]
-        kept = kept & ~((-_micros() == first_t.value) & (F.col("id") < cut.value))
+        kept = kept & ~((-micros == first_t.value) & (F.col("id") < cut.value))
     return rows.where(kept), 0
 
 

@@ -1,23 +1,47 @@
-"""The audit table of scored transactions: layout, upsert and late labels."""
+"""The audit table of scored transactions: layout, upsert and late labels.
+
+Files lie by insert day, in UTC whatever the session's zone, and by a fixed number of id buckets. An
+upsert reads and rewrites only the buckets and days it touches. The new state of those is written
+whole beside the table before it replaces the old; if a run dies in between, the next upsert (or
+``finish_pending``) completes it from that copy.
+"""
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.validate import require_audit_rows
 from ledgerwatch.schemas import TRANSACTIONS_SCHEMA
-from ledgerwatch.sources.raw import path_exists
+from ledgerwatch.session import scratch_path
+from ledgerwatch.sources.raw import path_exists, remove_path
 
 COLUMNS = TRANSACTIONS_SCHEMA.fieldNames()
-DAY = "created_date"
+DAY, BUCKET = "created_date", "id_bucket"
+BUCKETS = 16
+PENDING = "_pending"
+
+
+def utc_day(df: DataFrame, time: str = "created_at") -> Column:
+    """The UTC day of an instant, or the day of a zone-less time."""
+    if dict(df.dtypes)[time] == "timestamp_ntz":
+        return F.to_date(time)
+    return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86400).cast("int"))
+
+
+def id_bucket() -> Column:
+    return F.pmod(F.xxhash64("transaction_id"), F.lit(BUCKETS)).cast("int")
 
 
 def write_transactions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Parquet by insert day. Days of any size are split over tasks of even size."""
-    rows = require_audit_rows(df.select(*COLUMNS)).withColumn(DAY, F.to_date("created_at"))
+    """Parquet by insert day and id bucket. A day of any size is split over tasks of even size."""
+    _write(df.select(*COLUMNS).withColumn(DAY, utc_day(df)), path, mode)
+
+
+def _write(df: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
+    rows = require_audit_rows(df.select(*COLUMNS, DAY)).withColumn(BUCKET, id_bucket())
     (
-        rows.hint("rebalance", DAY).write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+        rows.hint("rebalance", DAY, BUCKET).write.mode(mode)
+        .option("partitionOverwriteMode", overwrite).partitionBy(DAY, BUCKET).parquet(path)
     )
 
 
@@ -27,7 +51,7 @@ def write_transactions_jdbc(df: DataFrame, url: str, table: str, mode: str = "ap
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     """The audit columns and the day they are stored under, which prunes files."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop(BUCKET)
 
 
 def latest_per_id(batch: DataFrame, order: str) -> DataFrame:
@@ -48,11 +72,12 @@ def merge_records(existing: DataFrame, latest: DataFrame, keep_label: bool = Fal
     """``existing`` with one record per id of ``latest`` written over it or added.
 
     A known row keeps its id and insert time and takes every other field, an absent label
-    included; ``keep_label`` keeps a known label instead.
+    included; ``keep_label`` keeps a known label instead. A stored day stays as it is.
     """
+    held = [c for c in existing.columns if c == DAY]
     supplied = [c for c in COLUMNS if c in latest.columns and c not in {"id", "transaction_id", "created_at"}]
     new = latest.select("transaction_id", *[F.col(c).alias(f"new_{c}") for c in latest.columns if c != "transaction_id"])
-    both = existing.select(*COLUMNS, F.lit(True).alias("known")).join(
+    both = existing.select(*COLUMNS, *held, F.lit(True).alias("known")).join(
         new.withColumn("touched", F.lit(True)), "transaction_id", "full"
     )
     values = {c: F.col(c) for c in COLUMNS}
@@ -63,13 +88,44 @@ def merge_records(existing: DataFrame, latest: DataFrame, keep_label: bool = Fal
     for c in ("id", "created_at"):
         if f"new_{c}" in both.columns:
             values[c] = F.when(F.col("known"), F.col(c)).otherwise(F.col(f"new_{c}"))
-    return both.select(*[v.alias(c) for c, v in values.items()])
+    return both.select(*[v.alias(c) for c, v in values.items()], *held)
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Put a completely written new state in place; an incomplete one goes."""
+    pending = f"{path}/{PENDING}"
+    if not path_exists(spark, pending):
+        return
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        rows = spark.read.option("basePath", pending).parquet(pending)
+        (
+            rows.hint("rebalance", DAY, BUCKET).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BUCKET).parquet(path)
+        )
+    remove_path(spark, pending)
+
+
+def _numbered(rows: DataFrame, highest: int) -> DataFrame:
+    """``rows`` with gapless ids above ``highest``.
+
+    The rows and their places are written once; a part's numbers follow those of the parts before.
+    """
+    spark = rows.sparkSession
+    folder = scratch_path(spark, "numbered")
+    placed = rows.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+    placed.write.parquet(folder)
+    placed = spark.read.schema(placed.schema).parquet(folder)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    sizes = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    number = F.col("_place") - F.col("_first") + F.col("_before") + highest + 1
+    return placed.join(sizes, "_part").withColumn("id", number).drop("_part", "_place", "_first", "_before")
 
 
 def upsert(
     spark: SparkSession, path: str, batch: DataFrame, order: str, keep_label: bool = False
 ) -> None:
-    """Merge a batch into the table at ``path``, rewriting only the days it touches.
+    """Merge a batch into the table at ``path``, rewriting only the buckets and days it touches.
 
     One writer at a time. Running the same batch again changes nothing. Rows new to the table
     get the batch's ``id`` or, where it has none, a number above all present ones.
@@ -79,26 +135,41 @@ def upsert(
         existing = spark.createDataFrame([], TRANSACTIONS_SCHEMA)
         if dict(batch.dtypes)["created_at"] == "timestamp_ntz":
             existing = existing.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+        existing = existing.withColumn(DAY, F.lit(None).cast("date"))
         highest = 0
     else:
-        table = read_transactions(spark, path)
-        # Days are partitions, so their number is small enough to list.
-        stored = table.join(latest.select("transaction_id"), "transaction_id", "semi").select(DAY)
-        days = [r[0] for r in stored.unionByName(latest.select(F.to_date("created_at").alias(DAY))).distinct().collect()]
-        existing = table.where(F.col(DAY).isin(days))
+        finish_pending(spark, path)
+        table = spark.read.parquet(path)
+        # Buckets are fixed in number, and days are partitions: few enough to list.
+        touched = [r[0] for r in latest.select(id_bucket()).distinct().collect()]
+        table = table.where(F.col(BUCKET).isin(touched))
+        stored = table.join(latest.select("transaction_id"), "transaction_id", "semi").select(DAY, BUCKET)
+        new = latest.select(utc_day(latest).alias(DAY), id_bucket().alias(BUCKET))
+        parts = stored.unionByName(new).distinct().collect()
+        existing = table.where(F.col(DAY).isin([r[0] for r in parts]))
         highest = 0
         if "id" not in batch.columns:
-            highest = table.agg(F.max("id")).first()[0] or 0
-    merged = merge_records(existing, latest, keep_label)
+            highest = spark.read.parquet(path).agg(F.max("id")).first()[0] or 0
     if "id" not in batch.columns:
-        merged = merged.withColumn("id", F.coalesce("id", F.monotonically_increasing_id() + (highest + 1)))
-    write_transactions(merged, path)
+        known = latest.join(existing.select("transaction_id"), "transaction_id", "semi")
+        fresh = _numbered(latest.join(existing.select("transaction_id"), "transaction_id", "anti"), highest)
+        latest_rows = known.withColumn("id", F.lit(None).cast("long")).unionByName(fresh)
+    else:
+        latest_rows = latest
+    merged = merge_records(existing, latest_rows, keep_label)
+    merged = merged.withColumn(DAY, F.coalesce(DAY, utc_day(merged)))
+    _write(merged, f"{path}/{PENDING}", "overwrite", "static")  # leaves a mark when it is complete
+    finish_pending(spark, path)
     latest.unpersist()
 
 
-def attach_labels(tx: DataFrame, labels: DataFrame) -> DataFrame:
-    """Late ground truth: (transaction_id, actual_class) written over the stored label."""
-    known = labels.groupBy("transaction_id").agg(F.max("actual_class").alias("late_class"))
+def attach_labels(tx: DataFrame, labels: DataFrame, order: str | None = None) -> DataFrame:
+    """Late ground truth: (transaction_id, actual_class) written over the stored label.
+
+    Of several labels for an id the last by ``order`` counts, the larger among equals.
+    """
+    last = F.max(F.struct(*([order] if order else []), "actual_class"))["actual_class"]
+    known = labels.where("actual_class is not null").groupBy("transaction_id").agg(last.alias("late_class"))
     return (
         tx.join(known, "transaction_id", "left")
         .withColumn("actual_class", F.coalesce("late_class", "actual_class"))

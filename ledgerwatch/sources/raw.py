@@ -26,7 +26,7 @@ def load_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
             if not schema.fields:
                 raise ValueError(f"raw data set is empty: {path}")
             df = spark.read.csv(
-                path, schema=schema, header=True, mode="FAILFAST",
+                path, schema=schema, header=True, mode="FAILFAST", enforceSchema=False,
                 nanValue="nan", positiveInf="inf", negativeInf="-inf",
             )
         else:
@@ -50,6 +50,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath).isDirectory()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package has written."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def write_cleaned(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

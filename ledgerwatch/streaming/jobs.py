@@ -13,6 +13,7 @@ from ledgerwatch.operators.validate import with_reasons
 from ledgerwatch.plans.kpi import audit_record, summary_aggregates, summary_from
 from ledgerwatch.plans.scoring import Scorer, score
 from ledgerwatch.sources.audit import upsert
+from ledgerwatch.sources.raw import is_folder
 
 
 def file_stream(
@@ -20,11 +21,12 @@ def file_stream(
 ) -> DataFrame:
     """Parquet files at ``path`` as a stream with an explicit schema.
 
-    The path is given as a pattern that matches only itself: a plain path must be a folder,
-    while a pattern may also name one file.
+    A plain path must be a folder; a single file is given as a pattern that matches only itself.
     """
-    pattern = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
+    path = path.rstrip("/")
+    if path.endswith(".parquet") and not is_folder(spark, path):
+        path = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def utc_instant(ts: Column) -> Column:
@@ -38,17 +40,21 @@ def utc_date(instant: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
 
 
-def _start(writer, checkpoint: str) -> StreamingQuery:
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+#: By default a job takes what is there and ends; {"processingTime": "1 minute"} runs on.
+ONCE = {"availableNow": True}
 
 
-def upsert_stream(stream: DataFrame, table: str, order: str, checkpoint: str) -> StreamingQuery:
+def _start(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def upsert_stream(stream: DataFrame, table: str, order: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
     """Audit rows into the table; the last record of an id wins, across batches too."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert(batch.sparkSession, table, batch, order)
 
-    return _start(stream.writeStream.foreachBatch(write), checkpoint)
+    return _start(stream.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 def first_wins(stream: DataFrame, time: str = "created_at", delay: str = "1 hour") -> DataFrame:
@@ -58,7 +64,7 @@ def first_wins(stream: DataFrame, time: str = "created_at", delay: str = "1 hour
 
 def score_stream(
     payloads: DataFrame, scorer: Scorer, table: str, quarantine: str, checkpoint: str,
-    received: str = "received_at",
+    received: str = "received_at", trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Validate, score and store payloads; rejected ones go to ``quarantine`` with reasons."""
 
@@ -77,7 +83,7 @@ def score_stream(
         upsert(spark, table, rows, "received")
         marked.unpersist()
 
-    return _start(payloads.writeStream.foreachBatch(write), checkpoint)
+    return _start(payloads.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 def windowed_summary(
@@ -87,7 +93,7 @@ def windowed_summary(
     return tx.withWatermark(time, delay).groupBy(F.window(time, length)).agg(*summary_aggregates())
 
 
-def summary_stream(tx: DataFrame, sink: str, checkpoint: str, **window: str) -> StreamingQuery:
+def summary_stream(tx: DataFrame, sink: str, checkpoint: str, trigger: dict = ONCE, **window: str) -> StreamingQuery:
     """Keep the changed windows of every batch below ``sink``; read with ``latest_summary``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -98,7 +104,7 @@ def summary_stream(tx: DataFrame, sink: str, checkpoint: str, **window: str) ->
         )
 
     writer = windowed_summary(tx, **window).writeStream.outputMode("update").foreachBatch(write)
-    return _start(writer, checkpoint)
+    return _start(writer, checkpoint, trigger)
 
 
 def latest_summary(spark: SparkSession, sink: str) -> DataFrame:
@@ -111,7 +117,7 @@ def latest_summary(spark: SparkSession, sink: str) -> DataFrame:
     return summary_from(newest, "window_start")
 
 
-def alert_stream(tx: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+def alert_stream(tx: DataFrame, sink: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
     """High-risk rows, appended as they come; the file sink writes each batch once."""
     alerts = tx.where("risk_level = 'HIGH'")
-    return _start(alerts.writeStream.format("parquet").option("path", sink), checkpoint)
+    return _start(alerts.writeStream.format("parquet").option("path", sink), checkpoint, trigger)

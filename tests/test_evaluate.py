@@ -63,35 +63,34 @@ def brute_ap(y, p):
     return total
 
 
-CUTS = [0.05, 0.21, 0.3, 0.3001, 0.55, 0.9]
+@pytest.fixture(params=[1, 7])
+def ranges(spark, request):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-@pytest.mark.parametrize("cuts", [None, [], CUTS])
-def test_areas_equal_brute_force_under_any_ranges(scored, cuts):
+def test_areas_equal_brute_force_under_any_ranges(scored, ranges):
     y, p, df = scored
-    assert ev.roc_auc(df, "y", "p", cuts=cuts).first()[0] == pytest.approx(brute_auc(y, p), abs=1e-12)
-    assert ev.average_precision(df, "y", "p", cuts=cuts).first()[0] == pytest.approx(brute_ap(y, p), abs=1e-12)
+    assert ev.roc_auc(df, "y", "p").first()[0] == pytest.approx(brute_auc(y, p), abs=1e-12)
+    assert ev.average_precision(df, "y", "p").first()[0] == pytest.approx(brute_ap(y, p), abs=1e-12)
+    assert ev.cumulative_counts(df, "y", "p").count() == len(set(p))
 
 
-def test_ranges_do_not_change_the_curves(scored):
-    _, _, df = scored
-    for curve in (ev.roc_points, ev.pr_points):
-        one = sorted(map(tuple, curve(df, "y", "p", cuts=[]).na.fill(-1.0).collect()))
-        many = sorted(map(tuple, curve(df, "y", "p", cuts=CUTS).na.fill(-1.0).collect()))
-        assert one == many
-
-
-def test_ranges_are_cut_where_scores_are_many(spark, monkeypatch):
-    monkeypatch.setattr(ev, "ROWS_PER_RANGE", 100)
-    df = spark.range(1000).select((F.col("id") / 1000).alias("p"), (F.col("id") % 2).alias("y"))
-    assert len(ev.score_ranges(df, "p")) > 5
-    assert ev.roc_auc(df, "y", "p").first()[0] == pytest.approx(0.5005, abs=1e-3)
+def test_rows_without_a_score_change_nothing(spark, scored, ranges):
+    y, p, df = scored
+    odd = spark.createDataFrame([(1, float("nan")), (0, None), (None, 0.5)], "y long, p double")
+    more = df.unionByName(odd)
+    assert ev.roc_auc(more, "y", "p").first()[0] == pytest.approx(brute_auc(y, p), abs=1e-12)
+    assert ev.classification_metrics(more, "y", "p", 0.9).collect() == ev.classification_metrics(df, "y", "p", 0.9).collect()
 
 
 def test_by_separates_evaluations(spark, scored):
     y, p, df = scored
     both = df.withColumn("m", F.lit("a")).unionByName(df.select("y", (1 - F.col("p")).alias("p"), F.lit("b").alias("m")))
-    rows = {r["m"]: r for r in ev.full_metrics(both, "y", "p", by=["m"], cuts=CUTS).collect()}
+    rows = {r["m"]: r for r in ev.full_metrics(both, "y", "p", by=["m"]).collect()}
     assert rows["a"]["roc_auc"] == pytest.approx(brute_auc(y, p), abs=1e-4)
     assert rows["b"]["roc_auc"] == pytest.approx(brute_auc(y, 1 - p), abs=1e-4)
     hit = p >= 0.5

@@ -79,6 +79,65 @@ def test_first_upsert_creates_the_table(spark, tx, tmp_path):
     assert audit.read_transactions(spark, path).count() == tx.count()
 
 
+def test_upsert_under_other_zones_keeps_all_rows(spark, tx, tmp_path):
+    path = str(tmp_path / "t")
+    stamped = tx.withColumn("created_at", jobs.utc_instant(F.col("created_at")))
+    audit.write_transactions(stamped, path)
+    before = rows(audit.read_transactions(spark, path).withColumn("created_at", F.unix_micros("created_at")))
+    one = stamped.where("id = 7").withColumn("seq", F.lit(1))
+    for zone in ("Asia/Tokyo", "America/Los_Angeles", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            audit.upsert(spark, path, one, "seq")
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        after = rows(audit.read_transactions(spark, path).withColumn("created_at", F.unix_micros("created_at")))
+        assert after == before
+
+
+def test_a_broken_off_upsert_is_finished_by_the_next(spark, tx, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    audit.write_transactions(tx, path)
+    batch = tx.where("id < 5").withColumns({"seq": F.lit(1), "amount": F.lit(1.0)})
+    finish = audit.finish_pending
+    calls = []
+    monkeypatch.setattr(audit, "finish_pending", lambda *a: calls.append(a) if calls else (calls.append(a), finish(*a)))
+    audit.upsert(spark, path, batch, "seq")
+    assert audit.read_transactions(spark, path).where("id < 5 and amount = 1.0").count() < 5
+    finish(spark, path)
+    table = audit.read_transactions(spark, path)
+    assert table.count() == tx.count() and table.where("id < 5 and amount = 1.0").count() == tx.where("id < 5").count()
+
+
+def test_new_ids_are_gapless(spark, tx, tmp_path):
+    path = str(tmp_path / "t")
+    audit.write_transactions(tx, path)
+    top = tx.agg(F.max("id")).first()[0]
+    batch = tx.repartition(3).withColumns({"transaction_id": F.concat(F.lit("N"), "transaction_id"), "seq": F.lit(0)}).drop("id")
+    audit.upsert(spark, path, batch, "seq")
+    ids = sorted(r[0] for r in audit.read_transactions(spark, path).where("transaction_id like 'N%'").select("id").collect())
+    assert ids == list(range(top + 1, top + 1 + tx.count()))
+
+
+def test_late_labels_follow_their_order(tx):
+    some = tx.limit(3).select("transaction_id")
+    late = some.withColumns({"actual_class": F.lit(1), "at": F.lit(1)}).unionByName(some.withColumns({"actual_class": F.lit(0), "at": F.lit(2)}))
+    got = audit.attach_labels(tx, late, "at").join(some, "transaction_id").collect()
+    assert {r["actual_class"] for r in got} == {0}
+
+
+def test_pages_do_not_depend_on_their_path_with_nulls(tx, monkeypatch):
+    odd = tx.withColumns({
+        "created_at": F.when(F.col("id") % 10 != 0, F.date_trunc("day", "created_at")),
+        "id": F.when(F.col("id") % 7 != 0, F.col("id")),
+    })
+    for skip in (0, 300, 700, 760, 2000):
+        monkeypatch.setattr(kpi, "SORTED_PAGE_ROWS", 10**9)
+        shallow = rows(kpi.list_transactions(odd, skip, 50))
+        monkeypatch.setattr(kpi, "SORTED_PAGE_ROWS", 10)
+        assert rows(kpi.list_transactions(odd, skip, 50)) == shallow
+
+
 def test_deep_pages_equal_the_sorted_table(tx, monkeypatch):
     base = tx.withColumn("created_at", F.date_trunc("day", "created_at"))  # many equal times
     whole = [r["id"] for r in base.orderBy(F.desc("created_at"), "id").collect()]
