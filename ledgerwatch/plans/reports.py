@@ -174,7 +174,7 @@ def top_suspicious(tx: DataFrame, ranks: int = 10) -> DataFrame:
             "risk_level", "tier_rank", "transaction_id", "amount", "fraud_probability",
             "risk_score", "created_at",
         )
-        .orderBy(tier_order(F.col("risk_level")), "tier_rank")
+        .orderBy(tier_order(F.col("risk_level")), "tier_rank", "transaction_id")
     )
 
 

@@ -62,6 +62,7 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer:
     return Scorer(
         pipeline, inputs, config["optimal_threshold"],
         config["risk_levels"]["low_max"], config["risk_levels"]["medium_max"], config["model_name"],
+        config.get("feature_means"),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +23,12 @@ from ledgerwatch.operators.features import (
 )
 from ledgerwatch.operators.smote import smote
 from ledgerwatch.schemas import DECISION_THRESHOLD, ENGINEERED, LABEL, LOW_MAX, MEDIUM_MAX, SEED, TEST_SHARE
-from ledgerwatch.session import shared_folder
+from ledgerwatch.session import scratch_path, shared_folder
 from ledgerwatch.sources.raw import path_exists, read_cleaned, write_report
 
 KEY = "row_key"
-ROWS_PER_PART = 50_000
+#: Partitions of the training rows, which the seeded samples of the tree learners depend on.
+PARTS = 8
 LOGISTIC, TREE, FOREST, BOOSTED = (
     "Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosted Trees",
 )
@@ -114,12 +116,10 @@ def class_probability(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("p", vector_to_array("probability")[1])
 
 
-def _even_parts(df: DataFrame, rows: int) -> DataFrame:
-    """Fewer, fuller partitions for a small training set: fits run many short jobs over it."""
-    parts = -(-rows // ROWS_PER_PART)
-    if parts >= df.rdd.getNumPartitions():
-        return df
-    return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+def _laid_out(df: DataFrame, parts: int) -> DataFrame:
+    """Rows dealt by a hash of their content and sorted by it: fits do not depend on the input's layout."""
+    key = F.xxhash64(vector_to_array("features"), F.col(LABEL))
+    return df.withColumn("_key", key).repartition(parts, "_key").sortWithinPartitions("_key").drop("_key")
 
 
 @dataclass
@@ -130,22 +130,19 @@ class Comparison:
 
 
 def train_and_compare(
-    train: DataFrame, test: DataFrame, seed: int = SEED, names: Sequence[str] | None = None
+    train: DataFrame, test: DataFrame, seed: int = SEED, names: Sequence[str] | None = None, parts: int = PARTS
 ) -> Comparison:
     """Fit each learner on ``train`` and compare them on ``test`` at 0.50.
 
-    One job scores the test rows with all models; the best has the largest PR-AUC, the name
-    deciding between equals.
+    The test rows are scored once with each model and written before they are evaluated. The best has
+    the largest PR-AUC, the name deciding between equals. ``parts`` is the number of partitions of the
+    training rows, for the caller to raise with their number; fits depend on it and the seed only.
     """
     spark = train.sparkSession
     shared_folder(spark)  # boosting checkpoints its running predictions there
     weights = balanced_weights(train)
-    weighted = train.withColumn("weight", weight_column(weights)).persist(StorageLevel.MEMORY_AND_DISK)
+    weighted = _laid_out(train.withColumn("weight", weight_column(weights)), parts).persist(StorageLevel.MEMORY_AND_DISK)
     rows = weighted.count()
-    weighted, wide = _even_parts(weighted, rows), weighted
-    weighted.count()
-    if weighted is not wide:
-        wide.unpersist()
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     models, seconds, scored = {}, {}, None
     for name, estimator in estimators(rows, seed).items():
@@ -156,6 +153,9 @@ def train_and_compare(
         seconds[name] = round(time.perf_counter() - start, 2)
         part = class_probability(models[name], test).select(F.lit(name).alias("model"), LABEL, "p")
         scored = part if scored is None else scored.unionByName(part)
+    folder = scratch_path(spark, "test-scores")
+    scored.write.parquet(folder)
+    scored = spark.read.schema(scored.schema).parquet(folder)
     lines = full_metrics(scored, LABEL, "p", 0.50, by=["model"]).collect()
     rows = sorted(
         ((*line, seconds[line["model"]]) for line in lines), key=lambda r: (-(r[6] or 0.0), r[0])
@@ -170,8 +170,16 @@ def train_and_compare(
     return Comparison(table, models, rows[0][0])
 
 
-def threshold_config(name: str, features: Sequence[str], threshold: float = DECISION_THRESHOLD) -> dict:
+def feature_means(train: DataFrame) -> list[float]:
+    """Means of the assembled training features, which a linear model's contributions refer to."""
+    return [float(x) for x in train.select(Summarizer.mean(F.col("features"))).first()[0]]
+
+
+def threshold_config(
+    name: str, features: Sequence[str], threshold: float = DECISION_THRESHOLD, means: Sequence[float] | None = None
+) -> dict:
     return {
+        "feature_means": None if means is None else list(means),
         "model_name": name,
         "optimal_threshold": threshold,
         "feature_names": list(features),
@@ -181,7 +189,7 @@ def threshold_config(name: str, features: Sequence[str], threshold: float = DECI
 
 CONFIG_SCHEMA = (
     "model_name string, optimal_threshold double, feature_names array<string>,"
-    " risk_levels struct<low_max: double, medium_max: double>"
+    " risk_levels struct<low_max: double, medium_max: double>, feature_means array<double>"
 )
 
 
@@ -193,7 +201,7 @@ def save_model(
     row = [
         (
             config["model_name"], config["optimal_threshold"], config["feature_names"],
-            (config["risk_levels"]["low_max"], config["risk_levels"]["medium_max"]),
+            (config["risk_levels"]["low_max"], config["risk_levels"]["medium_max"]), config.get("feature_means"),
         )
     ]
     spark.createDataFrame(row, CONFIG_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/config")
@@ -213,6 +221,6 @@ def train_pipeline(
     write_report(result.table, f"{target}/model_comparison")
     save_model(
         spark, f"{target}/model", prepared.preprocess, result.models[result.best],
-        threshold_config(result.best, prepared.features),
+        threshold_config(result.best, prepared.features, means=feature_means(prepared.train)),
     )
     return result

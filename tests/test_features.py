@@ -55,7 +55,7 @@ def test_split_partitions_the_input_and_is_stable(raw_df):
 
 
 def test_split_errors(raw_df):
-    with pytest.raises(ValueError, match="missing"):
+    with pytest.raises(ValueError, match="no label column"):
         fe.stratified_split(raw_df.drop("Class"), ["Time"])
     with pytest.raises(ValueError, match="label other than"):
         fe.stratified_split(raw_df.withColumn("Class", F.lit(3)), ["Time"])
