@@ -1,10 +1,10 @@
-"""Exact k nearest neighbours among the rows of one frame, in bounded blocks.
+"""Exact k nearest neighbours among the rows of one frame, block against block.
 
-Points are spread over space cells (a median-split tree grown on a bounded sample; it only
-steers the work). A cell with more rows than a task should hold is cut into further blocks by
-key. Every point first searches its own block, which bounds how far its k-th neighbour can
-be, and then visits only those blocks whose bounding box lies within that distance. Both
-sides of a visit are of bounded size, and only k candidates per point leave it.
+Rows are dealt over blocks by key hash and each block is packed into one line. Every block meets
+every other in turns of ``TURN`` blocks; only k candidates per row leave a turn, and these are merged. A
+task holds one block, one turn and distances of a slice of rows. In the dimensions this is meant for
+(28 and more) bounding boxes exclude next to nothing, so none are kept: a block's vectors are shipped
+once per pair of blocks, n * n / ``BLOCK_ROWS`` vectors in all, and the arithmetic is that of all pairs.
 """
 
 import sys
@@ -20,31 +20,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
-MAX_CELLS = 16384
-SAMPLE_PER_CELL = 16
-QUERY_ROWS = 8192
-
-
-def _split_tree(sample: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """A complete median-split tree in heap order: split dimension and value per inner node."""
-    depth = max(0, int(np.ceil(np.log2(max(1, cells)))))
-    dims, cuts = np.zeros(2**depth, dtype=np.int64), np.zeros(2**depth)
-    parts = {1: sample}
-    for node in range(1, 2**depth):
-        rows = parts.pop(node)
-        if len(rows):
-            dims[node] = int(np.argmax(rows.max(axis=0) - rows.min(axis=0)))
-            cuts[node] = np.median(rows[:, dims[node]])
-        right = rows[:, dims[node]] > cuts[node] if len(rows) else np.zeros(0, bool)
-        parts[2 * node], parts[2 * node + 1] = rows[~right], rows[right]
-    return dims, cuts
-
-
-def _cell_of(points: np.ndarray, dims: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    node = np.ones(len(points), dtype=np.int64)
-    for _ in range(len(dims).bit_length() - 1):
-        node = 2 * node + (points[np.arange(len(points)), dims[node]] > cuts[node])
-    return node
+TURN = 16
+SLICE = 256
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -55,22 +32,23 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _nearest(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> Iterator[pd.DataFrame]:
-    """Up to k (squared distance, key) of ``points`` per query, the query itself left out."""
-    if not len(queries) or not len(points):
-        return
-    points = points.sort_values("key", ignore_index=True)  # ties fall to the smaller key
-    keys = points["key"].to_numpy()
-    at = np.stack(points["vector"].to_numpy())
-    for start in range(0, len(queries), 512):
-        part = queries.iloc[start : start + 512]
-        d = _squared(np.stack(part["vector"].to_numpy()), at)
-        d[part["key"].to_numpy()[:, None] == keys[None, :]] = np.inf
-        order = np.argsort(d, axis=1, kind="stable")[:, :k]
-        rows = []
-        for i, picks in enumerate(order):
-            rows.append([(float(d[i, j]), keys[j]) for j in picks if np.isfinite(d[i, j])])
-        yield pd.DataFrame({"key": part["key"].to_numpy(), "best": rows})
+def _nearest(at: np.ndarray, others: np.ndarray, k: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, place of the neighbour, squared distance) of up to k ``others`` per row, nearest first.
+
+    Ties fall to the earlier place. ``same`` leaves out the row itself.
+    """
+    for start in range(0, len(at), SLICE):
+        d = _squared(at[start : start + SLICE], others)
+        if same:
+            d[np.arange(len(d)), start + np.arange(len(d))] = np.inf
+        most = min(k, d.shape[1])
+        kth = np.partition(d, most - 1, axis=1)[:, most - 1]
+        row, place = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+        order = np.lexsort((place, d[row, place], row))
+        row, place = row[order], place[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        row, place = row[rank < k], place[rank < k]
+        yield start + row, place, d[row, place]
 
 
 def nearest_neighbours(
@@ -83,107 +61,51 @@ def nearest_neighbours(
     caller to unpersist once the result has been used.
     """
     cached = [] if cached is None else cached
-    spark = points.sparkSession
     base = points.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
     key_type = base.schema["key"].dataType.simpleString()
     best_type = f"array<struct<squared: double, key: {key_type}>>"
-    n = base.count()
-    cells = min(MAX_CELLS, -(-n // BLOCK_ROWS))
-    if cells > 1:
-        share = min(1.0, 2.0 * cells * SAMPLE_PER_CELL / n)
-        sample = [
-            r["vector"]
-            for r in base.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(share * (1 << 20)))
-            .select("vector").limit(4 * cells * SAMPLE_PER_CELL).collect()
-        ]
-        tree = spark.sparkContext.broadcast(_split_tree(np.array(sample), cells))
-
-        @F.pandas_udf("long")
-        def cell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            dims, cuts = tree.value
-            for v in batches:
-                yield pd.Series(_cell_of(np.stack(v.to_numpy()), dims, cuts))
-
-        placed = base.withColumn("cell", cell("vector")).persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(placed)
-        sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
-    else:
-        placed, sizes = base.withColumn("cell", F.lit(1).cast("long")), {1: n}
-    # One line per cell, so at most MAX_CELLS lines.
-    shares = spark.createDataFrame(
-        [(c, -(-m // (2 * BLOCK_ROWS))) for c, m in sizes.items()], "cell long, parts long"
-    )
-    blocked = placed.join(F.broadcast(shares), "cell").select(
-        F.concat_ws("-", "cell", F.pmod(F.xxhash64("key"), "parts")).alias("block"), "cell", "key", "vector"
-    )
-    # Shuffled once by block; the local search, the boxes and the visits all reuse it.
-    blocked = blocked.repartition("block").persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(blocked)
-
-    def local(rows: pd.DataFrame) -> pd.DataFrame:
-        found = pd.concat(list(_nearest(rows, rows, k)), ignore_index=True)
-        return found.merge(rows[["key", "block"]], on="key")
-
-    own = blocked.groupBy("block").applyInPandas(local, f"key {key_type}, best {best_type}, block string")
-    if n <= BLOCK_ROWS:
-        return own.select("key", _distances(F.col("best")))
-    shared = spark.sparkContext.broadcast(_boxes(blocked))
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cells, low, high = shared.value
-        for rows in batches:
-            if not len(rows):
-                continue
-            at = np.stack(rows["vector"].to_numpy())
-            reach = rows["reach"].fillna(np.inf).to_numpy()
-            for start in range(0, len(rows), 256):
-                s = slice(start, start + 256)
-                gap = np.zeros((len(at[s]), len(cells)))
-                for j in range(at.shape[1]):
-                    x = at[s, j, None]
-                    gap += np.maximum(0.0, np.maximum(low[None, :, j] - x, x - high[None, :, j])) ** 2
-                # A relative allowance keeps rounding from hiding a box that ties.
-                hit = gap * (1 - 1e-9) <= reach[s, None]
-                i, c = np.nonzero(hit)
-                yield pd.DataFrame(
-                    {
-                        "key": rows["key"].to_numpy()[s][i], "vector": list(at[s][i]),
-                        "home": rows["block"].to_numpy()[s][i], "cell": cells[c],
-                    }
-                )
-
-    reach = F.when(F.size("best") >= k, F.element_at("best", k)["squared"])
-    visits = (
-        own.select("key", "block", reach.alias("reach")).join(blocked, ["block", "key"])
-        .select("key", "vector", "block", "reach")
-        .mapInPandas(route, f"key {key_type}, vector array<double>, home string, cell long")
-        .join(F.broadcast(shares), "cell")
-        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        .select("key", "vector", "home", F.concat_ws("-", "cell", "part").alias("block"))
-        .where("block <> home")
+    blocks = -(-base.count() // BLOCK_ROWS)
+    if not blocks:
+        return base.select("key", F.array().cast(f"array<struct<distance: double, key: {key_type}>>").alias("neighbours"))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key", ignore_index=True)  # ties fall to the smaller key
+        at = np.stack(rows["vector"].to_numpy())
+        return pd.DataFrame({"block": rows["block"][:1], "keys": [rows["key"].tolist()], "at": [at.tobytes()]})
+
+    packed = (
+        base.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+        .groupBy("block").applyInPandas(pack, f"block long, keys array<{key_type}>, at binary")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    cached.append(visits)
-    loads = visits.groupBy("block").agg((F.floor(F.count("*") / QUERY_ROWS) + 1).cast("long").alias("turns"))
-    # Queries of a busy block are dealt over turns; its points are repeated once per turn.
-    queries = visits.join(loads, "block").withColumn(
-        "turn", F.pmod(F.xxhash64("key"), F.col("turns"))
-    )
-    served = blocked.join(loads, "block").withColumn(
-        "turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))
+    cached.append(packed)
+    turns = -(-blocks // TURN)
+    mine = packed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    others = packed.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("home"),
+        F.floor(F.col("block") / TURN).cast("int").alias("turn"), "block", "keys", "at",
     )
 
-    def visit(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        found = list(_nearest(q, p, k))
-        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"key": [], "best": []})
-
-    away = (
-        queries.select("block", "turn", "key", "vector").groupBy("block", "turn")
-        .cogroup(served.select("block", "turn", "key", "vector").groupBy("block", "turn"))
-        .applyInPandas(visit, f"key {key_type}, best {best_type}")
+    def meet(home: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
+        if not len(home) or not len(met):
+            return pd.DataFrame({"key": [], "best": []})
+        keys = home["keys"].iloc[0]
+        at = np.frombuffer(home["at"].iloc[0]).reshape(len(keys), -1)
+        best: list[list] = [[] for _ in keys]
+        for block, names, raw in zip(met["block"], met["keys"], met["at"]):
+            other = np.frombuffer(raw).reshape(len(names), -1)
+            for row, place, d in _nearest(at, other, k, block == home["block"].iloc[0]):
+                for i, j, x in zip(row.tolist(), place.tolist(), d.tolist()):
+                    best[i].append((x, names[j]))
+        return pd.DataFrame({"key": keys, "best": [sorted(b)[:k] for b in best]})
+
+    found = (
+        mine.select(F.col("block").alias("home"), "turn", "block", "keys", "at").groupBy("home", "turn")
+        .cogroup(others.groupBy("home", "turn"))
+        .applyInPandas(meet, f"key {key_type}, best {best_type}")
     )
     return (
-        own.select("key", "best").unionByName(away).groupBy("key")
+        found.groupBy("key")
         .agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
         .select("key", _distances(F.col("best")))
     )
@@ -193,16 +115,3 @@ def _distances(best: Column) -> Column:
     return F.transform(
         best, lambda b: F.struct(F.sqrt(b["squared"]).alias("distance"), b["key"].alias("key"))
     ).alias("neighbours")
-
-
-def _boxes(blocked: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(cells, lower corners, upper corners), at most MAX_CELLS lines."""
-    ends = (
-        blocked.select("cell", F.posexplode("vector").alias("d", "x"))
-        .groupBy("cell", "d").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-        .groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("d", "lo", "hi"))).alias("e"))
-        .select("cell", F.col("e.lo").alias("lo"), F.col("e.hi").alias("hi"))
-        .collect()
-    )
-    cells = np.array([r["cell"] for r in ends], dtype=np.int64)
-    return cells, np.array([r["lo"] for r in ends]), np.array([r["hi"] for r in ends])

@@ -91,7 +91,7 @@ def test_balanced_weights(raw_df):
 @pytest.mark.parametrize("dims, rows, copies", [(3, 900, 300), (20, 300, 0)])
 def test_neighbours_equal_brute_force_over_many_blocks(spark, monkeypatch, dims, rows, copies):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
-    monkeypatch.setattr(neighbours, "QUERY_ROWS", 64)
+    monkeypatch.setattr(neighbours, "TURN", 2)
     rng = np.random.default_rng(dims)
     x = np.round(rng.normal(size=(rows, dims)), 2)
     x[:copies] = x[0] + np.round(rng.normal(size=(copies, dims)) * 0.006, 2)  # a dense third
