@@ -10,8 +10,9 @@ one class first, so exact copies are never compared. Then:
 3. *Candidates.* Postings are sorted by shingle and streamed. A group of at most ``HEADS`` sets gives
    all its pairs that pass the length and positional filters. In a larger one the first ``PIVOTS``,
    which have the commonest shingles, are paired with all others: a row per member, not per pair.
-4. *Verification.* Each distinct pair once, by exact intersection; a suffix filter (counts per fixed
-   hash range bound the overlap) spares hopeless pairs that.
+4. *Verification.* A suffix filter first: sets share at most the smaller of their counts in each of
+   ``RANGES`` hash ranges, which excludes most pairs before any text is read again. Then each distinct
+   pair once, by exact intersection.
 5. *The rest of large groups.* Groups whose members are not all connected by then are joined with
    themselves for pairs across components that pass the filters, and those not seen yet are
    verified too. Pairs inside a component can no longer change the result; no other pair is left out.
@@ -35,9 +36,11 @@ BUCKETS = 1 << 18
 _CHUNK = 1 << 12
 _APART = separators((0x20, 0x20), (0x09, 0x0D))
 _PLACE = np.random.default_rng(5).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TALLY = "doc_id long, n int, cls long, copy long, part int, counts binary"
+_TALLY = "doc_id long, n int, cls long, copy long, ranges array<int>, part int, counts binary"
+RANGES = 64
 _POST = "token long, cls long, span long, typ int"
 _FOUND = "token long, a long, b long, span long, typ int"
+_RANGE = np.uint64(64 - RANGES.bit_length() + 1)
 _SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
 
 
@@ -68,10 +71,11 @@ def _class_of(shingles: np.ndarray) -> int | None:
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        sizes, classes, waiting, held = [], [], [], 0
+        sizes, classes, ranges, waiting, held = [], [], [], [], 0
         for shingles in shingle_sets(batch.column(1)):
             sizes.append(len(shingles))
             classes.append(_class_of(shingles))
+            ranges.append(np.bincount((shingles >> _RANGE).astype(np.int64), minlength=RANGES).tolist() if len(shingles) else None)
             waiting.append((shingles >> _SHIFT).astype(np.int64))
             held += len(shingles)
             if held > BUCKETS:
@@ -81,14 +85,14 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
         n = len(sizes)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), batch.column(2), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-            names=["doc_id", "n", "cls", "copy", "part", "counts"],
+            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), batch.column(2), pa.array(ranges, pa.list_(pa.int32())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+            names=["doc_id", "n", "cls", "copy", "ranges", "part", "counts"],
         )
     parts = [k for k in range(BUCKETS // _CHUNK) if counts[k * _CHUNK : (k + 1) * _CHUNK].any()]
     m = len(parts)
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(parts, pa.int32()), pa.array([counts[k * _CHUNK : (k + 1) * _CHUNK].tobytes() for k in parts], pa.binary())],
-        names=["doc_id", "n", "cls", "copy", "part", "counts"],
+        [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int32())), pa.array(parts, pa.int32()), pa.array([counts[k * _CHUNK : (k + 1) * _CHUNK].tobytes() for k in parts], pa.binary())],
+        names=["doc_id", "n", "cls", "copy", "ranges", "part", "counts"],
     )
 
 
@@ -215,19 +219,14 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of each wanted class, and how many lie in each of eight hash ranges."""
+    """The shingles of each wanted class."""
 
     def packed(rows) -> pa.RecordBatch:
         offsets = np.concatenate([[0], np.cumsum([len(x) for _, x in rows])]).astype(np.int32)
         flat = np.concatenate([x for _, x in rows]) if rows else np.zeros(0, np.uint64)
-        ranges = [np.bincount((x >> np.uint64(61)).astype(np.int64), minlength=8).tolist() for _, x in rows]
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([c for c, _ in rows], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
-                pa.array(ranges, pa.list_(pa.int32())),
-            ],
-            names=["cls", "shingles", "ranges"],
+            [pa.array([c for c, _ in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
+            names=["cls", "shingles"],
         )
 
     last = None
@@ -244,25 +243,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed(out)
 
 
-def _wanted_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sets of the wanted classes, from one text each. Texts are shuffled at every size alike."""
-    chosen = staged(classes.join(wanted, "cls").select("cls", F.col("node").alias("doc_id"), "copy"), "chosen")
-    texts = documents.withColumn("copy", _copy()).join(chosen.hint("merge"), ["doc_id", "copy"]).select("cls", "text")
-    return staged(texts.mapInArrow(_sets, "cls long, shingles array<long>, ranges array<int>"), "sets")
+def _hopeful(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """The suffix filter: two sets share at most the smaller count of each hash range."""
+    side = lambda c, to: classes.select(F.col("cls").alias(c), F.col("ranges").alias(to)).hint("merge")
+    total = lambda counts: F.aggregate(counts, F.lit(0), lambda s, x: s + x)
+    shared = total(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)))
+    found = pairs.join(side("a", "ra"), "a").join(side("b", "rb"), "b")
+    return staged(found.where(7 * shared >= 3 * (total(F.col("ra")) + total(F.col("rb")))).select("a", "b"), name)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar.
+def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, decided by the sets of one text per class.
 
-    The suffix filter comes first and needs sizes only: sets share at most the smaller count of
-    each hash range. The others' sets meet and are intersected whole.
+    Texts are shuffled to their classes at every size alike, once for all pairs. ``few``: the classes
+    are expected to be few, and Spark may send them to the texts if their size on disk allows.
     """
-    side = lambda c, column, to: sets.select(F.col("cls").alias(c), F.col(column).alias(to)).hint("merge")
-    total = lambda counts: F.aggregate(counts, F.lit(0), lambda s, x: s + x)
-    shared = total(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)))
-    hopeful = pairs.join(side("a", "ranges", "ra"), "a").join(side("b", "ranges", "rb"), "b")
-    hopeful = staged(hopeful.where(7 * shared >= 3 * (total(F.col("ra")) + total(F.col("rb")))).select("a", "b"), name)
-    both = hopeful.join(side("b", "shingles", "y"), "b").join(side("a", "shingles", "x"), "a")
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    chosen = staged(classes.join(wanted, "cls").select("cls", F.col("node").alias("doc_id"), "copy"), name)
+    texts = documents.withColumn("copy", _copy()).join(chosen if few else chosen.hint("merge"), ["doc_id", "copy"]).select("cls", "text")
+    sets = staged(texts.mapInArrow(_sets, "cls long, shingles array<long>"), name)
+    side = lambda c, to: sets.select(F.col("cls").alias(c), F.col("shingles").alias(to)).hint("merge")
+    both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a")
     ok = 7 * F.size(F.array_intersect("x", "y")) >= 3 * (F.size("x") + F.size("y"))
     return staged(both.where(ok).select("a", "b").distinct(), name)
 
@@ -282,9 +283,9 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     tally = staged(documents.withColumn("copy", _copy()).mapInArrow(_tally, _TALLY), "tally")
-    members = tally.where("part is null").select("doc_id", "n", "cls", "copy")
+    members = tally.where("part is null").select("doc_id", "n", "cls", "copy", "ranges")
     known = members.where("cls is not null and doc_id is not null")
-    classes = staged(known.groupBy("cls").agg(F.min(F.struct("doc_id", "copy")).alias("first")).select("cls", F.col("first.doc_id").alias("node"), "first.copy"), "classes")
+    classes = staged(known.groupBy("cls").agg(F.min(F.struct("doc_id", "copy", "ranges")).alias("first")).select("cls", F.col("first.doc_id").alias("node"), "first.copy", "first.ranges"), "classes")
     rarity = _rarity(tally)
     counts = documents.sparkSession.sparkContext.broadcast(rarity)
     posts = documents.where("doc_id is not null").select("text").mapInArrow(_postings(counts), _POST)
@@ -292,9 +293,7 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
     found = staged(ordered.mapInArrow(_pairs, _FOUND), "found")
     pairs = staged(found.where("token is null").select("a", "b").distinct(), "pairs")
     members_of = found.where("token is not null").select("token", F.col("a").alias("cls"), "span")
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(members_of.select("cls")).distinct()
-    sets = _wanted_sets(documents, classes, wanted)
-    links = _verified(pairs, sets, "links")
+    links = _verified(documents, classes, _hopeful(pairs, classes, "hopeful"), "links")
 
     node = lambda c, n: classes.select(F.col("cls").alias(c), F.col("node").alias(n))
     as_nodes = lambda e: e.join(node("a", "u"), "a").join(node("b", "v"), "b").select("u", "v")
@@ -317,9 +316,9 @@ def jaccard_classes(documents: DataFrame) -> DataFrame:
         fit = (4 * F.least(n("x"), n("y")) >= 3 * F.greatest(n("x"), n("y"))) & (7 * F.least(left("x"), left("y")) >= 3 * (n("x") + n("y")))
         cross = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.label") != F.col("y.label")) & fit)
         cross = cross.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-        cross = staged(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
+        cross = _hopeful(cross.join(pairs, ["a", "b"], "left_anti"), classes, "cross")
         if cross.head(1):
-            more = staged(as_nodes(_verified(cross, sets, "links-rest")), "more")
+            more = staged(as_nodes(_verified(documents, classes, cross, "links-rest", few=True)), "more")
             if more.head(1):
                 comp = staged(components(edges.union(more), "stars-rest"), "components-rest")
 
