@@ -11,6 +11,23 @@ def _words(text: str) -> str:
 _PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+with recursive v as (
+  select vec_id, list_transform(embedding, x -> cast(x as double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+),
+u as (select vec_id, v, sqrt(list_dot_product(v, v)) as n from v where list_dot_product(v, v) > 0),
+link as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id < b.vec_id where list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
+both_ways as (select a, b from link union all select b, a from link),
+reach(vec_id, r) as (
+  select a, b from both_ways
+  union select reach.vec_id, both_ways.b from reach join both_ways on reach.r = both_ways.a
+),
+n as (select a as vec_id, count(*) as n from both_ways group by a),
+c as (select vec_id, min(r) as c from reach group by vec_id)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(c, vec_id)) as component_id, vec_id <= coalesce(c, vec_id) as kept
+from embeddings left join n using (vec_id) left join c using (vec_id)
+""",
     "op4_ngram_jaccard_join": f"""
 with recursive d as (select doc_id, regexp_extract_all({_PLAIN}, '[^\\x20\\x09-\\x0D]+') as w from documents),
 sh as (
