@@ -13,8 +13,8 @@ _PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 SQL: dict[str, str] = {
     "op1_embedding_near_dedup": """
 with recursive v as (
-  select vec_id, list_transform(embedding, x -> cast(x as double)) as v from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+  select vec_id, cast(embedding as double[]) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 u as (select vec_id, v, sqrt(list_dot_product(v, v)) as n from v where list_dot_product(v, v) > 0),
 link as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id < b.vec_id where list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
