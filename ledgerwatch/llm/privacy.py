@@ -158,7 +158,11 @@ def telling_terms(documents: DataFrame, scanned: DataFrame, support: int = SUPPO
     beside = scanned.select(F.explode("beside").alias("b")).select("b.entity", F.xxhash64("b.around").alias("around"), "b.term").distinct()
     often = beside.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
     pairs = beside.join(often, "entity").groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.max("n_e").alias("n_e"))
-    pairs = staged(pairs.where(F.col("n_te") >= support), "pairs")
+    # At least the documents that have the term near any entity have it: an exact bound on certainty,
+    # which spares common words the count over all texts.
+    near = scanned.select("doc_id", "copy", F.explode("beside.term").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    pairs = pairs.where(F.col("n_te") >= support).join(near, "term").where(F.col("n_te") >= certainty * F.col("n_near"))
+    pairs = staged(pairs.drop("n_near"), "pairs")
     terms = staged(pairs.select("term").distinct(), "terms")
     if not terms.head(1):
         return pairs.select("entity", "term")
