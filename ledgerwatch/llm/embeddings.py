@@ -20,8 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.common import components, staged
@@ -119,38 +118,55 @@ _SEQUENCE = "sequence long, first int, last int, low array<double>, high array<d
 
 
 def _sequences(axes):
+    """Packs rows that come sorted by sequence; a sequence has at most ``SEQUENCE`` of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = axes.value[:, :LEAD_AXES]
-        next_id = TaskContext.get().partitionId() << 32
-        waiting: list[pa.RecordBatch] = []
-        held = 0
 
         def packed(part: pa.Table) -> pa.RecordBatch:
-            nonlocal next_id
             x = _matrix(part.column(2).combine_chunks())
-            y, c = _unit(x) @ lead, part.column(3)
+            y, c = _unit(x) @ lead, part.column(3).to_pylist()
             row = {
-                "sequence": next_id, "first": c[0].as_py(), "last": c[len(c) - 1].as_py(), "low": y.min(0).tolist(), "high": y.max(0).tolist(),
+                "sequence": part.column(4)[0].as_py(), "first": min(c), "last": max(c), "low": y.min(0).tolist(), "high": y.max(0).tolist(),
                 "nodes": part.column(0).to_pylist(), "copies": part.column(1).to_pylist(), "vectors": x.tobytes(),
             }
-            next_id += 1
             types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], names=list(row))
 
+        waiting: list[pa.RecordBatch] = []
+        now = None
         for batch in batches:
-            waiting.append(batch)
-            held += batch.num_rows
-            while held >= SEQUENCE:
-                whole = pa.Table.from_batches(waiting)
-                yield packed(whole.slice(0, SEQUENCE))
-                waiting = whole.slice(SEQUENCE).to_batches()
-                held -= SEQUENCE
-        if held:
+            ids = batch.column(4).to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1, [len(ids)]])
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                if high == low:
+                    continue
+                if waiting and ids[low] != now:
+                    yield packed(pa.Table.from_batches(waiting))
+                    waiting = []
+                now = ids[low]
+                waiting.append(batch.slice(int(low), int(high - low)))
+        if waiting:
             yield packed(pa.Table.from_batches(waiting))
 
     return run
 
 
+def _ranked(placed: DataFrame, cells: list[str]) -> DataFrame:
+    """node, copies, vector, c0, sequence, place: grid order, cut every ``SEQUENCE`` rows.
+
+    The sorted rows are written once; a part's ranks follow those of the parts before it.
+    """
+    ordered = placed.repartitionByRange(*cells, "node").sortWithinPartitions(*cells, "node")
+    ordered = staged(ordered.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "grid-order")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    sizes = ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    sizes = sizes.select("part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    rank = F.col("place") - F.col("first") + F.col("before")
+    ranked = ordered.join(sizes, "part").select("node", "copies", "vector", "c0", F.floor(rank / SEQUENCE).cast("long").alias("sequence"), "place")
+    return ranked.repartition("sequence").sortWithinPartitions("sequence", "place")
+
+
 class _Forest:
     """Connected components of the vectors of one pair of sequences."""
 
@@ -274,8 +290,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     one = one.dropDuplicates(["node"]).select("node", "copies", "vector")
     placed = staged(one.mapInArrow(_placed(axes, epsilon), f"node long, copies long, vector array<double>, {_CELLS}"), "placed")
     cells = [f"c{k}" for k in range(GRID_AXES)]
-    ordered = placed.repartitionByRange(*cells, "node").sortWithinPartitions(*cells, "node")
-    sequences = staged(ordered.mapInArrow(_sequences(axes), _SEQUENCE), "sequences")
+    sequences = staged(_ranked(placed, cells).mapInArrow(_sequences(axes), _SEQUENCE), "sequences")
 
     box = sequences.select("sequence", "first", "last", "low", "high")
     here = box.select("sequence", "low", "high", F.explode(F.sequence("first", "last")).alias("cell"))

@@ -66,7 +66,9 @@ def test_every_operator_has_a_query():
 # 1: embeddings
 
 
-def test_embeddings_equal_all_pairs(spark):
+@pytest.mark.parametrize("length", [4096, 70])
+def test_embeddings_equal_all_pairs(spark, monkeypatch, length):
+    monkeypatch.setattr(embeddings, "SEQUENCE", length)
     vectors = [(r.vec_id, r.embedding) for r in common.table(spark, SF, "embeddings").collect()]
     want = plain.cosine_links(vectors)
     got = {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op1_embedding_near_dedup"](spark, SF).collect()}
