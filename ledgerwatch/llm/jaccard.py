@@ -32,7 +32,7 @@ from ledgerwatch.llm.common import components, mix, separators, staged, text_sli
 
 WORDS = 5
 HEADS, PIVOTS = 8, 3
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 _CHUNK = 1 << 12
 _APART = separators((0x20, 0x20), (0x09, 0x0D))
 _PLACE = np.random.default_rng(5).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
