@@ -7,6 +7,10 @@ of the largest n from 5 to 1 for which any is known. A text's language has the l
 The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` texts of each language,
 chosen by a hash of the id, of which the ``WORDS`` commonest words and ``GRAMS`` commonest n-grams
 of each length are kept. Its size therefore depends on the number of languages only.
+
+Whether a text is written in a learned language at all is another question, as some language always
+has the largest sum: its *likeness* is the mean log frequency per word of its trigrams in the language
+it is most like, which does not grow with the text, and a limit for it is learned from labelled rows.
 """
 
 from __future__ import annotations
@@ -29,6 +33,14 @@ LONGEST = 5
 UNKNOWN = "und"
 #: Words after which more text no longer sharpens the score.
 EVIDENCE = 30
+#: Length of the n-grams that likeness looks at.
+LIKE = 3
+#: A text is unlike the learned ones if its likeness lies so many times further below the median of
+#: labelled rows than their lowest twentieth begins; the limit is no nearer than ``LEAST_GAP``, and
+#: no lower than ``WORST`` of the way from the median to what wholly unknown words score.
+SPREAD = 6.0
+LEAST_GAP = 3.5
+WORST = 0.75
 _END = np.uint64(0x2C)
 _SLICE = 1 << 20
 
@@ -86,6 +98,11 @@ def _gram_hashes(padded: np.ndarray, first: np.ndarray, length: np.ndarray, n: i
     return mix(out), word
 
 
+@functools.cache
+def _end_gram() -> np.uint64:
+    return _gram_hashes(mix(np.array([_END])), np.array([0, 1]), np.array([1]), 1)[0][0]
+
+
 def _cut(text: str) -> Iterator[str]:
     """Slices of about a million characters, cut where letters end."""
     at = 0
@@ -168,7 +185,7 @@ class Model:
                 break
             grams, word = _gram_hashes(*_padded(points, starts[rest], ends[rest]), n)
             row = self.rows(n, grams)
-            found = row >= 0
+            found = (row >= 0) & (grams != _end_gram())  # a word's end alone is no evidence
             per = np.bincount(word[found], minlength=len(rest))
             if found.any():
                 self._add(total, doc[rest][word[found]], self.kinds[n][1], row[found], 1.0 / per[word[found]])
@@ -176,20 +193,56 @@ class Model:
             rest = rest[per == 0]
         return total, used
 
+    def likeness(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of each text's words' likeness to each language, and its number of words.
+
+        A word's likeness is the mean log frequency of its n-grams, unknown ones counting as unseen,
+        or its own log frequency if that is larger. Letters beside a digit, as in keys, are no word.
+        """
+        points, starts, ends = _runs("\n".join(texts))
+        bounds = np.concatenate([[0], np.cumsum([len(t.lower()) + 1 for t in texts])])
+        digit = np.zeros(len(points) + 2, bool)
+        digit[1:-1] = (points >= 48) & (points <= 57)
+        whole = ~(digit[starts] | digit[ends + 1])
+        starts, ends = starts[whole], ends[whole]
+        doc = np.searchsorted(bounds, starts, "right") - 1
+        total, words = np.zeros((len(texts), len(self.langs))), np.bincount(doc, minlength=len(texts))
+        grams, word = _gram_hashes(*_padded(points, starts, ends), LIKE)
+        row, logs, unseen = self.rows(LIKE, grams), self.kinds[LIKE][1], self.unseen()
+        per = np.maximum(1, np.bincount(word, minlength=len(starts)))
+        known = self.rows(0, _word_hashes(points, starts, ends))
+        hit = known >= 0
+        for k in range(len(self.langs)):
+            mean = np.bincount(word, weights=np.where(row >= 0, logs[row, k], unseen[k]), minlength=len(starts)) / per
+            mean[hit] = np.maximum(mean[hit], self.kinds[0][1][known[hit], k])
+            total[:, k] = np.bincount(doc, weights=mean, minlength=len(texts))
+        return total, words
+
+    def unseen(self) -> np.ndarray:
+        """By language, the log frequency of an n-gram that was not seen in it."""
+        return self.kinds[LIKE][1].min(0)
+
     def _add(self, total: np.ndarray, doc: np.ndarray, logs: np.ndarray, row: np.ndarray, weight: np.ndarray) -> None:
         for k in range(len(self.langs)):
             total[:, k] += np.bincount(doc, weights=logs[row, k] * weight, minlength=len(total))
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
-    """Fit on ``labelled`` (doc_id, text, lang). Rows without lang or text teach nothing."""
+def _sampled(labelled: DataFrame, sample: int, seed: str) -> tuple[list[str], DataFrame]:
+    """The languages, and about ``sample`` labelled rows of each (doc_id, text, lang)."""
     labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # a row per language
     langs = sorted(sizes)
     if not langs:
-        return Model([], {})
+        return langs, labelled
     share = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(min(1.0, sample / sizes[lang])))])
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    return langs, labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+
+
+def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
+    """Fit on ``labelled`` (doc_id, text, lang). Rows without lang or text teach nothing."""
+    langs, chosen = _sampled(labelled, sample, "sample")
+    if not langs:
+        return Model([], {})
     counts = chosen.select("lang", "text").mapInArrow(_counts, "lang string, kind int, hash long, n long")
     counts = counts.groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "hash")
@@ -204,7 +257,19 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams:
     return Model(langs, kinds)
 
 
-def _predicted(shared):
+def least_likeness(labelled: DataFrame, model: Model, sample: int = SAMPLE) -> float:
+    """The likeness below which a text is in no learned language, from a bounded sample of labelled rows."""
+    langs, chosen = _sampled(labelled, sample, "likeness")
+    if not langs or LIKE not in model.kinds:
+        return -np.inf
+    rows = _judged(chosen.select("lang", "text"), model, "_pred", "_score", "_like").where("_like is not null")
+    middle, low = rows.agg(F.percentile("_like", 0.5), F.percentile("_like", 0.05)).head()
+    if middle is None:
+        return -np.inf
+    return max(middle - max(LEAST_GAP, SPREAD * (middle - low)), middle + WORST * (float(model.unseen().max()) - middle))
+
+
+def _predicted(shared, likeness: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
@@ -231,7 +296,7 @@ def _predicted(shared):
                         flush()
                         waiting, held = [], 0
             flush()
-            known = letters & bool(model.langs)
+            known = letters & (used > 0)
             scaled = total * np.minimum(1.0, EVIDENCE / np.maximum(used, 1))[:, None]
             scaled = np.exp(scaled - scaled.max(1, keepdims=True))
             best = scaled.argmax(1)
@@ -239,35 +304,64 @@ def _predicted(shared):
             pred = [model.langs[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
             kept = [batch.column(k) for k in range(batch.num_columns - 1)]
             names = [*batch.schema.names[:-1], "_pred", "_score"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score)], names=names)
+            found = [pa.array(pred, pa.string()), pa.array(score)]
+            if likeness:
+                names.append("_like")
+                found.append(pa.array(_likeness(model, texts, known), pa.float64()))
+            yield pa.RecordBatch.from_arrays([*kept, *found], names=names)
 
     return run
 
 
+def _likeness(model: Model, texts: list[str | None], known: np.ndarray) -> list[float | None]:
+    """The likeness of each text, a mean per word, to the learned language it is most like."""
+    total, words = np.zeros((len(texts), max(1, len(model.langs)))), np.zeros(len(texts))
+    waiting: list[tuple[int, str]] = []
+    held = 0
+    pieces = ((k, piece) for k, text in enumerate(texts) if known[k] and LIKE in model.kinds for piece in _cut(text or ""))
+    for item in [*pieces, None]:
+        if item is not None:
+            waiting.append(item)
+            held += len(item[1])
+        if waiting and (item is None or held >= _SLICE):
+            at = np.array([k for k, _ in waiting])
+            more, n = model.likeness([t for _, t in waiting])
+            np.add.at(total, at, more)
+            np.add.at(words, at, n)
+            waiting, held = [], 0
+    return [t / n if n else None for t, n in zip(total.max(1).tolist(), words.tolist(), strict=True)]
+
+
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score of every row's whole text.
 
-    A text that is null, empty or without a letter is ``und`` with score 0, and so is every text if
-    nothing was learned. Ties go to the language first in order. Other columns are ignored; repeated
+    A text that is null, empty, without a letter or without a known word or n-gram is ``und`` with
+    score 0, and so is every text if nothing was learned. Ties go to the language first in order. Other columns are ignored; repeated
     rows are judged alike; an empty table gives no rows.
     """
     return _judged(documents.select("doc_id", "text"), model, "lang_pred", "score")
 
 
-def written_in_known(documents: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``documents``, with all their columns, that are written in a learned language."""
+def written_in_known(documents: DataFrame, model: Model, least: float = -np.inf) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that are written in a learned language.
+
+    Rejected are texts without a known word or n-gram, without a word apart from digits, and those
+    whose likeness is below ``least``.
+    """
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    pred, score = "_language_found", "_language_score"
+    pred, score, like = "_language_found", "_language_score", "_language_likeness"
     rows = documents.select(*columns, F.col("text").alias("_text_judged"))
-    rows = _judged(rows, model, pred, score).where(F.col(pred) != UNKNOWN)
+    rows = _judged(rows, model, pred, score, like).where((F.col(pred) != UNKNOWN) & (F.col(like) >= float(least)))
     return rows.select(*columns)
 
 
-def _judged(rows: DataFrame, model: Model, pred: str, score: str) -> DataFrame:
-    """The last column, a text, gives way to its language and score."""
+def _judged(rows: DataFrame, model: Model, pred: str, score: str, like: str | None = None) -> DataFrame:
+    """The last column, a text, gives way to its language and score, and to its likeness if that is asked for."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*rows.schema.fields[:-1], StructField(pred, StringType()), StructField(score, DoubleType())])
-    return rows.mapInArrow(_predicted(shared), schema)
+    found = [StructField(pred, StringType()), StructField(score, DoubleType())]
+    if like:
+        found.append(StructField(like, DoubleType()))
+    return rows.mapInArrow(_predicted(shared, like is not None), StructType([*rows.schema.fields[:-1], *found]))
 
 
 def remainder(doc_id: str, of: int) -> Column:

@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path[:0] = [str(Path(__file__).resolve().parents[2]), str(Path(__file__).resolve().parent)]
 
@@ -138,6 +139,28 @@ def test_unseen_words_back_off():
     assert total.tolist() == [[0.0, -4.0]] and used.tolist() == [2.0]
 
 
+FOREIGN = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由 在尊严和权利上一律平等", "人",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van",
+]
+
+
+def test_unlearned_languages_and_gibberish_go(spark, docs):
+    rng = random.Random(7)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randrange(4, 10)))
+    bad = [*FOREIGN, *[t * 50 for t in FOREIGN], *[" ".join(word("bcdfghjkmpqvwxz") for _ in range(n)) for n in (3, 30, 3000)]]
+    bad += [" ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (40, 3000)]
+    more = spark.createDataFrame([(10**6 + k, t, 1) for k, t in enumerate(bad)], "doc_id long, text string, n int")
+    labelled = docs.select("doc_id", "text", "lang")
+    mixed = labelled.union(more.select("doc_id", "text", F.lit(None).cast("string")))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, mixed, SF).collect()}
+    assert kept == {r.doc_id for r in labelled.collect()}
+    found = language.predict(more, language.learn(docs)).collect()
+    assert {(r.lang_pred, r.score) for r in found if r.doc_id in (10**6 + 1, 10**6 + 2)} == {("und", 0.0)}
+
+
 # 3 and 5: tokens
 
 
