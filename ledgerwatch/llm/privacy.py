@@ -1,21 +1,22 @@
 """Personal data: pattern spans, and terms that disclose the protected entities they stand beside.
 
 Pattern spans (e-mail, IP, card, phone) are found in whole texts. Each value found is a protected
-entity. Words near it, in distinct surroundings, are terms that may disclose it: with n(t, e) distinct
-surroundings of entity e that have term t, and n(t) documents that have t,
+entity. Words near it are terms that may disclose it. All counts are of distinct texts, so copies
+neither make a term telling nor hide it: of N texts n(e) have entity e, n(t) term t, n(t, e) both.
 
 * certainty P(e | t) = n(t, e) / n(t),
-* information I(t; e) = log2(P(e | t) / P(e)).
+* chance: the probability that n(t) texts drawn from N have the entity n(t, e) times or more
+  (hypergeometric), times the number of pairs looked at.
 
-Terms over both thresholds, seen in at least ``SUPPORT`` surroundings, are generalised wherever
-they stand near that entity. Surroundings count once however often they are copied, so a term does
-not become telling because a page was copied. All documents count. Entities with fewer
-surroundings than ``SUPPORT`` cannot have such terms and drop out before terms are counted.
+Terms of at least ``CERTAINTY`` whose chance is at most ``LEVEL`` are generalised wherever they stand near
+that entity. No pair of an entity has less chance than 1 / C(N, n(e)), so entities that cannot
+come below the level drop out before terms are counted.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections.abc import Iterator
 
@@ -27,9 +28,8 @@ from ledgerwatch.llm.common import staged
 
 KINDS = ("email", "ip", "card", "phone")
 NEAR = 6
-SUPPORT = 3
 CERTAINTY = 0.5
-BITS = 8.0
+LEVEL = 0.05
 #: Longest word that counts as a term; longer runs are no words.
 TERM = 40
 
@@ -153,26 +153,60 @@ def scan(documents: DataFrame) -> DataFrame:
     return staged(_keyed(documents).mapInArrow(_scanned, _SCAN), "scan")
 
 
-def telling_terms(documents: DataFrame, scanned: DataFrame, support: int = SUPPORT, certainty: float = CERTAINTY, bits: float = BITS) -> DataFrame:
+def _log_choose(n: int, k: int) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+
+def log_chance(n_te: int, n_t: int, n_e: int, total: int) -> float:
+    """Log probability that of ``n_t`` texts drawn from ``total`` at least ``n_te`` are among ``n_e``; 0 if that is usual."""
+    if n_te * total <= n_t * n_e:
+        return 0.0
+    first = _log_choose(n_e, n_te) + _log_choose(total - n_e, n_t - n_te) - _log_choose(total, n_t)
+    whole = term = 1.0
+    for k in range(n_te, min(n_t, n_e)):
+        # above the mean each probability is smaller than the one before
+        term *= (n_e - k) * (n_t - k) / ((k + 1) * (total - n_e - n_t + k + 1))
+        whole += term
+        if term < 1e-12 * whole:
+            break
+    return min(0.0, first + math.log(whole))
+
+
+def least_count(total: int, limit: float) -> int:
+    """The smallest number of texts an entity must have for any of its terms to come below ``limit`` (a log); above half of all if none can."""
+    low, high = 1, total // 2 + 1
+    while low < high:
+        middle = (low + high) // 2
+        if -_log_choose(total, middle) <= limit:
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
+def telling_terms(documents: DataFrame, scanned: DataFrame, certainty: float = CERTAINTY, level: float = LEVEL) -> DataFrame:
     """entity, term pairs over the thresholds."""
-    beside = scanned.select(F.explode("beside").alias("b")).select("b.entity", F.xxhash64("b.around").alias("around"), "b.term").distinct()
-    often = beside.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    beside = scanned.select("copy", F.explode("beside").alias("b")).select("copy", "b.entity", "b.term").distinct()
+    beside = staged(beside, "beside")
+    total, tests = scanned.select("copy").distinct().count(), beside.count()
+    limit = math.log(level / max(1, tests))
+    least = least_count(total, limit)
+    often = beside.select("entity", "copy").distinct().groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e").between(least, total - least))
     pairs = beside.join(often, "entity").groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.max("n_e").alias("n_e"))
-    # At least the documents that have the term near any entity have it: an exact bound on certainty,
+    # At least the texts that have the term near any entity have it: an exact bound on certainty,
     # which spares common words the count over all texts.
-    near = scanned.select("doc_id", "copy", F.explode("beside.term").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    pairs = pairs.where(F.col("n_te") >= support).join(near, "term").where(F.col("n_te") >= certainty * F.col("n_near"))
+    near = beside.select("copy", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    pairs = pairs.where(F.col("n_te") >= least).join(near, "term").where(F.col("n_te") >= certainty * F.col("n_near"))
     pairs = staged(pairs.drop("n_near"), "pairs")
     terms = staged(pairs.select("term").distinct(), "terms")
     if not terms.head(1):
         return pairs.select("entity", "term")
-    total = scanned.count()
     words = F.array_distinct(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}]+", " ")), " "))
-    has = documents.select(F.explode(words).alias("term")).join(terms, "term", "left_semi")
+    has = documents.select(F.xxhash64("text").alias("copy"), F.explode(words).alias("term")).join(terms, "term", "left_semi").distinct()
     has = has.groupBy("term").agg(F.count("*").alias("n_t"))
     known = pairs.join(has, "term")
-    sure = F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))
-    return known.where((sure >= certainty) & (F.log2(sure / (F.col("n_e") / F.lit(total))) >= bits)).select("entity", "term")
+    rare = F.udf(lambda n_te, n_t, n_e: log_chance(n_te, max(n_te, n_t), n_e, total) <= limit, "boolean")
+    return known.where((F.col("n_te") >= certainty * F.col("n_t")) & rare("n_te", "n_t", "n_e")).select("entity", "term")
 
 
 def term_spans(scanned: DataFrame, telling: DataFrame) -> DataFrame:

@@ -471,6 +471,25 @@ def test_telling_terms_are_found_and_common_ones_left(spark):
     assert clean[0] == "worda today [TERM] writes [EMAIL] from placea again" and clean[100] == rows[6][1]
 
 
+def test_copies_do_not_hide_telling_terms(spark):
+    rows = [(10 * k + c, f"word{chr(97 + k)} Zyxwv writes jo@ex.example from place{chr(97 + k)}") for k in range(6) for c in range(3)]
+    rows += [(1000 + k, rows[0][1]) for k in range(1000)]
+    rows += [(5000 + k, f"something else {chr(97 + k % 26)}{chr(97 + k // 26)}x writes from here") for k in range(200)]
+    found = {r.doc_id: r for r in privacy.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert [text[s.start : s.end] for s in found[i].terms] == (["Zyxwv"] if i < 5000 else [])
+
+
+def test_chance_is_the_tail_of_all_draws():
+    for total, n_e, n_t in ((33, 6, 6), (40, 11, 7), (20, 19, 3), (60, 2, 2)):
+        draws = math.comb(total, n_t)
+        for n_te in range(max(0, n_t - total + n_e), min(n_t, n_e) + 1):
+            tail = sum(math.comb(n_e, k) * math.comb(total - n_e, n_t - k) for k in range(n_te, min(n_t, n_e) + 1)) / draws
+            got = math.exp(privacy.log_chance(n_te, n_t, n_e, total))
+            assert got == pytest.approx(tail) if n_te * total > n_t * n_e else got == 1.0
+    assert privacy.least_count(1000, math.log(1e-5)) == 2 and privacy.least_count(10, math.log(1e-5)) == 6
+
+
 def test_odd_personal_data(spark, odd):
     rows = privacy.summary(privacy.find(odd)).collect()
     assert len(rows) == len(ODD)
