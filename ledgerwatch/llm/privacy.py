@@ -1,21 +1,21 @@
-"""Personal data: pattern spans, and terms that disclose the protected entities they stand beside.
+"""Personal data: pattern spans, and terms that disclose the protected entities they occur with.
 
 Pattern spans (e-mail, IP, card, phone) are found in whole texts. Each value found is a protected
-entity. Words near it are terms that may disclose it. All counts are of distinct texts, so copies
+entity. The words of the texts that have it are terms that may disclose it. All counts are of distinct texts, so copies
 neither make a term telling nor hide it: of N texts n(e) have entity e, n(t) term t, n(t, e) both.
 
 * certainty P(e | t) = n(t, e) / n(t),
 * chance: the probability that n(t) texts drawn from N have the entity n(t, e) times or more
   (hypergeometric), times the number of pairs looked at.
 
-Terms of at least ``CERTAINTY`` whose chance is at most ``LEVEL`` are generalised wherever they stand near
-that entity. No pair of an entity has less chance than 1 / C(N, n(e)), so entities that cannot
+Terms of at least ``CERTAINTY`` whose chance is at most ``LEVEL`` are generalised wherever they occur, in
+texts without the entity too. No pair of an entity has less chance than 1 / C(N, n(e)), so entities that cannot
 come below the level drop out before terms are counted.
 """
 
 from __future__ import annotations
 
-import bisect
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -27,11 +27,10 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm.common import staged
 
 KINDS = ("email", "ip", "card", "phone")
-NEAR = 6
 CERTAINTY = 0.5
 LEVEL = 0.05
-#: Longest word that counts as a term; longer runs are no words.
-TERM = 40
+#: Lengths of words that count as terms; longer runs are no words.
+SHORT, TERM = 3, 40
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -91,56 +90,40 @@ def written(spans) -> str:
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]], near: int = NEAR) -> Iterator[tuple[int, list[tuple[str, int, int]]]]:
-    """For each span its index and the words around it: up to ``near`` on either side, none inside a span.
+def words(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(lowered, start, end) of each run of letters that counts as a term and touches no span (by start)."""
+    k, reach = 0, 0
+    for m in _WORD.finditer(text):
+        at = m.start()
+        runs = [m[0]] if m[0].isalpha() else ["".join(g) for _, g in itertools.groupby(m[0], str.isalpha)]
+        for run in runs:
+            start, at = at, at + len(run)
+            while k < len(spans) and spans[k][0] < at:
+                reach = max(reach, spans[k][2])
+                k += 1
+            if SHORT <= len(run) <= TERM and reach <= start and run.isalpha():
+                yield run.lower(), start, at
 
-    Only about ``near`` words' worth of characters are looked at, so a long text costs no more.
-    """
-    reach = near * (TERM + 2)
-    starts = [a for a, _, _ in spans]
-    for k, (a, _, b) in enumerate(spans):
-        low, high = max(0, a - reach), min(len(text), b + reach)
-        left = [m for m in _WORD.finditer(text, low, a)]
-        if left and left[0].start() == low and low:
-            left = left[1:]  # cut off by the window
-        right = [m for m in _WORD.finditer(text, b, high)]
-        if right and right[-1].end() == high and high < len(text):
-            right = right[:-1]
-        words = []
-        for m in [*left[-near:], *right[:near]]:
-            if not 3 <= m.end() - m.start() <= TERM:
-                continue
-            i = bisect.bisect_right(starts, m.start()) - 1
-            if all(not (x < m.end() and m.start() < y) for x, _, y in spans[max(0, i - 3) : i + 2]):
-                words.append((m[0].lower(), m.start(), m.end()))
-        yield k, words
-
-
-_SCAN = (
-    "doc_id long, copy long, base array<struct<start:int,kind:int,end:int>>, "
-    "beside array<struct<entity:string,around:string,term:string,start:int,end:int>>"
-)
+
+_SCAN = "doc_id long, copy long, base array<struct<start:int,kind:int,end:int>>, entities array<string>, terms array<string>"
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    beside_type = pa.list_(pa.struct([("entity", pa.string()), ("around", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
-        bases, besides = [], []
+        bases, entities, terms = [], [], []
         for text in batch.column(1).to_pylist():
             spans = base_spans(text or "")
             bases.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-            beside = []
-            if spans:
-                for k, words in near_terms(text, spans):
-                    a, kind, b = spans[k]
-                    value = text[a:b].lower() if kind == 0 else re.sub("[^0-9.]" if kind == 1 else "[^0-9]", "", text[a:b])
-                    around = " ".join(w for w, _, _ in words)
-                    beside += [{"entity": f"{KINDS[kind]}:{value}", "around": around, "term": w, "start": x, "end": y} for w, x, y in words]
-            besides.append(beside)
+            own = set()
+            for a, kind, b in spans:
+                value = text[a:b].lower() if kind == 0 else re.sub("[^0-9.]" if kind == 1 else "[^0-9]", "", text[a:b])
+                own.add(f"{KINDS[kind]}:{value}")
+            entities.append(sorted(own))
+            terms.append(sorted({w for w, _, _ in words(text, spans)}) if spans else [])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(bases, base_type), pa.array(besides, beside_type)],
-            names=["doc_id", "copy", "base", "beside"],
+            [batch.column(0), batch.column(2), pa.array(bases, _SPANS), pa.array(entities, pa.list_(pa.string())), pa.array(terms, pa.list_(pa.string()))],
+            names=["doc_id", "copy", "base", "entities", "terms"],
         )
 
 
@@ -149,7 +132,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """doc_id, copy (a hash of the text), base spans and the words beside them, of every row."""
+    """doc_id, copy (a hash of the text), base spans, entities, and the words of texts that have one, of every row."""
     return staged(_keyed(documents).mapInArrow(_scanned, _SCAN), "scan")
 
 
@@ -184,36 +167,58 @@ def least_count(total: int, limit: float) -> int:
     return low
 
 
-def telling_terms(documents: DataFrame, scanned: DataFrame, certainty: float = CERTAINTY, level: float = LEVEL) -> DataFrame:
-    """entity, term pairs over the thresholds."""
-    beside = scanned.select("copy", F.explode("beside").alias("b")).select("copy", "b.entity", "b.term").distinct()
-    beside = staged(beside, "beside")
-    total, tests = scanned.select("copy").distinct().count(), beside.count()
+def telling_terms(documents: DataFrame, scanned: DataFrame, certainty: float = CERTAINTY, level: float = LEVEL) -> tuple[DataFrame, DataFrame]:
+    """entity, term pairs over the thresholds; and copy, term of all texts that have a term of some pair."""
+    held = staged(scanned.where("size(entities) > 0").select("copy", "entities", "terms").dropDuplicates(["copy"]), "held")
+    total = scanned.select("copy").distinct().count()
+    tests = held.agg(F.sum(F.size("entities").cast("long") * F.size("terms"))).head()[0] or 0
     limit = math.log(level / max(1, tests))
     least = least_count(total, limit)
-    often = beside.select("entity", "copy").distinct().groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e").between(least, total - least))
-    pairs = beside.join(often, "entity").groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.max("n_e").alias("n_e"))
-    # At least the texts that have the term near any entity have it: an exact bound on certainty,
+    owners = held.select("copy", F.explode("entities").alias("entity"))
+    often = owners.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e").between(least, total - least))
+    often = staged(often, "often")
+    none = documents.sparkSession.createDataFrame([], "copy long, entity string, term string")
+    if not often.head(1):
+        return none.select("entity", "term"), none.select("copy", "term")
+    # Only small rows meet by entity; a text's terms come by its copy, of which there is one.
+    mine = owners.join(often, "entity", "left_semi").groupBy("copy").agg(F.collect_list("entity").alias("mine"))
+    # At least the texts with any entity that have the term have it: an exact bound on certainty,
     # which spares common words the count over all texts.
-    near = beside.select("copy", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    pairs = pairs.where(F.col("n_te") >= least).join(near, "term").where(F.col("n_te") >= certainty * F.col("n_near"))
-    pairs = staged(pairs.drop("n_near"), "pairs")
+    near = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= least)
+    both = held.select("copy", "terms").join(mine, "copy").select("mine", F.explode("terms").alias("term"))
+    pairs = both.select("term", F.explode("mine").alias("entity")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= least)
+    pairs = pairs.join(near, "term").where(F.col("n_te") >= certainty * F.col("n_near")).join(often, "entity")
+    rare = F.udf(lambda n_te, n_t, n_e: log_chance(n_te, n_t, n_e, total) <= limit, "boolean")
+    # A term that more texts have is less of a surprise, so what is usual already among these stays so.
+    pairs = staged(pairs.where(rare("n_te", F.greatest("n_te", "n_near"), "n_e")).drop("n_near"), "pairs")
     terms = staged(pairs.select("term").distinct(), "terms")
     if not terms.head(1):
-        return pairs.select("entity", "term")
-    words = F.array_distinct(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}]+", " ")), " "))
-    has = documents.select(F.xxhash64("text").alias("copy"), F.explode(words).alias("term")).join(terms, "term", "left_semi").distinct()
-    has = has.groupBy("term").agg(F.count("*").alias("n_t"))
-    known = pairs.join(has, "term")
-    rare = F.udf(lambda n_te, n_t, n_e: log_chance(n_te, max(n_te, n_t), n_e, total) <= limit, "boolean")
-    return known.where((F.col("n_te") >= certainty * F.col("n_t")) & rare("n_te", "n_t", "n_e")).select("entity", "term")
+        return none.select("entity", "term"), none.select("copy", "term")
+    split = F.array_distinct(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}]+", " ")), " "))
+    has = documents.select(F.xxhash64("text").alias("copy"), F.explode(split).alias("term")).join(terms, "term", "left_semi").distinct()
+    # In texts with entities a word inside a span is no term.
+    own = held.select("copy", F.explode("terms").alias("term")).join(terms, "term", "left_semi")
+    has = staged(has.join(owners.select("copy").distinct(), "copy", "left_anti").select("copy", "term").union(own.select("copy", "term")), "has")
+    known = pairs.join(has.groupBy("term").agg(F.count("*").alias("n_t")), "term")
+    telling = known.where((F.col("n_te") >= certainty * F.col("n_t")) & rare("n_te", "n_t", "n_e"))
+    return staged(telling.select("entity", "term"), "telling"), has
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for text, telling in zip(batch.column(1).to_pylist(), map(set, batch.column(2).to_pylist()), strict=True):
+            out.append([{"start": a, "kind": len(KINDS), "end": b} for w, a, b in words(text, base_spans(text)) if w in telling])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _SPANS)], names=["copy", "terms"])
 
 
-def term_spans(scanned: DataFrame, telling: DataFrame) -> DataFrame:
+def term_spans(documents: DataFrame, scanned: DataFrame) -> DataFrame:
     """copy, terms: the spans of telling terms in each text that has some."""
-    beside = scanned.select("copy", F.explode("beside").alias("b")).select("copy", "b.entity", "b.term", "b.start", "b.end")
-    found = beside.join(telling, ["entity", "term"]).select("copy", F.struct("start", F.lit(len(KINDS)).alias("kind"), "end").alias("s"))
-    return staged(found.groupBy("copy").agg(F.array_sort(F.collect_set("s")).alias("terms")), "term-spans")
+    telling, has = telling_terms(documents, scanned)
+    marks = has.join(telling.select("term").distinct(), "term").groupBy("copy").agg(F.collect_set("term").alias("telling"))
+    rows = _keyed(documents).join(marks, "copy").select("copy", "text", "telling")
+    found = rows.mapInArrow(_marked, "copy long, terms array<struct<start:int,kind:int,end:int>>")
+    return staged(found.groupBy("copy").agg(F.first("terms").alias("terms")), "term-spans")
 
 
 _NONE = "cast(array() as array<struct<start:int,kind:int,end:int>>)"
@@ -226,8 +231,8 @@ def find(documents: DataFrame) -> DataFrame:
     have the same spans; a null doc_id stays null; an empty table gives no rows; other columns are ignored.
     """
     scanned = scan(documents)
-    terms = term_spans(scanned, telling_terms(documents, scanned))
-    return scanned.join(terms, "copy", "left").select("doc_id", "base", F.coalesce("terms", F.expr(_NONE)).alias("terms"))
+    terms = term_spans(documents, scanned)
+    return scanned.select("doc_id", "copy", "base").join(terms, "copy", "left").select("doc_id", "base", F.coalesce("terms", F.expr(_NONE)).alias("terms"))
 
 
 def summary(found: DataFrame) -> DataFrame:
@@ -266,7 +271,7 @@ def sanitize(documents: DataFrame) -> DataFrame:
     Null texts stay null. Other columns keep their values, whatever their names.
     """
     scanned = scan(documents)
-    terms = term_spans(scanned, telling_terms(documents, scanned))
+    terms = term_spans(documents, scanned)
     columns, schema = documents.columns, documents.schema
     place = columns.index("text")
     key, extra = "_copy_of_text", "_terms_of_text"

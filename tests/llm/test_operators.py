@@ -480,6 +480,21 @@ def test_copies_do_not_hide_telling_terms(spark):
         assert [text[s.start : s.end] for s in found[i].terms] == (["Zyxwv"] if i < 5000 else [])
 
 
+def test_telling_terms_are_marked_wherever_they_occur(spark):
+    far = " ".join(f"filler{chr(97 + k)}" for k in range(20))
+    rows = [(k, f"Zyxwv wrote {far} from {chr(97 + k) * 5} to jo@ex.example. Again ZYXWV, zyxwv@home.example, zyxwvs.") for k in range(4)]
+    rows += [(10, "A page about Zyxwv alone"), (11, None), (12, "wrote filler from here to there again home")]
+    rows += [(100 + k, f"wrote {far} from the {chr(97 + k % 26)}{chr(97 + k // 26)}x to there again") for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in privacy.find(df).collect()}
+    marked = {i: [text[s.start : s.end] for s in found[i].terms] for i, text in rows if text}
+    assert all({"Zyxwv", "ZYXWV"} <= set(marked[k]) <= {"Zyxwv", "ZYXWV", "zyxwvs"} for k in range(4)) and marked[10] == ["Zyxwv"]
+    assert not any(t for i, t in marked.items() if i > 10)
+    clean = {r.doc_id: r.text for r in privacy.sanitize(df).collect()}
+    assert clean[10] == "A page about [TERM] alone" and clean[0].startswith("[TERM] wrote fillera") and clean[11] is None
+    assert clean[0].count("[EMAIL]") == 2 and not any("zyxwv " in (t or "").lower() for t in clean.values())
+
+
 def test_chance_is_the_tail_of_all_draws():
     for total, n_e, n_t in ((33, 6, 6), (40, 11, 7), (20, 19, 3), (60, 2, 2)):
         draws = math.comb(total, n_t)
