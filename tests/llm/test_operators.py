@@ -416,6 +416,20 @@ def test_open_pages_lose_what_their_host_repeats(spark):
     assert html.extract(df.where("false")).collect() == []
 
 
+def test_copied_pages_and_quotes_stay(spark):
+    notice = "we use many small words here to fill this long shared line"
+    quote = "to be or not to be that is the question he said"
+    own = lambda k: " ".join(f"{w}{k}" for w in ("only", "this", "page", "has", "these"))
+    copy = "a page of its own that was stored under many different numbers"
+    body = lambda k: f"{own(k)} {quote}" if k < 2 else own(k)
+    rows = [(k, f"https://h.example/{k}", f"<body><div>{notice}</div><p>{body(k)}</p></body>") for k in range(9)]
+    rows += [(20 + k, f"https://h.example/copy{k}", f"<body><div>{notice}</div><p>{copy}</p></body>") for k in range(6)]
+    rows += [(30 + k, f"https://two.example/{k}", f"<body><p>{copy}</p></body>") for k in range(2)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == body(k) for k in range(9))
+    assert {got[20 + k] for k in range(6)} | {got[30], got[31]} == {copy}
+
+
 # 9: archives
 
 
