@@ -10,6 +10,20 @@ def _words(text: str) -> str:
 
 _PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _crc(value: str) -> str:
+    """Unsigned crc32 of a number in decimal, bit by bit over its characters."""
+    bits = "list_reduce(list_prepend(xor(acc, b), range(8)), lambda a, k: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)"
+    text = f"cast({value} as varchar)"
+    letters = f"list_transform(range(1, strlen({text}) + 1), lambda i: cast(ascii(substr({text}, cast(i as int), 1)) as bigint))"
+    return f"xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), {letters}), lambda acc, b: {bits}))"
+
+
+def _leaf(n_chars: str) -> str:
+    values = [f"cast({c} as varchar)" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
 SQL: dict[str, str] = {
     "op1_embedding_near_dedup": """
 with recursive v as (
@@ -83,5 +97,65 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
   case when first = page_id then 'response' else 'revisit' end as record_type,
   case when first = page_id then null else first end as refers_to
 from p join letters using (page_id)
+""",
+    "op12_merkle_manifest": f"""
+with recursive d as (
+  select doc_id, lang, {_leaf("n_chars")} as leaf, case when {_crc("doc_id")} % 7 = 0 then {_leaf("(n_chars + 1)")} else {_leaf("n_chars")} end as now,
+    row_number() over (partition by lang order by doc_id nulls first, {_leaf("n_chars")}) - 1 as pos, count(*) over (partition by lang) as n
+  from documents
+),
+lv(lang, level, i, h, n) as (
+  select lang, 0, pos, leaf, n from d
+  union all select lang, level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from lv where n > 1 group by lang, level, i // 2, n
+),
+s as (select lang, h, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from lv where n = 1),
+tv(level, i, h, n) as (
+  select 0, pos, h, n from s
+  union all select level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from tv where n > 1 group by level, i // 2, n
+),
+levels as (select distinct lang, level from lv where n > 1),
+upper as (select distinct level from tv where n > 1),
+steps as (
+  select d.doc_id, d.leaf, 0 as tree, v.level, case when o.h is null then 'N' when o.i > (d.pos >> v.level) then 'R' || o.h else 'L' || o.h end as x
+  from d join levels v on v.lang is not distinct from d.lang
+  left join lv o on o.lang is not distinct from d.lang and o.level = v.level and o.i = xor(d.pos >> v.level, 1)
+  union all
+  select d.doc_id, d.leaf, 1, v.level, case when o.h is null then 'N' when o.i > (s.pos >> v.level) then 'R' || o.h else 'L' || o.h end
+  from d join s on s.lang is not distinct from d.lang cross join upper v left join tv o on o.level = v.level and o.i = xor(s.pos >> v.level, 1)
+),
+path as (select doc_id, leaf, list(x order by tree, level) as xs from steps group by doc_id, leaf),
+folded as (
+  select d.doc_id, d.leaf, s.h as subroot, (select h from tv where n = 1) as root,
+    sha256(array_to_string(list_transform(coalesce(xs, []), lambda x: substr(x, 2)), '')) as proof_sha256,
+    list_reduce(list_prepend(d.now, coalesce(xs, [])), lambda a, x: case x[1] when 'R' then sha256(a || substr(x, 2)) when 'L' then sha256(substr(x, 2) || a) else sha256(a) end) as folded_root
+  from d join s on s.lang is not distinct from d.lang left join path p on p.doc_id is not distinct from d.doc_id and p.leaf = d.leaf
+)
+select *, folded_root = root as verified from folded
+""",
+    "op13_prefix_trie": f"""
+with t as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first) - 1 as pos, coalesce(role, '') as r, coalesce(text, '') as x
+  from conversations where conv_id is not null
+),
+own as (select c, list({{'r': r, 'x': x}} order by pos) as w from t group by c),
+k as (select c, c - c % 100 as base, cast({_crc("c")} % 6 as bigint) as h, w from own),
+b as (
+  select k.c, list_concat(coalesce(list_slice(o.w, 1, h), []), coalesce(list_slice(k.w, h + 1, len(k.w)), [])) as p from k left join own o on o.c = k.base
+),
+m as (select c, list_slice(p, 1, d) as p, d, len(p) = d as ends from (select c, p, unnest(range(0, len(p) + 1)) as d from b)),
+n as (
+  select p, d, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * coalesce(length(p[-1].x), 0) as own,
+    coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where ends), '') as ends
+  from m group by p, d
+),
+kids as (select list_slice(p, 1, d - 1) as p, count(*) as n_children from n where d > 0 group by 1),
+full_n as (select n.*, coalesce(n_children, 0) as n_children from n left join kids using (p)),
+under as (
+  select list_slice(p, 1, e) as p, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum(own) as saved
+  from (select *, unnest(range(0, d + 1)) as e from full_n) group by 1
+)
+select f.conv_id, f.d as depth, q.conv_id as parent_conv_id, f.n_convs, f.n_children, cast(n_leaves as bigint) as n_leaves,
+  cast(saved as bigint) as saved_tokens, sha256(f.ends) as ends_sha256
+from full_n f join under using (p) left join full_n q on f.d > 0 and q.p = list_slice(f.p, 1, f.d - 1)
 """,
 }

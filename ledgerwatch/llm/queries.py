@@ -84,6 +84,32 @@ def op10_information_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(find(table(spark, sf_dir, "documents")))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.fingerprints import compare
+
+    return compare(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.language import remainder
+    from ledgerwatch.llm.merkle import verify
+
+    return verify(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerwatch.llm.language import remainder
+    from ledgerwatch.llm.trie import prefix_trie
+
+    conv_id = F.col("conv_id").cast("long")
+    return prefix_trie(table(spark, sf_dir, "conversations"), conv_id - conv_id % 100, remainder("conv_id", 6), 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files, op6_benchmark_decontamination, op7_quality_classifier, op8_html_extraction, op9_warc_revisits, op10_information_privacy)
-}
+    f.__name__: f
+    for f in (
+        op1_embedding_near_dedup, op2_language_id, op3_vector_packing, op4_ngram_jaccard_join, op5_rans_token_files,
+        op6_benchmark_decontamination, op7_quality_classifier, op8_html_extraction, op9_warc_revisits, op10_information_privacy,
+        op11_winnowing, op12_merkle_manifest, op13_prefix_trie,
+    )
+}
