@@ -204,6 +204,47 @@ def test_packing_keeps_all_limits(spark, odd, limits):
     packed_right(packing.pack(some, BYTES, limits=limits).collect(), texts, limits)
 
 
+def packed_parts(spark, limits):
+    """Sequences of conversations: pieces per sequence, each checked against the plain ids and loss mask."""
+    table = spark.read.parquet(f"{SF}/conversations.parquet")
+    own = {}
+    for r in sorted(table.collect(), key=lambda r: (r.conv_id, r.turn)):
+        own.setdefault(r.conv_id, []).append((r.text, r.role == "assistant"))
+    plain_ids, mask = {}, {}
+    for conv, parts in own.items():
+        ids = [x[:-1] for x in plain.token_ids([t for t, _ in parts], BYTES, 0)]
+        plain_ids[conv] = np.concatenate([*ids, [0]]).astype("<u4")
+        mask[conv] = np.concatenate([np.full(len(x), bears) for x, (_, bears) in zip(ids, parts, strict=True)] + [[parts[-1][1]]])
+    rows = packing.pack_parts(packing.conversation_parts(table), BYTES, limits=limits, with_ids=True).collect()
+    sequences, seen = {}, dict.fromkeys(own, 0)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == seen[r.doc_id]
+        seen[r.doc_id] += r.length
+        cut = slice(r.start, r.start + r.length)
+        assert bytes(r.ids) == plain_ids[r.doc_id][cut].tobytes()
+        assert r.loss_tokens == mask[r.doc_id][cut][1:].sum()
+        sequences.setdefault(r.sequence_id, []).append(r)
+    assert seen == {c: len(x) for c, x in plain_ids.items()}
+    used = [(sum(r.length for r in s), len(s), sum(r.loss_tokens for r in s)) for s in sequences.values()]
+    assert all(u <= l for x in used for u, l in zip(x, limits, strict=True))
+    return [sum(x[k] == limits[k] for x in used) / len(used) for k in range(3)]
+
+
+def test_each_limit_binds_on_conversations(spark):
+    assert packed_parts(spark, packing.Limits(512, 64, 512))[0] > 0.9
+    assert packed_parts(spark, packing.Limits(4096, 2, 4096))[1] > 0.9
+    tokens_full, _, loss_full = packed_parts(spark, packing.Limits(1024, 64, 200))
+    assert loss_full > 0.9 > tokens_full
+
+
+def test_packing_odd_parts(spark):
+    schema = "doc_id long, parts array<struct<text: string, bears_loss: boolean>>, start int"
+    rows = [(1, None, 0), (2, [], 0), (3, [(None, True), ("a b", None)], 0), (None, [("x", True)], 0), (4, [("long " * 5000, True), ("", False)], 0)]
+    got = packing.pack_parts(spark.createDataFrame(rows, schema), BYTES, limits=packing.Limits(64, 4, 32)).collect()
+    assert {r.doc_id: r.doc_tokens for r in got} == {1: 1, 2: 1, 3: 3, None: 2, 4: 5002}
+    assert sum(r.length for r in got if r.doc_id == 4) == 5002
+
+
 def test_packing_odd_tables(spark, odd):
     rows = packing.pack(odd, BYTES, with_ids=True).collect()
     assert all(len(r.ids) == 4 * r.length for r in rows)
