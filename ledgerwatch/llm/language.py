@@ -6,7 +6,8 @@ of the largest n from 5 to 1 for which any is known. A text's language has the l
 
 The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` texts of each language,
 chosen by a hash of the id, of which the ``WORDS`` commonest words and ``GRAMS`` commonest n-grams
-of each length are kept. Its size therefore depends on the number of languages only.
+of each length are kept. Its size therefore depends on the number of languages only, of which the
+``LANGUAGES`` commonest are learned.
 
 Whether a text is written in a learned language at all is another question, as some language always
 has the largest sum: its *likeness* is the mean log frequency per word of its trigrams in the language
@@ -27,6 +28,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from ledgerwatch.llm.common import mix
 
 SAMPLE = 1500
+#: So many of the commonest labels are learned, which bounds the model where labels are dirty.
+LANGUAGES = 1000
 WORDS = 20_000
 GRAMS = 6_000
 LONGEST = 5
@@ -42,7 +45,8 @@ SPREAD = 6.0
 LEAST_GAP = 3.5
 WORST = 0.75
 _END = np.uint64(0x2C)
-_SLICE = 1 << 20
+#: Characters, and rows, worked on at once: they bound what a worker holds besides its Arrow batch.
+_SLICE, _ROWS = 1 << 17, 512
 
 
 @functools.cache
@@ -139,10 +143,11 @@ def _table(lang: str, text: str) -> pa.RecordBatch:
     kinds, hashes, counts = [np.zeros(len(words), np.int32)], [words], [n]
     padded = _padded(points, starts[one], ends[one])
     for size in range(1, LONGEST + 1):
-        grams, m = np.unique(_gram_hashes(*padded, size)[0], return_counts=True)
+        found, word = _gram_hashes(*padded, size)
+        grams, at = np.unique(found, return_inverse=True)
         kinds.append(np.full(len(grams), size, np.int32))
         hashes.append(grams)
-        counts.append(m)
+        counts.append(np.bincount(at, weights=n[word], minlength=len(grams)))
     kind = np.concatenate(kinds)
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(kind), pa.string()), pa.array(kind), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(counts).astype(np.int64))],
@@ -193,8 +198,8 @@ class Model:
             rest = rest[per == 0]
         return total, used
 
-    def likeness(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The sum of each text's words' likeness to each language, and its number of words.
+    def likeness(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The sum of each text's words' likeness to each language, its words, and those with anything known.
 
         A word's likeness is the mean log frequency of its n-grams, unknown ones counting as unseen,
         or its own log frequency if that is larger. Letters beside a digit, as in keys, are no word.
@@ -216,7 +221,8 @@ class Model:
             mean = np.bincount(word, weights=np.where(row >= 0, logs[row, k], unseen[k]), minlength=len(starts)) / per
             mean[hit] = np.maximum(mean[hit], self.kinds[0][1][known[hit], k])
             total[:, k] = np.bincount(doc, weights=mean, minlength=len(texts))
-        return total, words
+        seen = hit | (np.bincount(word[row >= 0], minlength=len(starts)) > 0)
+        return total, words, np.bincount(doc[seen], minlength=len(texts))
 
     def unseen(self) -> np.ndarray:
         """By language, the log frequency of an n-gram that was not seen in it."""
@@ -230,12 +236,13 @@ class Model:
 def _sampled(labelled: DataFrame, sample: int, seed: str) -> tuple[list[str], DataFrame]:
     """The languages, and about ``sample`` labelled rows of each (doc_id, text, lang)."""
     labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # a row per language
+    commonest = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = {r[0]: r[1] for r in commonest.collect()}
     langs = sorted(sizes)
     if not langs:
         return langs, labelled
     share = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(min(1.0, sample / sizes[lang])))])
-    return langs, labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    return langs, labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 20))
 
 
 def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -262,106 +269,111 @@ def least_likeness(labelled: DataFrame, model: Model, sample: int = SAMPLE) -> f
     langs, chosen = _sampled(labelled, sample, "likeness")
     if not langs or LIKE not in model.kinds:
         return -np.inf
-    rows = _judged(chosen.select("lang", "text"), model, "_pred", "_score", "_like").where("_like is not null")
-    middle, low = rows.agg(F.percentile("_like", 0.5), F.percentile("_like", 0.05)).head()
+    shared = chosen.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _texts(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(_likeness(shared.value, texts), pa.float64())], names=["like"])
+
+    found = chosen.select("text").mapInArrow(run, "like double").where("like is not null")
+    middle, low = found.agg(F.percentile("like", 0.5), F.percentile("like", 0.05)).head()
     if middle is None:
         return -np.inf
     return max(middle - max(LEAST_GAP, SPREAD * (middle - low)), middle + WORST * (float(model.unseen().max()) - middle))
 
 
-def _predicted(shared, likeness: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            total = np.zeros((len(texts), max(1, len(model.langs))))
-            used = np.zeros(len(texts))
-            letters = np.zeros(len(texts), bool)
-            waiting: list[tuple[int, str]] = []
-            held = 0
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str | None]]:
+    """The last column, so many rows at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, _ROWS):
+            yield batch.column(batch.num_columns - 1).slice(first, _ROWS).to_pylist()
+
+
+def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Runs of pieces of the texts, about a slice together, with the text each belongs to."""
+    at, waiting, held = [], [], 0
+    for k, text in enumerate(texts):
+        for piece in _cut(text or ""):
+            at.append(k)
+            waiting.append(piece)
+            held += len(piece)
+            if held >= _SLICE:
+                yield np.array(at), waiting
+                at, waiting, held = [], [], 0
+    if waiting:
+        yield np.array(at), waiting
+
+
+def _scores(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """The language and score of each text."""
+    total, used = np.zeros((len(texts), max(1, len(model.langs)))), np.zeros(len(texts))
+    letters = np.array([any(map(str.isalpha, t or "")) for t in texts], bool)
+    if model.langs:
+        for at, pieces in _pieces(texts):
+            more, n = model.sums(pieces)
+            np.add.at(total, at, more)
+            np.add.at(used, at, n)
+    known = letters & bool(model.langs)
+    scaled = total * np.minimum(1.0, EVIDENCE / np.maximum(used, 1))[:, None]
+    scaled = np.exp(scaled - scaled.max(1, keepdims=True))
+    score = np.where(known, scaled.max(1) / scaled.sum(1), 0.0)
+    return [model.langs[b] if ok else UNKNOWN for b, ok in zip(scaled.argmax(1), known, strict=True)], score
 
-            def flush():
-                if waiting and model.langs:
-                    at = np.array([k for k, _ in waiting])
-                    more, n = model.sums([t for _, t in waiting])
-                    np.add.at(total, at, more)
-                    np.add.at(used, at, n)
-
-            for k, text in enumerate(texts):
-                for piece in _cut(text or ""):
-                    letters[k] |= any(map(str.isalpha, piece))
-                    waiting.append((k, piece))
-                    held += len(piece)
-                    if held >= _SLICE:
-                        flush()
-                        waiting, held = [], 0
-            flush()
-            known = letters & (used > 0)
-            scaled = total * np.minimum(1.0, EVIDENCE / np.maximum(used, 1))[:, None]
-            scaled = np.exp(scaled - scaled.max(1, keepdims=True))
-            best = scaled.argmax(1)
-            score = np.where(known, scaled.max(1) / scaled.sum(1), 0.0)
-            pred = [model.langs[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
-            kept = [batch.column(k) for k in range(batch.num_columns - 1)]
-            names = [*batch.schema.names[:-1], "_pred", "_score"]
-            found = [pa.array(pred, pa.string()), pa.array(score)]
-            if likeness:
-                names.append("_like")
-                found.append(pa.array(_likeness(model, texts, known), pa.float64()))
-            yield pa.RecordBatch.from_arrays([*kept, *found], names=names)
-
-    return run
-
-
-def _likeness(model: Model, texts: list[str | None], known: np.ndarray) -> list[float | None]:
-    """The likeness of each text, a mean per word, to the learned language it is most like."""
-    total, words = np.zeros((len(texts), max(1, len(model.langs)))), np.zeros(len(texts))
-    waiting: list[tuple[int, str]] = []
-    held = 0
-    pieces = ((k, piece) for k, text in enumerate(texts) if known[k] and LIKE in model.kinds for piece in _cut(text or ""))
-    for item in [*pieces, None]:
-        if item is not None:
-            waiting.append(item)
-            held += len(item[1])
-        if waiting and (item is None or held >= _SLICE):
-            at = np.array([k for k, _ in waiting])
-            more, n = model.likeness([t for _, t in waiting])
+
+def _likeness(model: Model, texts: list[str | None]) -> list[float | None]:
+    """The likeness of each text, a mean per word, to the learned language it is most like.
+
+    None for a text without a word, or without a word of which anything is known.
+    """
+    total, words, seen = np.zeros((len(texts), max(1, len(model.langs)))), np.zeros(len(texts)), np.zeros(len(texts))
+    if LIKE in model.kinds:
+        for at, pieces in _pieces(texts):
+            more, n, m = model.likeness(pieces)
             np.add.at(total, at, more)
             np.add.at(words, at, n)
-            waiting, held = [], 0
-    return [t / n if n else None for t, n in zip(total.max(1).tolist(), words.tolist(), strict=True)]
+            np.add.at(seen, at, m)
+    return [t / n if m else None for t, n, m in zip(total.max(1).tolist(), words.tolist(), seen.tolist(), strict=True)]
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score of every row's whole text.
 
-    A text that is null, empty, without a letter or without a known word or n-gram is ``und`` with
-    score 0, and so is every text if nothing was learned. Ties go to the language first in order. Other columns are ignored; repeated
+    A text that is null, empty or without a letter is ``und`` with score 0, and so is every text if nothing
+    was learned. One with letters but without a known word or n-gram gets the language first in order,
+    with the same share for each language as score; so do ties. Other columns are ignored; repeated
     rows are judged alike; an empty table gives no rows.
     """
-    return _judged(documents.select("doc_id", "text"), model, "lang_pred", "score")
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(first, _ROWS)
+                pred, score = _scores(shared.value, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+
+    rows = documents.select("doc_id", "text")
+    schema = StructType([rows.schema["doc_id"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def written_in_known(documents: DataFrame, model: Model, least: float = -np.inf) -> DataFrame:
     """The rows of ``documents``, with all their columns, that are written in a learned language.
 
-    Rejected are texts without a known word or n-gram, without a word apart from digits, and those
-    whose likeness is below ``least``.
+    Rejected are texts without a word apart from digits, or without a word of which itself or any
+    trigram is known, and those whose likeness is below ``least``. Rows pass as they came.
     """
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    pred, score, like = "_language_found", "_language_score", "_language_likeness"
-    rows = documents.select(*columns, F.col("text").alias("_text_judged"))
-    rows = _judged(rows, model, pred, score, like).where((F.col(pred) != UNKNOWN) & (F.col(like) >= float(least)))
-    return rows.select(*columns)
-
-
-def _judged(rows: DataFrame, model: Model, pred: str, score: str, like: str | None = None) -> DataFrame:
-    """The last column, a text, gives way to its language and score, and to its likeness if that is asked for."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    found = [StructField(pred, StringType()), StructField(score, DoubleType())]
-    if like:
-        found.append(StructField(like, DoubleType()))
-    return rows.mapInArrow(_predicted(shared, like is not None), StructType([*rows.schema.fields[:-1], *found]))
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(first, _ROWS)
+                likes = _likeness(shared.value, part.column(at).to_pylist())
+                yield part.filter(pa.array([x is not None and x >= least for x in likes], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 def remainder(doc_id: str, of: int) -> Column:

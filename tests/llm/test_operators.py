@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import sys
 from pathlib import Path
 
@@ -157,8 +158,49 @@ def test_unlearned_languages_and_gibberish_go(spark, docs):
     mixed = labelled.union(more.select("doc_id", "text", F.lit(None).cast("string")))
     kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, mixed, SF).collect()}
     assert kept == {r.doc_id for r in labelled.collect()}
-    found = language.predict(more, language.learn(docs)).collect()
-    assert {(r.lang_pred, r.score) for r in found if r.doc_id in (10**6 + 1, 10**6 + 2)} == {("und", 0.0)}
+    model = language.learn(docs)
+    found = language.predict(more, model).collect()
+    nothing_known = {(r.lang_pred, r.score) for r in found if r.doc_id in (10**6 + 1, 10**6 + 2)}
+    assert nothing_known == {(model.langs[0], 1 / len(model.langs))}
+
+
+def plain_language(labelled, text):
+    """Words first, then n-grams 5 to 1 of unseen words, over dictionaries."""
+    runs = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    grams = lambda w, n: [f",{w},"[k : k + n] for k in range(len(w) + 3 - n)]
+    langs = sorted({x for x, _ in labelled})
+    counts = {kind: {} for kind in range(6)}
+    for lang, known in labelled:
+        for w in runs(known):
+            for kind in range(6):
+                for g in [w] if kind == 0 else grams(w, kind):
+                    counts[kind].setdefault(g, dict.fromkeys(langs, 0))[lang] += 1
+    sums = {kind: {x: sum(c[x] for c in own.values()) + 0.5 * len(own) for x in langs} for kind, own in counts.items()}
+    log = lambda kind, g, x: math.log((counts[kind][g][x] + 0.5) / sums[kind][x])
+    total, used = dict.fromkeys(langs, 0.0), 0
+    for w in runs(text):
+        for kind in (0, 5, 4, 3, 2, 1):
+            found = [g for g in ([w] if kind == 0 else grams(w, kind)) if g in counts[kind] and g != ","]
+            if found:
+                used += 1
+                for x in langs:
+                    total[x] += sum(log(kind, g, x) for g in found) / len(found)
+                break
+    scaled = [math.exp((total[x] - max(total.values())) * min(1.0, language.EVIDENCE / max(used, 1))) for x in langs]
+    best = max(range(len(langs)), key=lambda k: (scaled[k], -k))
+    return langs[best], scaled[best] / sum(scaled)
+
+
+def test_scores_equal_a_plain_back_off(spark, docs):
+    rows = [r for r in docs.collect() if r.lang and r.text]
+    some = [(r.lang, r.text[:1500]) for r in rows[:60]] + [("xx", "ça où été naïve Ünï 漢字 漢"), ("xx", "1a2b l'été")]
+    labelled = spark.createDataFrame([(k, *x) for k, x in enumerate(some)], "doc_id long, lang string, text string").repartition(3)
+    model = language.learn(labelled.select("doc_id", "text", "lang"), words=10**6, grams=10**6)
+    texts = [r.text[:700] for r in rows[60:110]] + ["漢字", "été 漢語", "qzxqzx", "a b c", "l'ouïe"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language.predict(asked, model).collect():
+        lang, score = plain_language(some, texts[r.doc_id])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-9, texts[r.doc_id]
 
 
 # 3 and 5: tokens
