@@ -74,8 +74,8 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerwatch.llm.warc import read_archives, write_archives
 
     path = scratch(spark, "warc")
-    mark = write_archives(table(spark, sf_dir, "pages"), path)
-    return read_archives(spark, path, mark).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_information_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,19 +3,18 @@
 Headers (digest, size, page) are grouped by payload digest with a map-side-combined minimum,
 joined back to the headers, and each record is written once: the page with the smallest id of
 a payload as a response, others as revisits that name it and carry no payload. Payloads move
-once, by page id, never by digest, so a payload that a third of all pages share stays spread.
+once, by page id and digest, so a payload that a third of all pages share stays spread.
 
-Archives are gzipped WARC/1.1. Each record's first extension header holds a mark that is unique
-to the archive, which lets Spark cut its text at record starts; sizes come from
-``Content-Length`` and digests are checked on the payloads as read. A gzipped file is read by one
-task, so ``records_per_file`` bounds its length.
+Archives are gzipped WARC/1.1 with UTF-8 payloads. A gzipped file is read by one task, in order, so
+``records_per_file`` bounds its length. The reader takes any such archive: text is cut where
+``WARC/1.1`` begins a line, and cuts inside a payload are mended by ``Content-Length``; digests are
+checked on the payloads as read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,9 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
+VERSION = f"WARC/1.1{CRLF}"
 HOST = "urn:page:"
 #: A record is dated by its crawl; the tables have no date, so all records carry this one.
 DATE = "2024-01-01T00:00:00Z"
+#: Records that a reader's task hands on together.
+RECORDS = 256
 
 
 def _base32(sha1_hex: Column) -> Column:
@@ -41,31 +43,26 @@ def headers(pages: DataFrame) -> DataFrame:
 
 
 def resolve(heads: DataFrame, least: int = 0) -> DataFrame:
-    """Adds ``refers_to``: the first page with the same payload, null for that page itself.
+    """page_id, sha1, payload_bytes and ``refers_to``, the first page with that payload, of all other pages with it.
 
     Payloads under ``least`` bytes are all responses. Pages without an id are responses too and
     never referred to.
     """
+    payload = ["sha1", "payload_bytes"]
     known = heads.where("page_id is not null and payload_bytes >= %d" % least)
-    first = known.groupBy("sha1", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    shared = first.where("n > 1").select("sha1", "payload_bytes", "first")
-    revisits = (
-        known.join(shared, ["sha1", "payload_bytes"])
-        .where("page_id != first")
-        .select("page_id", F.col("first").alias("refers_to"))
-        .distinct()
-    )
-    return revisits
+    first = known.groupBy(*payload).agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
+    shared = first.where("n > 1").select(*payload, "refers_to")
+    return known.join(shared, payload).where("page_id != refers_to").select("page_id", *payload, "refers_to").distinct()
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file: int = 20_000) -> str:
-    """Write one record per page below ``path``; returns the archives' mark.
+def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file: int = 20_000) -> None:
+    """Write one record per page below ``path``.
 
     ``pages`` needs page_id, url and html. Extra columns are ignored. Null urls are written as an
     empty target, a null html as an empty payload. A page id that occurs more than once gives a
-    record each time; only other ids count as revisited.
+    record each time, each by its own payload: of equal payloads all records of the smallest id are
+    responses. An empty table gives an archive without records.
     """
-    mark = uuid.uuid4().hex
     pages = pages.select("page_id", "url", "html")
     revisits = resolve(headers(pages), least)
     text = F.coalesce(F.col("html"), F.lit(""))
@@ -75,7 +72,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file
     clean_url = F.regexp_replace(F.coalesce("url", F.lit("")), "[\\r\\n]", "")
     digest = F.concat(F.lit("sha1:"), _base32(F.sha1(body)))
     record = F.concat(
-        F.lit(f"WARC/1.1{CRLF}X-Archive-Mark: {mark}{CRLF}WARC-Type: "),
+        F.lit(f"{VERSION}WARC-Type: "),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         F.lit(f"{CRLF}WARC-Date: {DATE}{CRLF}WARC-Record-ID: <{HOST}"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("none")),
@@ -97,31 +94,59 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file
         F.lit(CRLF + CRLF),
         payload,
     )
-    joined = pages.join(revisits, "page_id", "left")
+    keyed = pages.select("*", F.sha1(body).alias("sha1"), F.octet_length(body).cast("long").alias("payload_bytes"))
+    joined = keyed.join(revisits, ["page_id", "sha1", "payload_bytes"], "left")
     writer = joined.select(record.alias("value")).write.option("lineSep", CRLF + CRLF)
     writer.option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
-    return mark
 
 
-def read_archives(spark: SparkSession, path: str, mark: str) -> DataFrame:
+def _fields(text: str) -> dict[str, str]:
+    head = text.partition(CRLF + CRLF)[0]
+    return dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in head.split(CRLF))
+
+
+def _records(parts: Iterator[str]) -> Iterator[str]:
+    """Whole records from the text between version lines: a part that ends before its record's length
+    says belongs together with the next ones."""
+    held: list[str] = []
+    missing = 0
+    for part in parts:
+        if held:
+            held.append(VERSION + part)
+            missing -= len(held[-1].encode())
+        elif part.strip(CRLF):
+            held = [part]
+            missing = int(_fields(part)["Content-Length"]) - len(part.partition(CRLF + CRLF)[2].encode())
+        if held and missing <= 0:
+            yield "".join(held)
+            held = []
+    if held:
+        raise ValueError(f"record {_fields(held[0])['WARC-Record-ID']} ends before its length says")
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of archives as page_id, url, payload, payload_bytes, payload_digest,
     record_type and refers_to; fails on a record whose size or digest does not hold."""
-    lines = spark.read.option("lineSep", f"WARC/1.1{CRLF}X-Archive-Mark: {mark}{CRLF}").text(path)
+    lines = spark.read.option("lineSep", VERSION).text(path)
     schema = "page_id long, url string, payload string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([_record(v) for v in batch["value"] if v], columns=schema_names).astype(kinds)
-
-    schema_names = [c.split()[0] for c in schema.split(", ")]
+        waiting = []
+        for text in _records(part for batch in batches for part in batch["value"]):
+            waiting.append(_record(text))
+            if len(waiting) >= RECORDS:
+                yield pd.DataFrame(waiting, columns=names).astype(kinds)
+                waiting = []
+        yield pd.DataFrame(waiting, columns=names).astype(kinds)
+
+    names = [c.split()[0] for c in schema.split(", ")]
     kinds = {"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"}
     return lines.mapInPandas(parse, schema)
 
 
 def _record(text: str) -> tuple:
-    head, _, rest = text.partition(CRLF + CRLF)
-    field = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in head.split(CRLF))
-    body = rest.encode()
+    field = _fields(text)
+    body = text.partition(CRLF + CRLF)[2].encode()
     size = int(field["Content-Length"])
     if body[size:].strip(b"\r\n") or len(body) < size:
         raise ValueError(f"record {field['WARC-Record-ID']} does not end where its length says")
