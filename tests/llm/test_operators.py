@@ -1,9 +1,13 @@
 """Operators against plain versions, on the smallest tables and on odd ones."""
 
+import base64
+import gzip
+import hashlib
 import math
 import random
 import re
 import sys
+import time
 from pathlib import Path
 
 import numpy as np
@@ -487,6 +491,74 @@ def test_blocks_of_marked_and_broken_pages():
         html.blocks(odd_page)
 
 
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("<svg class=x/><p>on", "on"),
+        ("<svg><path d='M0'/><p>on</p>", "on"),
+        ("<!--><p>on", "on"),
+        ("<!---><p>on", "on"),
+        ("<!-- <p>off</p> --><p>on", "on"),
+        ('<p>see <a title="the hidden gem">this</a>', "see this"),
+        ("<p hidden>off</p><p>on", "on"),
+        ("<p data-x=it's>hello", "hello"),
+        ('<p class="lead share">one</p><p id="reply-rate">two</p><div class="entry-header"><h1>three</h1></div>', "one\ntwo\nthree"),
+        ('<p>one</p><div class="comments"><p>off</p></div><section id="comments">off</section>', "one"),
+        ("<p>1 < 2 <3 </ a> &lt;b&gt;", "1 < 2 <3 <b>"),
+        ("<p>a<b>b<i>c</b>d</i>e<br>f", "abcde f"),
+        ("<p>one<p>two<ul><li>three<li>four</ul>five", "one\ntwo\nthree\nfour\nfive"),
+        ("<p>on<script>off</script >on<style>off", "onon"),
+        ("<p>on <p title='unclosed>off", "on"),
+    ],
+)
+def test_mark_up_keeps_article_text(inside, text):
+    assert "\n".join(t for t, place in html.blocks(f"<nav>menu</nav><article>{inside}") if place == 2) == text
+
+
+@pytest.mark.parametrize("unit", ["<a'", "<a '", '<a b="', "<b>", "<p>", "</x>", "<b hidden>", "<!", "<!--", "</", "<", "<a b=c", "<svg>", "<span hidden></p>", "&amp", "<script>", "<li><b>x"])
+def test_hostile_pages_are_read_in_linear_time(unit):
+    page = "<article>" + unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    html.blocks(page)
+    assert time.process_time() - began < 20
+
+
+def plain_open_text(pages):
+    """url, blocks per page -> texts: tokens in runs of LONG that stand on enough distinct pages of the host go."""
+    streams = [tuple(" ".join(own).split()) for _, own in pages]
+    runs = lambda s: [s[k : k + html.LONG] for k in range(len(s) - html.LONG + 1)]
+    out = []
+    for (host, own), stream in zip(pages, streams, strict=True):
+        distinct = {s for (h, _), s in zip(pages, streams, strict=True) if h == host}
+        covered = set()
+        for k, run in enumerate(runs(stream)):
+            n = sum(run in runs(s) for s in distinct)
+            if n >= html.PAGES and n >= html.SHARE * len(distinct):
+                covered.update(range(k, k + html.LONG))
+        at, kept = 0, []
+        for block in own:
+            words = block.split()
+            kept.append(" ".join(w for k, w in enumerate(words, at) if k not in covered))
+            at += len(words)
+        out.append("\n".join(x for x in kept if x))
+    return out
+
+
+def test_open_pages_equal_a_plain_version(spark):
+    rng = random.Random(11)
+    notice = [" ".join(f"n{k}x{j}" for j in range(rng.randrange(5, 30))) for k in range(6)]
+    pages = []
+    for k in range(90):
+        own = [rng.choice(notice) for _ in range(rng.randrange(4))] + [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(1, 40))) for _ in range(3)]
+        rng.shuffle(own)
+        pages.append((f"h{k % 4}", own))
+    pages += [pages[0], pages[5], pages[5]]
+    rows = [(k, f"http://{h}/{k}", "".join(f"<div>{b}</div>" for b in own)) for k, (h, own) in enumerate(pages)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(len(pages))] == plain_open_text(pages)
+    assert sum(got[k] != "\n".join(own) for k, (_, own) in enumerate(pages)) > 30
+
+
 def test_open_pages_lose_what_their_host_repeats(spark):
     notice = "we use many small words here to fill this long shared line"
     own = lambda k: " ".join(f"{w}{k}" for w in ("only", "this", "page", "has", "these"))
@@ -517,12 +589,12 @@ def test_copied_pages_and_quotes_stay(spark):
 
 
 def test_odd_archives(spark):
-    tricky = "WARC/1.1\r\nX-Archive-Mark: nope\r\n\r\nbody\r\n\r\n\U0001f600\x00"
+    tricky = "WARC/1.1\r\nWARC-Type: nope\r\n\r\nbody\r\n\r\n\U0001f600\x00WARC/1.1\r\n"
     rows = [(1, "u", tricky), (2, None, tricky), (3, "u\r\nv", None), (4, "u", ""), (5, "w", "long " * 100_000), (None, "n", tricky), (1, "u", tricky)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, payload_bytes int")
     path = common.scratch(spark, "odd-warc")
-    mark = warc.write_archives(df, path)
-    got = sorted(map(tuple, warc.read_archives(spark, path, mark).collect()), key=repr)
+    warc.write_archives(df, path)
+    got = sorted(map(tuple, warc.read_archives(spark, path).collect()), key=repr)
     assert len(got) == len(rows)
     kinds = [(r[0], r[5], r[6]) for r in got]
     assert sorted(kinds, key=repr) == sorted(
@@ -530,10 +602,36 @@ def test_odd_archives(spark):
     )
     assert {r[2] for r in got if r[0] == 1} == {tricky} and {r[3] for r in got if r[0] == 5} == {500_000}
     path = common.scratch(spark, "least")
-    mark = warc.write_archives(df, path, least=10**6)
-    assert {r.record_type for r in warc.read_archives(spark, path, mark).collect()} == {"response"}
+    warc.write_archives(df, path, least=10**6)
+    assert {r.record_type for r in warc.read_archives(spark, path).collect()} == {"response"}
     path = common.scratch(spark, "no-warc")
-    assert warc.read_archives(spark, path, warc.write_archives(df.where("false"), path)).collect() == []
+    warc.write_archives(df.where("false"), path)
+    assert warc.read_archives(spark, path).collect() == []
+
+
+def test_a_page_id_with_several_payloads_keeps_them_all(spark):
+    rows = [(3, "AAA"), (4, "AAA"), (5, "AAA"), (5, "BBB unique"), (5, "AAA"), (6, "BBB unique"), (5, "CCC")]
+    path = common.scratch(spark, "repeated-warc")
+    warc.write_archives(spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string"), path)
+    got = sorted((r.page_id, r.payload, r.record_type, r.refers_to) for r in warc.read_archives(spark, path).collect() if r.payload)
+    assert got == [(3, "AAA", "response", None), (5, "BBB unique", "response", None), (5, "CCC", "response", None)]
+    revisits = sorted((r.page_id, r.refers_to) for r in warc.read_archives(spark, path).collect() if r.record_type == "revisit")
+    assert revisits == [(4, 3), (5, 3), (5, 3), (6, 5)]
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    def record(page, body, more=""):
+        digest = base64.b32encode(hashlib.sha1(body.encode()).digest()).decode()
+        head = f"WARC/1.1\r\nWARC-Record-ID: <urn:page:{page}>\r\nContent-Length: {len(body.encode())}\r\nWARC-Type: response\r\n"
+        return f"{head}WARC-Target-URI: u\r\nWARC-Payload-Digest: sha1:{digest}\r\n{more}\r\n{body}\r\n\r\n".encode()
+
+    members = [record(1, "é\r\n\r\nWARC/1.1\r\nWARC/1.1\r\n"), record(2, ""), record(3, "x" * 70_000, "X-Other: y\r\n")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, members)))
+    got = {r.page_id: r.payload for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert got == {1: "é\r\n\r\nWARC/1.1\r\nWARC/1.1\r\n", 2: "", 3: "x" * 70_000}
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(members[2][:500]))
+    with pytest.raises(Exception, match="ends before its length"):
+        warc.read_archives(spark, str(tmp_path / "b.warc.gz")).collect()
 
 
 # 10: personal data
