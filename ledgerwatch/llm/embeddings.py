@@ -8,6 +8,9 @@ come within epsilon. A pair of sequences is halved recursively; halves whose box
 epsilon are skipped. At the leaves the distance on the leading axes excludes most pairs, and what is
 left is decided by the cosine of the given vectors in double precision.
 
+Vectors of one width are compared with each other: order, sequences and cells are per width. The axes of
+the ``WIDTHS`` commonest widths of at most ``WIDEST`` components are worked out, others keep their own.
+
 Equal vectors become one with a multiplicity first. A pair of sequences returns a count per
 vector and a spanning forest of its links, not the links, so a dense group costs no rows.
 """
@@ -20,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ LEAF = 256
 GRID_AXES = 4
 LEAD_AXES = 16
 SLACK = 1e-7
+#: Bounds of the sums for principal axes, which hold WIDTHS * WIDEST * WIDEST numbers at most.
+WIDTHS, WIDEST = 16, 2048
 
 _KEYED = "vec_id long, cls binary, vector array<double>"
 
@@ -71,31 +77,50 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
+def _by_width(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(width, rows) of the vectors of each width in a batch."""
+    widths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for width in np.unique(widths):
+        yield int(width), np.flatnonzero(widths == width)
+
+
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
+    totals: dict[int, np.ndarray] = {}
     for batch in batches:
-        if batch.num_rows:
-            u = _unit(_matrix(batch.column(0)))
-            total = u.T @ u + (0 if total is None else total)
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "row"])
+        for width, rows in _by_width(batch.column(0)):
+            u = _unit(_matrix(batch.column(0).take(pa.array(rows))))
+            totals[width] = u.T @ u + totals.get(width, 0)
+    for width, total in totals.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([width] * width, pa.int32()), pa.array(range(width), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["w", "i", "row"]
+        )
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
+    sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        for i, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            sums[i] = sums.get(i, 0) + np.asarray(row.values, np.float64)
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["i", "row"])
+        for w, i, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            sums[w, i] = sums.get((w, i), 0) + np.asarray(row.values, np.float64)
+    columns = [pa.array([k[j] for k in sums], pa.int32()) for j in (0, 1)]
+    yield pa.RecordBatch.from_arrays([*columns, pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["w", "i", "row"])
+
 
+def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """By width, columns of axes, most spread first, for the commonest widths; the sums do not grow with the rows."""
+    sizes = vectors.groupBy(F.size("vector").alias("w")).count().where(F.col("w") <= WIDEST)
+    widths = [r[0] for r in sizes.orderBy(F.desc("count"), "w").limit(WIDTHS).collect()]
+    if not widths:
+        return {}
+    sums = vectors.where(F.size("vector").isin(widths)).select("vector").mapInArrow(_spread, "w int, i int, row array<double>")
+    totals = {w: np.zeros((w, w)) for w in widths}
+    for w, i, row in sums.repartition("w", "i").mapInArrow(_added, "w int, i int, row array<double>").toLocalIterator():
+        totals[w][i] = row
+    return {w: np.linalg.eigh(total)[1][:, ::-1][:, :LEAD_AXES].copy() for w, total in totals.items()}
 
-def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
-    """Columns are axes, most spread first. The sums are width x width whatever the row count."""
-    sums = vectors.select("vector").mapInArrow(_spread, "i int, row array<double>").repartition("i").mapInArrow(_added, "i int, row array<double>")
-    total = np.zeros((width, width))
-    for i, row in sums.collect():
-        total[i] = row
-    return np.linalg.eigh(total)[1][:, ::-1].copy()
+
+def _lead(axes: dict[int, np.ndarray], width: int, n: int) -> np.ndarray:
+    """The first ``n`` axes of a width, or all of them if it has fewer."""
+    return axes[width][:, :n] if width in axes else np.eye(width, min(n, width))
 
 
 _CELLS = ", ".join(f"c{k} int" for k in range(GRID_AXES))
@@ -103,34 +128,32 @@ _CELLS = ", ".join(f"c{k} int" for k in range(GRID_AXES))
 
 def _placed(axes, epsilon: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = axes.value[:, :GRID_AXES]
         for batch in batches:
-            y = _unit(_matrix(batch.column(2))) @ lead if batch.num_rows else np.zeros((0, lead.shape[1]))
-            cells = np.zeros((len(y), GRID_AXES), np.int32)
-            cells[:, : y.shape[1]] = np.floor(y / epsilon)
-            arrays = [*batch.columns, *[pa.array(cells[:, k]) for k in range(GRID_AXES)]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "copies", "vector", *[f"c{k}" for k in range(GRID_AXES)]])
+            cells = np.zeros((batch.num_rows, GRID_AXES), np.int32)
+            for width, rows in _by_width(batch.column(2)):
+                y = _unit(_matrix(batch.column(2).take(pa.array(rows)))) @ _lead(axes.value, width, GRID_AXES)
+                cells[rows, : y.shape[1]] = np.floor(y / epsilon)
+            arrays = [*batch.columns, pc.list_value_length(batch.column(2)).cast(pa.int32()), *[pa.array(cells[:, k]) for k in range(GRID_AXES)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "copies", "vector", "w", *[f"c{k}" for k in range(GRID_AXES)]])
 
     return run
 
 
-_SEQUENCE = "sequence long, first int, last int, low array<double>, high array<double>, nodes array<long>, copies array<long>, vectors binary"
+_SEQUENCE = "sequence long, w int, first int, last int, low array<double>, high array<double>, nodes array<long>, copies array<long>, vectors binary"
 
 
 def _sequences(axes):
     """Packs rows that come sorted by sequence; a sequence has at most ``SEQUENCE`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = axes.value[:, :LEAD_AXES]
-
         def packed(part: pa.Table) -> pa.RecordBatch:
             x = _matrix(part.column(2).combine_chunks())
-            y, c = _unit(x) @ lead, part.column(3).to_pylist()
+            y, c = _unit(x) @ _lead(axes.value, x.shape[1], LEAD_AXES), part.column(3).to_pylist()
             row = {
-                "sequence": part.column(4)[0].as_py(), "first": min(c), "last": max(c), "low": y.min(0).tolist(), "high": y.max(0).tolist(),
+                "sequence": part.column(4)[0].as_py(), "w": x.shape[1], "first": min(c), "last": max(c), "low": y.min(0).tolist(), "high": y.max(0).tolist(),
                 "nodes": part.column(0).to_pylist(), "copies": part.column(1).to_pylist(), "vectors": x.tobytes(),
             }
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], names=list(row))
 
         waiting: list[pa.RecordBatch] = []
@@ -153,17 +176,17 @@ def _sequences(axes):
 
 
 def _ranked(placed: DataFrame, cells: list[str]) -> DataFrame:
-    """node, copies, vector, c0, sequence, place: grid order, cut every ``SEQUENCE`` rows.
+    """node, copies, vector, c0, sequence, place: grid order by width, cut every ``SEQUENCE`` rows and between widths.
 
     The sorted rows are written once; a part's ranks follow those of the parts before it.
     """
-    ordered = placed.repartitionByRange(*cells, "node").sortWithinPartitions(*cells, "node")
+    ordered = placed.repartitionByRange("w", *cells, "node").sortWithinPartitions("w", *cells, "node")
     ordered = staged(ordered.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "grid-order")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
     sizes = ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     sizes = sizes.select("part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     rank = F.col("place") - F.col("first") + F.col("before")
-    ranked = ordered.join(sizes, "part").select("node", "copies", "vector", "c0", F.floor(rank / SEQUENCE).cast("long").alias("sequence"), "place")
+    ranked = ordered.join(sizes, "part").select("node", "copies", "vector", "c0", F.xxhash64("w", F.floor(rank / SEQUENCE)).alias("sequence"), "place")
     return ranked.repartition("sequence").sortWithinPartitions("sequence", "place")
 
 
@@ -248,14 +271,13 @@ def _half(n: int) -> int:
 
 def _joined(axes, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = axes.value[:, :LEAD_AXES]
         for batch in batches:
             for k in range(batch.num_rows):
                 a, b, na, nb, ca, cb, va, vb = (batch.column(j)[k].as_py() for j in range(8))
                 x = np.frombuffer(va, np.float64).reshape(len(na), -1)
                 y = None if a == b else np.frombuffer(vb, np.float64).reshape(len(nb), -1)
                 wx, wy = np.array(ca, np.int64), np.array(cb, np.int64)
-                count_x, count_y, root = join_sequences(x, y, lead, cosine, wx, wy)
+                count_x, count_y, root = join_sequences(x, y, _lead(axes.value, x.shape[1], LEAD_AXES), cosine, wx, wy)
                 nodes = np.array(na if y is None else na + nb, np.int64)
                 counts = count_x if y is None else np.concatenate([count_x, count_y])
                 hit = counts > 0
@@ -269,8 +291,8 @@ def _joined(axes, cosine: float):
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Per row of ``embeddings`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
-    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, as
-    do vectors of another width than most. Rows that share a vec_id are vectors of their own
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; others link
+    with vectors of their own width. Rows that share a vec_id are vectors of their own
     that belong to one component; a row without a vec_id links nothing, has a null component and is
     kept. Labels and other columns are ignored; an empty table gives no rows.
     """
@@ -279,30 +301,28 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     keyed = staged(keyed, "vectors")
     spark = keyed.sparkSession
     usable = keyed.where("cls is not null and vec_id is not null")
-    widths = usable.groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), "w").head(1)
-    width = widths[0][0] if widths else 1
-    usable = usable.where(F.size("vector") == width)
     first = usable.groupBy("cls").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     # A vec_id may have several vectors, so classes are numbered apart from ids.
     classes = staged(first.withColumn("node", F.monotonically_increasing_id()), "classes")
-    axes = spark.sparkContext.broadcast(principal_axes(usable, width))
+    axes = spark.sparkContext.broadcast(principal_axes(usable))
     one = usable.join(classes.select("cls", F.col("id").alias("vec_id"), "node", "copies"), ["cls", "vec_id"])
     one = one.dropDuplicates(["node"]).select("node", "copies", "vector")
-    placed = staged(one.mapInArrow(_placed(axes, epsilon), f"node long, copies long, vector array<double>, {_CELLS}"), "placed")
+    placed = staged(one.mapInArrow(_placed(axes, epsilon), f"node long, copies long, vector array<double>, w int, {_CELLS}"), "placed")
     cells = [f"c{k}" for k in range(GRID_AXES)]
     sequences = staged(_ranked(placed, cells).mapInArrow(_sequences(axes), _SEQUENCE), "sequences")
 
-    box = sequences.select("sequence", "first", "last", "low", "high")
-    here = box.select("sequence", "low", "high", F.explode(F.sequence("first", "last")).alias("cell"))
-    near = box.select("sequence", "low", "high", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("cell"))
+    box = sequences.select("sequence", "w", "first", "last", "low", "high")
+    here = box.select("sequence", "w", "low", "high", F.explode(F.sequence("first", "last")).alias("cell"))
+    near = box.select("sequence", "w", "low", "high", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("cell"))
     gap = F.zip_with(
         F.arrays_zip(F.col("p.low").alias("l"), F.col("p.high").alias("h")),
         F.arrays_zip(F.col("q.low").alias("l"), F.col("q.high").alias("h")),
         lambda x, y: F.pow(F.greatest(F.lit(0.0), x["l"] - y["h"], y["l"] - x["h"]), 2),
     )
+    touch = (F.col("p.w") == F.col("q.w")) & (F.col("p.cell") == F.col("q.cell")) & (F.col("p.sequence") <= F.col("q.sequence"))
     close = F.aggregate(gap, F.lit(0.0), lambda s, g: s + g) <= (epsilon + SLACK) ** 2
-    pairs = here.alias("p").join(near.alias("q"), (F.col("p.cell") == F.col("q.cell")) & (F.col("p.sequence") <= F.col("q.sequence")) & close)
-    back = near.alias("p").join(here.alias("q"), (F.col("p.cell") == F.col("q.cell")) & (F.col("p.sequence") <= F.col("q.sequence")) & close)
+    pairs = here.alias("p").join(near.alias("q"), touch & close)
+    back = near.alias("p").join(here.alias("q"), touch & close)
     pairs = pairs.union(back).select(F.col("p.sequence").alias("a"), F.col("q.sequence").alias("b")).distinct()
     pairs = staged(pairs, "sequence-pairs")
     side = lambda c: sequences.select(F.col("sequence").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("nodes", "copies", "vectors")])

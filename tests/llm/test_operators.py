@@ -65,7 +65,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -97,6 +97,22 @@ def test_odd_embeddings(spark):
     assert [r[2] for r in rows] == [1, 1, 1, 1]
 
 
+@pytest.mark.parametrize(("length", "widths"), [(4096, 16), (30, 2)])
+def test_vectors_link_with_those_of_their_width(spark, monkeypatch, length, widths):
+    monkeypatch.setattr(embeddings, "SEQUENCE", length)
+    monkeypatch.setattr(embeddings, "WIDTHS", widths)
+    rng = np.random.default_rng(6)
+    vectors = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, [3.0, 0.1]), (6, [4.0]), (7, [-4.0]), (8, [0.5])]
+    for k, width in enumerate([40] * 60 + [7] * 50 + [20] * 30 + [1] * 5, 10):
+        vectors.append((k, (rng.integers(0, 2, width) * 4 + rng.normal(size=width)).tolist()))
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    want = {}
+    for width in {len(v) for _, v in vectors}:
+        want |= plain.cosine_links([(i, v) for i, v in vectors if len(v) == width])
+    assert got == want and got[1] == (1, 1) and got[3] == (1, 3)
+
+
 def test_small_sequences_and_leaves_agree(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "LEAF", 4)
     rng = np.random.default_rng(5)
