@@ -54,18 +54,15 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, size: int = W
 
 def judge(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """As ``contaminated_words``, with ``copy``, a hash of the text."""
-    documents = documents.select("doc_id", "text")
+    documents = documents.select("doc_id", "text", F.xxhash64("text").alias("copy"))
     named = staged(
         item_windows(benchmark, size).select("item_id", "window", F.xxhash64("window").alias("wid")), "windows"
     )
     windows = named.select("wid", "window").distinct()
     vocabulary = staged(windows.select(F.explode("window").alias("word")).distinct(), "vocabulary")
-    counts = (
-        documents.select(F.explode(words(F.col("text"))).alias("word"))
-        .join(vocabulary, "word", "left_semi")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-    )
+    # counted in the map tasks before words meet, so that a common word is a row per task
+    counts = documents.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = counts.join(vocabulary, "word", "left_semi")
     places = windows.select("wid", "window", F.posexplode("window").alias("at", "word"))
     anchors = staged(
         places.join(counts, "word", "left")
@@ -75,19 +72,19 @@ def judge(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Dat
         .select("wid", "window", F.size("window").alias("len"), "rarest.word", "rarest.at"),
         "anchors",
     )
-    token = documents.select("doc_id", words(F.col("text")).alias("w")).select(
-        "doc_id", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word")
+    token = documents.select("doc_id", "copy", words(F.col("text")).alias("w")).select(
+        "doc_id", "copy", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word")
     )
     candidates = staged(
         token.join(anchors, "word")
         .withColumn("start", F.col("pos") - F.col("at"))
         .where("start >= 0 and start + len <= n")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "copy")  # a group is one text, whether or not it has an id of its own
         .agg(F.collect_set(F.struct("start", "wid", "window")).alias("found")),
         "candidates",
     )
-    here = documents.withColumn("copy", F.xxhash64("text")).alias("d").join(candidates.alias("c"), F.expr("d.doc_id <=> c.doc_id"), "left")
-    here = here.select("d.doc_id", "copy", words(F.col("text")).alias("w"), F.coalesce("found", F.expr("cast(array() as array<struct<start:int,wid:bigint,window:array<string>>>)")).alias("found"))
+    here = documents.alias("d").join(candidates.alias("c"), F.expr("d.doc_id <=> c.doc_id and d.copy = c.copy"), "left")
+    here = here.select("d.doc_id", "d.copy", words(F.col("text")).alias("w"), F.coalesce("found", F.expr("cast(array() as array<struct<start:int,wid:bigint,window:array<string>>>)")).alias("found"))
     hits = F.filter("found", lambda c: F.slice("w", c["start"] + 1, F.size(c["window"])) == c["window"])
     here = here.select("doc_id", "copy", F.size("w").cast("long").alias("n_words"), hits.alias("hits"))
     covered = F.flatten(F.transform("hits", lambda c: F.sequence(c["start"], c["start"] + F.size(c["window"]) - 1)))
