@@ -1,16 +1,20 @@
 """Personal data: pattern spans, and terms that disclose the protected entities they occur with.
 
 Pattern spans (e-mail, IP, card, phone) are found in whole texts. Each value found is a protected
-entity. The words of the texts that have it are terms that may disclose it. All counts are of distinct texts, so copies
+entity, and so is the class it belongs to: its e-mail domain, network, issuer or dialling prefix, as a term
+may give away whose data it is without giving away the value. The words of the texts that have an
+entity are terms that may disclose it. All counts are of distinct texts, so copies
 neither make a term telling nor hide it: of N texts n(e) have entity e, n(t) term t, n(t, e) both.
 
 * certainty P(e | t) = n(t, e) / n(t),
-* chance: the probability that n(t) texts drawn from N have the entity n(t, e) times or more
-  (hypergeometric), times the number of pairs looked at.
+* information in bits, log2 P(e | t) / P(e): how much less is left to guess of the entity,
+* chance: by Chernoff's bound at most exp(-n(t) KL(P(e | t) || P(e))) that n(t) texts drawn from N have the
+  entity n(t, e) times or more, times the number of pairs looked at.
 
 Terms of at least ``CERTAINTY`` whose chance is at most ``LEVEL`` are generalised wherever they occur, in
-texts without the entity too. No pair of an entity has less chance than 1 / C(N, n(e)), so entities that cannot
-come below the level drop out before terms are counted.
+texts without the entity too. No pair of an entity has less chance than (n(e) / N) ** n(e), so entities that
+cannot come below the level drop out before terms are counted, and so do terms so common that no entity is as
+frequent as certainty asks for.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.common import staged
@@ -29,8 +33,8 @@ from ledgerwatch.llm.common import staged
 KINDS = ("email", "ip", "card", "phone")
 CERTAINTY = 0.5
 LEVEL = 0.05
-#: Lengths of words that count as terms; longer runs are no words.
-SHORT, TERM = 3, 40
+#: Leading parts that make a class: numbers of an address, digits of a card and of a phone number.
+NETWORK, ISSUER, DIALLING = 2, 6, 5
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -101,11 +105,23 @@ def words(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, i
             while k < len(spans) and spans[k][0] < at:
                 reach = max(reach, spans[k][2])
                 k += 1
-            if SHORT <= len(run) <= TERM and reach <= start and run.isalpha():
+            if reach <= start and run.isalpha():
                 yield run.lower(), start, at
 
 
-_SCAN = "doc_id long, copy long, base array<struct<start:int,kind:int,end:int>>, entities array<string>, terms array<string>"
+def protected(kind: int, value: str) -> tuple[str, str]:
+    """A pattern match as an entity, and the class it belongs to."""
+    if kind == 0:
+        value = value.lower()
+        return f"email:{value}", f"domain:{value.rpartition('@')[2]}"
+    if kind == 1:
+        parts = [str(int(p[-4:])) for p in value.split(".")]
+        return f"ip:{'.'.join(parts)}", f"network:{'.'.join(parts[:NETWORK])}"
+    digits = re.sub("[^0-9]", "", value)
+    return (f"card:{digits}", f"issuer:{digits[:ISSUER]}") if kind == 2 else (f"phone:{digits}", f"dialling:{digits[:DIALLING]}")
+
+
+_SCAN = "doc_id long, copy binary, base array<struct<start:int,kind:int,end:int>>, entities array<string>, terms array<string>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
 
@@ -117,8 +133,7 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bases.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
             own = set()
             for a, kind, b in spans:
-                value = text[a:b].lower() if kind == 0 else re.sub("[^0-9.]" if kind == 1 else "[^0-9]", "", text[a:b])
-                own.add(f"{KINDS[kind]}:{value}")
+                own.update(protected(kind, text[a:b]))
             entities.append(sorted(own))
             terms.append(sorted({w for w, _, _ in words(text, spans)}) if spans else [])
         yield pa.RecordBatch.from_arrays(
@@ -128,7 +143,12 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("copy"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", copy_key().alias("copy"))
+
+
+def copy_key() -> Column:
+    """128 bits that equal texts share; null for a null text."""
+    return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
 def scan(documents: DataFrame) -> DataFrame:
@@ -136,72 +156,59 @@ def scan(documents: DataFrame) -> DataFrame:
     return staged(_keyed(documents).mapInArrow(_scanned, _SCAN), "scan")
 
 
-def _log_choose(n: int, k: int) -> float:
-    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-
-
-def log_chance(n_te: int, n_t: int, n_e: int, total: int) -> float:
-    """Log probability that of ``n_t`` texts drawn from ``total`` at least ``n_te`` are among ``n_e``; 0 if that is usual."""
-    if n_te * total <= n_t * n_e:
-        return 0.0
-    first = _log_choose(n_e, n_te) + _log_choose(total - n_e, n_t - n_te) - _log_choose(total, n_t)
-    whole = term = 1.0
-    for k in range(n_te, min(n_t, n_e)):
-        # above the mean each probability is smaller than the one before
-        term *= (n_e - k) * (n_t - k) / ((k + 1) * (total - n_e - n_t + k + 1))
-        whole += term
-        if term < 1e-12 * whole:
-            break
-    return min(0.0, first + math.log(whole))
+def surprise(n_te: Column, n_t: Column, n_e: Column, total: int) -> Column:
+    """n(t) KL(P(e | t) || P(e)) in nats, which bounds the log chance from below; 0 if the entity is no more frequent beside the term."""
+    p, q = n_te / n_t, n_e / F.lit(float(total))
+    rest = F.when(n_te < n_t, (1 - p) * F.ln((1 - p) / (1 - q))).otherwise(0.0)
+    return F.when(p > q, n_t * (p * F.ln(p / q) + rest)).otherwise(0.0)
 
 
 def least_count(total: int, limit: float) -> int:
-    """The smallest number of texts an entity must have for any of its terms to come below ``limit`` (a log); above half of all if none can."""
-    low, high = 1, total // 2 + 1
-    while low < high:
-        middle = (low + high) // 2
-        if -_log_choose(total, middle) <= limit:
-            high = middle
-        else:
-            low = middle + 1
-    return low
+    """The smallest number of texts an entity must have for any of its terms to come below ``limit`` (a log); all of them if none can."""
+    for n in range(1, 1 + int(total / math.e)):
+        if n * math.log(total / n) >= -limit:
+            return n
+    return total
 
 
 def telling_terms(documents: DataFrame, scanned: DataFrame, certainty: float = CERTAINTY, level: float = LEVEL) -> tuple[DataFrame, DataFrame]:
-    """entity, term pairs over the thresholds; and copy, term of all texts that have a term of some pair."""
+    """entity, term, bits of the pairs over the thresholds; and copy, term of all texts that have a term of some pair."""
     held = staged(scanned.where("size(entities) > 0").select("copy", "entities", "terms").dropDuplicates(["copy"]), "held")
     total = scanned.select("copy").distinct().count()
     tests = held.agg(F.sum(F.size("entities").cast("long") * F.size("terms"))).head()[0] or 0
     limit = math.log(level / max(1, tests))
     least = least_count(total, limit)
     owners = held.select("copy", F.explode("entities").alias("entity"))
-    often = owners.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e").between(least, total - least))
+    often = owners.groupBy("entity").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= least) & (F.col("n_e") < total))
     often = staged(often, "often")
-    none = documents.sparkSession.createDataFrame([], "copy long, entity string, term string")
-    if not often.head(1):
-        return none.select("entity", "term"), none.select("copy", "term")
+    none = documents.sparkSession.createDataFrame([], "copy binary, entity string, term string, bits double")
+    most = often.agg(F.max("n_e")).head()[0]
+    if most is None:
+        return none.select("entity", "term", "bits"), none.select("copy", "term")
     # Only small rows meet by entity; a text's terms come by its copy, of which there is one.
     mine = owners.join(often, "entity", "left_semi").groupBy("copy").agg(F.collect_list("entity").alias("mine"))
-    # At least the texts with any entity that have the term have it: an exact bound on certainty,
-    # which spares common words the count over all texts.
-    near = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= least)
-    both = held.select("copy", "terms").join(mine, "copy").select("mine", F.explode("terms").alias("term"))
-    pairs = both.select("term", F.explode("mine").alias("entity")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= least)
-    pairs = pairs.join(near, "term").where(F.col("n_te") >= certainty * F.col("n_near")).join(often, "entity")
-    rare = F.udf(lambda n_te, n_t, n_e: log_chance(n_te, n_t, n_e, total) <= limit, "boolean")
+    # At least the texts with any entity that have the term have it: an exact bound on certainty. It spares
+    # common words the meeting with entities and the count over all texts.
+    near = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
+    near = staged(near.where((F.col("n_near") >= least) & (F.col("n_near") * certainty <= most)), "near")
+    both = held.select("copy", F.explode("terms").alias("term")).join(near, "term").join(mine, "copy")
+    pairs = both.select("term", "n_near", F.explode("mine").alias("entity")).groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_near").alias("n_near"))
+    pairs = pairs.where((F.col("n_te") >= least) & (F.col("n_te") >= certainty * F.col("n_near"))).join(often, "entity")
     # A term that more texts have is less of a surprise, so what is usual already among these stays so.
-    pairs = staged(pairs.where(rare("n_te", F.greatest("n_te", "n_near"), "n_e")).drop("n_near"), "pairs")
+    pairs = staged(pairs.where(surprise(F.col("n_te"), F.col("n_near"), F.col("n_e"), total) >= -limit).drop("n_near"), "pairs")
     terms = staged(pairs.select("term").distinct(), "terms")
     if not terms.head(1):
-        return none.select("entity", "term"), none.select("copy", "term")
+        return none.select("entity", "term", "bits"), none.select("copy", "term")
     split = F.array_distinct(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}]+", " ")), " "))
-    has = documents.select(F.xxhash64("text").alias("copy"), F.explode(split).alias("term")).join(terms, "term", "left_semi").distinct()
+    has = documents.select(copy_key().alias("copy"), F.explode(split).alias("term")).join(terms, "term", "left_semi").distinct()
     # In texts with entities a word inside a span is no term.
     own = held.select("copy", F.explode("terms").alias("term")).join(terms, "term", "left_semi")
     has = staged(has.join(owners.select("copy").distinct(), "copy", "left_anti").select("copy", "term").union(own.select("copy", "term")), "has")
     known = pairs.join(has.groupBy("term").agg(F.count("*").alias("n_t")), "term")
-    telling = known.where((F.col("n_te") >= certainty * F.col("n_t")) & rare("n_te", "n_t", "n_e"))
-    return staged(telling.select("entity", "term"), "telling"), has
+    counts = [F.col(c) for c in ("n_te", "n_t", "n_e")]
+    telling = known.where((F.col("n_te") >= certainty * F.col("n_t")) & (surprise(*counts, total) >= -limit))
+    bits = F.log2(F.col("n_te") / F.col("n_t") / (F.col("n_e") / F.lit(float(total))))
+    return staged(telling.select("entity", "term", bits.alias("bits")), "telling"), has
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +224,7 @@ def term_spans(documents: DataFrame, scanned: DataFrame) -> DataFrame:
     telling, has = telling_terms(documents, scanned)
     marks = has.join(telling.select("term").distinct(), "term").groupBy("copy").agg(F.collect_set("term").alias("telling"))
     rows = _keyed(documents).join(marks, "copy").select("copy", "text", "telling")
-    found = rows.mapInArrow(_marked, "copy long, terms array<struct<start:int,kind:int,end:int>>")
+    found = rows.mapInArrow(_marked, "copy binary, terms array<struct<start:int,kind:int,end:int>>")
     return staged(found.groupBy("copy").agg(F.first("terms").alias("terms")), "term-spans")
 
 
@@ -275,7 +282,7 @@ def sanitize(documents: DataFrame) -> DataFrame:
     columns, schema = documents.columns, documents.schema
     place = columns.index("text")
     key, extra = "_copy_of_text", "_terms_of_text"
-    joined = documents.withColumn(key, F.xxhash64("text")).join(terms.select(F.col("copy").alias(key), F.col("terms").alias(extra)), key, "left")
+    joined = documents.withColumn(key, copy_key()).join(terms.select(F.col("copy").alias(key), F.col("terms").alias(extra)), key, "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in columns], extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

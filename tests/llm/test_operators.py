@@ -706,14 +706,73 @@ def test_telling_terms_are_marked_wherever_they_occur(spark):
     assert clean[0].count("[EMAIL]") == 2 and not any("zyxwv " in (t or "").lower() for t in clean.values())
 
 
-def test_chance_is_the_tail_of_all_draws():
-    for total, n_e, n_t in ((33, 6, 6), (40, 11, 7), (20, 19, 3), (60, 2, 2)):
-        draws = math.comb(total, n_t)
-        for n_te in range(max(0, n_t - total + n_e), min(n_t, n_e) + 1):
-            tail = sum(math.comb(n_e, k) * math.comb(total - n_e, n_t - k) for k in range(n_te, min(n_t, n_e) + 1)) / draws
-            got = math.exp(privacy.log_chance(n_te, n_t, n_e, total))
-            assert got == pytest.approx(tail) if n_te * total > n_t * n_e else got == 1.0
-    assert privacy.least_count(1000, math.log(1e-5)) == 2 and privacy.least_count(10, math.log(1e-5)) == 6
+def test_surprise_bounds_the_tail_of_all_draws(spark):
+    cases = [(n_te, n_t, n_e, total) for total, n_e, n_t in ((33, 6, 6), (40, 11, 7), (20, 19, 3), (60, 2, 2)) for n_te in range(max(0, n_t - total + n_e), min(n_t, n_e) + 1)]
+    for total in (33, 40, 20, 60):
+        own = [c for c in cases if c[3] == total]
+        df = spark.createDataFrame(own, "n_te long, n_t long, n_e long, total long")
+        counts = [F.col(c) for c in ("n_te", "n_t", "n_e")]
+        for r in df.withColumn("s", privacy.surprise(*counts, total)).collect():
+            tail = sum(math.comb(r.n_e, k) * math.comb(total - r.n_e, r.n_t - k) for k in range(r.n_te, min(r.n_t, r.n_e) + 1)) / math.comb(total, r.n_t)
+            assert tail <= math.exp(-r.s) + 1e-12
+            assert (r.s > 0) == (r.n_te * total > r.n_t * r.n_e)
+    assert privacy.least_count(1000, math.log(1e-5)) == 2 and privacy.least_count(10, math.log(1e-5)) == 10
+
+
+def plain_telling(texts):
+    """Terms over both thresholds, from dictionaries: (entity, term) pairs."""
+    letters = lambda t: {w.lower() for w in re.findall(r"[^\W\d_]+", t)}
+    held, owners, has = {}, {}, {}
+    for k, text in enumerate(sorted(set(texts))):
+        mails = re.findall(r"[a-z.]+@[a-z.]+[a-z]", text)
+        ips = re.findall(r"\d+\.\d+\.\d+\.\d+", text)
+        own = {f"email:{m}" for m in mails} | {f"domain:{m.split('@')[1]}" for m in mails}
+        own |= {f"ip:{i}" for i in ips} | {f"network:{'.'.join(i.split('.')[:2])}" for i in ips}
+        for x in own:
+            owners.setdefault(x, set()).add(k)
+        for x in [*mails, *ips]:
+            text = text.replace(x, " 0 ")
+        for w in letters(text):
+            has.setdefault(w, set()).add(k)
+        if own:
+            held[k] = len(own) * len(letters(text))
+    total, limit = len(set(texts)), math.log(privacy.LEVEL / max(1, sum(held.values())))
+    out = set()
+    for e, mine in owners.items():
+        for t, places in has.items():
+            p, q = len(mine & places) / len(places), len(mine) / total
+            if p < privacy.CERTAINTY or p <= q or q == 1:
+                continue
+            kl = p * math.log(p / q) + ((1 - p) * math.log((1 - p) / (1 - q)) if p < 1 else 0)
+            if len(places) * kl >= -limit:
+                out.add((e, t))
+    return out
+
+
+def test_telling_pairs_equal_a_plain_count(spark):
+    rng = random.Random(4)
+    names = ["Li", "Wu", "Ångström", "Zyxwv", "x" * 60, "Quorra"]
+    mails = ["li@acme.example", "wu@acme.example", "ann@other.example"]
+    texts = []
+    for k in range(500):
+        own = [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(12)] + ["the", "and"]
+        if k < 40:
+            own += [rng.choice(names[:2]), rng.choice(mails[:2])]
+        elif k < 60:
+            own += [names[2], f"10.7.{k}.{k}"] + ([names[4]] if k % 2 else [])
+        elif k < 70:
+            own += [mails[2], names[3] if k % 2 else names[5]]
+        elif k < 75:
+            own += [names[3]]
+        rng.shuffle(own)
+        texts.append(" ".join(own))
+    texts += texts[:30] * 3 + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, _ = privacy.telling_terms(df, privacy.scan(df))
+    got = {(r.entity, r.term): r.bits for r in found.collect()}
+    want = plain_telling([t or "" for t in texts if t is not None] + ["\0"])  # a null text counts as one
+    assert set(got) == want and {("domain:acme.example", "li"), ("network:10.7", "ångström"), ("network:10.7", "x" * 60)} <= want
+    assert all(b > 1 for b in got.values())
 
 
 def test_odd_personal_data(spark, odd):
