@@ -361,6 +361,9 @@ FROM tx LEFT JOIN r_tx r ON r.id = tx.id"""
 
 SQL["k01_upsert"] = upserted("CASE WHEN r.id IS NULL THEN tx.actual_class END")
 SQL["k01_upsert_keep_label"] = upserted("tx.actual_class")
+SQL["k01_snapshot_reader"] = f"""WITH kept AS (SELECT * FROM events WHERE event_type <> 'purchase'), {tx_ctes('kept', 'k_')}
+SELECT {RECORD} FROM k_tx"""
+SQL["k02_point_lookup"] = SQL["k02_get_by_id"]
 
 # Measures and charts
 

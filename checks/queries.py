@@ -668,6 +668,25 @@ def _(spark, sf_dir):
     return kpi.record(audit.read_transactions(spark, path).drop(audit.DAY))
 
 
+@query("k01_snapshot_reader")
+def _(spark, sf_dir):
+    """A reader opened before an upsert: it still sees the version it opened."""
+    path = scratch_path(spark, "snapshot")
+    stored, batch = stored_and_batch(spark, sf_dir)
+    audit.write_transactions(stored, path)
+    reader = audit.read_transactions(spark, path)
+    audit.upsert(spark, path, batch, "attempt")
+    return kpi.record(reader.drop(audit.DAY))
+
+
+@query("k02_point_lookup")
+def _(spark, sf_dir):
+    """One id in the stored table, by its bucket."""
+    path = scratch_path(spark, "lookup")
+    audit.write_transactions(derived.transactions(spark, sf_dir), path, buckets=4)
+    return kpi.record(audit.find_transaction(spark, path, "TX_211").drop(audit.DAY))
+
+
 @query("k01_upsert_keep_label")
 def _(spark, sf_dir):
     stored, batch = stored_and_batch(spark, sf_dir)

@@ -1,11 +1,16 @@
-"""Exact order statistics and exact-size hash samples without a global sort.
-
-A value of a given rank is found by narrowing: every pass counts, in one map-side-combined
-aggregate for all columns together, how many rows fall into each of ``BUCKETS`` equal parts
-of the interval known to hold the rank, and keeps the one part that holds it. Once an
-interval has few rows its distinct values are counted out. One line per wanted rank reaches
-the driver, and no task ever holds more of a column than BUCKETS or FETCH_ROWS lines. Where equal parts do not spread the rows,
-because values differ by orders of magnitude, the next pass cuts on a logarithmic scale.
+"""Exact order statistics and exact-size hash samples in two scans, without a global sort.
+
+The first scan takes, for all columns in one aggregate, counts, ends and a mergeable rank-error sketch. The
+sketch brackets each wanted rank between two values. The second scan counts the rows below each
+bracket and gathers the values inside it with their counts, combined in the map tasks: a fixed share
+of the rows. The rank is then found among those values alone.
+
+Where many values lie in a bracket they are narrowed: every pass counts how many rows fall into
+each of ``BUCKETS`` equal parts of the interval known to hold the rank and keeps the one part
+that holds it; where equal parts do not spread the rows, because values differ by orders of magnitude,
+the next pass cuts on a logarithmic scale. Weighted rows, and a rank that the sketch missed, are
+narrowed over the table itself. One line per wanted rank reaches the driver, and no task ever
+holds more of a column than the sketch, BUCKETS or FETCH_ROWS lines.
 """
 
 from collections.abc import Iterable, Mapping, Sequence
@@ -18,6 +23,8 @@ from pyspark.sql import types as T
 
 BUCKETS = 256
 FETCH_ROWS = 2048
+#: Size of a sketch and about the share of ranks by which it may err; brackets are three times as wide.
+SKETCH_K, SKETCH_ERROR = 2048, 0.0015
 _HUGE = 1.7976931348623157e308  # largest finite double: stands in for infinity
 
 
@@ -57,25 +64,38 @@ class OrderStatistics:
         types = df.select(*[c.alias(f"s{i}") for i, c in enumerate(series.values())]).schema
         self.whole = all(isinstance(f.dataType, T.IntegralType) for f in types)
         self.kind = "long" if self.whole else "double"
+        self.sketched = weight is None
         w = (F.lit(1) if weight is None else weight).cast("long").alias("w")
-        values = F.array(*[c.cast(self.kind) for c in series.values()])
-        rows = df.select(w, F.posexplode(values).alias("i", "v")).where(F.col("v").isNotNull())
-        if not self.whole:
-            inside = F.greatest(F.least("v", F.lit(_HUGE)), F.lit(-_HUGE))
-            rows = rows.where(~F.isnan("v")).withColumn("v", inside)
-        self.rows = rows
-        ends = rows.groupBy("i").agg(
-            F.sum("w").alias("w"), F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        )
-        self.head = {self.names[r["i"]]: r for r in ends.collect()}
+        self.table = df.select(w, *[self._clean(c.cast(self.kind)).alias(f"s{i}") for i, c in enumerate(series.values())])
+        self.head = {name: h for name, h in zip(self.names, self._ends(), strict=True) if h["c"]}
+
+    def _clean(self, v: Column) -> Column:
+        if self.whole:
+            return v
+        return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.least(v, F.lit(_HUGE)), F.lit(-_HUGE)))
+
+    def _ends(self) -> list[dict]:
+        """Weight, rows, ends and sketch of every series, from one aggregate."""
+        sketch = F.kll_sketch_agg_bigint if self.whole else F.kll_sketch_agg_double
+        parts = []
+        for i in range(len(self.names)):
+            v = F.col(f"s{i}")
+            fields = {"w": F.sum(F.when(v.isNotNull(), F.col("w"))), "c": F.count(v), "lo": F.min(v), "hi": F.max(v)}
+            if self.sketched:
+                fields["sketch"] = F.when(F.count(v) > FETCH_ROWS, sketch(v, F.lit(SKETCH_K)))
+            parts.append(F.struct(*[x.alias(k) for k, x in fields.items()]).alias(f"s{i}"))
+        return [x.asDict() for x in self.table.agg(*parts).first()] if parts else []
+
+    def _long(self) -> DataFrame:
+        """A line per row and series with a value."""
+        values = F.array(*[F.col(f"s{i}") for i in range(len(self.names))])
+        return self.table.select("w", F.posexplode(values).alias("i", "v")).where(F.col("v").isNotNull())
 
     def count(self, name: str) -> int:
         return self.head[name]["w"] if name in self.head else 0
 
     def locate(self, ranks: Mapping[str, Iterable[int]]) -> dict[tuple[str, int], Located]:
-        found: dict[tuple[str, int], Located] = {}
-        small: list[_Interval] = []
-        wide: list[_Interval] = []
+        intervals, brackets = [], []
         for name, wanted in ranks.items():
             wanted = sorted(set(wanted))
             if not wanted:
@@ -83,32 +103,102 @@ class OrderStatistics:
             total = self.count(name)
             if wanted[0] < 0 or wanted[-1] >= total:
                 raise ValueError(f"rank outside 0..{total - 1} for {name}")
-            h = self.head[name]
-            wide.append(_Interval(self.names.index(name), h["lo"], h["hi"], 0, h["c"], total, wanted))
+            h, i = self.head[name], self.names.index(name)
+            it = _Interval(i, h["lo"], h["hi"], 0, h["c"], total, wanted)
+            (brackets if h.get("sketch") is not None and h["lo"] < h["hi"] else intervals).append(it)
+        found: dict[tuple[int, int], Located] = {}
+        if brackets:
+            intervals += self._by_brackets(self._brackets(brackets), found)
+        if intervals:
+            found.update(self._search(self._long(), intervals))
+        return {(self.names[i], rank): x for (i, rank), x in found.items()}
+
+    def _brackets(self, intervals: Sequence[_Interval]) -> list[_Interval]:
+        """Values between which the sketches put the ranks; ranks close to each other share a bracket."""
+        spark = self.table.sparkSession
+        lines, out = [], []
+        for it in intervals:
+            last = None
+            for r in it.ranks:
+                low, high = ((r + 0.5) / it.total + d * 3 * SKETCH_ERROR for d in (-1, 1))
+                if last and low <= lines[last - 1][2]:
+                    lines[last - 1][2] = high
+                    out[last - 1].ranks.append(r)
+                    continue
+                lines.append([self.head[self.names[it.series]]["sketch"], low, high])
+                out.append(_Interval(it.series, it.low, it.high, 0, it.rows, it.total, [r]))
+                last = len(out)
+        quantile = F.kll_sketch_get_quantile_bigint if self.whole else F.kll_sketch_get_quantile_double
+        asked = spark.createDataFrame(
+            [(n, s, max(0.0, low), min(1.0, high)) for n, (s, low, high) in enumerate(lines)], "n int, s binary, low double, high double"
+        )
+        for n, low, high in asked.select("n", quantile("s", F.col("low")), quantile("s", F.col("high"))).collect():
+            if lines[n][1] > 0:
+                out[n].low = low
+            if lines[n][2] < 1:
+                out[n].high = high
+        return out
+
+    def _by_brackets(self, brackets: Sequence[_Interval], found: dict) -> list[_Interval]:
+        """The second scan; returns intervals of the table for ranks that are not in their bracket."""
+        lines = []
+        for n, it in enumerate(brackets):
+            v, low = F.col(f"s{it.series}"), F.lit(it.low)
+            held = F.struct(F.lit(n).alias("i"), (v < low).alias("under"), F.when(v >= low, v).alias("v"))
+            lines.append(F.when(v <= F.lit(it.high), held))
+        rows = self.table.select("w", F.explode(F.array(*lines)).alias("x")).where("x is not null").select("w", "x.*")
+        rows = rows.groupBy("i", "under", "v").agg(F.sum("w").alias("w")).persist()
+        try:
+            inside = F.when(~F.col("under"), F.col("w"))
+            ends = rows.groupBy("i").agg(
+                F.coalesce(F.sum(F.when(F.col("under"), F.col("w"))), F.lit(0)).alias("below"), F.coalesce(F.sum(inside), F.lit(0)).alias("w"),
+                F.count("v").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+            )
+            missed, narrow = [], []
+            for e in ends.collect():
+                it = brackets[e["i"]]
+                here = [r for r in it.ranks if e["below"] <= r < e["below"] + e["w"]]
+                if here:
+                    narrow.append(_Interval(e["i"], e["lo"], e["hi"], e["below"], e["c"], e["w"], here))
+                if len(here) < len(it.ranks):
+                    h = self.head[self.names[it.series]]
+                    missed.append(_Interval(it.series, h["lo"], h["hi"], 0, h["c"], h["w"], [r for r in it.ranks if r not in here]))
+            if narrow:
+                kept = rows.where(~F.col("under")).select("w", "i", "v")
+                for (n, rank), x in self._search(kept, narrow).items():
+                    found[brackets[n].series, rank] = x
+        finally:
+            rows.unpersist()
+        return missed
+
+    def _search(self, rows: DataFrame, wide: list[_Interval]) -> dict[tuple[int, int], Located]:
+        """(series, rank) -> value, by narrowing over ``rows`` (w, i, v)."""
+        found: dict[tuple[int, int], Located] = {}
+        small: list[_Interval] = []
         while wide:
             still = []
             for it in wide:
                 if it.low == it.high:
                     for r in it.ranks:
-                        found[self.names[it.series], r] = Located(self._value(it.low), it.below, it.total)
+                        found[it.series, r] = Located(self._value(it.low), it.below, it.total)
                 elif it.rows <= FETCH_ROWS:
                     small.append(it)
                 else:
                     still.append(it)
-            wide = self._narrow(still) if still else []
+            wide = self._narrow(rows, still) if still else []
         if small:
-            self._count_out(small, found)
+            self._count_out(rows, small, found)
         return found
 
     def _value(self, v):
         return inf if v == _HUGE else -inf if v == -_HUGE else v
 
-    def _inside(self, intervals: Sequence[_Interval]) -> DataFrame:
+    def _inside(self, rows: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
         """The rows of each interval; the joined table has one line per interval."""
-        spark = self.rows.sparkSession
+        spark = rows.sparkSession
         lines = [(it.series, n, it.low, it.high, it.log) for n, it in enumerate(intervals)]
         table = spark.createDataFrame(lines, f"i int, n int, low {self.kind}, high {self.kind}, log boolean")
-        return self.rows.join(F.broadcast(table), "i").where("v between low and high")
+        return rows.join(F.broadcast(table), "i").where("v between low and high")
 
     def _bucket(self) -> Column:
         if self.whole:
@@ -123,7 +213,7 @@ class OrderStatistics:
 
         Running sums go over the parts of one interval, at most BUCKETS or FETCH_ROWS lines.
         """
-        spark = self.rows.sparkSession
+        spark = parts.sparkSession
         wanted = [(n, r - it.below) for n, it in enumerate(intervals) for r in it.ranks]
         ranks = spark.createDataFrame(wanted, "n int, rank long")
         run = Window.partitionBy("n").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -134,9 +224,9 @@ class OrderStatistics:
             out.setdefault(p["n"], []).append((p["rank"] + intervals[p["n"]].below, p))
         return out
 
-    def _narrow(self, intervals: list[_Interval]) -> list[_Interval]:
+    def _narrow(self, rows: DataFrame, intervals: list[_Interval]) -> list[_Interval]:
         parts = (
-            self._inside(intervals).groupBy("n", self._bucket().alias("b"))
+            self._inside(rows, intervals).groupBy("n", self._bucket().alias("b"))
             .agg(F.sum("w").alias("w"), F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
         out = []
@@ -152,14 +242,12 @@ class OrderStatistics:
             out += kept.values()
         return out
 
-    def _count_out(self, intervals: list[_Interval], found: dict) -> None:
-        values = self._inside(intervals).groupBy("n", "v").agg(F.sum("w").alias("w"))
+    def _count_out(self, rows: DataFrame, intervals: list[_Interval], found: dict) -> None:
+        values = self._inside(rows, intervals).groupBy("n", "v").agg(F.sum("w").alias("w"))
         for n, held in self._holding(values, "v", intervals).items():
             it = intervals[n]
             for rank, p in held:
-                found[self.names[it.series], rank] = Located(
-                    self._value(p["v"]), it.below + p["before"], p["w"]
-                )
+                found[it.series, rank] = Located(self._value(p["v"]), it.below + p["before"], p["w"])
 
 
 def _signed_log(x: Column) -> Column:

@@ -15,6 +15,7 @@ from ledgerwatch.operators.evaluate import (
 from ledgerwatch.operators.explain import (
     LeafBoxes, contribution_column, importance_factors, leaf_boxes, model_importances, top_factors,
 )
+from ledgerwatch.operators.stages import ExactRobustScalerModel
 from ledgerwatch.plans.training import CONFIG_SCHEMA, threshold_config
 from ledgerwatch.schemas import DECISION_THRESHOLD, LABEL, LOW_MAX, MEDIUM_MAX
 from ledgerwatch.session import scratch_path
@@ -57,7 +58,7 @@ def load_config(spark: SparkSession, path: str, features: list[str]) -> dict:
 
 def load_scorer(spark: SparkSession, path: str) -> Scorer:
     pipeline = PipelineModel.load(f"{path}/pipeline")
-    inputs = [c.removesuffix("__scaled") for c in pipeline.stages[2].getInputCols()]
+    inputs = next(s for s in pipeline.stages if isinstance(s, ExactRobustScalerModel)).getInputCols()
     config = load_config(spark, path, inputs)
     return Scorer(
         pipeline, inputs, config["optimal_threshold"],

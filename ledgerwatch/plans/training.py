@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +17,10 @@ from pyspark.sql import functions as F
 from ledgerwatch.operators.clean import clean_dataset
 from ledgerwatch.operators.evaluate import full_metrics
 from ledgerwatch.operators.features import (
-    add_features, balanced_weights, content_key, feature_sql, fit_median_amount, fit_robust_scaling,
-    RobustScaling, select_features, stratified_split, weight_column,
+    balanced_weights, content_key, select_features, stratified_split, weight_column,
 )
 from ledgerwatch.operators.smote import smote
+from ledgerwatch.operators.stages import preprocessing
 from ledgerwatch.schemas import DECISION_THRESHOLD, ENGINEERED, LABEL, LOW_MAX, MEDIUM_MAX, SEED, TEST_SHARE
 from ledgerwatch.session import scratch_path, shared_folder
 from ledgerwatch.sources.raw import path_exists, read_cleaned, write_report
@@ -34,23 +33,6 @@ LOGISTIC, TREE, FOREST, BOOSTED = (
 )
 
 
-def preprocessing(
-    columns: Sequence[str], features: Sequence[str], median_amount: float, scaling: RobustScaling
-) -> PipelineModel:
-    """Feature engineering, scaling and assembly as built-in stages, so Spark can save it."""
-    made = ", ".join(f"{e} AS {c}" for c, e in feature_sql(columns, median_amount).items())
-    scaled = ", ".join(f"{e} AS `{c}__scaled`" for c, e in scaling.sql().items())
-    return PipelineModel(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {made} FROM __THIS__"),
-            SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-            VectorAssembler(
-                inputCols=[f"{c}__scaled" for c in features], outputCol="features", handleInvalid="keep"
-            ),
-        ]
-    )
-
-
 @dataclass
 class Prepared:
     """Split and transformed data: (key, features, label) on both sides."""
@@ -71,10 +53,8 @@ def prepare(
     if key is None:
         df, key = content_key(df, KEY), KEY
     train, test = stratified_split(df, [key], test_size, seed)
-    median = fit_median_amount(train)
     features = select_features(columns) + ENGINEERED
-    scaling = fit_robust_scaling(add_features(train, median), features, approx)
-    stages = preprocessing(columns, features, median, scaling)
+    stages = preprocessing(select_features(columns), approx).fit(train)
 
     def ready(part: DataFrame) -> DataFrame:
         return stages.transform(part).select(key, "features", F.col(LABEL).cast("int").alias(LABEL))

@@ -91,7 +91,8 @@ def test_balanced_weights(raw_df):
 @pytest.mark.parametrize("dims, rows, copies", [(3, 900, 300), (20, 300, 0)])
 def test_neighbours_equal_brute_force_over_many_blocks(spark, monkeypatch, dims, rows, copies):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
-    monkeypatch.setattr(neighbours, "TURN", 2)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 30)
+    monkeypatch.setattr(neighbours, "TURN_ROWS", 250)
     rng = np.random.default_rng(dims)
     x = np.round(rng.normal(size=(rows, dims)), 2)
     x[:copies] = x[0] + np.round(rng.normal(size=(copies, dims)) * 0.006, 2)  # a dense third
@@ -105,6 +106,28 @@ def test_neighbours_equal_brute_force_over_many_blocks(spark, monkeypatch, dims,
     }
 
 
+def test_clusters_exclude_most_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 64)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(12, 34))[rng.integers(0, 12, 1500)] * 30 + rng.normal(size=(1500, 34))
+    df = spark.createDataFrame(pd.DataFrame({"k": [f"r{i:04d}" for i in range(1500)], "v": list(x)}))
+    report = {}
+    found = nearest_neighbours(df, "k", "v", 3, report=report).collect()
+    gap = neighbours._squared(x, x)
+    np.fill_diagonal(gap, np.inf)
+    want = np.argsort(gap, axis=1, kind="stable")[:, :3]
+    assert {r["key"]: [n["key"] for n in r["neighbours"]] for r in found} == {f"r{i:04d}": [f"r{j:04d}" for j in w] for i, w in enumerate(want)}
+    assert report["rows"] == 1500 and report["blocks"] > 10 and report["excluded"] > 0.75
+
+
+@pytest.mark.parametrize("rows", [0, 1, 2, 5])
+def test_fewer_rows_than_neighbours(spark, monkeypatch, rows):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 2)
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(rows)], "k int, v array<double>")
+    found = {r["key"]: [n["key"] for n in r["neighbours"]] for r in nearest_neighbours(df, "k", "v", 5).collect()}
+    assert found == {i: sorted((j for j in range(rows) if j != i), key=lambda j: (abs(i - j), j)) for i in range(rows)}
+
+
 @pytest.fixture(scope="module")
 def imbalanced(spark):
     rng = np.random.default_rng(5)

@@ -82,3 +82,43 @@ def test_hash_pick_rejects_a_repeated_key(spark):
     df = spark.range(100).withColumn("k", F.lit(1))
     with pytest.raises(ValueError, match="not unique"):
         pick_smallest_hashes(df, ["k"], {"all": (F.lit(True), 10)}, 42)
+
+
+def counting(spark, pdf):
+    """The rows and an accumulator that counts how often one is read."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        read.add(1)
+        return x
+
+    return spark.createDataFrame(pdf).withColumn("a", seen("a")), read
+
+
+def test_quantiles_take_two_scans(spark):
+    pdf = skewed(30_000)
+    df, read = counting(spark, pdf)
+    found = exact_quantiles(df, ["a", "tied", "wide", "k"], PROBS)
+    for c, values in found.items():
+        np.testing.assert_allclose(values, pdf[c].quantile(PROBS), rtol=1e-9)
+    assert read.value == 2 * len(pdf)
+
+
+def test_brackets_hold_few_rows(spark):
+    pdf = pd.DataFrame({"v": np.random.default_rng(5).permutation(200_000)})
+    stats = OrderStatistics(spark.createDataFrame(pdf), {"v": F.col("v")})
+    it = selection._Interval(0, 0, 199_999, 0, 200_000, 200_000, [50_000, 50_001, 100_000])
+    brackets = stats._brackets([it])
+    assert [b.ranks for b in brackets] == [[50_000, 50_001], [100_000]]
+    assert all(b.high - b.low < 6_000 for b in brackets)
+    found = stats.locate({"v": [50_000, 50_001, 100_000]})
+    assert [found["v", r].value for r in (50_000, 50_001, 100_000)] == [50_000, 50_001, 100_000]
+    assert found["v", 100_000].below == 100_000
+
+
+def test_a_rank_outside_its_bracket_is_still_found(spark, monkeypatch):
+    stats = OrderStatistics(spark.range(9_000), {"v": F.col("id")})
+    monkeypatch.setattr(OrderStatistics, "_brackets", lambda self, its: [selection._Interval(0, 10, 20, 0, 9_000, 9_000, [15, 5_000])])
+    found = stats.locate({"v": [15, 5_000]})
+    assert found["v", 15].value == 15 and found["v", 5_000].value == 5_000

@@ -95,20 +95,6 @@ def test_upsert_under_other_zones_keeps_all_rows(spark, tx, tmp_path):
         assert after == before
 
 
-def test_a_broken_off_upsert_is_finished_by_the_next(spark, tx, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    audit.write_transactions(tx, path)
-    batch = tx.where("id < 5").withColumns({"seq": F.lit(1), "amount": F.lit(1.0)})
-    finish = audit.finish_pending
-    calls = []
-    monkeypatch.setattr(audit, "finish_pending", lambda *a: calls.append(a) if calls else (calls.append(a), finish(*a)))
-    audit.upsert(spark, path, batch, "seq")
-    assert audit.read_transactions(spark, path).where("id < 5 and amount = 1.0").count() < 5
-    finish(spark, path)
-    table = audit.read_transactions(spark, path)
-    assert table.count() == tx.count() and table.where("id < 5 and amount = 1.0").count() == tx.where("id < 5").count()
-
-
 def test_new_ids_are_gapless(spark, tx, tmp_path):
     path = str(tmp_path / "t")
     audit.write_transactions(tx, path)
