@@ -203,6 +203,22 @@ _quart = ", ".join(
 )
 SQL["p03_robust_scaling"] = f"""{WITH_RAW}, q AS (SELECT {_quart} FROM raw0)
 SELECT row_id, {', '.join(f'{fx(f"({c} - m_{c}) / CASE WHEN r_{c} = 0 THEN 1 ELSE r_{c} END", 6)} AS "{c}"' for c in FEATURES29)} FROM raw0, q"""
+_made = f"""{WITH_RAW},
+m AS (SELECT greatest(1.0, quantile_cont("Amount", 0.5)) AS med, quantile_cont("Amount", 0.5) AS raw_med FROM raw0 WHERE row_id % 5 <> 0),
+f AS (SELECT row_id, {", ".join(FEATURES29)}, {_hour} AS hour_of_day, sin(2*pi()*{_hour}/24.0) AS sin_hour, cos(2*pi()*{_hour}/24.0) AS cos_hour,
+  ln(1 + greatest(0, "Amount")) AS log_amount, "Amount" / med AS amount_ratio FROM raw0, m)"""
+_made34 = [*FEATURES29, "hour_of_day", "sin_hour", "cos_hour", "log_amount", "amount_ratio"]
+_fit = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, quantile_cont({c}, 0.5) AS center, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS r FROM f WHERE row_id % 5 <> 0"
+    for c in _made34
+)
+SQL["p02_fitted_parameters"] = f"""{_made}, q AS ({_fit})
+SELECT feature, {fx('center', 6)} AS center, {fx('CASE WHEN r = 0 THEN 1 ELSE r END', 6)} AS scale, {fx('raw_med', 6)} AS median_amount FROM q, m"""
+_fit34 = ", ".join(
+    f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS r_{c}" for c in _made34
+)
+SQL["p04_fitted_pipeline"] = f"""{_made}, q AS (SELECT {_fit34} FROM f WHERE row_id % 5 <> 0)
+SELECT row_id, {', '.join(f'{fx(f"({c} - m_{c}) / CASE WHEN r_{c} = 0 THEN 1 ELSE r_{c} END", 6)} AS "{c}"' for c in _made34)} FROM f, q"""
 SQL["p05_smote_counts"] = f"""{WITH_RAW},
 c AS (SELECT sum("Class") AS minority, sum(1 - "Class") AS majority FROM raw0)
 SELECT 0 AS class, 0 AS synthetic, {big('majority')} AS transactions FROM c
@@ -452,5 +468,40 @@ SQL["s06_s07_saved_model"] = "SELECT vec_id AS row_id, 1::INTEGER AS same_as_sav
 SQL["m07_scored_transactions"] = """SELECT vec_id AS row_id, 0.35::DOUBLE AS threshold_applied, 1::INTEGER AS label_follows,
   1::INTEGER AS band_follows, 1::INTEGER AS score_follows, 4::BIGINT AS factors FROM embeddings"""
 SQL["x01_tree_factors"] = """SELECT m.model, vec_id AS row_id, 1::INTEGER AS adds_up
-FROM embeddings, (VALUES ('Decision Tree'), ('Random Forest')) m(model)"""
+FROM embeddings, (VALUES ('Decision Tree'), ('Random Forest'), ('Gradient Boosted Trees')) m(model)"""
 SQL["x02_importance_factors"] = "SELECT vec_id AS row_id, 1::INTEGER AS largest_first, 4::BIGINT AS factors FROM embeddings"
+SQL["m05_metrics_agree"] = """SELECT model, 1::INTEGER AS accuracy, 1::INTEGER AS "precision", 1::INTEGER AS recall, 1::INTEGER AS f1,
+  1::INTEGER AS roc_auc FROM (VALUES ('Logistic Regression'), ('Decision Tree')) m(model)"""
+_metrics = f"""{LABELLED}, c AS (SELECT {cells(0.35)} FROM lab) SELECT {METRICS} FROM c"""
+SQL["e10_evaluation_run"] = f"""SELECT 'metrics' AS section, name, value FROM (
+  UNPIVOT (SELECT m.*, round(r.roc_auc, 4) AS roc_auc, round(a.pr_auc, 4) AS pr_auc FROM ({SQL['e01_classification_metrics']}) m,
+    ({SQL['e02_roc_auc']}) r, ({SQL['e03_average_precision']}) a) ON COLUMNS(*) INTO NAME name VALUE value)
+UNION ALL SELECT 'confusion_matrix', actual || '/' || predicted, CAST(transactions AS DOUBLE) FROM ({SQL['e04_confusion_matrix']})
+UNION ALL SELECT 'threshold_tradeoffs', printf('%.2f', threshold), f1 FROM ({SQL['e05_threshold_tradeoffs']})
+UNION ALL SELECT 'points', 'roc_points', CAST(count(*) AS DOUBLE) FROM ({SQL['e07_roc_points']})
+UNION ALL SELECT 'points', 'pr_points', CAST(count(*) AS DOUBLE) FROM ({SQL['e08_pr_points']})"""
+_arrival = """arrived AS (SELECT *, event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-11' AS held,
+  CASE WHEN ts < TIMESTAMP '2024-01-11' AND event_id % 50 <> 0 THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS batch FROM events),
+reached AS (SELECT max(ts) - INTERVAL 1 DAY AS last, max(ts) FILTER (WHERE batch = 1) - INTERVAL 1 DAY AS first FROM arrived),
+timed AS (SELECT arrived.*, batch > 1 AND date_trunc('day', ts) + INTERVAL 1 DAY <= first AS late FROM arrived, reached),
+kept AS (SELECT event_id, ts, user_id, event_type, value, props FROM timed WHERE NOT late),
+lost AS (SELECT CAST(ts AS DATE) AS window_start, count(*) AS late_rows FROM timed WHERE late GROUP BY 1)"""
+_days = summary("CAST(created_at AS DATE) AS window_start,", "GROUP BY 1").replace("FROM tx", "FROM k_tx")
+SQL["t03_closed_windows"] = f"""WITH {_arrival}, {tx_ctes('kept', 'k_')}, days AS ({_days})
+SELECT days.*, coalesce(late_rows, 0) AS late_rows FROM days LEFT JOIN lost USING (window_start), reached
+WHERE window_start + INTERVAL 1 DAY <= last"""
+_week = " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, week, len(list_filter(edges, lambda e: x > e)) AS bin FROM
+  (SELECT CAST(date_trunc('week', created_at) AS DATE) AS week, {f} AS x FROM tx),
+  (SELECT [{', '.join(f'quantile_cont({f}, {i / 10})' for i in range(1, 10))}] AS edges FROM tx WHERE created_at < TIMESTAMP '2024-01-08')"""
+    for f in ("amount", "fraud_probability")
+)
+SQL["t05_weekly_drift"] = f"""{TX}, b AS ({_week}),
+k AS (SELECT week, feature, bin, count(*) AS n FROM b GROUP BY ALL),
+base AS (SELECT feature, bin, n / sum(n) OVER (PARTITION BY feature) AS e FROM k WHERE week = DATE '2024-01-01'),
+w AS (SELECT DISTINCT week, feature FROM k),
+g AS (SELECT w.week, w.feature, bins.bin, coalesce(e, 0) AS e, coalesce(n, 0) AS n FROM w JOIN (SELECT DISTINCT feature, bin FROM k) bins USING (feature)
+  LEFT JOIN base ON base.feature = w.feature AND base.bin = bins.bin LEFT JOIN k ON k.week = w.week AND k.feature = w.feature AND k.bin = bins.bin),
+s AS (SELECT week, feature, n, greatest(e, 0.0001) AS e, greatest(n / sum(n) OVER (PARTITION BY week, feature), 0.0001) AS a FROM g),
+z AS (SELECT week, feature, sum(n) AS transactions, sum((a - e) * ln(a / e)) AS psi FROM s GROUP BY 1, 2)
+SELECT week, feature, {big('transactions')} AS transactions, {fx('psi', 6)} AS psi, CASE WHEN psi > 0.25 THEN 1 ELSE 0 END AS alert FROM z"""

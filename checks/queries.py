@@ -1,7 +1,9 @@
 """One query per operator, over the driver tables of a data folder."""
 
+import functools
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +15,15 @@ from ledgerwatch.functions import (
 from ledgerwatch.operators import clean, evaluate, explain, features, profile, validate
 from ledgerwatch.operators.neighbours import nearest_neighbours
 from ledgerwatch.operators.smote import smote
+from ledgerwatch.operators.stages import preprocessing
 from ledgerwatch.plans import exploration, kpi, measures, reports, scoring, training
 from ledgerwatch.schemas import FEATURES, LABEL, PAYLOAD_SCHEMA, RAW_COLUMNS, V_COLUMNS
 from ledgerwatch.session import scratch_path
 from ledgerwatch.sources import audit, derived, raw
 from ledgerwatch.streaming import jobs
 
+#: Metric of the comparison -> name in Spark ML.
+EVALUATORS = {"accuracy": "accuracy", "precision": "precisionByLabel", "recall": "recallByLabel", "f1": "fMeasureByLabel"}
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -378,6 +383,32 @@ def _(spark, sf_dir):
     return both.withColumn("features", vector_to_array("features"))
 
 
+def fitted_by_rule(spark: SparkSession, sf_dir: str):
+    """(preprocessing fitted on four fifths of the rows by id, all rows): a split that SQL can state."""
+    df = keyed_table(spark, sf_dir)
+    return preprocessing(features.select_features(df.columns, ["row_id"])).fit(df.where("row_id % 5 <> 0")), df
+
+
+@query("p02_fitted_parameters")
+def _(spark, sf_dir):
+    made, scaled = fitted_by_rule(spark, sf_dir)[0].stages
+    median = made.getOrDefault(made.medianAmount)
+    fitted = zip(scaled.getInputCols(), scaled.getOrDefault(scaled.center), scaled.getOrDefault(scaled.scale), strict=True)
+    lines = [(c, float(m), float(s), float(median)) for c, m, s in fitted]
+    return rounded(spark.createDataFrame(lines, "feature string, center double, scale double, median_amount double"), 6)
+
+
+@query("p04_fitted_pipeline")
+def _(spark, sf_dir):
+    """Fitted on the training rows, saved, loaded and applied to all rows."""
+    fitted, df = fitted_by_rule(spark, sf_dir)
+    path = scratch_path(spark, "preprocessing")
+    fitted.write().save(path)
+    values = vector_to_array("features")
+    ready = training.PipelineModel.load(path).transform(df)
+    return rounded(ready.select("row_id", *[values[i].alias(c) for i, c in enumerate(FEATURES)]), 6)
+
+
 @query("p05_smote_counts")
 def _(spark, sf_dir):
     df = keyed_table(spark, sf_dir).withColumn("features", F.array(*V_COLUMNS))
@@ -414,12 +445,16 @@ def comparison(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return table
 
 
-def fitted_scorer(spark: SparkSession, df: DataFrame, name: str = training.TREE) -> scoring.Scorer:
+def fitted_scorer(spark: SparkSession, df: DataFrame, name: str = training.TREE, rounds: int | None = None) -> scoring.Scorer:
+    """A model fitted on the split's training rows; ``rounds`` shortens boosting."""
     prepared = training.prepare(df, "row_id")
     weighted = prepared.train.withColumn(
         "weight", features.weight_column(features.balanced_weights(prepared.train))
     )
-    model = training.estimators(weighted.count())[name].fit(weighted)
+    estimator = training.estimators(weighted.count())[name]
+    if rounds and name == training.BOOSTED:
+        estimator.setMaxIter(rounds)
+    model = estimator.fit(weighted)
     pipeline = training.PipelineModel(stages=[*prepared.preprocess.stages, model])
     return scoring.Scorer(pipeline, prepared.features, model_name=name)
 
@@ -431,6 +466,23 @@ QUERIES["m04_boosted_trees"] = lambda spark, sf_dir: comparison(spark, sf_dir, t
 QUERIES["m05_model_comparison"] = lambda spark, sf_dir: comparison(spark, sf_dir)
 
 
+@query("m05_metrics_agree")
+def _(spark, sf_dir):
+    """The comparison's metrics against those of Spark ML's own evaluators on the same test rows."""
+    prepared = training.prepare(keyed_table(spark, sf_dir), "row_id")
+    result = training.train_and_compare(training.resample(prepared, 0.5), prepared.test, names=[training.LOGISTIC, training.TREE], at_once=2)
+    lines = []
+    for r in result.table.collect():
+        scored = training.class_probability(result.models[r["model"]], prepared.test)
+        scored = scored.select(F.col(LABEL).cast("double").alias("label"), "p", (F.col("p") >= 0.5).cast("double").alias("prediction")).cache()
+        judge = MulticlassClassificationEvaluator(metricLabel=1.0, beta=1.0)
+        got = {m: judge.evaluate(scored, {judge.metricName: k}) for m, k in EVALUATORS.items()}
+        got["roc_auc"] = BinaryClassificationEvaluator(rawPredictionCol="p", numBins=0).evaluate(scored)
+        scored.unpersist()
+        lines.append((r["model"], *[int(abs(r[m] - got[m]) <= 5.1e-5) for m in (*EVALUATORS, "roc_auc")]))
+    return spark.createDataFrame(lines, "model string, " + ", ".join(f"{m} int" for m in (*EVALUATORS, "roc_auc")))
+
+
 @query("m06_training_run")
 def _(spark, sf_dir):
     source, cleaned, target = (scratch_path(spark, n) for n in ("raw", "cleaned", "run"))
@@ -498,16 +550,17 @@ def _(spark, sf_dir):
 
 @query("x01_tree_factors")
 def _(spark, sf_dir):
-    """Contributions and the base add up to the probability, for a tree and a forest."""
+    """Contributions and the base add up to the score: the probability, or a boosted model's log-odds."""
     df = keyed_table(spark, sf_dir)
     found = None
-    for name in (training.TREE, training.FOREST):
-        scorer = fitted_scorer(spark, df, name)
-        boxes = explain.leaf_boxes(spark, scorer.classifier)
+    for name in (training.TREE, training.FOREST, training.BOOSTED):
+        scorer = fitted_scorer(spark, df, name, rounds=20)
+        trees = explain.tree_ensemble(spark, scorer.classifier)
         ready = scorer.pipeline.transform(df).withColumn("x", vector_to_array("features"))
-        total = F.aggregate(explain.tree_contributions(spark, boxes, F.col("x")), F.lit(boxes.base), lambda s, c: s + c)
-        gap = F.abs(total - vector_to_array("probability")[1])
-        part = ready.select(F.lit(name).alias("model"), "row_id", (gap <= 1e-9).cast("int").alias("adds_up"))
+        total = F.aggregate(explain.tree_contributions(spark, trees, F.col("x")), F.lit(trees.base), lambda s, c: s + c)
+        p = vector_to_array("probability")[1]
+        score = F.ln(p / (1 - p)) if name == training.BOOSTED else p
+        part = ready.select(F.lit(name).alias("model"), "row_id", (F.abs(total - score) <= 1e-9).cast("int").alias("adds_up"))
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -535,8 +588,8 @@ def _(spark, sf_dir):
     scorer = fitted_scorer(spark, df, training.FOREST)
     sample = explain.hash_sample(df, "row_id", 500)
     ready = scorer.pipeline.transform(sample).withColumn("x", vector_to_array("features"))
-    boxes = explain.leaf_boxes(spark, scorer.classifier)
-    found = ready.withColumn("contributions", explain.tree_contributions(spark, boxes, F.col("x")))
+    trees = explain.tree_ensemble(spark, scorer.classifier)
+    found = ready.withColumn("contributions", explain.tree_contributions(spark, trees, F.col("x")))
     return explain.global_importance(found, "contributions", scorer.features)
 
 
@@ -560,6 +613,22 @@ def evaluation(function, *args, digits: int = 6, **kwargs) -> Query:
 
 
 QUERIES["e01_classification_metrics"] = evaluation(evaluate.classification_metrics, 0.35)
+
+
+@query("e10_evaluation_run")
+def _(spark, sf_dir):
+    """All tables of an evaluation, as lines of (section, name, value)."""
+    found = scoring.evaluation_tables(labelled(spark, sf_dir), "actual_class", "fraud_probability", 0.35)
+    metrics = found["metrics"].unpivot([], ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"], "name", "value")
+    name = F.concat_ws("/", F.col("actual").cast("string"), F.col("predicted").cast("string"))
+    cells = found["confusion_matrix"].select(name.alias("name"), F.col("transactions").cast("double").alias("value"))
+    trade = found["threshold_tradeoffs"].select(F.format_number("threshold", 2).alias("name"), F.col("f1").alias("value"))
+    points = [found[c].agg(F.lit(c).alias("name"), F.count("*").cast("double").alias("value")) for c in ("roc_points", "pr_points")]
+    sections = [("metrics", metrics), ("confusion_matrix", cells), ("threshold_tradeoffs", trade), *[("points", p) for p in points]]
+    parts = [part.select(F.lit(section).alias("section"), "name", "value") for section, part in sections]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 QUERIES["e02_roc_auc"] = evaluation(evaluate.roc_auc, digits=8)
 QUERIES["e03_average_precision"] = evaluation(evaluate.average_precision, digits=8)
 QUERIES["e04_confusion_matrix"] = evaluation(evaluate.confusion_matrix, 0.35)
@@ -786,6 +855,26 @@ def _(spark, sf_dir):
     return summary.withColumn("window_start", jobs.utc_date(F.col("window_start")))
 
 
+@query("t03_closed_windows")
+def _(spark, sf_dir):
+    """Three arrivals of ten days; every fiftieth row of the first ten days comes with the second arrival."""
+    sink, state, inbox = (scratch_path(spark, n) for n in ("closed", "state", "inbox"))
+    events = derived.table(spark, sf_dir, "events")
+    held = (F.col("ts") < "2024-01-11") & (F.col("event_id") % 50 == 0)
+    arrivals = [
+        events.where((F.col("ts") < "2024-01-11") & ~held), events.where(held | F.col("ts").between("2024-01-11", "2024-01-20 23:59:59.999999")),
+        events.where(F.col("ts") >= "2024-01-21"),
+    ]
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(inbox)
+        rows = derived.audit_rows(jobs.file_stream(spark, inbox, events.schema))
+        timed = rows.withColumn("created_at", jobs.utc_instant(F.col("created_at")))
+        jobs.closed_windows_stream(timed, sink, state, delay="1 day").awaitTermination()
+    closed = kpi.flat_summary(jobs.closed_summary(spark, sink)).withColumn("window_start", jobs.utc_date(F.col("window_start")))
+    late = spark.read.parquet(f"{sink}/late").groupBy(jobs.utc_date(F.col("created_at")).alias("window_start")).agg(F.count("*").alias("late_rows"))
+    return closed.join(late, "window_start", "left").fillna(0, ["late_rows"])
+
+
 @query("t04_high_risk_alerts")
 def _(spark, sf_dir):
     sink, state = scratch_path(spark, "alerts"), scratch_path(spark, "state")
@@ -793,6 +882,18 @@ def _(spark, sf_dir):
     return kpi.record(spark.read.schema(derived.transactions(spark, sf_dir).schema).parquet(sink))
 
 
+@query("t05_weekly_drift")
+def _(spark, sf_dir):
+    """Counts per week of a stream, against the first week."""
+    sink, state = scratch_path(spark, "drift"), scratch_path(spark, "state")
+    names = ["amount", "fraud_probability"]
+    first = derived.transactions(spark, sf_dir).where("created_at < TIMESTAMP_NTZ'2024-01-08 00:00:00'")
+    edges = exploration.drift_edges(first, names)
+    jobs.drift_stream(derived.audit_rows(event_stream(spark, sf_dir)), edges, names, sink, state).awaitTermination()
+    found = exploration.weekly_drift(exploration.bin_counts(first, edges, names), jobs.weekly_counts(spark, sink))
+    return rounded(found.withColumn("alert", F.col("alert").cast("int")), 6)
+
+
 @query("t05_feature_drift")
 def _(spark, sf_dir):
     df = raw_table(spark, sf_dir)

@@ -36,20 +36,32 @@ def impute(df: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
+def _with_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
+    """The distinct rows with how often each occurs: one shuffle of whole rows, combined in the map tasks first."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias(name))
+
+
 def count_duplicates(df: DataFrame) -> int:
     """Rows that repeat an earlier row in every column."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
-    return copies.agg(F.sum(F.col("n") - 1).alias("n")).first()["n"] or 0
+    return _with_copies(df).agg(F.sum(F.col("_copies") - 1)).first()[0] or 0
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def handle_duplicates(df: DataFrame, drop: bool = True) -> tuple[DataFrame, int]:
-    """(the table without whole-row repeats, how many there were)."""
-    n = count_duplicates(df)
-    return (drop_repeats(df) if drop and n else df), n
+def handle_duplicates(df: DataFrame, drop: bool = True, cached: list[DataFrame] | None = None) -> tuple[DataFrame, int]:
+    """(the table without whole-row repeats, how many there were), from one pass over the rows.
+
+    The distinct rows are persisted; they are appended to ``cached``, for the caller to unpersist.
+    """
+    if not drop:
+        return df, count_duplicates(df)
+    distinct = _with_copies(df).persist()
+    if cached is not None:
+        cached.append(distinct)
+    n = distinct.agg(F.sum(F.col("_copies") - 1)).first()[0] or 0
+    return distinct.drop("_copies"), n
 
 
 def analyze_outliers(df: DataFrame, amount: str = "Amount", label: str = LABEL) -> DataFrame:

@@ -72,23 +72,33 @@ def importance_factors(importances: Mapping[str, float], n: int = 4) -> Column:
     )
 
 
-class LeafBoxes(NamedTuple):
-    """Leaves of a tree ensemble as boxes: one line per leaf, one slot per split feature.
+class TreePaths(NamedTuple):
+    """Edges of one tree, those of a node before those below it; edge 0 stands for the root.
 
-    A row is inside slot j of a leaf when low < x[feature] <= high; ``cover`` is the share of
-    training weight that the slot's splits let through; unused slots always hold.
+    ``earlier`` is the edge above on the same path that splits on the same feature, 0 if there is none; ``cover``
+    is the share of training weight that the path's splits on that feature let through, ``share`` that of all
+    its splits. ``value`` is the output of the leaf the edge leads to, 0 if it leads to a split.
     """
 
+    parent: np.ndarray
+    depth: np.ndarray
     feature: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    earlier: np.ndarray
     cover: np.ndarray
+    share: np.ndarray
     value: np.ndarray
+
+
+class TreeEnsemble(NamedTuple):
+    trees: list[TreePaths]
     width: int
 
     @property
     def base(self) -> float:
-        return float((self.value * self.cover.prod(axis=1)).sum())
+        """What a row of which nothing is known gets."""
+        return float(sum((t.value * t.share).sum() for t in self.trees))
 
 
 def _tree_kind(model) -> tuple[str, list[float]]:
@@ -102,7 +112,7 @@ def _tree_kind(model) -> tuple[str, list[float]]:
     raise TypeError(f"not a tree model: {type(model).__name__}")
 
 
-def leaf_boxes(spark: SparkSession, model, path: str | None = None) -> LeafBoxes:
+def tree_ensemble(spark: SparkSession, model, path: str | None = None) -> TreeEnsemble:
     """Read the nodes of a (saved) tree model; their number is bounded by its parameters."""
     kind, weights = _tree_kind(model)
     if path is None:
@@ -113,85 +123,96 @@ def leaf_boxes(spark: SparkSession, model, path: str | None = None) -> LeafBoxes
         nodes = nodes.select("treeID", "nodeData.*")
     else:
         nodes = nodes.withColumn("treeID", F.lit(0))
-    trees: dict[int, dict] = {}
+    tables: dict[int, dict] = {}
     for r in nodes.collect():
-        trees.setdefault(r["treeID"], {})[r["id"]] = r
-    leaves: list[tuple[dict, float]] = []
+        tables.setdefault(r["treeID"], {})[r["id"]] = r
+    return TreeEnsemble([_paths(tables[k], kind, weights[k]) for k in sorted(tables)], model.numFeatures)
+
 
+def _paths(table: dict, kind: str, tree_weight: float) -> TreePaths:
     def weight(node) -> float:
         return float(sum(node["impurityStats"])) if kind == "share" else float(node["impurityStats"][0])
 
-    for tree, table in trees.items():
-        stack = [(table[0], {})]
-        while stack:
-            node, path_slots = stack.pop()
+    def output(node) -> float:
+        if node["leftChild"] >= 0:
+            return 0.0
+        out = node["impurityStats"][1] / sum(node["impurityStats"]) if kind == "share" else node["prediction"]
+        return tree_weight * out
+
+    rows = [(0, 0, 0, np.inf, True, 0, 1.0, 1.0, output(table[0]))]
+    level = [(table[0], 0, {})]  # node, its edge, and by feature the last edge on the path that splits on it
+    while level:
+        below = []
+        for node, edge, last in level:
             if node["leftChild"] < 0:
-                if kind == "share":
-                    out = node["impurityStats"][1] / sum(node["impurityStats"])
-                else:
-                    out = node["prediction"]
-                leaves.append((path_slots, weights[tree] * out))
                 continue
-            split = node["split"]
-            f, cut = split["featureIndex"], split["leftCategoriesOrThreshold"][0]
-            for child, left in ((node["leftChild"], True), (node["rightChild"], False)):
-                low, high, cover = path_slots.get(f, (-np.inf, np.inf, 1.0))
-                low, high = (low, min(high, cut)) if left else (max(low, cut), high)
-                share = weight(table[child]) / weight(node)
-                stack.append((table[child], {**path_slots, f: (low, high, cover * share)}))
-    depth = max(1, max(len(s) for s, _ in leaves))
-    n = len(leaves)
-    feature = np.zeros((n, depth), dtype=np.int64)
-    low, high, cover = np.full((n, depth), -np.inf), np.full((n, depth), np.inf), np.ones((n, depth))
-    for i, (slots, _) in enumerate(leaves):
-        for j, (f, (a, b, c)) in enumerate(slots.items()):
-            feature[i, j], low[i, j], high[i, j], cover[i, j] = f, a, b, c
-    return LeafBoxes(feature, low, high, cover, np.array([v for _, v in leaves]), model.numFeatures)
-
-
-def leaf_shapley(x: np.ndarray, boxes: tuple, cells: int = 4_000_000) -> np.ndarray:
-    """Path-dependent Shapley values of the rows of ``x``.
-
-    In a leaf a feature subset pays the product of indicators (known features) and covers
-    (unknown ones). The Shapley weights are the integral over t in [0, 1] of t**s (1-t)**r,
-    so feature j receives (inside_j - cover_j) * integral of the other features'
-    cover * (1 - t) + inside * t, a polynomial that Gauss-Legendre nodes integrate exactly.
+            f, cut = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"][0]
+            for child, left in ((table[node["leftChild"]], True), (table[node["rightChild"]], False)):
+                let, earlier = weight(child) / weight(node), last.get(f, 0)
+                cover = let * (rows[earlier][6] if earlier else 1.0)
+                below.append((child, len(rows), {**last, f: len(rows)}))
+                rows.append((edge, rows[edge][1] + 1, f, cut, left, earlier, cover, rows[edge][7] * let, output(child)))
+        level = below
+    kinds = (np.int64, np.int64, np.int64, float, bool, np.int64, float, float, float)
+    return TreePaths(*[np.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)])
+
+
+def tree_shapley(x: np.ndarray, tree: TreePaths, width: int, cells: int = 2_000_000) -> np.ndarray:
+    """Path-dependent Shapley values of the rows of ``x`` in one tree, by one walk down and one up.
+
+    In a leaf a feature subset pays the product of indicators (known features) and covers (unknown
+    ones). The Shapley weights are the integral over t in [0, 1] of t**s (1-t)**r, so feature j receives
+    (inside_j - cover_j) * integral of the product of the other features' cover * (1 - t) + inside * t, a polynomial that
+    Gauss-Legendre nodes integrate exactly. On the way down each edge extends its parent's product by
+    its feature's term, after taking out the term of the edge that split on it before; on the way up the
+    leaves' products add up per edge, and an edge's feature receives the sum below it with its own term unwound.
     """
-    feature, low, high, covers, value, width = boxes
-    depth = feature.shape[1]
-    t, w = np.polynomial.legendre.leggauss((depth + 1) // 2)
-    t, w = (t + 1) / 2, w / 2
+    deepest = int(tree.depth.max())
     out = np.zeros((len(x), width))
-    step = max(1, cells // (max(1, len(x)) * depth))
-    for a in range(0, len(value), step):
-        s = slice(a, a + step)
-        seen = x[:, feature[s]]
-        inside = ((seen > low[s]) & (seen <= high[s])).astype(float)
-        cover = covers[s][None]
-        total = np.zeros_like(inside)
-        for tq, wq in zip(t, w):
-            term = cover * (1 - tq) + inside * tq
-            total += wq * term.prod(axis=2, keepdims=True) / term
-        gain = (inside - cover) * total * value[s][None, :, None]
-        flat = feature[s].ravel()
-        place = np.zeros((len(flat), width))
-        place[np.arange(len(flat)), flat] = 1.0
-        out += gain.reshape(len(x), -1) @ place
+    if not deepest:
+        return out
+    t, w = np.polynomial.legendre.leggauss((deepest + 1) // 2)
+    t, w = (t + 1) / 2, w / 2
+    edges, cuts = len(tree.parent), np.searchsorted(tree.depth, np.arange(deepest + 2))
+    place = np.zeros((edges, width))
+    place[np.arange(1, edges), tree.feature[1:]] = 1.0
+    again = tree.earlier > 0
+    step = max(1, cells // (edges * len(t)))
+    for first in range(0, len(x), step):
+        rows = x[first : first + step]
+        inside = (rows[:, tree.feature] <= tree.threshold) == tree.left
+        inside[:, 0] = True
+        product = np.empty((edges, len(t), len(rows)))
+        term = np.empty_like(product)
+        product[0] = term[0] = 1.0
+        for d in range(1, deepest + 1):
+            e = np.arange(cuts[d], cuts[d + 1])
+            old = tree.earlier[e]
+            inside[:, e] &= inside[:, old]  # edge 0 lets everything through
+            term[e] = tree.cover[e, None, None] * (1 - t)[:, None] + inside[:, e].T[:, None, :] * t[:, None]
+            product[e] = product[tree.parent[e]] / term[old] * term[e]
+        product *= tree.value[:, None, None]
+        for d in range(deepest, 1, -1):
+            e = np.arange(cuts[d], cuts[d + 1], 2)  # a split's two edges follow each other
+            product[tree.parent[e]] += product[e] + product[e + 1]
+        slack = inside.T - tree.cover[:, None]
+        gain = slack * np.einsum("q,eqr->er", w, product / term)
+        gain[again] -= slack[tree.earlier[again]] * np.einsum("q,eqr->er", w, product[again] / term[tree.earlier[again]])
+        gain[0] = 0.0
+        out[first : first + step] = gain.T @ place
     return out
 
 
-def tree_contributions(spark: SparkSession, boxes: LeafBoxes, features: Column, batch: int = 512) -> Column:
+def tree_contributions(spark: SparkSession, ensemble: TreeEnsemble, features: Column) -> Column:
     """Shapley value per feature of an ``array<double>`` column."""
-    shared = spark.sparkContext.broadcast(tuple(boxes))
+    shared = spark.sparkContext.broadcast(ensemble)
 
     @F.pandas_udf("array<double>")
     def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        trees, width = shared.value
         for rows in batches:
-            found = [
-                leaf_shapley(np.stack(rows.iloc[a : a + batch].to_numpy()), shared.value)
-                for a in range(0, len(rows), batch)
-            ]
-            yield pd.Series([v for part in found for v in part], dtype=object)
+            x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, width))
+            yield pd.Series(list(sum((tree_shapley(x, tree, width) for tree in trees), np.zeros((len(x), width)))), dtype=object)
 
     return contributions(features)
 
@@ -227,7 +248,7 @@ def global_importance(df: DataFrame, contributions: str, names: Sequence[str], n
 
 def contribution_column(
     spark: SparkSession, model, features: Column, means: Sequence[float] | None = None,
-    boxes: LeafBoxes | None = None,
+    ensemble: TreeEnsemble | None = None,
 ) -> Column | None:
     """Contributions for any of the supported classifiers; None where only importances exist."""
     if isinstance(model, LogisticRegressionModel):
@@ -235,4 +256,4 @@ def contribution_column(
             return None
         weights = model.coefficients.toArray()
         return linear_contributions([features[i] for i in range(len(weights))], weights, means)
-    return tree_contributions(spark, boxes or leaf_boxes(spark, model), features)
+    return tree_contributions(spark, ensemble or tree_ensemble(spark, model), features)

@@ -116,27 +116,31 @@ class OrderStatistics:
     def _brackets(self, intervals: Sequence[_Interval]) -> list[_Interval]:
         """Values between which the sketches put the ranks; ranks close to each other share a bracket."""
         spark = self.table.sparkSession
-        lines, out = [], []
+        places, out = [], []  # of each bracket the shares of rows below its ends
         for it in intervals:
-            last = None
+            first = len(out)
             for r in it.ranks:
                 low, high = ((r + 0.5) / it.total + d * 3 * SKETCH_ERROR for d in (-1, 1))
-                if last and low <= lines[last - 1][2]:
-                    lines[last - 1][2] = high
-                    out[last - 1].ranks.append(r)
-                    continue
-                lines.append([self.head[self.names[it.series]]["sketch"], low, high])
-                out.append(_Interval(it.series, it.low, it.high, 0, it.rows, it.total, [r]))
-                last = len(out)
+                if len(out) > first and low <= places[-1][1]:
+                    places[-1][1] = high
+                    out[-1].ranks.append(r)
+                else:
+                    places.append([low, high])
+                    out.append(_Interval(it.series, it.low, it.high, 0, it.rows, it.total, [r]))
+        used = sorted({it.series for it in intervals})
+        sketches = [tuple(self.head[self.names[i]]["sketch"] for i in used)]
         quantile = F.kll_sketch_get_quantile_bigint if self.whole else F.kll_sketch_get_quantile_double
-        asked = spark.createDataFrame(
-            [(n, s, max(0.0, low), min(1.0, high)) for n, (s, low, high) in enumerate(lines)], "n int, s binary, low double, high double"
+        asked = spark.createDataFrame(sketches, ", ".join(f"s{i} binary" for i in used)).select(
+            *[
+                quantile(F.col(f"s{it.series}"), F.array(F.lit(max(0.0, low)), F.lit(min(1.0, high)))).alias(f"q{n}")
+                for n, (it, (low, high)) in enumerate(zip(out, places, strict=True))
+            ]
         )
-        for n, low, high in asked.select("n", quantile("s", F.col("low")), quantile("s", F.col("high"))).collect():
-            if lines[n][1] > 0:
-                out[n].low = low
-            if lines[n][2] < 1:
-                out[n].high = high
+        for it, (low, high), (at_low, at_high) in zip(out, places, asked.first(), strict=True):
+            if low > 0:
+                it.low = at_low
+            if high < 1:
+                it.high = at_high
         return out
 
     def _by_brackets(self, brackets: Sequence[_Interval], found: dict) -> list[_Interval]:

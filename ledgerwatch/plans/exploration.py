@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from math import log10, pi, sqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions import hour_bucket, ratio_or_zero
@@ -146,3 +146,41 @@ def drift_index(
     return share.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi")).select(
         "feature", "psi", (F.col("psi") > alert_above).alias("alert")
     )
+
+
+def drift_edges(baseline: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """(feature, edges): the baseline's quantiles; a feature without a value is left out."""
+    edges = exact_quantiles(baseline, features, [i / bins for i in range(1, bins)])
+    lines = [(f, [float(e) for e in edges[f]]) for f in features if edges[f][0] is not None]
+    return baseline.sparkSession.createDataFrame(lines, "feature string, edges array<double>")
+
+
+def bin_counts(df: DataFrame, edges: DataFrame, features: Sequence[str], *by: Column) -> DataFrame:
+    """Rows per feature and bin (and ``by``). Counts of parts of a table add up to those of the whole."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])
+    rows = df.select(*by, F.explode(pairs).alias("x")).select("*", "x.feature", "x.v").drop("x")
+    rows = rows.where("v is not null and not isnan(v)").join(F.broadcast(edges), "feature")  # a line per feature
+    bin = F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("bin")
+    keys = [c for c in rows.columns if c not in ("feature", "v", "edges")]
+    return rows.groupBy(*keys, "feature", bin).agg(F.count("*").alias("n"))
+
+
+def week_of(day: Column) -> Column:
+    """The Monday of a day's week."""
+    return F.date_sub(day, F.weekday(day))
+
+
+def weekly_drift(baseline: DataFrame, weeks: DataFrame, floor_share: float = 1e-4, alert_above: float = 0.25) -> DataFrame:
+    """(week, feature, transactions, psi, alert) from bin counts of the baseline and of each week.
+
+    Both are sums of ``bin_counts``; a week's index is against the baseline's shares, each at least ``floor_share``.
+    """
+    whole = Window.partitionBy("feature")
+    expected = baseline.select("feature", "bin", (F.col("n") / F.sum("n").over(whole)).alias("e"))
+    asked = weeks.select("week", "feature").distinct().join(expected, "feature")
+    both = asked.join(weeks, ["week", "feature", "bin"], "full").fillna(0, ["e", "n"])
+    own = Window.partitionBy("week", "feature")
+    both = both.withColumn("total", F.sum("n").over(own))
+    e, a = F.greatest("e", F.lit(floor_share)), F.greatest(F.col("n") / F.col("total"), F.lit(floor_share))
+    found = both.groupBy("week", "feature").agg(F.sum("n").alias("transactions"), F.sum((a - e) * F.ln(a / e)).alias("psi"))
+    return found.withColumn("alert", F.col("psi") > alert_above)

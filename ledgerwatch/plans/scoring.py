@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions import predicted_label, risk_level, risk_score, stored_probability
 from ledgerwatch.operators.evaluate import (
-    classification_report, confusion_matrix, pr_points, roc_points, threshold_tradeoffs,
+    classification_report, confusion_matrix, full_metrics, pr_points, roc_points, threshold_tradeoffs,
 )
 from ledgerwatch.operators.explain import (
-    LeafBoxes, contribution_column, importance_factors, leaf_boxes, model_importances, top_factors,
+    TreeEnsemble, contribution_column, global_importance, hash_sample, importance_factors, importance_table,
+    model_importances, top_factors, tree_ensemble,
 )
+from ledgerwatch.operators.features import content_key
 from ledgerwatch.operators.stages import ExactRobustScalerModel
 from ledgerwatch.plans.training import CONFIG_SCHEMA, threshold_config
 from ledgerwatch.schemas import DECISION_THRESHOLD, LABEL, LOW_MAX, MEDIUM_MAX
@@ -33,7 +35,7 @@ class Scorer:
     medium_max: float = MEDIUM_MAX
     model_name: str = ""
     means: list[float] | None = None
-    boxes: LeafBoxes | None = None
+    ensemble: TreeEnsemble | None = None
 
     @property
     def classifier(self):
@@ -71,9 +73,9 @@ def _factors(spark: SparkSession, scorer: Scorer, n: int) -> Column:
     """Row contributions where the model allows them, else its importances."""
     model = scorer.classifier
     importances = model_importances(model, scorer.features)
-    if importances and scorer.boxes is None:
-        scorer.boxes = leaf_boxes(spark, model)
-    found = contribution_column(spark, model, F.col("x"), scorer.means, scorer.boxes) if (
+    if importances and scorer.ensemble is None:
+        scorer.ensemble = tree_ensemble(spark, model)
+    found = contribution_column(spark, model, F.col("x"), scorer.means, scorer.ensemble) if (
         importances or scorer.means is not None
     ) else None
     return importance_factors(importances, n) if found is None else top_factors(found, scorer.features, n)
@@ -106,25 +108,45 @@ def probabilities(df: DataFrame, scorer: Scorer, label: str = LABEL) -> DataFram
     return ready.select(F.col(label).cast("int").alias(label), vector_to_array("probability")[1].alias("p"))
 
 
+def evaluation_tables(scored: DataFrame, label: str, p: str, threshold: float) -> dict[str, DataFrame]:
+    """The evaluation tables of labelled probabilities."""
+    return {
+        "metrics": full_metrics(scored, label, p, threshold),
+        "confusion_matrix": confusion_matrix(scored, label, p, threshold),
+        "classification_report": classification_report(scored, label, p, threshold),
+        "threshold_tradeoffs": threshold_tradeoffs(scored, label, p),
+        "roc_points": roc_points(scored, label, p),
+        "pr_points": pr_points(scored, label, p),
+    }
+
+
+def importances(test: DataFrame, scorer: Scorer, rows: int = 500, n: int = 15) -> DataFrame:
+    """The n features with the largest mean absolute contribution over a fixed number of rows, chosen by
+    a hash of their content; the model's own importances where it has no contributions."""
+    spark = test.sparkSession
+    sample = hash_sample(content_key(test, "_row")[0], "_row", rows)
+    ready = scorer.pipeline.transform(sample).withColumn("x", vector_to_array("features"))
+    own = model_importances(scorer.classifier, scorer.features)
+    found = contribution_column(spark, scorer.classifier, F.col("x"), scorer.means, scorer.ensemble) if own or scorer.means else None
+    if found is None:
+        return importance_table(spark, own, n)
+    return global_importance(ready.select(found.alias("contributions")), "contributions", scorer.features, n)
+
+
 def evaluate_model(test: DataFrame, scorer: Scorer, target: str | None = None) -> dict[str, DataFrame]:
-    """The evaluation tables of a scored test split, written below ``target`` if given.
+    """The evaluation tables and importances of a test split, written below ``target`` if given.
 
     The probabilities are written once to the shared folder, so that no table scores again.
     """
     spark = test.sparkSession
     stored = scratch_path(spark, "probabilities")
     probabilities(test, scorer).write.parquet(stored)
-    scored = spark.read.parquet(stored)
-    tables = {
-        "confusion_matrix": confusion_matrix(scored, LABEL, "p", scorer.threshold),
-        "classification_report": classification_report(scored, LABEL, "p", scorer.threshold),
-        "threshold_tradeoffs": threshold_tradeoffs(scored, LABEL, "p"),
-        "roc_points": roc_points(scored, LABEL, "p"),
-        "pr_points": pr_points(scored, LABEL, "p"),
-    }
+    tables = evaluation_tables(spark.read.parquet(stored), LABEL, "p", scorer.threshold)
+    tables["importances"] = importances(test, scorer)
     if target is not None:
-        for name in ("confusion_matrix", "classification_report", "threshold_tradeoffs"):
-            write_report(tables[name], f"{target}/{name}")
-        for name in ("roc_points", "pr_points"):
-            tables[name].write.mode("overwrite").parquet(f"{target}/{name}")
+        for name, table in tables.items():
+            if name in ("roc_points", "pr_points"):
+                table.write.mode("overwrite").parquet(f"{target}/{name}")
+            else:
+                write_report(table, f"{target}/{name}")
     return tables

@@ -3,8 +3,9 @@
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
@@ -110,13 +111,16 @@ class Comparison:
 
 
 def train_and_compare(
-    train: DataFrame, test: DataFrame, seed: int = SEED, names: Sequence[str] | None = None, parts: int = PARTS
+    train: DataFrame, test: DataFrame, seed: int = SEED, names: Sequence[str] | None = None, parts: int = PARTS,
+    at_once: int = 1,
 ) -> Comparison:
     """Fit each learner on ``train`` and compare them on ``test`` at 0.50.
 
     The test rows are scored once with each model and written before they are evaluated. The best has
     the largest PR-AUC, the name deciding between equals. ``parts`` is the number of partitions of the
-    training rows, for the caller to raise with their number; fits depend on it and the seed only.
+    training rows, for the caller to raise with their number; fits depend on it and the seed only. With
+    ``at_once`` over 1 so many learners are fitted side by side, in scheduler pools of their own, so that the
+    many small jobs of boosting run beside the others; each fit's seconds then include its waiting.
     """
     spark = train.sparkSession
     shared_folder(spark)  # boosting checkpoints its running predictions there
@@ -124,14 +128,20 @@ def train_and_compare(
     weighted = _laid_out(train.withColumn("weight", weight_column(weights)), parts).persist(StorageLevel.MEMORY_AND_DISK)
     rows = weighted.count()
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    models, seconds, scored = {}, {}, None
-    for name, estimator in estimators(rows, seed).items():
-        if names is not None and name not in names:
-            continue
+    chosen = {n: e for n, e in estimators(rows, seed).items() if names is None or n in names}
+
+    def fitted(name: str) -> tuple[object, float]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name if at_once > 1 else None)
         start = time.perf_counter()
-        models[name] = estimator.fit(weighted)
-        seconds[name] = round(time.perf_counter() - start, 2)
-        part = class_probability(models[name], test).select(F.lit(name).alias("model"), LABEL, "p")
+        model = chosen[name].fit(weighted)
+        return model, round(time.perf_counter() - start, 2)
+
+    with ThreadPool(max(1, at_once)) as pool:
+        found = dict(zip(chosen, pool.map(inheritable_thread_target(spark)(fitted), chosen, 1), strict=True))
+    models, seconds = {n: m for n, (m, _) in found.items()}, {n: t for n, (_, t) in found.items()}
+    scored = None
+    for name, model in models.items():
+        part = class_probability(model, test).select(F.lit(name).alias("model"), LABEL, "p")
         scored = part if scored is None else scored.unionByName(part)
     folder = scratch_path(spark, "test-scores")
     scored.write.parquet(folder)

@@ -4,16 +4,19 @@ Each job reuses the batch plan inside ``foreachBatch`` or as a streaming aggrega
 keyed by id or by batch number, so a batch that is run again leaves the same result.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerwatch.operators.validate import with_reasons
+from ledgerwatch.plans.exploration import bin_counts, week_of
 from ledgerwatch.plans.kpi import audit_record, summary_aggregates, summary_from
 from ledgerwatch.plans.scoring import Scorer, score
-from ledgerwatch.sources.audit import upsert
-from ledgerwatch.sources.raw import is_folder
+from ledgerwatch.sources.audit import upsert, utc_day
+from ledgerwatch.sources.raw import is_folder, path_exists
 
 
 def file_stream(
@@ -117,6 +120,70 @@ def latest_summary(spark: SparkSession, sink: str) -> DataFrame:
     return summary_from(newest, "window_start")
 
 
+def _of_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch's rows; a batch that is run again replaces its own."""
+    numbered = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
+def closed_windows_stream(
+    tx: DataFrame, sink: str, checkpoint: str, trigger: dict = ONCE, time: str = "created_at", length: str = "1 day",
+    delay: str = "1 hour",
+) -> StreamingQuery:
+    """Each window's KPI summary once, when it closes; rows that come later are kept apart.
+
+    A window closes when the newest time seen lies ``delay`` behind its end. Every batch adds the sums of its
+    rows per window below ``sink``/parts, rows of windows that closed before it to ``sink``/late, and the windows it
+    closes to ``sink``/closed, then notes the time reached in ``sink``/reached. All are keyed by batch number.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        reached = None
+        if path_exists(spark, f"{sink}/reached"):
+            before = spark.read.parquet(f"{sink}/reached").where(F.col("batch_id") < batch_id)
+            reached = before.agg(F.max("reached")).first()[0]
+        rows = batch.withColumn("window", F.window(time, length)).persist()
+        late = F.lit(False) if reached is None else F.col("window.end") <= F.lit(reached)
+        _of_batch(rows.where(late).drop("window"), f"{sink}/late", batch_id)
+        _of_batch(rows.where(~late).groupBy("window").agg(*summary_aggregates()), f"{sink}/parts", batch_id)
+        newest = rows.agg((F.max(time) - F.expr(f"INTERVAL {delay}")).alias("t")).first()["t"]
+        rows.unpersist()
+        now = max((t for t in (reached, newest) if t is not None), default=None)
+        if now is None:
+            return
+        parts = spark.read.parquet(f"{sink}/parts").where(F.col("batch_id") <= batch_id)
+        closing = (F.col("window.end") <= F.lit(now)) & (F.lit(True) if reached is None else F.col("window.end") > F.lit(reached))
+        sums = [F.sum(c).alias(c) for c in parts.columns if c not in ("window", "batch_id")]
+        _of_batch(parts.where(closing).groupBy("window").agg(*sums), f"{sink}/closed", batch_id)
+        _of_batch(spark.range(1).select(F.lit(now).alias("reached")), f"{sink}/reached", batch_id)
+
+    return _start(tx.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def closed_summary(spark: SparkSession, sink: str) -> DataFrame:
+    """The summaries of the windows closed so far."""
+    rows = spark.read.parquet(f"{sink}/closed")
+    return summary_from(rows.withColumn("window_start", F.col("window.start")), "window_start")
+
+
+def drift_stream(
+    tx: DataFrame, edges: DataFrame, features: Sequence[str], sink: str, checkpoint: str, trigger: dict = ONCE,
+    time: str = "created_at",
+) -> StreamingQuery:
+    """Bin counts per week, added up batch by batch; read with ``weekly_counts``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        week = week_of(utc_day(batch, time)).alias("week")
+        _of_batch(bin_counts(batch, edges, features, week), sink, batch_id)
+
+    return _start(tx.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def weekly_counts(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.parquet(sink).groupBy("week", "feature", "bin").agg(F.sum("n").alias("n"))
+
+
 def alert_stream(tx: DataFrame, sink: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
     """High-risk rows, appended as they come; the file sink writes each batch once."""
     alerts = tx.where("risk_level = 'HIGH'")

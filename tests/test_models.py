@@ -8,10 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators import explain
-from ledgerwatch.operators.features import balanced_weights, weight_column
+from ledgerwatch.operators.features import balanced_weights, select_features, weight_column
+from ledgerwatch.operators.stages import preprocessing
 from ledgerwatch.plans import scoring, training
 from ledgerwatch.schemas import FEATURES
 
+from leaf_values import leaf_boxes, leaf_shapley
+
 
 def subset_value(x, known, boxes):
     """Expected output when only ``known`` features are seen, straight from the definition."""
@@ -51,8 +54,9 @@ def weighted(prepared):
     return train.withColumn("weight", weight_column(balanced_weights(train))).persist()
 
 
-def test_shapley_values_equal_the_definition(spark):
-    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+def test_shapley_values_equal_the_definition(spark, tmp_path):
+    """Leaf by leaf, subset by subset, and by one walk along the edges."""
+    from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
     from pyspark.ml.linalg import Vectors
 
     rng = np.random.default_rng(2)
@@ -60,25 +64,73 @@ def test_shapley_values_equal_the_definition(spark):
     y = ((x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=300) * 0.3) > 0).astype(int)
     df = spark.createDataFrame([(Vectors.dense(a), int(b)) for a, b in zip(x, y)], ["features", "Class"])
     for estimator in (
+        DecisionTreeClassifier(labelCol="Class", maxDepth=9, seed=1),
         RandomForestClassifier(labelCol="Class", numTrees=4, maxDepth=5, seed=1),
         GBTClassifier(labelCol="Class", maxIter=4, maxDepth=4, seed=1),
+        DecisionTreeClassifier(labelCol="Class", maxDepth=0),
     ):
-        boxes = explain.leaf_boxes(spark, estimator.fit(df))
-        got = explain.leaf_shapley(x[:6], boxes)
-        np.testing.assert_allclose(got, [brute_shapley(r, boxes) for r in x[:6]], atol=1e-10)
+        model = estimator.fit(df)
+        boxes = leaf_boxes(spark, model, str(tmp_path / "model"))
+        want = leaf_shapley(x, boxes)
+        np.testing.assert_allclose(want[:6], [brute_shapley(r, boxes) for r in x[:6]], atol=1e-10)
+        trees = explain.tree_ensemble(spark, model)
+        assert trees.base == pytest.approx(boxes.base, abs=1e-12)
+        for cells in (2_000_000, 1):
+            got = sum(explain.tree_shapley(x, tree, trees.width, cells) for tree in trees.trees)
+            np.testing.assert_allclose(got, want, atol=1e-9)
 
 
 @pytest.mark.parametrize("name", [training.TREE, training.FOREST])
 def test_contributions_add_up_to_the_score(spark, prepared, weighted, name):
     model = training.estimators(weighted.count())[name].fit(weighted)
-    boxes = explain.leaf_boxes(spark, model)
+    trees = explain.tree_ensemble(spark, model)
     rows = (
         training.class_probability(model, prepared.test).withColumn("x", vector_to_array("features"))
-        .select("p", explain.tree_contributions(spark, boxes, F.col("x")).alias("c")).collect()
+        .select("p", explain.tree_contributions(spark, trees, F.col("x")).alias("c")).collect()
     )
     assert len(rows) == 40
     for r in rows:
-        assert sum(r["c"]) + boxes.base == pytest.approx(r["p"], abs=1e-9)
+        assert sum(r["c"]) + trees.base == pytest.approx(r["p"], abs=1e-9)
+
+
+def test_stages_fit_save_load_and_cross_validate(spark, raw_df, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    learner = LogisticRegression(labelCol="Class", maxIter=5)
+    whole = Pipeline(stages=[*preprocessing(select_features(raw_df.columns)).getStages(), learner])
+    whole.write().save(str(tmp_path / "unfitted"))
+    model = Pipeline.load(str(tmp_path / "unfitted")).fit(raw_df)
+    model.write().save(str(tmp_path / "fitted"))
+    again = PipelineModel.load(str(tmp_path / "fitted"))
+    pick = lambda m: [(r["Time"], r["features"], r["probability"]) for r in m.transform(raw_df).sort("Time", "V1").collect()]
+    assert pick(again) == pick(model) == pick(whole.fit(raw_df))
+    made, scaled = again.stages[:2]
+    assert made.getOrDefault(made.medianAmount) == raw_df.toPandas()["Amount"].median()
+    grid = ParamGridBuilder().addGrid(learner.regParam, [0.01, 0.1]).build()
+    judge = BinaryClassificationEvaluator(labelCol="Class")
+    best = CrossValidator(estimator=whole, estimatorParamMaps=grid, evaluator=judge, numFolds=2, seed=1).fit(raw_df)
+    assert len(best.avgMetrics) == 2 and best.bestModel.transform(raw_df).count() == raw_df.count()
+    assert scaled.copy().getOrDefault(scaled.center) == scaled.getOrDefault(scaled.center)
+
+
+def test_a_missing_value_becomes_nan(spark):
+    from ledgerwatch.operators.stages import ExactRobustScaler
+
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, None), (None, 5.0)], "a double, b double")
+    rows = ExactRobustScaler(inputCols=["a", "b"]).fit(df).transform(df).select(vector_to_array("features").alias("f")).collect()
+    assert np.isnan(rows[1]["f"][1]) and np.isnan(rows[2]["f"][0]) and rows[0]["f"][0] == -1.0
+
+
+def test_fits_side_by_side_give_the_same_models(spark, prepared):
+    one = training.train_and_compare(prepared.train, prepared.test, names=[training.LOGISTIC, training.TREE])
+    two = training.train_and_compare(prepared.train, prepared.test, names=[training.LOGISTIC, training.TREE], at_once=2)
+    drop = lambda c: [tuple(r)[:-1] for r in c.table.collect()]
+    assert drop(one) == drop(two) and one.best == two.best
+    assert one.models[training.LOGISTIC].coefficients == two.models[training.LOGISTIC].coefficients
+    assert one.models[training.TREE].toDebugString.split("\n")[1:] == two.models[training.TREE].toDebugString.split("\n")[1:]
 
 
 def test_top_factors_sort_by_signed_value(spark):
