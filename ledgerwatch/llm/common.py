@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.session import scratch_path, shared_folder
 
 #: Bytes hashed at once; longer texts are cut at word ends, so memory does not follow the text.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,16 +3,17 @@
 Documents become sets of 64-bit shingle hashes (NumPy inside Arrow batches). Equal sets fall into
 one class first, so exact copies are never compared. Then:
 
-1. *Rarity.* Shingles are counted in a table of fixed size (``BUCKETS``), summed over tasks. A
-   prefix filter is right under any order that all documents share; counts put shared passages last.
+1. *Rarity.* Shingles are counted in a table of ``buckets`` counters, a parameter to raise with the corpus,
+   summed over tasks. A prefix filter is right under any order that all documents share; counts put
+   shared passages last.
 2. *Prefixes.* A set of n shingles emits its n - ceil(0.75 n) + 1 rarest, with size and position.
    Two similar sets share at least one of them.
 3. *Candidates.* Postings are sorted by shingle and streamed. A group of at most ``HEADS`` sets gives
    all its pairs that pass the length and positional filters. In a larger one the first ``PIVOTS``,
    which have the commonest shingles, are paired with all others: a row per member, not per pair.
-4. *Verification.* A suffix filter first: sets share at most the smaller of their counts in each of
-   ``RANGES`` hash ranges, which excludes most pairs before any text is read again. Then each distinct
-   pair once, by exact intersection.
+4. *Verification.* A suffix filter first: the hash space is halved again and again, until a part holds about
+   ``PART`` shingles of a set, and two sets share at most the smaller count in each part, which excludes
+   most pairs before any text is read again, long ones too. Then each distinct pair once, by exact intersection.
 5. *The rest of large groups.* Groups whose members are not all connected by then are joined with
    themselves for pairs across components that pass the filters, and those not seen yet are
    verified too. Pairs inside a component can no longer change the result; no other pair is left out.
@@ -34,14 +35,27 @@ WORDS = 5
 HEADS, PIVOTS = 8, 3
 BUCKETS = 1 << 20
 _CHUNK = 1 << 12
+#: Shingles counted at once.
+HELD = 1 << 18
 _APART = separators((0x20, 0x20), (0x09, 0x0D))
 _PLACE = np.random.default_rng(5).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TALLY = "doc_id long, n int, cls long, copy long, ranges array<int>, part int, counts binary"
-RANGES = 64
+_TALLY = "doc_id long, n int, cls long, other long, copy long, ranges array<int>, part int, counts binary"
+#: Shingles per part of the hash space and least number of parts in the suffix filter.
+PART, RANGES = 8, 64
 _POST = "token long, cls long, span long, typ int"
 _FOUND = "token long, a long, b long, span long, typ int"
-_RANGE = np.uint64(64 - RANGES.bit_length() + 1)
-_SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
+
+
+def _top_bits(hashes: np.ndarray, places: int) -> np.ndarray:
+    """Which of ``places`` (a power of two) equal parts of the hash space each hash is in."""
+    return (hashes >> np.uint64(64 - places.bit_length() + 1)).astype(np.int64) if places > 1 else np.zeros(len(hashes), np.int64)
+
+
+def _ranges(shingles: np.ndarray) -> list[int] | None:
+    if not len(shingles):
+        return None
+    places = max(RANGES, 1 << (len(shingles) // PART).bit_length())
+    return np.bincount(_top_bits(shingles, places), minlength=places).tolist()
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -62,38 +76,50 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def _class_of(shingles: np.ndarray) -> int | None:
+def _class_of(shingles: np.ndarray, clashing: frozenset = frozenset()) -> tuple[int | None, int | None]:
+    """The key of a set, and other 64 bits of it, which are the key where unequal sets clash in the first."""
     if not len(shingles):
-        return None
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+        return None, None
+    digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    cls, other = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
+    return (other if cls in clashing else cls), other
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
-        sizes, classes, ranges, waiting, held = [], [], [], [], 0
-        for shingles in shingle_sets(batch.column(1)):
-            sizes.append(len(shingles))
-            classes.append(_class_of(shingles))
-            ranges.append(np.bincount((shingles >> _RANGE).astype(np.int64), minlength=RANGES).tolist() if len(shingles) else None)
-            waiting.append((shingles >> _SHIFT).astype(np.int64))
-            held += len(shingles)
-            if held > BUCKETS:
-                counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
-                waiting, held = [], 0
-        if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
-        n = len(sizes)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), batch.column(2), pa.array(ranges, pa.list_(pa.int32())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-            names=["doc_id", "n", "cls", "copy", "ranges", "part", "counts"],
-        )
-    parts = [k for k in range(BUCKETS // _CHUNK) if counts[k * _CHUNK : (k + 1) * _CHUNK].any()]
-    m = len(parts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int32())), pa.array(parts, pa.int32()), pa.array([counts[k * _CHUNK : (k + 1) * _CHUNK].tobytes() for k in parts], pa.binary())],
-        names=["doc_id", "n", "cls", "copy", "ranges", "part", "counts"],
-    )
+def _tally(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(buckets, np.int64)
+        names = [c.split()[0] for c in _TALLY.split(", ")]
+        for batch in batches:
+            sizes, classes, others, ranges, waiting, held = [], [], [], [], [], 0
+            for shingles in shingle_sets(batch.column(1)):
+                sizes.append(len(shingles))
+                cls, other = _class_of(shingles)
+                classes.append(cls)
+                others.append(other)
+                ranges.append(_ranges(shingles))
+                waiting.append(_top_bits(shingles, buckets))
+                held += len(shingles)
+                if held > HELD:
+                    counts += np.bincount(np.concatenate(waiting), minlength=buckets)
+                    waiting, held = [], 0
+            if waiting:
+                counts += np.bincount(np.concatenate(waiting), minlength=buckets)
+            n = len(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(others, pa.int64()),
+                    batch.column(2), pa.array(ranges, pa.list_(pa.int32())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                ],
+                names=names,
+            )
+        chunk = min(_CHUNK, buckets)
+        parts = [k for k in range(buckets // chunk) if counts[k * chunk : (k + 1) * chunk].any()]
+        m = len(parts)
+        raw = [counts[k * chunk : (k + 1) * chunk].tobytes() for k in parts]
+        empty = [pa.nulls(m, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(parts, pa.int32()), pa.array(raw, pa.binary())], names=names)
+
+    return run
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,16 +133,16 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _rarity(tally: DataFrame) -> np.ndarray:
-    """Shingles per bucket over all documents: ``BUCKETS`` numbers, whatever the corpus size."""
+def _rarity(tally: DataFrame, buckets: int) -> np.ndarray:
+    """Shingles per bucket over all documents: so many numbers, whatever the corpus size."""
     parts = tally.where("part is not null").select("part", "counts").repartition("part").mapInArrow(_summed, "part int, counts binary")
-    out = np.zeros(BUCKETS, np.int64)
-    for part, raw in parts.collect():
-        out[part * _CHUNK : (part + 1) * _CHUNK] = np.frombuffer(raw, np.int64)
+    out, chunk = np.zeros(buckets, np.int64), min(_CHUNK, buckets)
+    for part, raw in parts.toLocalIterator():
+        out[part * chunk : (part + 1) * chunk] = np.frombuffer(raw, np.int64)
     return out
 
 
-def _postings(counts):
+def _postings(counts, clashing: frozenset):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = counts.value
         weight = np.log2(order + 1.0)
@@ -124,14 +150,14 @@ def _postings(counts):
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
             for shingles in shingle_sets(batch.column(0)):
-                cls = _class_of(shingles)
+                cls, _ = _class_of(shingles, clashing)
                 if cls is None or cls in done:
                     continue
                 if len(done) > 200_000:  # forgetting only repeats postings, which the next step skips
                     done.clear()
                 done.add(cls)
                 n = len(shingles)
-                bucket = (shingles >> _SHIFT).astype(np.int64)
+                bucket = _top_bits(shingles, len(order))
                 p = n - (3 * n + 3) // 4 + 1
                 first = np.lexsort((shingles, order[bucket]))[:p]
                 out[0].append(shingles[first].view(np.int64))
@@ -244,10 +270,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _hopeful(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-    """The suffix filter: two sets share at most the smaller count of each hash range."""
+    """The suffix filter: two sets share at most the smaller count of each part of the hash space.
+
+    Sets of similar size are cut into as many parts, or one into twice as many; then neighbours are added up.
+    """
     side = lambda c, to: classes.select(F.col("cls").alias(c), F.col("ranges").alias(to)).hint("merge")
     total = lambda counts: F.aggregate(counts, F.lit(0), lambda s, x: s + x)
-    shared = total(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)))
+    halved = lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 1, F.lit(2)), lambda i: F.get(c, i) + F.get(c, i + 1))
+    ra, rb = F.col("ra"), F.col("rb")
+    ra, rb = F.when(F.size(ra) > F.size(rb), halved(ra)).otherwise(ra), F.when(F.size(rb) > F.size(ra), halved(rb)).otherwise(rb)
+    shared = total(F.zip_with(ra, rb, lambda x, y: F.least(x, y)))
     found = pairs.join(side("a", "ra"), "a").join(side("b", "rb"), "b")
     return staged(found.where(7 * shared >= 3 * (total(F.col("ra")) + total(F.col("rb")))).select("a", "b"), name)
 
@@ -273,22 +305,28 @@ def _copy():
     return F.xxhash64("text")
 
 
-def jaccard_classes(documents: DataFrame) -> DataFrame:
+def jaccard_classes(documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles, component_id.
 
     Texts that are null or without words have no shingles, are linked with nothing and are their own
     component. Rows that share a doc_id are one document with several texts. A row without a
     doc_id links nothing and has a null component. An empty table gives no rows; further columns
-    are ignored. Hashes have 64 bits.
+    are ignored. Shingle hashes have 64 bits, sets are told apart by 128. ``buckets``, a power of two, is the
+    size of the table of rarities.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tally = staged(documents.withColumn("copy", _copy()).mapInArrow(_tally, _TALLY), "tally")
-    members = tally.where("part is null").select("doc_id", "n", "cls", "copy", "ranges")
+    tally = staged(documents.withColumn("copy", _copy()).mapInArrow(_tally(buckets), _TALLY), "tally")
+    members = tally.where("part is null").select("doc_id", "n", "cls", "other", "copy", "ranges")
+    clashing = members.where("cls is not null").groupBy("cls").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
+    # unequal sets of one 64-bit key: a handful even among 10**11 texts
+    clashing = frozenset(r["cls"] for r in clashing.where("lo != hi").select("cls").collect())
+    if clashing:
+        members = members.withColumn("cls", F.when(F.col("cls").isin(list(clashing)), F.col("other")).otherwise(F.col("cls")))
     known = members.where("cls is not null and doc_id is not null")
     classes = staged(known.groupBy("cls").agg(F.min(F.struct("doc_id", "copy", "ranges")).alias("first")).select("cls", F.col("first.doc_id").alias("node"), "first.copy", "first.ranges"), "classes")
-    rarity = _rarity(tally)
+    rarity = _rarity(tally, buckets)
     counts = documents.sparkSession.sparkContext.broadcast(rarity)
-    posts = documents.where("doc_id is not null").select("text").mapInArrow(_postings(counts), _POST)
+    posts = documents.where("doc_id is not null").select("text").mapInArrow(_postings(counts, clashing), _POST)
     ordered = posts.repartition("token").sortWithinPartitions("token", F.desc("typ"), "cls")
     found = staged(ordered.mapInArrow(_pairs, _FOUND), "found")
     pairs = staged(found.where("token is null").select("a", "b").distinct(), "pairs")

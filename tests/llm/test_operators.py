@@ -426,6 +426,38 @@ def test_pair_stream_does_not_depend_on_batches(monkeypatch):
     assert len(whole[1]) == sum(s for s in sizes if s > jaccard.HEADS)
 
 
+def test_suffix_filter_excludes_unrelated_sets_of_any_size(spark):
+    rng = np.random.default_rng(9)
+    classes, unrelated, near = [], [], []
+    for n in (60, 300, 1000, 3000, 20_000):
+        for _ in range(6):
+            x, y = (np.unique(rng.integers(0, 1 << 63, m, dtype=np.uint64) * np.uint64(2)) for m in (n, int(n * 1.2)))
+            k = len(classes)
+            edge = np.concatenate([x[: -(len(x) // 10)], y[: len(x) // 25]])  # shares about four fifths with x
+            classes += [(k + j, jaccard._ranges(np.unique(s))) for j, s in enumerate((x, y, edge))]
+            unrelated.append((k, k + 1, n))
+            near.append((k, k + 2, len(np.intersect1d(x, edge)) / len(np.union1d(x, edge))))
+    table = spark.createDataFrame(classes, "cls long, ranges array<int>")
+    pairs = spark.createDataFrame([p[:2] for p in unrelated + near], "a long, b long")
+    kept = {(r.a, r.b) for r in jaccard._hopeful(pairs, table, "hopeful").collect()}
+    assert all(share >= 0.75 for *_, share in near) and {p[:2] for p in near} <= kept
+    assert not [p for p in unrelated if p[2] >= 300 and p[:2] in kept]
+
+
+def test_clashing_keys_give_way_to_other_bits():
+    sets = [np.array([k, k + 1], np.uint64) for k in range(3)]
+    keys = [jaccard._class_of(s) for s in sets]
+    assert len(set(keys)) == 3 and jaccard._class_of(sets[0][:0]) == (None, None)
+    assert jaccard._class_of(sets[1], frozenset({keys[1][0]})) == (keys[1][1], keys[1][1])
+
+
+@pytest.mark.parametrize("buckets", [1, 64, 1 << 16])
+def test_any_table_of_rarities_gives_the_same_links(spark, buckets):
+    docs = common.table(spark, SF, "documents")
+    want = {r.doc_id: tuple(r) for r in jaccard.jaccard_classes(docs).collect()}
+    assert {r.doc_id: tuple(r) for r in jaccard.jaccard_classes(docs, buckets).collect()} == want
+
+
 def test_jaccard_odd_rows(spark, odd):
     rows = jaccard.jaccard_classes(odd).collect()
     assert len(rows) == len(ODD)
