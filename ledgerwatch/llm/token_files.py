@@ -110,9 +110,12 @@ def _encoded(table):
 def write_tokens(documents: DataFrame, path: str, vocabulary: str, size: int, end: int) -> None:
     """Tokenise ``text`` (null: empty), append id ``end``, write below ``path`` in doc_id order.
 
-    ``size`` is the number of ids, at most 65536. Rows that share a doc_id follow each other in any
-    order; rows without one come first. An empty table gives a data set without blocks.
+    ``size`` is the number of ids, at most 65536. Rows that share a doc_id follow each other, ordered by a
+    hash of their ids, and so do those without one, which come first. An empty table gives a data set
+    without blocks.
     """
+    if size > 1 << 16 or not 0 <= end < size:
+        raise ValueError(f"ids are written in 16 bits: {size} ids, end {end}")
     spark = documents.sparkSession
     rows = documents.select("doc_id", "text").mapInArrow(_tokenized(vocabulary, end), "doc_id long, ids binary")
     kept = scratch(spark, "ids")
@@ -126,7 +129,8 @@ def write_tokens(documents: DataFrame, path: str, vocabulary: str, size: int, en
     frequencies = [(int(k), int(v)) for k, v in enumerate(share) if v]
     spark.createDataFrame(frequencies, "symbol int, share int").coalesce(1).write.parquet(f"{path}/table")
     table = spark.sparkContext.broadcast(share)
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("ids")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(_encoded(table), _DDL).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

@@ -347,6 +347,12 @@ def files_right(rows, docs):
     return sorted(map(tuple, rows)) == want
 
 
+def test_token_files_refuse_ids_over_16_bits(spark, odd):
+    for size, end in ((1 << 17, 1), (100, 100), (100, -1)):
+        with pytest.raises(ValueError, match="16 bits"):
+            token_files.write_tokens(odd, "nowhere", WORDS, size, end)
+
+
 def test_token_files(spark, texts, odd, monkeypatch):
     assert files_right(QUERIES["op5_rans_token_files"](spark, SF).collect(), sorted(texts))
     path = common.scratch(spark, "odd-tokens")
