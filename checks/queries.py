@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions import (
@@ -599,6 +599,17 @@ def _(spark, sf_dir):
     return explain.importance_table(spark, explain.model_importances(scorer.classifier, scorer.features))
 
 
+@query("x04_importances_add_up")
+def _(spark, sf_dir):
+    """Of a tree, a forest and a boosted model: as many importances as features, none negative, one in sum."""
+    df, lines = keyed_table(spark, sf_dir), []
+    for name in (training.TREE, training.FOREST, training.BOOSTED):
+        scorer = fitted_scorer(spark, df, name, rounds=5)
+        found = list(explain.model_importances(scorer.classifier, scorer.features).values())
+        lines.append((name, len(found), int(min(found) >= 0), round(sum(found), 6)))
+    return spark.createDataFrame(lines, "model string, features long, none_negative int, total double")
+
+
 # Evaluation
 
 
@@ -821,6 +832,24 @@ def _(spark, sf_dir):
     return kpi.record(audit.read_transactions(spark, table).drop(audit.DAY, "id"))
 
 
+@query("t01_stream_equals_batch")
+def _(spark, sf_dir):
+    """Every accepted payload of the scored stream, and whether the batch scores it alike."""
+    table, bad, state = (scratch_path(spark, n) for n in ("scored", "rejected", "state"))
+    path = f"{sf_dir}/embeddings.parquet"
+    rows = lambda frame: payload_rows(frame).withColumn("received_at", F.timestamp_seconds("Time"))
+    scorer = fitted_scorer(spark, keyed_table(spark, sf_dir))
+    stream = jobs.file_stream(spark, path, spark.read.parquet(path).schema)
+    jobs.score_stream(rows(stream), scorer, table, bad, state).awaitTermination()
+    accepted = validate.with_reasons(rows(spark.read.parquet(path))).where(F.size("reasons") == 0).drop("reasons")
+    batch = kpi.audit_record(scoring.score(accepted, scorer, factors=0))
+    stored = audit.read_transactions(spark, table)
+    fields = ["amount", "actual_class", "predicted_class", "fraud_probability", "risk_score", "risk_level"]
+    equal = functools.reduce(Column.__and__, [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in fields])
+    both = stored.alias("s").join(batch.alias("b"), "transaction_id", "full")
+    return both.select("transaction_id", F.coalesce(equal, F.lit(False)).cast("int").alias("equal"))
+
+
 @query("t02_ingest_last_wins")
 def _(spark, sf_dir):
     table, state = scratch_path(spark, "ingest"), scratch_path(spark, "state")

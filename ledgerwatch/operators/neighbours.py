@@ -220,7 +220,7 @@ def _shipped(held, blocks, pivots, reaches, n, k, key_type, found_type, report,
 
     def meet(home: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
         if not len(home) or not len(met):
-            return pd.DataFrame({"key": [], "best": []})
+            return pd.DataFrame({"key": [], "best": []}, dtype=object)
         block = home.iloc[0]
         keys = list(block["keys"])
         at = np.frombuffer(block["at"]).reshape(len(keys), -1)
@@ -231,7 +231,7 @@ def _shipped(held, blocks, pivots, reaches, n, k, key_type, found_type, report,
         order[np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)] = np.arange(len(names))
         found = list(_among(at, np.frombuffer(block["radius"]), np.frombuffer(block["bound"]), others, far, order, k))
         if not found:
-            return pd.DataFrame({"key": [], "best": []})
+            return pd.DataFrame({"key": [], "best": []}, dtype=object)
         row, place, squared = (np.concatenate(x) for x in zip(*found, strict=True))
         where, d = _grouped(len(keys), row, place, squared)
         best = [[(x, names[j]) for x, j in zip(a.tolist(), b.tolist())] for a, b in zip(d, where)]

@@ -124,7 +124,7 @@ def importances(test: DataFrame, scorer: Scorer, rows: int = 500, n: int = 15) -
     """The n features with the largest mean absolute contribution over a fixed number of rows, chosen by
     a hash of their content; the model's own importances where it has no contributions."""
     spark = test.sparkSession
-    sample = hash_sample(content_key(test, "_row")[0], "_row", rows)
+    sample = hash_sample(content_key(test, "_row"), "_row", rows)
     ready = scorer.pipeline.transform(sample).withColumn("x", vector_to_array("features"))
     own = model_importances(scorer.classifier, scorer.features)
     found = contribution_column(spark, scorer.classifier, F.col("x"), scorer.means, scorer.ensemble) if own or scorer.means else None
