@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -49,6 +50,30 @@ def text_slices(column: pa.Array, most: int = SEGMENT) -> Iterator[tuple[int, np
         first = last
 
 
+@functools.cache
+def _trim():
+    """The C library's call that gives free memory back; does nothing where there is none."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def released(run):
+    """A task's function that gives back what its worker holds when it ends, as workers are used again."""
+
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _powers.cache_clear()
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing steps of splitmix64, elementwise."""
     x = x ^ (x >> np.uint64(30))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import components, mix, separators, staged, text_slices, word_hashes
+from ledgerwatch.llm.common import components, mix, released, separators, staged, text_slices, word_hashes
 
 WORDS = 5
 HEADS, PIVOTS = 8, 3
@@ -135,7 +135,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rarity(tally: DataFrame, buckets: int) -> np.ndarray:
     """Shingles per bucket over all documents: so many numbers, whatever the corpus size."""
-    parts = tally.where("part is not null").select("part", "counts").repartition("part").mapInArrow(_summed, "part int, counts binary")
+    parts = tally.where("part is not null").select("part", "counts").repartition("part").mapInArrow(released(_summed), "part int, counts binary")
     out, chunk = np.zeros(buckets, np.int64), min(_CHUNK, buckets)
     for part, raw in parts.toLocalIterator():
         out[part * chunk : (part + 1) * chunk] = np.frombuffer(raw, np.int64)
@@ -293,7 +293,7 @@ def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, name:
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     chosen = staged(classes.join(wanted, "cls").select("cls", F.col("node").alias("doc_id"), "copy"), name)
     texts = documents.withColumn("copy", _copy()).join(chosen if few else chosen.hint("merge"), ["doc_id", "copy"]).select("cls", "text")
-    sets = staged(texts.mapInArrow(_sets, "cls long, shingles array<long>"), name)
+    sets = staged(texts.mapInArrow(released(_sets), "cls long, shingles array<long>"), name)
     side = lambda c, to: sets.select(F.col("cls").alias(c), F.col("shingles").alias(to)).hint("merge")
     both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a")
     ok = 7 * F.size(F.array_intersect("x", "y")) >= 3 * (F.size("x") + F.size("y"))
@@ -315,7 +315,7 @@ def jaccard_classes(documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     size of the table of rarities.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tally = staged(documents.withColumn("copy", _copy()).mapInArrow(_tally(buckets), _TALLY), "tally")
+    tally = staged(documents.withColumn("copy", _copy()).mapInArrow(released(_tally(buckets)), _TALLY), "tally")
     members = tally.where("part is null").select("doc_id", "n", "cls", "other", "copy", "ranges")
     clashing = members.where("cls is not null").groupBy("cls").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
     # unequal sets of one 64-bit key: a handful even among 10**11 texts
@@ -326,9 +326,9 @@ def jaccard_classes(documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     classes = staged(known.groupBy("cls").agg(F.min(F.struct("doc_id", "copy", "ranges")).alias("first")).select("cls", F.col("first.doc_id").alias("node"), "first.copy", "first.ranges"), "classes")
     rarity = _rarity(tally, buckets)
     counts = documents.sparkSession.sparkContext.broadcast(rarity)
-    posts = documents.where("doc_id is not null").select("text").mapInArrow(_postings(counts, clashing), _POST)
+    posts = documents.where("doc_id is not null").select("text").mapInArrow(released(_postings(counts, clashing)), _POST)
     ordered = posts.repartition("token").sortWithinPartitions("token", F.desc("typ"), "cls")
-    found = staged(ordered.mapInArrow(_pairs, _FOUND), "found")
+    found = staged(ordered.mapInArrow(released(_pairs), _FOUND), "found")
     pairs = staged(found.where("token is null").select("a", "b").distinct(), "pairs")
     members_of = found.where("token is not null").select("token", F.col("a").alias("cls"), "span")
     links = _verified(documents, classes, _hopeful(pairs, classes, "hopeful"), "links")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ledgerwatch.llm.common import mix
+from ledgerwatch.llm.common import mix, released
 
 SAMPLE = 1500
 #: So many of the commonest labels are learned, which bounds the model where labels are dirty.
@@ -250,7 +250,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams:
     langs, chosen = _sampled(labelled, sample, "sample")
     if not langs:
         return Model([], {})
-    counts = chosen.select("lang", "text").mapInArrow(_counts, "lang string, kind int, hash long, n long")
+    counts = chosen.select("lang", "text").mapInArrow(released(_counts), "lang string, kind int, hash long, n long")
     counts = counts.groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "hash")
     kept = counts.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= F.when(F.col("kind") == 0, words).otherwise(grams))
@@ -275,7 +275,7 @@ def least_likeness(labelled: DataFrame, model: Model, sample: int = SAMPLE) -> f
         for texts in _texts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(_likeness(shared.value, texts), pa.float64())], names=["like"])
 
-    found = chosen.select("text").mapInArrow(run, "like double").where("like is not null")
+    found = chosen.select("text").mapInArrow(released(run), "like double").where("like is not null")
     middle, low = found.agg(F.percentile("like", 0.5), F.percentile("like", 0.05)).head()
     if middle is None:
         return -np.inf
@@ -354,7 +354,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
     rows = documents.select("doc_id", "text")
     schema = StructType([rows.schema["doc_id"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def written_in_known(documents: DataFrame, model: Model, least: float = -np.inf) -> DataFrame:
@@ -373,7 +373,7 @@ def written_in_known(documents: DataFrame, model: Model, least: float = -np.inf)
                 likes = _likeness(shared.value, part.column(at).to_pylist())
                 yield part.filter(pa.array([x is not None and x >= least for x in likes], pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(released(run), documents.schema)
 
 
 def remainder(doc_id: str, of: int) -> Column:

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.common import released
 from ledgerwatch.llm.tokens import encode, in_runs
 
 POOL = 4096
@@ -181,7 +182,7 @@ def pack(documents: DataFrame, vocabulary: str, end: int = 0, limits: Limits = L
     unique, not gapless. An empty table gives no rows; other columns are ignored.
     """
     rows = documents.select(documents["doc_id"].cast("long"), "text")
-    return rows.mapInArrow(_packed(vocabulary, end, limits, with_ids, False), _schema(with_ids))
+    return rows.mapInArrow(released(_packed(vocabulary, end, limits, with_ids, False)), _schema(with_ids))
 
 
 def pack_parts(documents: DataFrame, vocabulary: str, end: int = 0, limits: Limits = Limits(), with_ids: bool = False) -> DataFrame:
@@ -192,7 +193,7 @@ def pack_parts(documents: DataFrame, vocabulary: str, end: int = 0, limits: Limi
     """
     parts = F.transform("parts", lambda p: F.struct(p["text"].alias("text"), p["bears_loss"].alias("bears_loss")))
     rows = documents.select(documents["doc_id"].cast("long"), parts.alias("parts"))
-    return rows.mapInArrow(_packed(vocabulary, end, limits, with_ids, True), _schema(with_ids))
+    return rows.mapInArrow(released(_packed(vocabulary, end, limits, with_ids, True)), _schema(with_ids))
 
 
 def conversation_parts(conversations: DataFrame, answers: str = "assistant") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import staged
+from ledgerwatch.llm.common import released, staged
 
 KINDS = ("email", "ip", "card", "phone")
 CERTAINTY = 0.5
@@ -153,7 +153,7 @@ def copy_key() -> Column:
 
 def scan(documents: DataFrame) -> DataFrame:
     """doc_id, copy (a hash of the text), base spans, entities, and the words of texts that have one, of every row."""
-    return staged(_keyed(documents).mapInArrow(_scanned, _SCAN), "scan")
+    return staged(_keyed(documents).mapInArrow(released(_scanned), _SCAN), "scan")
 
 
 def surprise(n_te: Column, n_t: Column, n_e: Column, total: int) -> Column:
@@ -224,7 +224,7 @@ def term_spans(documents: DataFrame, scanned: DataFrame) -> DataFrame:
     telling, has = telling_terms(documents, scanned)
     marks = has.join(telling.select("term").distinct(), "term").groupBy("copy").agg(F.collect_set("term").alias("telling"))
     rows = _keyed(documents).join(marks, "copy").select("copy", "text", "telling")
-    found = rows.mapInArrow(_marked, "copy binary, terms array<struct<start:int,kind:int,end:int>>")
+    found = rows.mapInArrow(released(_marked), "copy binary, terms array<struct<start:int,kind:int,end:int>>")
     return staged(found.groupBy("copy").agg(F.first("terms").alias("terms")), "term-spans")
 
 
@@ -297,4 +297,4 @@ def sanitize(documents: DataFrame) -> DataFrame:
             arrays = [pa.array(out, batch.column(place).type) if k == place else batch.column(k) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(released(run), schema)
