@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
-CELL_ROWS = 1024
+CELL_ROWS = 128
 PIVOTS = 4096
 TURN_ROWS = 65536
 SLICE = 256
