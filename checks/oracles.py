@@ -505,6 +505,3 @@ g AS (SELECT w.week, w.feature, bins.bin, coalesce(e, 0) AS e, coalesce(n, 0) AS
 s AS (SELECT week, feature, n, greatest(e, 0.0001) AS e, greatest(n / sum(n) OVER (PARTITION BY week, feature), 0.0001) AS a FROM g),
 z AS (SELECT week, feature, sum(n) AS transactions, sum((a - e) * ln(a / e)) AS psi FROM s GROUP BY 1, 2)
 SELECT week, feature, {big('transactions')} AS transactions, {fx('psi', 6)} AS psi, CASE WHEN psi > 0.25 THEN 1 ELSE 0 END AS alert FROM z"""
-SQL["x04_importances_add_up"] = """SELECT model, 34::BIGINT AS features, 1::INTEGER AS none_negative, 1.0::DOUBLE AS total
-FROM (VALUES ('Decision Tree'), ('Random Forest'), ('Gradient Boosted Trees')) m(model)"""
-SQL["t01_stream_equals_batch"] = f"""SELECT transaction_id, 1::INTEGER AS equal FROM ({SQL['vd2_payload_reasons']}) WHERE accepted = 1"""
