@@ -4,10 +4,10 @@ Words are runs of letters, lowered, hashed from code points in NumPy. A word kno
 scores its log frequency in each; an unseen word scores the mean over its n-grams (with word ends),
 of the largest n from 5 to 1 for which any is known. A text's language has the largest sum.
 
-The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` texts of each language,
-chosen by a hash of the id, of which the ``WORDS`` commonest words and ``GRAMS`` commonest n-grams
-of each length are kept. Its size therefore depends on the number of languages only, of which the
-``LANGUAGES`` commonest are learned.
+The model is fitted on all labelled rows: their words are counted first, and n-grams over the distinct
+words, with their counts. The ``WORDS`` commonest words and ``GRAMS`` commonest n-grams of each length
+are kept. Its size therefore depends on the number of languages only, of which the ``LANGUAGES``
+commonest are learned.
 
 Whether a text is written in a learned language at all is another question, as some language always
 has the largest sum: its *likeness* is the mean log frequency per word of its trigrams in the language
@@ -27,7 +27,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerwatch.llm.common import mix, released
 
-SAMPLE = 1500
+#: Distinct words of a language that a task holds before it hands them on.
+HELD = 1 << 16
 #: So many of the commonest labels are learned, which bounds the model where labels are dirty.
 LANGUAGES = 1000
 WORDS = 20_000
@@ -44,6 +45,8 @@ LIKE = 3
 SPREAD = 6.0
 LEAST_GAP = 3.5
 WORST = 0.75
+#: Decimals of a likeness that its quantiles look at, which bounds how many values are counted.
+DIGITS = 4
 _END = np.uint64(0x2C)
 #: Characters, and rows, worked on at once: they bound what a worker holds besides its Arrow batch.
 _SLICE, _ROWS = 1 << 17, 512
@@ -118,39 +121,74 @@ def _cut(text: str) -> Iterator[str]:
         at = end
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of (lang, text) with their numbers, as often as a task's table of them is full."""
+    held: dict[str, dict[str, int]] = {}
+
+    def packed(lang: str) -> pa.RecordBatch:
+        own = held.pop(lang)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())],
+            names=["lang", "word", "n"],
+        )
+
     for batch in batches:
-        texts: dict[str, list[str]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            texts.setdefault(lang, []).append(text)
-        for lang, own in texts.items():
-            waiting: list[str] = []
-            held = 0
-            for k, text in enumerate(own):
-                for piece in _cut(text):
-                    waiting.append(piece)
-                    held += len(piece)
-                    if held >= _SLICE:
-                        yield _table(lang, "\n".join(waiting))
-                        waiting, held = [], 0
-                if k == len(own) - 1 and waiting:
-                    yield _table(lang, "\n".join(waiting))
-
-
-def _table(lang: str, text: str) -> pa.RecordBatch:
+        for first in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(first, _ROWS)
+            texts: dict[str, list[str]] = {}
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                texts.setdefault(lang, []).append(text)
+            for lang, own in texts.items():
+                for _, pieces in _pieces(own):
+                    known = held.setdefault(lang, {})
+                    for word, n in _words("\n".join(pieces)):
+                        known[word] = known.get(word, 0) + n
+                    if sum(map(len, held.values())) > HELD:
+                        yield packed(max(held, key=lambda x: len(held[x])))
+    for lang in list(held):
+        yield packed(lang)
+
+
+def _words(text: str) -> Iterator[tuple[str, int]]:
+    """The distinct words of a text, lowered, and their numbers."""
     points, starts, ends = _runs(text)
-    words, one, n = np.unique(_word_hashes(points, starts, ends), return_index=True, return_counts=True)
-    kinds, hashes, counts = [np.zeros(len(words), np.int32)], [words], [n]
-    padded = _padded(points, starts[one], ends[one])
+    _, one, n = np.unique(_word_hashes(points, starts, ends), return_index=True, return_counts=True)
+    lowered = text.lower()
+    for a, b, k in zip(starts[one].tolist(), ends[one].tolist(), n.tolist(), strict=True):
+        yield lowered[a:b], k
+
+
+def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of distinct (lang, word, n) and of their n-grams, with their numbers."""
+    for batch in batches:
+        by_lang: dict[str, list[int]] = {}
+        for k, lang in enumerate(batch.column(0).to_pylist()):
+            by_lang.setdefault(lang, []).append(k)
+        words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy()
+        for lang, rows in by_lang.items():
+            waiting, held = [], 0
+            for j, k in enumerate(rows):
+                waiting.append(k)
+                held += len(words[k])
+                if held >= _SLICE or j == len(rows) - 1:
+                    yield _table(lang, [words[i] for i in waiting], n[waiting])
+                    waiting, held = [], 0
+
+
+def _table(lang: str, words: list[str], weights: np.ndarray) -> pa.RecordBatch:
+    points, starts, ends = _runs("\n".join(words))
+    hashes = _word_hashes(points, starts, ends)
+    kinds, found, counts = [np.zeros(len(hashes), np.int32)], [hashes], [weights]
+    padded = _padded(points, starts, ends)
     for size in range(1, LONGEST + 1):
-        found, word = _gram_hashes(*padded, size)
-        grams, at = np.unique(found, return_inverse=True)
+        grams, word = _gram_hashes(*padded, size)
+        grams, at = np.unique(grams, return_inverse=True)
         kinds.append(np.full(len(grams), size, np.int32))
-        hashes.append(grams)
-        counts.append(np.bincount(at, weights=n[word], minlength=len(grams)))
+        found.append(grams)
+        counts.append(np.bincount(at, weights=weights[word], minlength=len(grams)).astype(np.int64))
     kind = np.concatenate(kinds)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(kind), pa.string()), pa.array(kind), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(counts).astype(np.int64))],
+        [pa.array([lang] * len(kind), pa.string()), pa.array(kind), pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(counts))],
         names=["lang", "kind", "hash", "n"],
     )
 
@@ -233,27 +271,27 @@ class Model:
             total[:, k] += np.bincount(doc, weights=logs[row, k] * weight, minlength=len(total))
 
 
-def _sampled(labelled: DataFrame, sample: int, seed: str) -> tuple[list[str], DataFrame]:
-    """The languages, and about ``sample`` labelled rows of each (doc_id, text, lang)."""
-    labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    commonest = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    sizes = {r[0]: r[1] for r in commonest.collect()}
-    langs = sorted(sizes)
-    if not langs:
-        return langs, labelled
-    share = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(min(1.0, sample / sizes[lang])))])
-    return langs, labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 20))
+def _labelled(rows: DataFrame) -> tuple[list[str], DataFrame]:
+    """The languages learned, and all rows labelled with one of them and with a text."""
+    rows = rows.where("lang is not null and text is not null")
+    commonest = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    langs = sorted(r[0] for r in commonest.collect())
+    return langs, rows.where(F.col("lang").isin(langs))
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
-    """Fit on ``labelled`` (doc_id, text, lang). Rows without lang or text teach nothing."""
-    langs, chosen = _sampled(labelled, sample, "sample")
+def learn(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
+    """Fit on all of ``labelled`` (text, lang). Rows without lang or text teach nothing."""
+    langs, chosen = _labelled(labelled.select("lang", "text"))
     if not langs:
         return Model([], {})
-    counts = chosen.select("lang", "text").mapInArrow(released(_counts), "lang string, kind int, hash long, n long")
+    distinct = chosen.mapInArrow(released(_counted), "lang string, word string, n long")
+    distinct = distinct.groupBy("lang", "word").agg(F.sum("n").alias("n")).select("lang", "word", "n")
+    counts = distinct.mapInArrow(released(_kinds), "lang string, kind int, hash long, n long")
     counts = counts.groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "hash")
-    kept = counts.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= F.when(F.col("kind") == 0, words).otherwise(grams))
+    rank = F.col("rank")
+    kept = counts.withColumn("rank", F.row_number().over(top)).where(rank <= max(words, grams))  # cut before the shuffle too
+    kept = kept.where(rank <= F.when(F.col("kind") == 0, words).otherwise(grams))
     found = kept.select("lang", "kind", "hash", "n").toPandas()  # bounded by languages x (words + 5 grams)
     kinds = {}
     for kind, part in found.groupby("kind"):
@@ -264,31 +302,16 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams:
     return Model(langs, kinds)
 
 
-def least_likeness(labelled: DataFrame, model: Model, sample: int = SAMPLE) -> float:
-    """The likeness below which a text is in no learned language, from a bounded sample of labelled rows."""
-    langs, chosen = _sampled(labelled, sample, "likeness")
-    if not langs or LIKE not in model.kinds:
-        return -np.inf
-    shared = chosen.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in _texts(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(_likeness(shared.value, texts), pa.float64())], names=["like"])
-
-    found = chosen.select("text").mapInArrow(released(run), "like double").where("like is not null")
-    middle, low = found.agg(F.percentile("like", 0.5), F.percentile("like", 0.05)).head()
+def least_likeness(judged: DataFrame, model: Model, like: str) -> float:
+    """The likeness below which a text is in no learned language, from the column ``like`` of all labelled rows."""
+    _, rows = _labelled(judged.select("lang", "text", like))
+    counts = rows.where(F.col(like).isNotNull()).groupBy(F.round(like, DIGITS).alias("like")).count()
+    middle, low = counts.agg(F.percentile("like", 0.5, F.col("count")), F.percentile("like", 0.05, F.col("count"))).head()
     if middle is None:
         return -np.inf
     return max(middle - max(LEAST_GAP, SPREAD * (middle - low)), middle + WORST * (float(model.unseen().max()) - middle))
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str | None]]:
-    """The last column, so many rows at a time."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, _ROWS):
-            yield batch.column(batch.num_columns - 1).slice(first, _ROWS).to_pylist()
-
-
 def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Runs of pieces of the texts, about a slice together, with the text each belongs to."""
     at, waiting, held = [], [], 0
@@ -357,11 +380,11 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(released(run), schema)
 
 
-def written_in_known(documents: DataFrame, model: Model, least: float = -np.inf) -> DataFrame:
-    """The rows of ``documents``, with all their columns, that are written in a learned language.
+def judged(documents: DataFrame, model: Model, like: str) -> DataFrame:
+    """``documents`` with the likeness of each row's text, a mean per word, in the further column ``like``.
 
-    Rejected are texts without a word apart from digits, or without a word of which itself or any
-    trigram is known, and those whose likeness is below ``least``. Rows pass as they came.
+    It is null for texts without a word apart from digits, or without a word of which itself or any
+    trigram is known. Rows pass as they came.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
@@ -370,10 +393,10 @@ def written_in_known(documents: DataFrame, model: Model, least: float = -np.inf)
         for batch in batches:
             for first in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(first, _ROWS)
-                likes = _likeness(shared.value, part.column(at).to_pylist())
-                yield part.filter(pa.array([x is not None and x >= least for x in likes], pa.bool_()))
+                likes = pa.array(_likeness(shared.value, part.column(at).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, likes], names=[*part.schema.names, like])
 
-    return documents.mapInArrow(released(run), documents.schema)
+    return documents.mapInArrow(released(run), StructType([*documents.schema.fields, StructField(like, DoubleType())]))
 
 
 def remainder(doc_id: str, of: int) -> Column:

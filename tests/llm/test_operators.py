@@ -223,6 +223,25 @@ def test_scores_equal_a_plain_back_off(spark, docs):
         assert r.lang_pred == lang and abs(r.score - score) < 1e-9, texts[r.doc_id]
 
 
+def test_every_labelled_row_teaches(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: "w" + "".join(letters[k // 26**i % 26] for i in range(3))
+    rows = [(k, f"shared {word(k)} shared", "xx") for k in range(2500)] + [(None, "alone", "yy"), (7, None, "xx"), (8, "lost", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = language.learn(docs)
+    known, logs = model.kinds[0]
+    assert model.langs == ["xx", "yy"] and len(known) == 2502
+    total = 7500 + 0.5 * 2502
+    assert np.isclose(np.sort(logs[:, 0])[-1], math.log(5000.5 / total))
+    assert np.isclose(np.sort(logs[:, 0])[1:-1], math.log(1.5 / total)).all()
+    likes = language.judged(docs, model, "like").persist()
+    found = np.array([r["like"] for r in likes.where("lang is not null and like is not null").collect()])
+    middle, low = np.percentile(found, [50, 5])
+    want = max(middle - max(language.LEAST_GAP, language.SPREAD * (middle - low)), middle + language.WORST * (model.unseen().max() - middle))
+    assert len(found) == 2501 and abs(language.least_likeness(likes, model, "like") - want) < 1e-3
+    likes.unpersist()
+
+
 # 3 and 5: tokens
 
 
