@@ -22,6 +22,7 @@ one class first, so exact copies are never compared. Then:
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ WORDS = 5
 HEADS, PIVOTS = 8, 3
 BUCKETS = 1 << 20
 _CHUNK = 1 << 12
-#: Shingles counted at once.
+#: Shingles counted at once, and candidate pairs held before they are handed on.
 HELD = 1 << 18
 _APART = separators((0x20, 0x20), (0x09, 0x0D))
 _PLACE = np.random.default_rng(5).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,6 +86,16 @@ def _class_of(shingles: np.ndarray, clashing: frozenset = frozenset()) -> tuple[
     return (other if cls in clashing else cls), other
 
 
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each, compressed: mostly small, a table per task is a fraction of its plain size."""
+    kind = np.min_scalar_type(int(counts.max()))
+    return bytes([kind.itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _plain(raw: memoryview) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw[1:]), f"<u{raw[0]}").astype(np.int64)
+
+
 def _tally(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, np.int64)
@@ -115,7 +126,7 @@ def _tally(buckets: int):
         chunk = min(_CHUNK, buckets)
         parts = [k for k in range(buckets // chunk) if counts[k * chunk : (k + 1) * chunk].any()]
         m = len(parts)
-        raw = [counts[k * chunk : (k + 1) * chunk].tobytes() for k in parts]
+        raw = [_small(counts[k * chunk : (k + 1) * chunk]) for k in parts]
         empty = [pa.nulls(m, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays([*empty, pa.array(parts, pa.int32()), pa.array(raw, pa.binary())], names=names)
 
@@ -125,9 +136,12 @@ def _tally(buckets: int):
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            more = np.frombuffer(raw, np.int64)
-            sums[part] = sums[part] + more if part in sums else more
+        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            more = _plain(memoryview(raw.as_buffer()))
+            if part in sums:
+                sums[part] += more
+            else:
+                sums[part] = more
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "counts"]
     )
@@ -237,7 +251,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = starts[-1]
         size = int(rank[-1]) + 1
         head = [c[open_ : open_ + HEADS] for c in cols]
-        if held > 1_000_000:
+        if held > HELD:
             yield packed()
             found, held = [], 0
     if found:

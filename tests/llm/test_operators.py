@@ -874,3 +874,18 @@ def test_pipeline_stages_take_odd_rows(spark, odd):
     near = corpus_pipeline.drop_near_duplicates(spark, odd, SF).collect()
     assert sum(r.doc_id == 6 for r in near) == 1 and sum(r.doc_id is None for r in near) == 2
     assert corpus_pipeline.pack_sequences(spark, odd, SF).count() > 0
+
+
+def test_tallies_are_small_and_exact():
+    texts = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2]), pa.array([" ".join(f"w{k}" for k in range(3000)), "a b c d e " * 500]), pa.array([5, 6])], names=["d", "t", "c"]
+    )
+    tallies = [b for b in jaccard._tally(1 << 20)(iter([texts])) if b.column(6).null_count == 0]
+    assert sum(b.column(7).nbytes for b in tallies) < 1 << 17  # 8 MB as plain numbers
+    parts = pa.Table.from_batches(tallies).select([6, 7])
+    twice = next(jaccard._summed(iter(parts.to_batches() * 2)))
+    counts = np.zeros(1 << 20, np.int64)
+    for part, raw in zip(*[c.to_pylist() for c in twice.columns]):
+        counts[part * jaccard._CHUNK : (part + 1) * jaccard._CHUNK] = np.frombuffer(raw, np.int64)
+    want = np.bincount(jaccard._top_bits(np.concatenate(list(jaccard.shingle_sets(texts.column(1)))), 1 << 20), minlength=1 << 20)
+    assert (counts == 2 * want).all()
