@@ -18,7 +18,6 @@ LANES = 512
 STEPS = 256
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
-_MASK = np.uint64(0xFFFFFFFF)
 _BITS = np.uint64(BITS)
 _TOP = np.uint64(63 - BITS)
 
@@ -76,15 +75,16 @@ def encode(ids: np.ndarray, table: Table) -> Block:
     state = np.full(LANES, _LOW)
     chunks: list[np.ndarray] = [np.zeros(0, np.uint32)] * rounds
     kept: dict[int, bytes] = {}
+    share, below = table.share[padded], table.below[padded]
+    most = share << _TOP
     for t in range(rounds - 1, -1, -1):
-        own = padded[t]
-        f = table.share[own]
-        over = state >= (f << _TOP)
-        if over.any():
-            chunks[t] = (state[over] & _MASK).astype("<u4")
-            state = np.where(over, state >> _WORD, state)
-        whole = state // f
-        state = (whole << _BITS) + (state - whole * f) + table.below[own]
+        over = np.flatnonzero(state >= most[t])
+        if len(over):
+            full = state[over]
+            chunks[t] = full.astype("<u4")
+            state[over] = full >> _WORD
+        whole, rest = np.divmod(state, share[t])
+        state = (whole << _BITS) + rest + below[t]
         if t % STEPS == 0:
             kept[t] = state.astype("<u8").tobytes()
     at = np.concatenate([[0], np.cumsum([len(c) for c in chunks])])

@@ -6,8 +6,9 @@ and without a cache of ours.
 
 The other kind of vocabulary lowers text and drops white space. It cuts at every white space and never
 looks across, so the ids of a text are those of its chunks in a row. Chunks repeat a lot; only new ones
-reach the library, and a bounded number is kept. A new chunk of letters and closing punctuation goes
-straight to the library's model, any other passes its normaliser and pre-tokeniser first.
+reach a tokeniser, and a bounded number is kept. A new chunk of letters and closing punctuation needs no
+normaliser or pre-tokeniser: its words are merged by rank with ``tiktoken`` if the
+file's ids follow its merges, and go to the library's model otherwise. Any other chunk goes to the library whole.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ import functools
 import json
 import os
 import struct
-from itertools import chain
+from typing import NamedTuple
 
 #: Chunks in each of the two generations kept per Python worker and vocabulary.
 CACHED = 300_000
 _CLOSING = ".,!?;:*#$%&|"
+_END = "\x00"
+_ENDED = r"[^\x00]+\x00"
 # Fixed value: how a byte-level vocabulary cuts a text before merging.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -31,10 +34,10 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Chunks:
-    """Chunk to its ids as little-endian unsigned 32-bit bytes.
+class _Chunks(dict):
+    """Chunk to its ids as little-endian unsigned 32-bit bytes, made when a chunk is first asked for.
 
-    When the young generation is full it becomes the old one; a chunk met again moves back.
+    When the young generation (this dictionary) is full it becomes the old one; a chunk met again moves back.
     """
 
     def __init__(self, path: str):
@@ -43,41 +46,50 @@ class _Chunks:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         cut = self.tokenizer.pre_tokenizer
         self.letters = {c: cut.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250) if chr(c).isalpha()}
+        self.merged = _merged(path)
+
+    def bound(self) -> None:
+        if len(self) > CACHED:
+            self.old = dict(self)
+            self.clear()
+        if len(self.pieces) > CACHED:
+            self.pieces = {}
 
     def whole(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(found)}I", *found)
 
     def piece(self, piece: str) -> bytes:
+        """Ids of a lower-case word or a run of punctuation.
+
+        One that is a token itself goes to the library, as ``tiktoken`` gives a token without merging.
+        """
         ids = self.pieces.get(piece)
         if ids is None:
-            found = [t.id for t in self.tokenizer.model.tokenize(piece)]
+            if self.merged is None or piece in self.merged.whole:
+                spelled = piece if piece.isascii() else piece.translate(self.letters)
+                found = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+            else:
+                found = self.merged.ranked.encode_ordinary(piece + _END)
             ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.young) > CACHED:
-            self.old, self.young = self.young, {}
-        if len(self.pieces) > CACHED:
-            self.pieces = {}
-        young, old, piece, letters = self.young, self.old, self.piece, self.letters
-        for chunk in chunks.difference(young):
-            ids = old.get(chunk)
-            if ids is None:
-                stem = chunk.rstrip(_CLOSING)
-                if stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and stem.lower().isalpha())):
-                    word = stem.lower()
-                    ids = piece(word if word.isascii() else word.translate(letters))
-                    if len(stem) < len(chunk):
-                        ids += piece(chunk[len(stem) :])
-                else:
-                    ids = self.whole(chunk)
-            young[chunk] = ids
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            stem = chunk.rstrip(_CLOSING)
+            if stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and stem.lower().isalpha())):
+                ids = self.piece(stem.lower())
+                if len(stem) < len(chunk):
+                    ids += self.piece(chunk[len(stem) :])
+            else:
+                ids = self.whole(chunk)
+        self[chunk] = ids
+        return ids
 
 
 @functools.cache
@@ -92,6 +104,42 @@ def _byte_values() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+class _Merged(NamedTuple):
+    ranked: object
+    #: The pieces that are one token.
+    whole: frozenset[str]
+
+
+@functools.cache
+def _merged(path: str) -> _Merged | None:
+    """A word vocabulary to be merged by rank; None if its ids do not follow its merges.
+
+    A byte that no piece contains stands for the end of a word, and is merged first with the byte before it.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    suffix, vocab = model.get("end_of_word_suffix"), model["vocab"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    values, known = _byte_values(), 512 + len(merges)
+    if not suffix or [vocab.get(a + b) for a, b in merges] != list(range(512, known)):
+        return None
+    if {vocab.get(c) for c in values} != set(range(256)) or {vocab.get(c + suffix) for c in values} != set(range(256, 512)):
+        return None
+    ranks, whole = {}, []
+    for token, rank in vocab.items():
+        if rank >= known:  # a special token
+            continue
+        last = token.endswith(suffix)
+        spelled = bytes(values[c] for c in (token[: -len(suffix)] if last else token))
+        if last:
+            whole.append(spelled.decode("utf-8", "replace"))
+            spelled += _END.encode()
+        ranks[spelled] = rank
+    return _Merged(tiktoken.Encoding("words", pat_str=_ENDED, mergeable_ranks=ranks, special_tokens={}), frozenset(whole))
+
+
 @functools.cache
 def _ranked(path: str):
     import tiktoken
@@ -115,10 +163,9 @@ def encode(texts: list[str | None], path: str, spaced: bool) -> list[bytes]:
         ranked = _ranked(path)
         return [ranked.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() if t else b"" for t in texts]
     cache = _worker_cache(path)
-    cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-    cache.learn(set(chain.from_iterable(cut)))
-    ids = cache.young.__getitem__
-    return [b"".join(map(ids, chunks)) for chunks in cut]
+    cache.bound()
+    ids = cache.__getitem__
+    return [b"".join(map(ids, t.replace("\n", " ").split(" "))) if t else b"" for t in texts]
 
 
 def in_runs(texts: list[str | None], most: int = 1 << 20):

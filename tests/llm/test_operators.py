@@ -889,3 +889,16 @@ def test_tallies_are_small_and_exact():
         counts[part * jaccard._CHUNK : (part + 1) * jaccard._CHUNK] = np.frombuffer(raw, np.int64)
     want = np.bincount(jaccard._top_bits(np.concatenate(list(jaccard.shingle_sets(texts.column(1)))), 1 << 20), minlength=1 << 20)
     assert (counts == 2 * want).all()
+
+
+def test_merged_words_equal_the_library():
+    path = tokens.vocabulary_path("word_bpe_49k.json")
+    cache = tokens._Chunks(path)
+    rng = random.Random(3)
+    words = [w for w in cache.merged.whole if w.isalpha() and w.isascii() and w == w.lower()][::40]
+    words += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz\u00e9\u00e8\u00fc\u00f1\u00df", k=rng.randrange(1, 14))) for _ in range(3000)]
+    chunks = [w + rng.choice(["", "", ".", ",", "!!", "?"]) for w in words] + ["\u00c9t\u00e9", "I'll", "a\x00b", "\u0130x", "x" * 500]
+    text = " ".join(chunks)
+    assert tokens.encode([text, None, ""], path, False) == [cache.whole(text), b"", b""]
+    cache.merged = None
+    assert b"".join(map(cache.__getitem__, chunks)) == cache.whole(text)
