@@ -30,6 +30,8 @@ CELL_ROWS = 128
 PIVOTS = 4096
 TURN_ROWS = 65536
 SLICE = 256
+#: Shipped rows whose distances to a slice of a block are held at once.
+TILE = 8192
 #: Bounds are widened by this share against rounding.
 SLACK = 1e-9
 
@@ -78,13 +80,20 @@ def _among(
         wide = bound[rows] * (1 + SLACK) + 4 * SLACK * radius[rows]
         first = np.searchsorted(sorted_far, (radius[rows] - wide).min(), "left")
         last = np.searchsorted(sorted_far, (radius[rows] + wide).max(), "right")
-        places = by_far[first:last]
-        if not len(places):
+        parts = []
+        for tile in range(first, last, TILE):
+            places = by_far[tile : min(last, tile + TILE)]
+            d = _squared(at[rows], others[places])
+            d[d > (wide * wide * (1 + SLACK))[:, None]] = np.inf
+            row, place = _smallest(d, order[places], k)
+            parts.append((row, places[place], d[row, place]))
+        if not parts:
             continue
-        d = _squared(at[rows], others[places])
-        d[d > (wide * wide * (1 + SLACK))[:, None]] = np.inf
-        row, place = _smallest(d, order[places], k)
-        yield rows[row], places[place], d[row, place]
+        row, place, squared = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by = np.lexsort((order[place], squared, row))
+        row, place, squared = row[by], place[by], squared[by]
+        best = np.arange(len(row)) - np.searchsorted(row, row) < k
+        yield rows[row[best]], place[best], squared[best]
 
 
 def _grouped(n: int, row: np.ndarray, *columns: np.ndarray) -> list[list[np.ndarray]]:
@@ -193,18 +202,21 @@ def _shipped(held, blocks, pivots, reaches, n, k, key_type, found_type, report,
         cell = np.array([x[0] for x in lines])
         part = np.array([x[1] for x in lines])
         reach = np.array([x[2] for x in lines]) * (1 + SLACK)
-        turn = TaskContext.get().partitionId() % turns
-        for batch in batches:
+        for turn, batch in enumerate(batches, TaskContext.get().partitionId()):
+            turn %= turns
             at = np.stack(batch["vector"].to_numpy())
             own = (batch["cell"].to_numpy(), batch["part"].to_numpy())
-            d = np.sqrt(np.concatenate([_squared(at[i : i + SLICE], centres) for i in range(0, len(at), SLICE)]))
+            near = np.empty((len(lines), len(at)), bool)  # distances are held for a slice of rows only
+            for i in range(0, len(at), SLICE):
+                near[:, i : i + SLICE] = (np.sqrt(_squared(at[i : i + SLICE], centres))[:, cell] <= reach).T
             for b in range(len(lines)):
-                go = np.flatnonzero((d[:, cell[b]] <= reach[b]) & ~((own[0] == cell[b]) & (own[1] == part[b])))
+                go = np.flatnonzero(near[b] & ~((own[0] == cell[b]) & (own[1] == part[b])))
                 if len(go):
+                    far = np.sqrt(_squared(at[go], centres[cell[b]][None])[:, 0])
                     yield pd.DataFrame(
                         {
                             "cell": [cell[b]], "part": [part[b]], "turn": [turn], "rows": [len(go)], "keys": [batch["key"].iloc[go].tolist()],
-                            "at": [at[go].tobytes()], "far": [d[go, cell[b]].tobytes()],
+                            "at": [at[go].tobytes()], "far": [far.tobytes()],
                         }
                     )
 

@@ -174,3 +174,22 @@ def test_resampling_leaves_the_test_split_alone(raw_df):
     resampled = training.resample(prepared, 0.5)
     assert resampled.count() > prepared.train.count()
     assert prepared.test.count() == before == 40
+
+
+def test_a_turn_of_shipped_rows_is_met_in_tiles():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    at, others = np.round(rng.normal(size=(40, 30)), 1), np.round(rng.normal(size=(50_000, 30)), 1)
+    others[30_000:30_050] = others[:50]  # ties across tiles
+    norm = lambda x: np.sqrt((x**2).sum(1))
+    order = rng.permutation(len(others))
+    tracemalloc.start()
+    found = list(neighbours._among(at, norm(at), np.full(40, 50.0), others, norm(others), order, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6, peak  # one distance per pair takes 16 MB, and its making three times that
+    row, place, squared = (np.concatenate(x) for x in zip(*found))
+    gap = neighbours._squared(at, others)
+    for r in range(40):
+        assert place[row == r].tolist() == np.lexsort((order, gap[r]))[:5].tolist()
