@@ -556,7 +556,7 @@ def _(spark, sf_dir):
     for name in (training.TREE, training.FOREST, training.BOOSTED):
         scorer = fitted_scorer(spark, df, name, rounds=20)
         trees = explain.tree_ensemble(spark, scorer.classifier)
-        ready = scorer.pipeline.transform(df).withColumn("x", vector_to_array("features"))
+        ready = scorer.pipeline.transform(explain.spread(df)).withColumn("x", vector_to_array("features"))
         total = F.aggregate(explain.tree_contributions(spark, trees, F.col("x")), F.lit(trees.base), lambda s, c: s + c)
         p = vector_to_array("probability")[1]
         score = F.ln(p / (1 - p)) if name == training.BOOSTED else p

@@ -203,6 +203,11 @@ def tree_shapley(x: np.ndarray, tree: TreePaths, width: int, cells: int = 2_000_
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over a few tasks per core, whatever files they came in, as explaining costs far more than moving."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def tree_contributions(spark: SparkSession, ensemble: TreeEnsemble, features: Column) -> Column:
     """Shapley value per feature of an ``array<double>`` column."""
     shared = spark.sparkContext.broadcast(ensemble)

@@ -199,3 +199,10 @@ def test_band_boundaries(spark):
 
     df = spark.createDataFrame([(s,) for s in (15.0, 30.0, 50.0, 70.0, 85.0)], "s double")
     assert [r[0] for r in df.select(risk_level(F.col("s"))).collect()] == ["LOW", "LOW", "MEDIUM", "MEDIUM", "HIGH"]
+
+
+def test_rows_to_explain_are_spread(spark):
+    df = spark.range(1000).coalesce(1)
+    dealt = explain.spread(df)
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert max(dealt.rdd.glom().map(len).collect()) < 200 and {r.id for r in dealt.collect()} == set(range(1000))
