@@ -439,7 +439,7 @@ def comparison(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     prepared = training.prepare(keyed_table(spark, sf_dir), "row_id")
     cached: list[DataFrame] = []
     train = training.resample(prepared, 0.5, cached=cached)
-    table = training.train_and_compare(train, prepared.test, names=names or None).table
+    table = training.train_and_compare(train, prepared.test, names=names or None, at_once=training.LEARNERS).table
     for frame in cached:
         frame.unpersist()
     return table

@@ -29,6 +29,8 @@ from ledgerwatch.sources.raw import path_exists, read_cleaned, write_report
 KEY = "row_key"
 #: Partitions of the training rows, which the seeded samples of the tree learners depend on.
 PARTS = 8
+#: Learners that a training run fits side by side: all of them.
+LEARNERS = 4
 LOGISTIC, TREE, FOREST, BOOSTED = (
     "Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosted Trees",
 )
@@ -199,13 +201,13 @@ def save_model(
 
 def train_pipeline(
     spark: SparkSession, raw: str, cleaned: str, target: str, fmt: str = "csv", ratio: float = 0.1,
-    seed: int = SEED, names: Sequence[str] | None = None,
+    seed: int = SEED, names: Sequence[str] | None = None, at_once: int = LEARNERS,
 ) -> Comparison:
     """Clean if needed, prepare, resample, compare, and save the best model and the report."""
     df = read_cleaned(spark, cleaned) if path_exists(spark, cleaned) else clean_dataset(spark, raw, cleaned, fmt)[0]
     prepared = prepare(df, seed=seed)
     cached: list[DataFrame] = []
-    result = train_and_compare(resample(prepared, ratio, seed=seed, cached=cached), prepared.test, seed, names)
+    result = train_and_compare(resample(prepared, ratio, seed=seed, cached=cached), prepared.test, seed, names, at_once=at_once)
     for frame in cached:
         frame.unpersist()
     write_report(result.table, f"{target}/model_comparison")

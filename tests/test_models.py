@@ -201,6 +201,24 @@ def test_band_boundaries(spark):
     assert [r[0] for r in df.select(risk_level(F.col("s"))).collect()] == ["LOW", "LOW", "MEDIUM", "MEDIUM", "HIGH"]
 
 
+def test_a_comparison_fits_its_learners_side_by_side(spark, sf_dir, monkeypatch):
+    import threading
+
+    from pyspark.ml.classification import LogisticRegression
+
+    from checks.queries import comparison
+
+    together = threading.Barrier(4, timeout=60)
+
+    class Met:
+        def fit(self, df):
+            together.wait()
+            return LogisticRegression(featuresCol="features", labelCol="Class", maxIter=2).fit(df)
+
+    monkeypatch.setattr(training, "estimators", lambda rows, seed: {f"m{k}": Met() for k in range(4)})
+    assert comparison(spark, sf_dir).count() == 4
+
+
 def test_rows_to_explain_are_spread(spark):
     df = spark.range(1000).coalesce(1)
     dealt = explain.spread(df)
