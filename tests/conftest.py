@@ -33,7 +33,8 @@ def raw_pandas(n: int, fraud: int, seed: int = 7) -> pd.DataFrame:
     data = {v: rng.standard_t(6, size=n) for v in V_COLUMNS}
     for v, shift in (("V4", 1.5), ("V12", -2.0), ("V14", -2.5)):
         data[v] = data[v] + shift * label
-    data["Time"] = np.floor(np.cumsum(rng.gamma(2.0, 86400 / (2.0 * n), n)))
+    arrivals = np.cumsum(rng.gamma(2.0, 86400 / (2.0 * n), n))
+    data["Time"] = np.floor(arrivals - arrivals[0])  # counted from the first transaction
     data["Amount"] = np.exp(rng.normal(3.2, 1.1, n)).round(2)
     data["Class"] = label
     return pd.DataFrame(data)[RAW_COLUMNS]
