@@ -5,10 +5,11 @@ A byte-level vocabulary is merged by rank: its file's tokens are the byte string
 and without a cache of ours.
 
 The other kind of vocabulary lowers text and drops white space. It cuts at every white space and never
-looks across, so the ids of a text are those of its chunks in a row. Chunks repeat a lot; only new ones
-reach a tokeniser, and a bounded number is kept. A new chunk of letters and closing punctuation needs no
+looks across, so the ids of a text are those of its chunks in a row. A chunk of letters and closing punctuation needs no
 normaliser or pre-tokeniser: its words are merged by rank with ``tiktoken`` if the
 file's ids follow its merges, and go to the library's model otherwise. Any other chunk goes to the library whole.
+Texts of ASCII and Latin letters are merged many at a time. The chunks of others, which repeat a lot, reach a tokeniser
+only when new, and a bounded number is kept.
 """
 
 from __future__ import annotations
@@ -16,14 +17,19 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 from typing import NamedTuple
 
+import numpy as np
+
 #: Chunks in each of the two generations kept per Python worker and vocabulary.
 CACHED = 300_000
 _CLOSING = ".,!?;:*#$%&|"
 _END = "\x00"
 _ENDED = r"[^\x00]+\x00"
+# A byte in a text: part of a word, closing punctuation, cut, anything else.
+_LETTER, _CLOSES, _CUT, _OTHER = range(4)
 # Fixed value: how a byte-level vocabulary cuts a text before merging.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -51,6 +57,11 @@ class _Chunks(dict):
         cut = self.tokenizer.pre_tokenizer
         self.letters = {c: cut.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250) if chr(c).isalpha()}
         self.merged = _merged(path)
+        #: By id, whether ``tiktoken`` gives the id for a piece that the library spells otherwise.
+        self.unlike = np.zeros(len(self.merged.ends) if self.merged else 0, bool)
+        for rank, piece in self.merged.spelled.items() if self.merged else ():
+            if piece and (piece.isalpha() or not piece.strip(_CLOSING)) and not _beyond().search(piece):
+                self.unlike[rank] = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))] != [rank]
 
     def bound(self) -> None:
         if len(self) > CACHED:
@@ -108,6 +119,9 @@ class _Merged(NamedTuple):
     ranked: object
     #: The pieces that are one token.
     whole: frozenset[str]
+    #: By id: whether it ends a piece, and the piece that it is.
+    ends: np.ndarray
+    spelled: dict[int, str]
 
 
 @functools.cache
@@ -127,17 +141,18 @@ def _merged(path: str) -> _Merged | None:
         return None
     if {vocab.get(c) for c in values} != set(range(256)) or {vocab.get(c + suffix) for c in values} != set(range(256, 512)):
         return None
-    ranks, whole = {}, []
+    ranks, whole, ends = {}, {}, np.zeros(known, bool)
     for token, rank in vocab.items():
         if rank >= known:  # a special token
             continue
         last = token.endswith(suffix)
         spelled = bytes(values[c] for c in (token[: -len(suffix)] if last else token))
+        ends[rank] = last
         if last:
-            whole.append(spelled.decode("utf-8", "replace"))
+            whole[rank] = spelled.decode("utf-8", "replace")
             spelled += _END.encode()
         ranks[spelled] = rank
-    return _Merged(tiktoken.Encoding("words", pat_str=_ENDED, mergeable_ranks=ranks, special_tokens={}), frozenset(whole))
+    return _Merged(tiktoken.Encoding("words", pat_str=_ENDED, mergeable_ranks=ranks, special_tokens={}), frozenset(whole.values()), ends, whole)
 
 
 @functools.cache
@@ -154,6 +169,74 @@ def _ranked(path: str):
     return tiktoken.Encoding("byte-level", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.cache
+def _beyond() -> re.Pattern:
+    """A character that is neither ASCII nor a letter of two bytes whose lower case is one too."""
+    letters = [c for c in map(chr, range(0xC0, 0x250)) if c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha() and c.lower() < "\u0250"]
+    return re.compile(f"[^\x00-\x7f{''.join(letters)}]")
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """What a byte is in a text without characters ``_beyond``."""
+    kind = np.full(256, _OTHER, np.uint8)
+    kind[65:91] = kind[97:123] = kind[128:] = _LETTER
+    kind[np.frombuffer(_CLOSING.encode(), np.uint8)] = _CLOSES
+    kind[[10, 32]] = _CUT
+    return kind
+
+
+def _many(texts: list[str], cache: _Chunks) -> list[bytes]:
+    """Ids of each text, none with a character ``_beyond``, by one call of ``tiktoken`` for all their words.
+
+    A text's ids are a stretch of that call's, into which those of chunks that went to the library are put.
+    """
+    merged = cache.merged
+    joined = "\n".join(texts) + "\n"
+    data, low = (np.frombuffer(t.encode(), np.uint8) for t in (joined, joined.lower()))  # alike in length
+    after = np.cumsum([(len(t) if t.isascii() else len(t.encode())) + 1 for t in texts])
+    kind = _kinds()[data]
+    before = np.concatenate([np.array([_CUT], np.uint8), kind[:-1]])
+    odd = (kind == _OTHER) | ((kind == _CLOSES) & (before == _CUT)) | ((kind == _LETTER) & (before == _CLOSES))
+    cuts = np.flatnonzero(kind == _CUT)
+    chunk = np.unique(np.searchsorted(cuts, np.flatnonzero(odd)))
+    first, last = np.where(chunk > 0, cuts[chunk - 1] + 1, 0), cuts[chunk]
+    # Each byte once, a letter before closing punctuation and an end; no odd chunk, and no cut but after a piece.
+    often = np.ones(len(data), np.uint8)
+    twice = np.flatnonzero((kind[:-1] == _LETTER) & (kind[1:] == _CLOSES))
+    often[twice] = 2
+    often[(kind == _CUT) & (before == _CUT)] = 0
+    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+        often[a : b + 1] = 0
+    pieces = np.repeat(np.where(kind == _CUT, np.uint8(0), low), often)
+    twice = twice[often[twice] == 2]
+    end = np.cumsum(often, dtype=np.int64)
+    pieces[end[twice] - 1] = 0
+    ids = np.array(merged.ranked.encode_ordinary(pieces.tobytes().decode()), "<u4")
+    raw = ids.tobytes()
+    closed = merged.ends[ids]
+    begins = np.concatenate([[0], np.flatnonzero(closed) + 1])  # of pieces among the ids
+    passed = np.concatenate([[0], np.cumsum(pieces == 0)])  # pieces that ended before a byte
+    at = lambda byte: begins[passed[np.where(byte > 0, end[byte - 1], 0)]]
+    bounds = np.concatenate([[0], at(after)])
+    # A place among the ids, how many of them go, and what comes instead; by text.
+    put: dict[int, list[tuple[int, int, bytes]]] = {}
+    owner = np.searchsorted(after, first, "right").tolist()
+    for k, place, a, b in zip(owner, at(first).tolist(), first.tolist(), last.tolist(), strict=True):
+        put.setdefault(k, []).append((place, 0, cache[data[a:b].tobytes().decode()]))
+    alone = np.flatnonzero(cache.unlike[ids] & np.concatenate([[True], closed])[:-1])
+    for k, place in zip((np.searchsorted(bounds, alone, "right") - 1).tolist(), alone.tolist(), strict=True):
+        put.setdefault(k, []).append((place, 1, cache.piece(merged.spelled[int(ids[place])])))
+    out = []
+    for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        parts = []
+        for place, gone, instead in sorted(put.get(k, ()), key=lambda p: p[:2]):
+            parts += [raw[4 * a : 4 * place], instead]
+            a = place + gone
+        out.append(b"".join(parts) + raw[4 * a : 4 * b] if parts else raw[4 * a : 4 * b])
+    return out
+
+
 def encode(texts: list[str | None], path: str, spaced: bool) -> list[bytes]:
     """Ids of each text as bytes of little-endian unsigned 32-bit integers; null and empty give none.
 
@@ -164,8 +247,13 @@ def encode(texts: list[str | None], path: str, spaced: bool) -> list[bytes]:
         return [ranked.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() if t else b"" for t in texts]
     cache = _worker_cache(path)
     cache.bound()
+    many = [bool(t) and cache.merged is not None and (t.isascii() or not _beyond().search(t)) for t in texts]
+    merged = iter(_many([t for t, one in zip(texts, many, strict=True) if one], cache) if any(many) else ())
     ids = cache.__getitem__
-    return [b"".join(map(ids, t.replace("\n", " ").split(" "))) if t else b"" for t in texts]
+    return [
+        next(merged) if one else b"".join(map(ids, t.replace("\n", " ").split(" "))) if t else b""
+        for t, one in zip(texts, many, strict=True)
+    ]
 
 
 def in_runs(texts: list[str | None], most: int = 1 << 20):

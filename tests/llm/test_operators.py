@@ -902,3 +902,23 @@ def test_merged_words_equal_the_library():
     assert tokens.encode([text, None, ""], path, False) == [cache.whole(text), b"", b""]
     cache.merged = None
     assert b"".join(map(cache.__getitem__, chunks)) == cache.whole(text)
+
+
+def test_texts_of_latin_words_are_merged_in_one_call(monkeypatch):
+    path = tokens.vocabulary_path("word_bpe_49k.json")
+    cache = tokens._Chunks(path)
+    monkeypatch.setattr(tokens, "_worker_cache", lambda _: cache)
+    calls = []
+    merge = type(cache.merged.ranked).encode_ordinary
+    monkeypatch.setattr(type(cache.merged.ranked), "encode_ordinary", lambda self, text: calls.append(text) or merge(self, text))
+    rng = random.Random(4)
+    parts = ["the", "Wonder", "zxqvb", "\u00c9t\u00e9", "stra\u00dfe", "A", "."]
+    chunk = lambda: "".join(rng.choices(parts[:6], k=rng.randrange(1, 3))) + rng.choice(["", "", ".", "!?", ","])
+    odd = ["a.b", ".x", "1,2", "", "'s", "\t", "a\x00b", "<|endoftext|>", "x-y."]
+    texts = [rng.choice([" ", "\n", "  "]).join(rng.choice(odd) if rng.random() < 0.1 else chunk() for _ in range(rng.randrange(9))) for _ in range(2000)]
+    texts += ["\u4e2d the", "e\u0301", "\u0130x", "\xb5 m", "\u023a", "", None, " ", "."]
+    want = [x[:-1].tobytes() for x in plain.token_ids(texts, path, 0)]
+    assert tokens.encode(texts, path, False) == want
+    assert len(calls) < 20  # one per new word before
+    cache.unlike[[cache.merged.ranked.encode_single_token(b"the\x00")]] = True  # as if the library spelled it otherwise
+    assert tokens.encode(texts, path, False) == want
