@@ -26,6 +26,7 @@ from ledgerwatch.llm import (  # noqa: E402
 )
 from ledgerwatch.llm.oracles import SQL  # noqa: E402
 from ledgerwatch.llm.queries import QUERIES  # noqa: E402
+from ledgerwatch.session import BATCH  # noqa: E402
 
 SF, MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 BYTES, WORDS = tokens.vocabulary_path("byte_bpe_50k.json"), tokens.vocabulary_path("word_bpe_49k.json")
@@ -876,6 +877,24 @@ def test_pipeline_stages_take_odd_rows(spark, odd):
     assert corpus_pipeline.pack_sequences(spark, odd, SF).count() > 0
 
 
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
+def test_stages_hand_small_batches_to_workers(spark, stage):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    session = spark.newSession()
+    rows = session.range(40).selectExpr("id doc_id", "repeat('word and ', 25000) text", "'en' lang").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    largest = lambda: max(r.n for r in rows.mapInArrow(sizes, "n long").collect())
+    stage(session, rows.where("false"), SF)
+    assert largest() < BATCH + 300_000  # all 9 MB in one before
+    session.conf.set(limit, "300k")
+    stage(session, rows.where("false"), SF)
+    assert largest() < 600_000
+
+
 def test_tallies_are_small_and_exact():
     texts = pa.RecordBatch.from_arrays(
         [pa.array([1, 2]), pa.array([" ".join(f"w{k}" for k in range(3000)), "a b c d e " * 500]), pa.array([5, 6])], names=["d", "t", "c"]
