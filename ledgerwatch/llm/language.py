@@ -380,23 +380,27 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(released(run), schema)
 
 
-def judged(documents: DataFrame, model: Model, like: str) -> DataFrame:
+def judged(documents: DataFrame, model: Model, like: str, pred: str | None = None) -> DataFrame:
     """``documents`` with the likeness of each row's text, a mean per word, in the further column ``like``.
 
     It is null for texts without a word apart from digits, or without a word of which itself or any
-    trigram is known. Rows pass as they came.
+    trigram is known. With ``pred``, that column has the language which ``predict`` finds for the text.
+    Rows pass as they came.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
+    fields = [*([StructField(pred, StringType())] if pred else []), StructField(like, DoubleType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(first, _ROWS)
-                likes = pa.array(_likeness(shared.value, part.column(at).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, likes], names=[*part.schema.names, like])
+                texts = part.column(at).to_pylist()
+                found = [pa.array(_scores(shared.value, texts)[0], pa.string())] if pred else []
+                found.append(pa.array(_likeness(shared.value, texts), pa.float64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], names=[*part.schema.names, *[f.name for f in fields]])
 
-    return documents.mapInArrow(released(run), StructType([*documents.schema.fields, StructField(like, DoubleType())]))
+    return documents.mapInArrow(released(run), StructType([*documents.schema.fields, *fields]))
 
 
 def remainder(doc_id: str, of: int) -> Column:

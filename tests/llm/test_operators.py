@@ -185,6 +185,18 @@ def test_unlearned_languages_and_gibberish_go(spark, docs):
     assert nothing_known == {(model.langs[0], 1 / len(model.langs))}
 
 
+def test_stage_identifies_every_text(spark, docs):
+    some = docs.select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("lang"), "text")
+    more = spark.createDataFrame([(None, None, "the house and the garden were old"), (None, None, "123"), (None, None, None), (-1, "xx", "a")], some.schema)
+    mixed = some.union(more)
+    pred = {r.doc_id: r.lang_pred for r in language.predict(some, language.learn(mixed)).collect()}
+    rows = corpus_pipeline.identify_language(spark, mixed, SF).collect()
+    labels = {r.doc_id: r.lang for r in some.collect()}
+    assert {(r.doc_id, r.lang) for r in rows if r.doc_id not in (None, -1)} == {(i, x or pred[i]) for i, x in labels.items()}
+    assert [(r.lang, r.text[:9]) for r in rows if r.doc_id is None] == [("en", "the house")]
+    assert sum(x is None for x in labels.values()) > 50
+
+
 def plain_language(labelled, text):
     """Words first, then n-grams 5 to 1 of unseen words, over dictionaries."""
     runs = lambda t: re.findall(r"[^\W\d_]+", t.lower())
