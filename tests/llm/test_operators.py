@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import math
+import os
 import random
 import re
 import sys
@@ -114,6 +115,28 @@ def test_vectors_link_with_those_of_their_width(spark, monkeypatch, length, widt
     assert got == want and got[1] == (1, 1) and got[3] == (1, 3)
 
 
+def test_pairs_of_sequences_are_shipped_in_turns(spark, monkeypatch):
+    vectors = [(r.vec_id, r.embedding) for r in common.table(spark, SF, "embeddings").collect()]
+    vectors += [(10**6 + k, x[::-1]) for k, x in vectors] + [(2 * 10**6, [1.0, 2.0]), (2 * 10**6 + 1, [1.0, 2.1])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(embeddings, "SEQUENCE", 20)
+    monkeypatch.setattr(embeddings, "GROUP", 3 * 20 * 64 * 8)
+    monkeypatch.setattr(embeddings, "SHIPPED", 1)
+    files = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines()
+    held, joined = [], embeddings._joined
+
+    def turn(*args):
+        held.append(sum(os.path.getsize(f) for f in files() if "shuffle_" in f and os.path.exists(f)))
+        return joined(*args)
+
+    monkeypatch.setattr(embeddings, "_joined", turn)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    want = plain.cosine_links(vectors[:-2]) | plain.cosine_links(vectors[-2:])
+    assert got == want and got[2 * 10**6] == (1, 2 * 10**6)
+    assert len(held) > 2 and max(held) <= held[0]  # nothing of a turn is left when the next begins
+    assert spark.conf.get(embeddings._CLEANUP, "false") == "false"
+
+
 def test_small_sequences_and_leaves_agree(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "LEAF", 4)
     rng = np.random.default_rng(5)
