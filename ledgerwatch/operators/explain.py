@@ -29,6 +29,9 @@ INCREASES = "Increases Fraud Risk"
 REDUCES = "Reduces Fraud Risk"
 GLOBAL = "High Relative Model Importance"
 
+#: About so many rows are explained together, which bounds what a worker holds.
+TURN = 1 << 15
+
 
 def linear_contributions(values: Sequence[Column], weights: Sequence[float], means: Sequence[float]) -> Column:
     """w * (x - mean) per feature, in feature order."""
@@ -158,21 +161,86 @@ def _paths(table: dict, kind: str, tree_weight: float) -> TreePaths:
 
 
 def tree_shapley(x: np.ndarray, tree: TreePaths, width: int, cells: int = 2_000_000) -> np.ndarray:
-    """Path-dependent Shapley values of the rows of ``x`` in one tree, by one walk down and one up.
+    """Path-dependent Shapley values of the rows of ``x`` in one tree.
 
     In a leaf a feature subset pays the product of indicators (known features) and covers (unknown
     ones). The Shapley weights are the integral over t in [0, 1] of t**s (1-t)**r, so feature j receives
     (inside_j - cover_j) * integral of the product of the other features' cover * (1 - t) + inside * t, a polynomial that
-    Gauss-Legendre nodes integrate exactly. On the way down each edge extends its parent's product by
-    its feature's term, after taking out the term of the edge that split on it before; on the way up the
-    leaves' products add up per edge, and an edge's feature receives the sum below it with its own term unwound.
+    Gauss-Legendre nodes integrate exactly. Many rows look their values up by pattern, few are walked one by one.
     """
     deepest = int(tree.depth.max())
-    out = np.zeros((len(x), width))
     if not deepest:
-        return out
+        return np.zeros((len(x), width))
     t, w = np.polynomial.legendre.leggauss((deepest + 1) // 2)
     t, w = (t + 1) / 2, w / 2
+    if 1 << deepest > 2 * len(x):
+        return _walked(x, tree, width, t, w, cells)
+    return np.concatenate([_looked_up(part, tree, width, t, w) for part in np.array_split(x, -(-len(x) // (2 * TURN)))])
+
+
+def _looked_up(x: np.ndarray, tree: TreePaths, width: int, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Values by pattern: what a leaf pays depends only on which of its path's features let the row through.
+
+    Down the tree each row has a code with a bit per feature of the path, and each code the product of
+    its features' terms. For a split above one or two leaves all codes and both directions are worked out at
+    once, and rows take their values from there. For features that do not let a row through these are all alike.
+    """
+    u, deepest = 1 - t, int(tree.depth.max())
+    bits = (np.arange(1 << deepest) >> np.arange(deepest)[:, None]) % 2 == 1
+    below = np.full(len(tree.parent), -1)
+    below[tree.parent[1::2]] = np.arange(1, len(tree.parent), 2)  # a split's two edges follow each other, left first
+    columns = np.ascontiguousarray(x.T)
+    out, taken = np.zeros((width, len(x))), np.empty(len(x))
+    stack = [(0, np.zeros(len(x), np.intp), np.ones((len(t), 1)), [])]  # edge, codes, products, last edge by feature
+    while stack:
+        edge, code, product, path = stack.pop()
+        left, n = below[edge], len(path)
+        right, feature = left + 1, tree.feature[left]
+        goes = columns[feature] <= tree.threshold[left]
+        place = path.index(tree.earlier[left]) if tree.earlier[left] else -1
+        if place >= 0:
+            inside, z = bits[place, : 1 << n], tree.cover[path[place]]
+            term = np.where(inside, (z * u + t)[:, None], (z * u)[:, None])
+        if below[left] < 0 or below[right] < 0:
+            others = product / term if place >= 0 else product
+            a, b, y, z = tree.value[left], tree.value[right], tree.cover[left], tree.cover[right]
+            pays = [a * y * u + b * (z * u + t), a * (y * u + t) + b * z * u]  # to the right, to the left
+            gains = [b - a * y - b * z, a - a * y - b * z]
+            if place >= 0:
+                pays = [np.where(inside, p[:, None], ((a * y + b * z) * u)[:, None]) for p in pays]
+                gains = [np.where(inside, g, -a * y - b * z) for g in gains]
+            else:
+                pays = [p[:, None] for p in pays]
+            covers = tree.cover[path][:, None]
+            weights = np.concatenate([-(w / u)[None], (1 - covers) * w / (covers * u + t)])
+            sums = weights @ np.concatenate([others * p for p in pays], 1)
+            values = np.where(np.tile(bits[:n, : 1 << n], 2), sums[1:], sums[0])
+            whole = w @ others
+            own = np.concatenate([whole * g for g in gains])
+            at = code + (goes.astype(np.intp) << n)
+            for k, f in [*enumerate(tree.feature[path].tolist()), (n, feature)]:
+                if k != place:
+                    np.take(own if k == n else values[k], at, out=taken, mode="clip")
+                    out[f] += taken
+        for e in (left, right):
+            if below[e] < 0:
+                continue
+            through, z = goes if e == left else ~goes, tree.cover[e]
+            if place >= 0:
+                more = product / term * np.where(inside, (z * u + t)[:, None], (z * u)[:, None])
+                stack.append((e, np.where(through, code, code & ~(1 << place)), more, [e if k == place else p for k, p in enumerate(path)]))
+            else:
+                more = np.concatenate([product * (z * u)[:, None], product * (z * u + t)[:, None]], 1)
+                stack.append((e, code | (through.astype(np.intp) << n), more, [*path, e]))
+    return out.T
+
+
+def _walked(x: np.ndarray, tree: TreePaths, width: int, t: np.ndarray, w: np.ndarray, cells: int) -> np.ndarray:
+    """One walk down and one up, all rows at every edge. On the way down each edge extends its parent's product by
+    its feature's term, after taking out the term of the edge that split on it before; on the way up the
+    leaves' products add up per edge, and an edge's feature receives the sum below it with its own term unwound.
+    """
+    deepest, out = int(tree.depth.max()), np.zeros((len(x), width))
     edges, cuts = len(tree.parent), np.searchsorted(tree.depth, np.arange(deepest + 2))
     place = np.zeros((edges, width))
     place[np.arange(1, edges), tree.feature[1:]] = 1.0
@@ -208,6 +276,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
+def _turns(batches: Iterator[pd.Series], width: int) -> Iterator[np.ndarray]:
+    """Rows of several batches together, about ``TURN`` at a time, as what is looked up is worked out once per turn."""
+    waiting, held = [], 0
+    for rows in batches:
+        waiting.append(np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, width)))
+        held += len(rows)
+        if held >= TURN:
+            yield np.concatenate(waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield np.concatenate(waiting)
+
+
 def tree_contributions(spark: SparkSession, ensemble: TreeEnsemble, features: Column) -> Column:
     """Shapley value per feature of an ``array<double>`` column."""
     shared = spark.sparkContext.broadcast(ensemble)
@@ -215,9 +296,11 @@ def tree_contributions(spark: SparkSession, ensemble: TreeEnsemble, features: Co
     @F.pandas_udf("array<double>")
     def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         trees, width = shared.value
-        for rows in batches:
-            x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, width))
-            yield pd.Series(list(sum((tree_shapley(x, tree, width) for tree in trees), np.zeros((len(x), width)))), dtype=object)
+        for x in _turns(batches, width):
+            total = np.zeros((len(x), width))
+            for tree in trees:
+                total += tree_shapley(x, tree, width)
+            yield pd.Series(list(total), dtype=object)
 
     return contributions(features)
 

@@ -2,6 +2,7 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -219,6 +220,39 @@ def test_a_comparison_fits_its_learners_side_by_side(spark, sf_dir, monkeypatch)
     assert comparison(spark, sf_dir).count() == 4
 
 
+def test_many_rows_are_looked_up_not_walked(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 6)).round(1)
+    y = ((x[:, 0] * x[:, 1] + x[:, 2] + rng.normal(size=3000)) > 0).astype(int)
+    x[::50, 1] = np.nan
+    df = spark.createDataFrame([(Vectors.dense(np.nan_to_num(a)), int(b)) for a, b in zip(x, y)], ["features", "Class"])
+    trees = explain.tree_ensemble(spark, RandomForestClassifier(labelCol="Class", numTrees=5, maxDepth=10, seed=1).fit(df))
+    assert any((np.diff(np.unique(t.earlier)) > 0).any() for t in trees.trees)  # features that a path splits on again
+    want = [explain.tree_shapley(x[k : k + 100], t, trees.width) for t in trees.trees for k in range(0, 3000, 100)]
+    walked = []
+    monkeypatch.setattr(explain, "_walked", lambda *args: walked.append(args))
+    monkeypatch.setattr(explain, "TURN", 700)
+    got = [explain.tree_shapley(x, t, trees.width) for t in trees.trees]
+    np.testing.assert_allclose(np.concatenate(got), np.concatenate(want), atol=1e-12)
+    parts = list(explain._turns(iter([pd.Series(list(x[:400])), pd.Series([], dtype=object), pd.Series(list(x[400:1000])), pd.Series(list(x[1000:1200]))]), 6))
+    assert [len(p) for p in parts] == [1000, 200] and np.array_equal(np.concatenate(parts), x[:1200], equal_nan=True)
+    assert not walked
+
+
+def test_scored_rows_are_spread(spark, prepared, weighted):
+    model = training.estimators(weighted.count())[training.TREE].fit(weighted)
+    pipeline = training.PipelineModel(stages=[model])
+    scorer = scoring.Scorer(pipeline, prepared.features)
+    test = prepared.test.coalesce(1)
+    scored = scoring.score(test, scorer)
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert scoring.score(test, scorer, factors=0).rdd.getNumPartitions() == 1
+    assert scored.count() == test.count() == scored.where("size(top_contributing_factors) = 4").count()
+
+
 def test_rows_to_explain_are_spread(spark):
     df = spark.range(1000).coalesce(1)
     dealt = explain.spread(df)
