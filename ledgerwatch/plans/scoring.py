@@ -14,7 +14,7 @@ from ledgerwatch.operators.evaluate import (
 )
 from ledgerwatch.operators.explain import (
     TreeEnsemble, contribution_column, global_importance, hash_sample, importance_factors, importance_table,
-    model_importances, top_factors, tree_ensemble,
+    model_importances, spread, top_factors, tree_ensemble,
 )
 from ledgerwatch.operators.features import content_key
 from ledgerwatch.operators.stages import ExactRobustScalerModel
@@ -84,10 +84,12 @@ def _factors(spark: SparkSession, scorer: Scorer, n: int) -> Column:
 def score(payloads: DataFrame, scorer: Scorer, factors: int = 4) -> DataFrame:
     """Payload columns with prediction, probability, score, band, threshold and factors.
 
-    The label uses the unrounded probability; the band uses the rounded score.
+    The label uses the unrounded probability; the band uses the rounded score. Rows that a tree model explains
+    are dealt over all cores first.
     """
     spark = payloads.sparkSession
-    ready = scorer.pipeline.transform(payloads).withColumns(
+    trees = factors and model_importances(scorer.classifier, scorer.features)
+    ready = scorer.pipeline.transform(spread(payloads) if trees else payloads).withColumns(
         {"p": vector_to_array("probability")[1], "x": vector_to_array("features")}
     )
     p = F.col("p")
